@@ -9,6 +9,7 @@ one small aggregation job over the column(s) and nothing else.
 from __future__ import annotations
 
 import fnmatch
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,32 +54,17 @@ def auto_numeric_columns(df: DataFrame, order_col: str | None = None) -> list[st
     """Text columns whose first 100 non-null values (in row order) all look numeric.
 
     Per column, a bounded top-k (``orderBy().limit(100)``, planned as a
-    per-partition top-k) finds the row order of the 100th non-null value; one
-    aggregation job then tests every value up to it."""
+    per-partition top-k) brings at most 100 values to the driver."""
     fams = _fams(df)
     text_cols = [c for c in df.columns if fams[c] == TY.STRING and not c.startswith("__")]
-    if not text_cols:
-        return []
     ordc = F.col(order_col) if order_col and order_col in df.columns else F.monotonically_increasing_id()
-    df = df.withColumn("__auto_ord", ordc)
-    ordc = F.col("__auto_ord")
-    cutoffs = {}
-    for c in text_cols:
-        row = (df.where(_c(c).isNotNull()).select(ordc.alias("k")).orderBy("k").limit(AUTO_SAMPLE)
-               .agg(F.max("k").alias("m")).collect())
-        cutoffs[c] = row[0]["m"] if row else None
+    rx = re.compile(AUTO_NUMERIC_PATTERN)
     out = []
-    checks = []
-    for c in text_cols:
-        if cutoffs[c] is None:
-            continue
-        within = _c(c).isNotNull() & (ordc <= F.lit(cutoffs[c]))
-        checks.append(F.max(F.when(within & ~_c(c).rlike(AUTO_NUMERIC_PATTERN), 1)).alias(c))
-    if not checks:
-        return []
-    res = df.agg(*checks).collect()[0].asDict()
     for c in text_cols:
-        if cutoffs[c] is not None and res.get(c) is None:
+        # a bounded top-k: the 100 earliest non-null values (TakeOrderedAndProject)
+        sample = [r[0] for r in df.where(_c(c).isNotNull()).select(_c(c), ordc.alias("__k"))
+                  .orderBy("__k").limit(AUTO_SAMPLE).select(_c(c)).collect()]
+        if sample and all(rx.match(v) is not None for v in sample):
             out.append(c)
     return out
 

@@ -66,7 +66,8 @@ def join_sources(left: DataFrame, right: DataFrame, on: list[str], how: str = "l
         keep = list(on) + [c for c in columns if c not in on]
     else:
         keep = [c for c in right.columns if c != ORD]
-    r_ord = right[ORD] if ORD in right.columns else F.lit(None)
+    has_r_ord = ORD in right.columns
+    r_ord = right[ORD] if has_r_ord else F.lit(None)
     right = right.select(*[_c(c) for c in keep], r_ord.alias("__r_ord"))
     ren = {}
     for c in keep:
@@ -93,8 +94,9 @@ def join_sources(left: DataFrame, right: DataFrame, on: list[str], how: str = "l
     for c in keep:
         if c not in on:
             out.append(_c(ren.get(c, c)))
-    l_ord = F.col(ORD) if ORD in left.columns else F.lit(None)
-    out.append(F.struct(l_ord.alias("l"), F.col("__r_ord").alias("r")).alias(ORD))
+    if ORD in left.columns or has_r_ord:
+        l_ord = F.col(ORD) if ORD in left.columns else F.lit(None)
+        out.append(F.struct(l_ord.alias("l"), F.col("__r_ord").alias("r")).alias(ORD))
     return j.select(*out)
 
 
