@@ -507,3 +507,190 @@ def _safe_int(spark, sf):
     w = wide(spark, sf).where("repeat_kind IS NULL")
     return w.select(PID, S.safe_int(F.col("amount_text"), TY.STRING, 0).alias("amount_int"),
                     S.safe_int(F.col("y_text")).alias("year_int"))
+
+
+# ------------------------------------------------------------------ 2.F field mappings
+
+ALL_ROWS = {"rows": [{"name": "all", "filter": [{"field": PID, "op": "is_not_null"}]}]}
+ALL_SQL = "FROM wide"
+
+_base_query("map_declared_nulls", ["extra_a", "extra_b"], [],
+            "CAST(NULL AS VARCHAR) AS extra_a, CAST(NULL AS VARCHAR) AS extra_b")
+_base_query("map_direct", ["flag", "seg"], [_copy("f1", "flag"), _copy("f2", "flag"), _copy("segment", "seg")],
+            "coalesce(f2, f1) AS flag, segment AS seg")
+_base_query("map_constant", ["study_id", "seg"],
+            [{"source_field": None, "target_field": "study_id", "default_value": "STUDY"}, _copy("segment", "seg"),
+             {"source_field": "null", "target_field": "seg", "default_value": None}],
+            "'STUDY' AS study_id, CAST(NULL AS VARCHAR) AS seg")
+_base_query("map_list_constant", ["tags", "t1", "t2"],
+            [{"target_field": "tags", "default_value": ["a", "b", "c"]},
+             {"target_field": ["t1", "t2"], "default_value": ["x", "y"]}],
+            "'a|b|c' AS tags, 'x' AS t1, 'y' AS t2")
+_base_query("map_default_on_null", ["f2_or", "other"],
+            [{"source_field": "f2", "target_field": "f2_or", "default_value": "missing"},
+             {"source_field": "no_such_column", "target_field": "other", "default_value": 5}],
+            "coalesce(CAST(f2 AS VARCHAR), 'missing') AS f2_or, CAST(5 AS BIGINT) AS other")
+_base_query("map_values_text", ["seg_code"],
+            [{"source_field": "segment", "target_field": "seg_code",
+              "value_mappings": {"BUILDING": "B", "MACHINERY": "M"}}],
+            "CASE segment WHEN 'BUILDING' THEN 'B' WHEN 'MACHINERY' THEN 'M' END AS seg_code")
+_base_query("map_values_numeric_code", ["f3_code", "f2_code"],
+            [{"source_field": "f3", "target_field": "f3_code",
+              "value_mappings": {0: "zero", 1: "one", -1: "neg", 2: ""}},
+             {"source_field": "f2", "target_field": "f2_code", "value_mappings": {1: "one"}, "default_value": "dflt"}],
+            "CASE f3 WHEN 0 THEN 'zero' WHEN 1 THEN 'one' WHEN -1 THEN 'neg' END AS f3_code, "
+            "CASE WHEN f2 IS NULL THEN 'dflt' WHEN f2 = 1 THEN 'one' END AS f2_code")
+_base_query("map_multi_target", ["seg_code", "seg_text"],
+            [{"source_field": "segment", "target_field": ["seg_code", "seg_text"],
+              "value_mappings": {"BUILDING": ["B01", "Building"], "HOUSEHOLD": "H01"}}],
+            "CASE segment WHEN 'BUILDING' THEN 'B01' WHEN 'HOUSEHOLD' THEN 'H01' END AS seg_code, "
+            "CASE segment WHEN 'BUILDING' THEN 'Building' END AS seg_text")
+_base_query("map_radio", ["answer"],
+            [{"source_field": "f3", "target_field": "answer", "source_type": "radio",
+              "value_mappings": {1: "yes", 0: "no"}}],
+            "CASE f3 WHEN 1 THEN 'yes' WHEN 0 THEN 'no' END AS answer")
+_SEG_A = "CASE segment WHEN 'BUILDING' THEN 'bld' WHEN 'MACHINERY' THEN 'mach' WHEN 'AUTOMOBILE' THEN 'auto' END"
+_base_query("map_note_append", ["seg_note"],
+            [{"source_field": "segment", "target_field": "seg_note",
+              "value_mappings": {"BUILDING": "bld", "MACHINERY": "mach", "AUTOMOBILE": "auto"}},
+             {"source_field": "f1", "target_field": "seg_note", "value_mappings": {1: "odd", 0: "even"}},
+             {"source_field": "f1", "target_field": "seg_note", "value_mappings": {1: "odd"}},
+             {"source_field": "segment", "target_field": "seg_note", "value_mappings": {"BUILDING": "odd"}}],
+            f"CASE WHEN segment = 'BUILDING' AND f1 = 0 THEN 'bld|even|odd' "
+            f"ELSE concat_ws('|', {_SEG_A}, CASE f1 WHEN 1 THEN 'odd' WHEN 0 THEN 'even' END) END AS seg_note")
+_base_query("map_checkbox_append", ["flags"],
+            [{"target_field": "flags", "source_type": "checkbox",
+              "value_mappings": {"f1": "one", "f2": "two", "consent": "consented"}}],
+            "NULLIF(concat_ws('|', CASE WHEN f1 = 1 THEN 'one' END, CASE WHEN f2 = 1 THEN 'two' END, "
+            "CASE WHEN consent = 1 THEN 'consented' END), '') AS flags")
+_base_query("map_checkbox_last", ["flags"],
+            [{"target_field": "flags", "source_type": "checkbox", "append": False,
+              "value_mappings": {"f1": "one", "f2": "two", "consent": "consented"}}],
+            "coalesce(CASE WHEN consent = 1 THEN 'consented' END, CASE WHEN f2 = 1 THEN 'two' END, "
+            "CASE WHEN f1 = 1 THEN 'one' END) AS flags")
+_base_query("map_checkbox_multi_target", ["code", "term"],
+            [{"target_field": ["code", "term"], "source_type": "checkbox",
+              "value_mappings": {"f1": ["C1", "T1"], "f2": ["C2", "T2"]}}],
+            "NULLIF(concat_ws('|', CASE WHEN f1 = 1 THEN 'C1' END, CASE WHEN f2 = 1 THEN 'C2' END), '') AS code, "
+            "NULLIF(concat_ws('|', CASE WHEN f1 = 1 THEN 'T1' END, CASE WHEN f2 = 1 THEN 'T2' END), '') AS term")
+_base_query("map_identifier", ["visit_id"],
+            [{"target_field": "visit_id", "target_type": "identifier",
+              "params": {"prefix_field": PID, "type": "visit", "suffix_fields": ["instance"]}}],
+            "CAST(participant_id AS VARCHAR) || '_visit' || coalesce('_' || CAST(instance AS VARCHAR), '') AS visit_id",
+            filters=ALL_ROWS, sql_from=ALL_SQL)
+_base_query("map_identifier_suffix", ["obs_id", "no_prefix_id", "no_type_id"],
+            [{"source_field": PID, "target_field": "obs_id", "target_type": "identifier",
+              "params": {"record_prefix_field": PID, "record_type": "obs",
+                         "suffix_fields": ["source_field_name", "literal:X", "segment", "no_such_col", "f2"]}},
+             {"target_field": "no_prefix_id", "target_type": "identifier",
+              "params": {"type": "obs", "suffix_fields": ["literal:A"]}},
+             {"target_field": "no_type_id", "target_type": "identifier", "params": {"prefix_field": PID}}],
+            "CAST(participant_id AS VARCHAR) || '_obs_' || concat_ws('_', 'participant_id', 'X', segment, "
+            "'no_such_col', CAST(f2 AS VARCHAR)) AS obs_id, 'obs_A' AS no_prefix_id, "
+            "CAST(NULL AS VARCHAR) AS no_type_id")
+_base_query("map_age", ["age_at_enrollment"],
+            [{"target_field": "age_at_enrollment", "target_type": "age",
+              "params": {"birth_date_field": "dob", "event_date_field": "enroll_date"}}],
+            sql_age("dob", "enroll_date") + " AS age_at_enrollment")
+_base_query("map_age_offset", ["age_at_enrollment"],
+            [{"target_field": "age_at_enrollment", "target_type": "age",
+              "params": {"birth_date_field": "dob", "event_date_field": "enroll_date", "event_offset_field": "f3"}}],
+            sql_age("dob", "enroll_date", offset="f3") + " AS age_at_enrollment")
+_base_query("map_age_fallback", ["age_a", "age_b"],
+            [{"target_field": "age_a", "target_type": "age",
+              "params": {"birth_date_field": "dob", "event_date_field": "event_date", "age_fallback_field": "age_text"}},
+             {"target_field": "age_b", "target_type": "age",
+              "params": {"birth_date_field": "dob_mixed", "event_date_field": "enroll_date",
+                         "age_fallback_field": "age_text"}}],
+            sql_age("dob", "event_date", fallback="age_text") + " AS age_a, "
+            + sql_age("dob_mixed", "enroll_date", fallback="age_text") + " AS age_b",
+            filters=ALL_ROWS, sql_from=ALL_SQL)
+_base_query("map_date", ["dob_iso", "d2"],
+            [{"source_field": "dob_mixed", "target_field": "dob_iso", "target_type": "date"},
+             _copy("enroll_date", "d2"), {"source_field": "age_text", "target_field": "d2", "target_type": "date"}],
+            f"strftime({sql_parse_date('dob_mixed')}, '%Y-%m-%d') AS dob_iso, CAST(NULL AS VARCHAR) AS d2")
+_base_query("map_duration", ["duration_days", "negative_duration"],
+            [{"target_field": "duration_days", "target_type": "duration",
+              "params": {"start_date_field": "dob", "end_date_field": "enroll_date"}},
+             {"target_field": "negative_duration", "target_type": "duration",
+              "params": {"start_date_field": "enroll_date", "end_date_field": "dob"}}],
+            "CAST(date_diff('day', CAST(dob AS DATE), CAST(enroll_date AS DATE)) AS BIGINT) AS duration_days, "
+            "CAST(NULL AS BIGINT) AS negative_duration")
+_base_query("map_note", ["summary_note"],
+            [{"source_field": ["segment", "f3", "nation"], "target_field": "summary_note", "target_type": "note"},
+             {"source_field": ["f2"], "target_field": "summary_note", "target_type": "note"}],
+            "concat_ws('; ', 'segment: ' || segment, CASE WHEN f3 <> -1 THEN 'f3: ' || CAST(f3 AS VARCHAR) END, "
+            "'nation: ' || CAST(nation AS VARCHAR)) || coalesce(' | f2: ' || CAST(f2 AS VARCHAR), '') AS summary_note")
+_base_query("map_integer", ["balance_int"],
+            [{"source_field": "acctbal", "target_field": "balance_int", "target_type": "integer", "default_value": 0}],
+            "coalesce(CAST(trunc(acctbal) AS BIGINT), 0) AS balance_int", filters=ALL_ROWS, sql_from=ALL_SQL)
+_base_query("map_integer_mapped", ["month_int"],
+            [{"source_field": "m_text", "target_field": "month_int", "target_type": "integer",
+              "value_mappings": {1: 100, 2: None, "0": 7}, "default_value": -1}],
+            "CAST(CASE WHEN m_text IS NULL THEN -1 WHEN TRY_CAST(m_text AS DOUBLE) = 1 THEN 100 "
+            "WHEN TRY_CAST(m_text AS DOUBLE) = 2 THEN -1 ELSE trunc(TRY_CAST(m_text AS DOUBLE)) END AS BIGINT) "
+            "AS month_int", filters=ALL_ROWS, sql_from=ALL_SQL)
+
+ENTITY_DIRECT = {
+    "entity": {"name": "Demographic", "fields": {
+        "base": ["submitter_participant_id", "submitter_demographic_id", "age_at_enrollment", "segment_code"],
+        "extension": ["vital_status", "enrollment_date"]}, "pattern": "direct"},
+    "filters": {"participant_id_field": PID,
+                "participant": {"filter": [{"field": "consent", "op": "equals", "value": 1},
+                                           {"any": [{"field": "segment", "op": "in", "value": ["BUILDING", "AUTOMOBILE"]},
+                                                    {"field": "nation", "op": "less_than", "value": 10}]}]},
+                "rows": BASELINE},
+    "mappings": [OUT_PID,
+                 {"target_field": "submitter_demographic_id", "target_type": "identifier",
+                  "params": {"prefix_field": PID, "type": "demographic"}},
+                 {"source_field": "age_text", "target_field": "age_at_enrollment", "target_type": "age",
+                  "params": {"birth_date_field": "dob", "event_date_field": "enroll_date",
+                             "age_fallback_field": "age_text"}},
+                 {"source_field": "segment", "target_field": "segment_code",
+                  "value_mappings": {"BUILDING": "SEG:01", "AUTOMOBILE": "SEG:02", "MACHINERY": "SEG:03"}},
+                 {"target_field": "vital_status", "default_value": "Alive"},
+                 {"source_field": "enroll_date", "target_field": "enrollment_date", "target_type": "date"}],
+    "post_processing": [{"type": "convert_nullable_int", "columns": "auto"}],
+    "validations": [{"type": "required", "field": "submitter_participant_id"}],
+}
+_ENTITY_DIRECT_SQL = f"""SELECT participant_id AS submitter_participant_id,
+  CAST(participant_id AS VARCHAR) || '_demographic' AS submitter_demographic_id,
+  {sql_age('dob', 'enroll_date', fallback='age_text')} AS age_at_enrollment,
+  CASE segment WHEN 'BUILDING' THEN 'SEG:01' WHEN 'AUTOMOBILE' THEN 'SEG:02' WHEN 'MACHINERY' THEN 'SEG:03' END AS segment_code,
+  'Alive' AS vital_status, enroll_date AS enrollment_date
+FROM wide WHERE repeat_kind IS NULL AND participant_id IN (SELECT participant_id FROM wide
+  WHERE consent = 1 AND (segment IN ('BUILDING', 'AUTOMOBILE') OR nation < 10))"""
+
+
+@q("entity_direct", _ENTITY_DIRECT_SQL)
+def _entity_direct(spark, sf):
+    return run(spark, sf, ENTITY_DIRECT)
+
+
+# ------------------------------------------------------------------ 2.G scalar functions
+
+
+def _fn_query(name: str, build, sql_cols: str, sql_from: str = BASE_SQL):
+    @q(name, f"SELECT participant_id, {sql_cols} {sql_from}")
+    def _fq(spark, sf):
+        w = wide(spark, sf).where("repeat_kind IS NULL")
+        return w.select(PID, *build(F.col))
+
+
+_SLASH_MONTH = "replace(substr(enroll_date, 1, 7), '-', '/')"
+_fn_query("parse_date", lambda c: [S.parse_date(c("dob_mixed")).alias("dob_date")],
+          f"{sql_parse_date('dob_mixed')} AS dob_date")
+_fn_query("parse_partial_date", lambda c: [
+    S.parse_date(F.substring(c("enroll_date"), 1, 7)).alias("mid_month"),
+    S.parse_date(F.regexp_replace(F.substring(c("enroll_date"), 1, 7), "-", "/")).alias("mid_month_slash")],
+          f"{sql_parse_date('substr(enroll_date, 1, 7)')} AS mid_month, "
+          f"{sql_parse_date(_SLASH_MONTH)} AS mid_month_slash")
+_fn_query("age_in_days", lambda c: [S.age_in_days((c("dob"), TY.STRING), (c("enroll_date"), TY.STRING)).alias("age")],
+          f"{sql_age('dob', 'enroll_date')} AS age")
+_fn_query("age_with_units", lambda c: [S.age_with_units(c("age_text"), TY.STRING).alias("age_days")],
+          f"{sql_age_units('age_text')} AS age_days")
+_fn_query("duration_in_days", lambda c: [
+    S.duration_in_days((c("dob"), TY.STRING), (c("enroll_date"), TY.STRING)).alias("days")],
+          "CAST(date_diff('day', CAST(dob AS DATE), CAST(enroll_date AS DATE)) AS BIGINT) AS days")
+_fn_query("format_date", lambda c: [S.format_date(c("dob_mixed")).alias("iso")],
+          f"strftime({sql_parse_date('dob_mixed')}, '%Y-%m-%d') AS iso")
