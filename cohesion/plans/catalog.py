@@ -694,3 +694,276 @@ _fn_query("duration_in_days", lambda c: [
           "CAST(date_diff('day', CAST(dob AS DATE), CAST(enroll_date AS DATE)) AS BIGINT) AS days")
 _fn_query("format_date", lambda c: [S.format_date(c("dob_mixed")).alias("iso")],
           f"strftime({sql_parse_date('dob_mixed')}, '%Y-%m-%d') AS iso")
+
+
+# ------------------------------------------------------------------ 2.H expansion
+
+
+def xspec(fields, mappings, configs, filters=None, **kw) -> dict:
+    f = {"participant_id_field": PID, "rows": BASELINE}
+    f.update(filters or {})
+    return spec(["submitter_participant_id"] + fields, [OUT_PID] + mappings, f, pattern="expansion",
+                name=kw.pop("name", "Item"), configs=configs, **kw)
+
+
+def _x_query(name: str, sp: dict, sql: str, **kw):
+    @q(name, sql)
+    def _xq(spark, sf):
+        return run(spark, sf, sp, **kw)
+
+
+ITEM_ID = {"target_field": "submitter_item_id", "target_type": "identifier",
+           "params": {"prefix_field": PID, "type": "item", "suffix_fields": ["source_field_name"]}}
+EXPAND_CHECKBOX = xspec(["item_code", "item_term", "item_source_text", "submitter_item_id"], [ITEM_ID], [
+    {"source_field": "f1", "code": "C:F1", "term": "Flag one", "source_label": "F1"},
+    {"source_field": "f2", "code": "C:F2", "term": "Flag two", "source_label": "F2"}])
+_EXPAND_CHECKBOX_SQL = """SELECT participant_id AS submitter_participant_id, 'C:F1' AS item_code, 'Flag one' AS item_term,
+  'F1' AS item_source_text, CAST(participant_id AS VARCHAR) || '_item_f1' AS submitter_item_id
+FROM wide WHERE repeat_kind IS NULL AND f1 IS NOT NULL AND f1 <> 0
+UNION ALL
+SELECT participant_id, 'C:F2', 'Flag two', 'F2', CAST(participant_id AS VARCHAR) || '_item_f2'
+FROM wide WHERE repeat_kind IS NULL AND f2 IS NOT NULL AND f2 <> 0"""
+_x_query("expand_checkbox", EXPAND_CHECKBOX, _EXPAND_CHECKBOX_SQL)
+_x_query("expand_skip_values",
+         xspec(["item_code"], [], [{"source_field": "f3", "code": "C:F3"}, {"source_field": "f2", "code": "C:F2"}],
+               params={"skip_values": [0, -1]}),
+         """SELECT participant_id AS submitter_participant_id, 'C:F3' AS item_code FROM wide
+WHERE repeat_kind IS NULL AND f3 IS NOT NULL AND f3 NOT IN (0, -1)
+UNION ALL SELECT participant_id, 'C:F2' FROM wide WHERE repeat_kind IS NULL AND f2 IS NOT NULL AND f2 NOT IN (0, -1)""")
+_x_query("expand_text_radio",
+         xspec(["record_instance", "item_code", "status_label"],
+               [OUT_INST, {"target_field": "status_label", "source_type": "radio",
+                           "value_mappings": {"F": "Finished", "O": "Open"}}],
+               [{"source_field": "order_status", "code": "C:STATUS"}],
+               {"rows": [{"name": "orders", "filter": [IS_ORDER]}]}, params={"skip_values": ["P", 0]}),
+         """SELECT participant_id AS submitter_participant_id, instance AS record_instance, 'C:STATUS' AS item_code,
+  CASE order_status WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' END AS status_label
+FROM wide WHERE repeat_kind = 'order' AND order_status IS NOT NULL AND order_status <> 'P'""")
+_x_query("expand_null_key", xspec(["item_code"], [], [{"source_field": "f1", "code": "C:F1"}]),
+         """SELECT participant_id AS submitter_participant_id, 'C:F1' AS item_code FROM wide
+WHERE repeat_kind IS NULL AND participant_id % 4 <> 0 AND f1 = 1""",
+         before=lambda d: d.withColumn(PID, F.when(F.col(PID) % 4 == 0, F.lit(None)).otherwise(F.col(PID))))
+_x_query("expand_code_term", xspec(["item_code"], [], [{"source_field": "f1", "code": "C:F1", "term": "not declared"}]),
+         "SELECT participant_id AS submitter_participant_id, 'C:F1' AS item_code "
+         "FROM wide WHERE repeat_kind IS NULL AND f1 = 1")
+_x_query("expand_code_prefix",
+         xspec(["drug_code", "drug_term"], [], [{"source_field": "f1", "code": "RX:1", "term": "one"}],
+               code_term_prefix="drug"),
+         "SELECT participant_id AS submitter_participant_id, 'RX:1' AS drug_code, 'one' AS drug_term "
+         "FROM wide WHERE repeat_kind IS NULL AND f1 = 1")
+_x_query("expand_default_source",
+         xspec(["raw_value", "src_id"],
+               [{"target_field": "raw_value"},
+                {"target_field": "src_id", "target_type": "identifier",
+                 "params": {"type": "x", "suffix_fields": ["source_field_name"]}}],
+               [{"source_field": "f3"}, {"source_field": "segment"}]),
+         """SELECT participant_id AS submitter_participant_id, CAST(f3 AS VARCHAR) AS raw_value, 'x_f3' AS src_id
+FROM wide WHERE repeat_kind IS NULL AND f3 IS NOT NULL AND f3 <> 0
+UNION ALL SELECT participant_id, segment, 'x_segment' FROM wide WHERE repeat_kind IS NULL AND segment IS NOT NULL""")
+_x_query("expand_enrichment",
+         xspec(["item_code", "detail", "amount", "f2_value"], [], [
+             {"source_field": "f1", "code": "C:F1", "enrichments": [{"target_field": "detail", "source_field": "segment"}]},
+             {"source_field": "f2", "code": "C:F2", "enrichments": [
+                 {"target_field": "detail", "default_value": "f2-set"},
+                 {"target_field": "amount", "source_field": "acctbal"},
+                 {"target_field": "f2_value"}]}]),
+         """SELECT participant_id AS submitter_participant_id, 'C:F1' AS item_code, segment AS detail,
+  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS BIGINT) AS f2_value FROM wide WHERE repeat_kind IS NULL AND f1 = 1
+UNION ALL SELECT participant_id, 'C:F2', 'f2-set', acctbal, f2 FROM wide
+WHERE repeat_kind IS NULL AND f2 IS NOT NULL AND f2 <> 0""")
+_x_query("expand_create_records",
+         xspec(["item_code", "sub_code", "note_x"], [], [
+             {"source_field": "consent", "code": "C:CONSENT", "enrichments": [
+                 {"target_field": "sub_code", "source_type": "checkbox", "create_records": True,
+                  "value_mappings": {"f1": "A", "f2": "B"}},
+                 {"target_field": "note_x", "default_value": "after"}]}]),
+         """WITH b AS (SELECT * FROM wide WHERE repeat_kind IS NULL AND consent IS NOT NULL AND consent <> 0)
+SELECT participant_id AS submitter_participant_id, 'C:CONSENT' AS item_code, 'A' AS sub_code, 'after' AS note_x FROM b WHERE f1 = 1
+UNION ALL SELECT participant_id, 'C:CONSENT', 'B', 'after' FROM b WHERE f2 = 1
+UNION ALL SELECT participant_id, 'C:CONSENT', NULL, 'after' FROM b WHERE f1 IS DISTINCT FROM 1 AND f2 IS DISTINCT FROM 1""")
+_x_query("expand_range",
+         xspec(["item_code", "item_term"], [], [
+             {"type": "range", "start": 1, "end": 3,
+              "template": {"source_field": "f{n}", "code": "CODE:{n:02d}", "term": "flag {n}"}}]),
+         """SELECT participant_id AS submitter_participant_id, 'CODE:01' AS item_code, 'flag 1' AS item_term
+FROM wide WHERE repeat_kind IS NULL AND f1 IS NOT NULL AND f1 <> 0
+UNION ALL SELECT participant_id, 'CODE:02', 'flag 2' FROM wide WHERE repeat_kind IS NULL AND f2 IS NOT NULL AND f2 <> 0
+UNION ALL SELECT participant_id, 'CODE:03', 'flag 3' FROM wide WHERE repeat_kind IS NULL AND f3 IS NOT NULL AND f3 <> 0""")
+
+ENTITY_EXPANSION = {
+    "entity": {"name": "Comorbidity", "fields": {
+        "base": ["submitter_participant_id", "comorbidity_code", "comorbidity_term", "comorbidity_status"],
+        "extension": ["submitter_comorbidity_id"]}, "pattern": "expansion", "params": {"skip_values": [0]}},
+    "filters": {"participant_id_field": PID,
+                "participant": {"filter": [{"field": "consent", "op": "equals", "value": 1}]}, "rows": BASELINE},
+    "mappings": [OUT_PID,
+                 {"target_field": "submitter_comorbidity_id", "target_type": "identifier",
+                  "params": {"prefix_field": PID, "type": "comorbidity", "suffix_fields": ["source_field_name"]}},
+                 {"target_field": "comorbidity_status", "source_type": "radio",
+                  "value_mappings": {1: "Active", 2: "Resolved"}}],
+    "configs": [{"source_field": "f1", "code": "MONDO:1", "term": "Condition one"},
+                {"source_field": "f2", "code": "MONDO:2", "term": "Condition two"}],
+}
+_x_query("entity_expansion", ENTITY_EXPANSION,
+         """WITH b AS (SELECT * FROM wide WHERE repeat_kind IS NULL AND participant_id IN
+  (SELECT participant_id FROM wide WHERE consent = 1))
+SELECT participant_id AS submitter_participant_id, 'MONDO:1' AS comorbidity_code, 'Condition one' AS comorbidity_term,
+  CASE f1 WHEN 1 THEN 'Active' WHEN 2 THEN 'Resolved' END AS comorbidity_status,
+  CAST(participant_id AS VARCHAR) || '_comorbidity_f1' AS submitter_comorbidity_id FROM b WHERE f1 IS NOT NULL AND f1 <> 0
+UNION ALL SELECT participant_id, 'MONDO:2', 'Condition two', CASE f2 WHEN 1 THEN 'Active' WHEN 2 THEN 'Resolved' END,
+  CAST(participant_id AS VARCHAR) || '_comorbidity_f2' FROM b WHERE f2 IS NOT NULL AND f2 <> 0""")
+
+
+# ------------------------------------------------------------------ 2.I / 2.J summaries and hooks
+
+
+@q("entity_summary", f"""WITH d AS ({_ENTITY_DIRECT_SQL}), x AS ({_EXPAND_CHECKBOX_SQL})
+SELECT 'direct' AS entity, CAST(count(*) AS BIGINT) AS records, CAST(count(DISTINCT submitter_participant_id) AS BIGINT) AS participants,
+  round(count(*) / count(DISTINCT submitter_participant_id), 4) AS records_per_participant FROM d
+UNION ALL SELECT 'expansion', count(*), count(DISTINCT submitter_participant_id),
+  round(count(*) / count(DISTINCT submitter_participant_id), 4) FROM x""")
+def _summary(spark, sf):
+    w = wide(spark, sf)
+    res = {"direct": map_entity(w, ENTITY_DIRECT, order_by=ORDER_COL),
+           "expansion": map_entity(w, EXPAND_CHECKBOX, order_by=ORDER_COL)}
+    return RP.entity_summary(res)
+
+
+@q("hook_transform", """SELECT participant_id AS submitter_participant_id, segment, true AS hooked
+FROM wide WHERE repeat_kind IS NULL AND nation < 10""")
+def _hook(spark, sf):
+    sp = spec(["submitter_participant_id", "segment"], [OUT_PID, _copy("segment")], {"rows": BASELINE})
+    return run(spark, sf, sp, before=lambda d: d.where(F.col("nation") < 10),
+               after=lambda d: d.withColumn("hooked", F.lit(True)))
+
+
+# ------------------------------------------------------------------ 2.K validations
+
+
+def _vspec(validations, post=None):
+    return spec(["submitter_participant_id", "code", "age_at_x", "segment"],
+                [OUT_PID, {"source_field": "f2", "target_field": "code", "value_mappings": {1: "one", 2: "two"}},
+                 {"target_field": "age_at_x", "target_type": "age",
+                  "params": {"birth_date_field": "dob", "event_date_field": "enroll_date"}}, _copy("segment")],
+                {"rows": BASELINE}, validations=validations, post_processing=post or [])
+
+
+_V_AGE = sql_age("dob", "enroll_date")
+
+
+def _v_query(name: str, validations, sql: str):
+    @q(name, sql)
+    def _vq(spark, sf):
+        return map_entity(wide(spark, sf), _vspec(validations), order_by=ORDER_COL).report()
+
+
+_v_query("validate_required", [{"type": "required", "field": "code"}],
+         "SELECT 'Record' AS entity, 'required' AS rule, 'code' AS field, CAST(0 AS BIGINT) AS bad_rows")
+_v_query("validate_participant_id", [{"type": "participant_id", "field": "submitter_participant_id"},
+                                     {"type": "participant_id", "field": "code"}],
+         """SELECT 'Record' AS entity, 'participant_id' AS rule, 'submitter_participant_id' AS field, CAST(0 AS BIGINT) AS bad_rows
+UNION ALL SELECT 'Record', 'participant_id', 'code', CAST(count(*) AS BIGINT) FROM wide
+WHERE repeat_kind IS NULL AND (f2 IS NULL OR f2 NOT IN (1, 2))""")
+_v_query("validate_age_range", [{"type": "age_range", "field": "age_at_x", "min_age": 0, "max_age": 15000}],
+         f"""SELECT 'Record' AS entity, 'age_range' AS rule, 'age_at_x' AS field,
+  CAST(count(*) FILTER (WHERE a IS NOT NULL AND (a < 0 OR a > 15000)) AS BIGINT) AS bad_rows
+FROM (SELECT {_V_AGE} AS a FROM wide WHERE repeat_kind IS NULL)""")
+_v_query("validate_unique", [{"type": "unique", "field": "segment"}],
+         """SELECT 'Record' AS entity, 'unique' AS rule, 'segment' AS field,
+  CAST(count(*) - count(DISTINCT segment) - max(CASE WHEN segment IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS bad_rows
+FROM wide WHERE repeat_kind IS NULL""")
+_v_query("validation_report", [{"type": "participant_id", "field": "submitter_participant_id"},
+                               {"type": "age_range", "field": "age_at_x", "max_age": 12000},
+                               {"type": "unique", "field": "code"}, {"type": "unique", "field": "no_such"}],
+         f"""SELECT 'Record' AS entity, 'participant_id' AS rule, 'submitter_participant_id' AS field, CAST(0 AS BIGINT) AS bad_rows
+UNION ALL SELECT 'Record', 'age_range', 'age_at_x',
+  CAST(count(*) FILTER (WHERE a IS NOT NULL AND (a < 0 OR a > 12000)) AS BIGINT)
+FROM (SELECT {_V_AGE} AS a FROM wide WHERE repeat_kind IS NULL)
+UNION ALL SELECT 'Record', 'unique', 'code', CAST(count(*) - count(DISTINCT c) - max(CASE WHEN c IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+FROM (SELECT CASE f2 WHEN 1 THEN 'one' WHEN 2 THEN 'two' END AS c FROM wide WHERE repeat_kind IS NULL)""")
+
+
+# ------------------------------------------------------------------ 2.L post-processing
+
+
+def _post_query(name: str, sp: dict, sql: str):
+    @q(name, sql)
+    def _pq(spark, sf):
+        return run(spark, sf, sp)
+
+
+_V_COLS = (f"participant_id AS submitter_participant_id, CASE f2 WHEN 1 THEN 'one' WHEN 2 THEN 'two' END AS code, "
+           f"{_V_AGE} AS age_at_x, segment")
+_post_query("drop_null_required", _vspec([{"type": "required", "field": "code"}]),
+            f"SELECT {_V_COLS} FROM wide WHERE repeat_kind IS NULL AND f2 IN (1, 2)")
+_post_query("post_filter_records", _vspec([], [{"type": "filter_records", "field": "code", "op": "equals",
+                                                "value": "one"}]),
+            f"SELECT {_V_COLS} FROM wide WHERE repeat_kind IS NULL AND f2 = 1")
+_base_query("post_clean_numeric", ["amount"], [_copy("amount_text", "amount")],
+            "TRY_CAST(replace(amount_text, ',', '') AS DOUBLE) AS amount",
+            post=[{"type": "clean_numeric", "fields": ["amount"]}])
+_base_query("post_nullable_int", ["half"], [_copy("half")],
+            "CAST(round_even(nation / 2.0, 0) AS BIGINT) AS half",
+            pre=[{"type": "calculate_field", "target": "half", "formula": "nation / 2"}],
+            post=[{"type": "convert_nullable_int", "columns": ["half"]}])
+_base_query("post_nullable_int_auto", ["age_at_x", "visit_count", "segment"],
+            [_copy("ratio", "age_at_x"), _copy("m_text", "visit_count"), _copy("segment")],
+            "CAST(round_even(acctbal / 7, 0) AS BIGINT) AS age_at_x, CAST(m_text AS BIGINT) AS visit_count, segment",
+            pre=[{"type": "calculate_field", "target": "ratio", "formula": "acctbal / 7"}],
+            post=[{"type": "convert_nullable_int", "columns": "auto"}])
+_base_query("post_conditional_null", ["vital_status", "age_at_death"],
+            [{"source_field": "segment", "target_field": "vital_status",
+              "value_mappings": {"BUILDING": "Deceased", "MACHINERY": "Alive"}},
+             {"target_field": "age_at_death", "target_type": "age",
+              "params": {"birth_date_field": "dob", "event_date_field": "enroll_date"}}],
+            f"CASE segment WHEN 'BUILDING' THEN 'Deceased' WHEN 'MACHINERY' THEN 'Alive' END AS vital_status, "
+            f"CASE WHEN segment = 'BUILDING' THEN {_V_AGE} END AS age_at_death")
+
+
+# ------------------------------------------------------------------ 2.M study jobs
+
+_BAD_SPEC = spec(["submitter_participant_id"], [OUT_PID],
+                 {"rows": [{"name": "bad", "filter": [{"field": "segment", "op": "greater_than", "value": 5}]}]})
+
+
+def _study(spark, sf):
+    w = wide(spark, sf)
+    return w, map_study(w, {"direct": ENTITY_DIRECT, "expansion": ENTITY_EXPANSION, "broken": _BAD_SPEC},
+                        order_by=ORDER_COL)
+
+
+@q("study_all_entities", f"""WITH d AS ({_ENTITY_DIRECT_SQL})
+SELECT 'direct' AS entity, CAST(count(*) AS BIGINT) AS records FROM d
+UNION ALL SELECT 'expansion', CAST(count(*) AS BIGINT) FROM wide w, (VALUES (1), (2)) AS k(i)
+  WHERE w.repeat_kind IS NULL AND w.participant_id IN (SELECT participant_id FROM wide WHERE consent = 1)
+  AND ((k.i = 1 AND w.f1 IS NOT NULL AND w.f1 <> 0) OR (k.i = 2 AND w.f2 IS NOT NULL AND w.f2 <> 0))
+UNION ALL SELECT 'broken', CAST(0 AS BIGINT)""")
+def _study_all(spark, sf):
+    _, res = _study(spark, sf)
+    parts = [r.df.agg(F.lit(k).alias("entity"), F.count(F.lit(1)).cast("long").alias("records"))
+             for k, r in res.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@q("study_report", f"""WITH d AS ({_ENTITY_DIRECT_SQL}), n AS (SELECT CAST(count(*) AS BIGINT) AS c FROM wide)
+SELECT 'direct' AS entity, (SELECT c FROM n) AS input_rows, CAST(count(*) AS BIGINT) AS output_rows,
+  CAST(6 AS BIGINT) AS output_columns, false AS failed FROM d
+UNION ALL SELECT 'expansion', (SELECT c FROM n), CAST(count(*) AS BIGINT), CAST(5 AS BIGINT), false
+FROM wide w, (VALUES (1), (2)) AS k(i)
+  WHERE w.repeat_kind IS NULL AND w.participant_id IN (SELECT participant_id FROM wide WHERE consent = 1)
+  AND ((k.i = 1 AND w.f1 IS NOT NULL AND w.f1 <> 0) OR (k.i = 2 AND w.f2 IS NOT NULL AND w.f2 <> 0))
+UNION ALL SELECT 'broken', (SELECT c FROM n), CAST(0 AS BIGINT), CAST(1 AS BIGINT), true""")
+def _study_report(spark, sf):
+    w, res = _study(spark, sf)
+    return RP.study_report(w, res)
+
+
+@q("empty_result_schema", """SELECT CAST(NULL AS BIGINT) AS submitter_participant_id, CAST(NULL AS VARCHAR) AS extra
+FROM wide WHERE false""")
+def _empty(spark, sf):
+    sp = spec(["submitter_participant_id", "extra"], [OUT_PID],
+              {"participant": {"filter": [{"field": "segment", "op": "equals", "value": "NONE"}]}, "rows": BASELINE})
+    return run(spark, sf, sp)
