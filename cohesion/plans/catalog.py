@@ -967,3 +967,85 @@ def _empty(spark, sf):
     sp = spec(["submitter_participant_id", "extra"], [OUT_PID],
               {"participant": {"filter": [{"field": "segment", "op": "equals", "value": "NONE"}]}, "rows": BASELINE})
     return run(spark, sf, sp)
+
+
+# ------------------------------------------------------------------ 2.A sources and sinks
+
+
+def _customer_text(spark, sf):
+    k = F.col("c_custkey")
+    return spark.read.parquet(f"{sf}/customer.parquet").select(
+        k.alias("c_custkey"), "c_name",
+        F.when(k % 5 == 0, F.lit(None)).otherwise(F.col("c_nationkey")).alias("nationkey"),
+        "c_acctbal", F.col("c_mktsegment").alias("segment"), (k % 2 == 0).alias("even"))
+
+
+_CUSTOMER_TEXT_SQL = """SELECT c_custkey, c_name, CAST(CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END AS DOUBLE) AS nationkey,
+  c_acctbal, c_mktsegment AS segment, c_custkey % 2 = 0 AS even FROM customer"""
+
+
+@q("src_csv", _CUSTOMER_TEXT_SQL)
+def _src_csv(spark, sf):
+    d = scratch(spark, "csv")
+    _customer_text(spark, sf).write.option("header", True).csv(f"{d}/customer.csv")
+    return RD.read_file(spark, f"{d}/customer.csv").drop(R.ORD)
+
+
+@q("src_tsv", _CUSTOMER_TEXT_SQL)
+def _src_tsv(spark, sf):
+    d = scratch(spark, "tsv")
+    _customer_text(spark, sf).write.option("header", True).option("sep", "\t").csv(f"{d}/customer.tsv")
+    return RD.read_file(spark, f"{d}/customer.tsv").drop(R.ORD)
+
+
+@q("src_txt_detect", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey "
+                     "FROM nation")
+def _src_txt(spark, sf):
+    d = scratch(spark, "txt")
+    spark.read.parquet(f"{sf}/nation.parquet").write.option("header", True).option("sep", ";").csv(f"{d}/nation.txt")
+    return RD.read_file(spark, f"{d}/nation.txt").drop(R.ORD)
+
+
+@q("src_encoding", "SELECT c_custkey, c_name || 'é' AS c_name FROM customer")
+def _src_enc(spark, sf):
+    d = scratch(spark, "enc")
+    (spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", F.concat("c_name", F.lit("é")).alias("c_name"))
+     .write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{d}/customer.csv"))
+    return RD.read_file(spark, f"{d}/customer.csv").drop(R.ORD)
+
+
+@q("src_infer_types", """SELECT c_custkey, CAST(c_custkey % 100 AS BIGINT) AS code,
+  CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CAST(c_custkey % 9 AS DOUBLE) END AS score,
+  CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey % 7 AS VARCHAR) || 'x' END AS label FROM customer""")
+def _src_infer(spark, sf):
+    d = scratch(spark, "infer")
+    k = F.col("c_custkey")
+    (spark.read.parquet(f"{sf}/customer.parquet").select(
+        k.alias("c_custkey"), F.lpad((k % 100).cast("string"), 3, "0").alias("code"),
+        F.when(k % 4 == 0, F.lit("NA")).otherwise((k % 9).cast("string")).alias("score"),
+        F.when(k % 3 == 0, F.lit("null")).otherwise(F.concat((k % 7).cast("string"), F.lit("x"))).alias("label"))
+     .write.option("header", True).csv(f"{d}/t.csv"))
+    return RD.read_file(spark, f"{d}/t.csv").drop(R.ORD)
+
+
+_AUTO_SPEC = {"entity": {"name": "Customer", "fields": {"base": ["submitter_participant_id", "segment"]}},
+              "mappings": [OUT_PID, _copy("segment")]}
+
+
+@q("src_autodiscover", "SELECT c_custkey AS submitter_participant_id, c_mktsegment AS segment FROM customer")
+def _src_auto(spark, sf):
+    d = scratch(spark, "auto")
+    (spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias(PID),
+                                                        F.col("c_mktsegment").alias("segment"))
+     .write.option("header", True).option("sep", "\t").csv(f"{d}/customer.tsv"))
+    return map_study(None, {"customer": _AUTO_SPEC}, source_dir=d)["customer"].df
+
+
+@q("sink_entity_csv", _ENTITY_DIRECT_SQL)
+def _sink(spark, sf):
+    from ..sources.sinks import write_entity
+
+    d = scratch(spark, "sink")
+    res = map_entity(wide(spark, sf), ENTITY_DIRECT, order_by=ORDER_COL)
+    path = write_entity(res, d)
+    return RD.read_file(spark, path, int_with_nulls="long").drop(R.ORD)

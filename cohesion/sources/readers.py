@@ -65,7 +65,7 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """UTF-8 unless some line does not decode (then Latin-1, which accepts any byte).
     A distributed filter that stops at the first bad line."""
-    bad = spark.read.option("encoding", "UTF-8").text(path).filter(F.col("value").contains("�")).limit(1)
+    bad = spark.read.text(path).filter(~F.is_valid_utf8(F.col("value"))).limit(1)
     return "ISO-8859-1" if bad.count() else "UTF-8"
 
 
@@ -79,8 +79,10 @@ def delimiter_for(spark: SparkSession, path: str) -> str:
 
 
 def read_text_table(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "auto",
-                    multi_line: bool = False) -> DataFrame:
-    """All columns as text, null tokens nulled, BOM stripped from the header."""
+                    multi_line: bool = False, file_index: int = 0) -> DataFrame:
+    """All columns as text, null tokens nulled, BOM stripped from the header, plus
+    the row order ``(file index, file path, block start, position)``: splits of
+    one file are ordered by their start offset, rows within a split by position."""
     sep = sep or delimiter_for(spark, path)
     enc = detect_encoding(spark, path) if encoding == "auto" else encoding
     df = (
@@ -88,10 +90,13 @@ def read_text_table(spark: SparkSession, path: str, sep: str | None = None, enco
         .option("encoding", enc).option("inferSchema", False).option("multiLine", multi_line)
         .option("mode", "PERMISSIVE").csv(path)
     )
-    renames = {c: c.lstrip("﻿") for c in df.columns if c.startswith("﻿")}
+    renames = {c: c.lstrip("\ufeff") for c in df.columns if c.startswith("\ufeff")}
     if renames:
         df = df.withColumnsRenamed(renames)
-    return df.select(*[F.when(~_c(c).isin(NULL_TOKENS), _c(c)).alias(c) for c in df.columns])
+    cols = [c for c in df.columns]
+    order = F.struct(F.lit(file_index).alias("f"), F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("p"))
+    return df.select(*[F.when(~_c(c).isin(NULL_TOKENS), _c(c)).alias(c) for c in cols], order.alias(ORD))
 
 
 def infer_types(df: DataFrame, int_with_nulls: str = "double") -> DataFrame:
@@ -143,7 +148,7 @@ def read_file(spark: SparkSession, path: str, file_index: int = 0, int_with_null
     sniffed; ``.parquet`` read as is."""
     if Path(path).suffix.lower() == ".parquet":
         return with_order(spark.read.parquet(path), file_index)
-    raw = with_order(read_text_table(spark, path, sep=sep, encoding=encoding), file_index)
+    raw = read_text_table(spark, path, sep=sep, encoding=encoding, file_index=file_index)
     return infer_types(raw, int_with_nulls)
 
 
