@@ -138,6 +138,7 @@ def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFr
         if parts:
             arrays[i] = F.concat(*parts) if len(parts) > 1 else parts[0]
     if arrays:
+        fold.materialize()
         expr = None
         for i, a in arrays.items():
             expr = F.when(F.col(CFG) == i, a) if expr is None else expr.when(F.col(CFG) == i, a)
@@ -157,7 +158,7 @@ def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFr
                 per_t.setdefault(t, []).append((vid, v))
         updates = {}
         for t, entries in per_t.items():
-            prev = fold.prev(t)
+            prev = fold.prev_multi(t)
             if is_note(t):
                 updates[t] = append_tokens(prev, [(F.col(VID) == vid, F.lit(str(v))) for vid, v in entries])
             else:
@@ -172,6 +173,7 @@ def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFr
     # 4. other enrichments, per config (guarded by the config index)
     depth = max([len(c.get("enrichments") or []) for _, c in live] or [0])
     for j in range(depth):
+        fold.materialize()
         per_t = {}
         for i, c in live:
             ens = c.get("enrichments") or []

@@ -1,11 +1,11 @@
 """Field mappings: a fold over the spec's mapping list, as Column expressions.
 
-Each target field lives in a temporary column while the record is built. A
+Each target field is a Column expression while the record is built. A
 mapping reads *source* columns and the target's previous value and yields the
-next value; one mapping is one ``withColumns`` step. Catalyst collapses the
-steps into one projection, except where a step reads an expensive previous
-value twice (appends), which keeps expression size linear in the number of
-mappings. No Python runs per row.
+next value. Where a step reads the previous value more than once (appends),
+that value is first materialised as a column (Catalyst's CollapseProject does
+not inline an expensive expression referenced twice), which keeps expression
+size linear in the number of mappings. No Python runs per row.
 """
 
 from __future__ import annotations
@@ -42,45 +42,67 @@ class Source:
 
 
 class Fold:
-    """Target columns under construction on top of a DataFrame."""
+    """Target columns under construction on top of a DataFrame.
+
+    Each target's current value is kept as a Column expression. A step that
+    reads the previous value more than once (appends, per-config CASE) asks
+    for ``prev_multi``: the value is then materialised into a temporary
+    column first, so expressions stay linear in the number of mappings and the
+    plan is re-analysed only at those points.
+    """
 
     def __init__(self, df: DataFrame, declared: list[str]):
         self.df = df
         self.order: list[str] = []
-        self.tmp: dict[str, str] = {}
+        self.expr: dict[str, Column] = {}
         self.fam: dict[str, str] = {}
+        self.simple: dict[str, bool] = {}
+        self._n = 0
         for t in declared:
             self._add(t)
-        if declared:
-            self.df = self.df.withColumns({self.tmp[t]: F.lit(None).cast("string") for t in declared})
 
     def _add(self, t: str):
-        if t not in self.tmp:
-            self.tmp[t] = f"__t{len(self.order)}"
+        if t not in self.expr:
             self.order.append(t)
+            self.expr[t] = F.lit(None).cast("string")
             self.fam[t] = TY.NULL
+            self.simple[t] = True
 
     def prev(self, t: str) -> Typed:
-        if t not in self.tmp:
-            self._add(t)
-            self.df = self.df.withColumn(self.tmp[t], F.lit(None).cast("string"))
-        return F.col(self.tmp[t]), self.fam[t]
+        self._add(t)
+        return self.expr[t], self.fam[t]
 
-    def apply(self, updates: dict[str, Typed]):
-        if not updates:
-            return
+    def prev_multi(self, t: str) -> Typed:
+        self._add(t)
+        if not self.simple[t]:
+            self.materialize([t])
+        return self.expr[t], self.fam[t]
+
+    def materialize(self, targets=None):
         cols = {}
+        for t in targets if targets is not None else list(self.order):
+            if t in self.expr and not self.simple[t]:
+                name = f"__t{self._n}"
+                self._n += 1
+                cols[name] = self.expr[t]
+                self.expr[t] = F.col(name)
+                self.simple[t] = True
+        if cols:
+            self.df = self.df.withColumns(cols)
+
+    def apply(self, updates: dict[str, Typed]):
         for t, (c, fam) in updates.items():
+            self._add(t)
+            self.expr[t] = c
             self.fam[t] = fam
-            cols[self.tmp[t]] = c
-        self.df = self.df.withColumns(cols)
+            self.simple[t] = False
 
     def exists(self, t: str) -> bool:
-        return t in self.tmp
+        return t in self.expr
 
     def output(self, df: DataFrame | None = None, keep: list[str] = ()) -> DataFrame:
         df = df if df is not None else self.df
-        cols = [F.col(self.tmp[t]).cast(TY.spark_type(self.fam[t])).alias(t) for t in self.order]
+        cols = [self.expr[t].cast(TY.spark_type(self.fam[t])).alias(t) for t in self.order]
         return df.select(*cols, *[F.col(k) for k in keep])
 
 
@@ -214,12 +236,12 @@ def value_map_writes(
             continue
         fam = _literal_family(vals)
         mapped = _lookup(src, (n_i, t_i), fam)
-        prev = fold.prev(t)
         if append_mode or is_note(t):
+            prev = fold.prev_multi(t)
             out[t] = append_tokens(prev, [(present & mapped.isNotNull(), TY.to_family(mapped, fam, TY.STRING))])
         else:
             m = F.when(present, mapped)
-            out[t] = set_if_not_null(prev, (m, fam))
+            out[t] = set_if_not_null(fold.prev(t), (m, fam))
     return out
 
 
@@ -333,13 +355,12 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
                 entries.append((_equals(s[0], s[1], 1), v))
             if not entries:
                 continue
-            prev = fold.prev(t)
             if append or is_note(t):
-                out[t] = append_tokens(prev, [(c, F.lit(str(v))) for c, v in entries])
+                out[t] = append_tokens(fold.prev_multi(t), [(c, F.lit(str(v))) for c, v in entries])
             else:
                 fam = _literal_family([v for _, v in entries])
                 val = F.coalesce(*[F.when(c, _lit(v, fam)) for c, v in reversed(entries)])
-                out[t] = set_if_not_null(prev, (val, fam))
+                out[t] = set_if_not_null(fold.prev(t), (val, fam))
         return out
 
     ttype = m.get("target_type", "direct")
@@ -374,7 +395,7 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
         if not parts:
             return {}
         note = F.nullif(F.concat_ws("; ", *parts), F.lit(""))
-        return {targets: append_note(fold.prev(targets), note)}
+        return {targets: append_note(fold.prev_multi(targets), note)}
 
     if ttype == "date":
         s = get_src(source_field) if source_field else None
@@ -390,7 +411,7 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
         return {targets: set_if_not_null(fold.prev(targets), (d, TY.INT))}
 
     if ttype == "integer":
-        return {targets: _integer(fold.prev(targets), get_src(source_field) if source_field not in (None, "null") else None,
+        return {targets: _integer(fold.prev_multi(targets), get_src(source_field) if source_field not in (None, "null") else None,
                                   source_field in (None, "null"), vm, default)}
 
     # direct / value / anything else

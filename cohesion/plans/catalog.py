@@ -1049,3 +1049,60 @@ def _sink(spark, sf):
     res = map_entity(wide(spark, sf), ENTITY_DIRECT, order_by=ORDER_COL)
     path = write_entity(res, d)
     return RD.read_file(spark, path, int_with_nulls="long").drop(R.ORD)
+
+
+# ------------------------------------------------------------------ larger workloads (lineitem)
+
+LINE_ENTITY = {
+    "entity": {"name": "Line", "fields": {"base": ["submitter_line_id", "order_key", "return_code", "status_label",
+                                                   "quantity_int", "ship_date"]}, "pattern": "direct"},
+    "filters": {"participant_id_field": "l_orderkey",
+                "participant": {"filter": [{"field": "l_discount", "op": "greater_than", "value": 0.05}]}},
+    "mappings": [{"target_field": "submitter_line_id", "target_type": "identifier",
+                  "params": {"prefix_field": "l_orderkey", "type": "line", "suffix_fields": ["l_linenumber"]}},
+                 _copy("l_orderkey", "order_key"),
+                 {"source_field": "l_returnflag", "target_field": "return_code",
+                  "value_mappings": {"A": "RET:A", "N": "RET:N", "R": "RET:R"}},
+                 {"source_field": "l_linestatus", "target_field": "status_label", "source_type": "radio",
+                  "value_mappings": {"F": "Filled", "O": "Open"}},
+                 {"source_field": "l_quantity", "target_field": "quantity_int", "target_type": "integer"},
+                 {"source_field": "l_shipdate", "target_field": "ship_date", "target_type": "date"}],
+}
+
+
+@q("map_values_lineitem", """SELECT CAST(l_orderkey AS VARCHAR) || '_line_' || CAST(l_linenumber AS VARCHAR) AS submitter_line_id,
+  l_orderkey AS order_key, 'RET:' || l_returnflag AS return_code,
+  CASE l_linestatus WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Open' END AS status_label,
+  CAST(trunc(l_quantity) AS BIGINT) AS quantity_int, strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS ship_date
+FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_discount > 0.05)""")
+def _line_map(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return map_entity(li, LINE_ENTITY, order_by=["l_orderkey", "l_linenumber"]).df
+
+
+LINE_EXPANSION = {
+    "entity": {"name": "LineFlag", "fields": {"base": ["order_key", "lineflag_code", "lineflag_term", "detail"]},
+               "pattern": "expansion", "params": {"skip_values": [0]}},
+    "filters": {"participant_id_field": "l_orderkey"},
+    "preprocessing": [{"type": "calculate_field", "target": "is_return", "formula": "l_returnflag == 'R'"},
+                      {"type": "calculate_field", "target": "big_qty", "formula": "l_quantity > 40"},
+                      {"type": "calculate_field", "target": "taxed", "formula": "l_tax > 0.04"}],
+    "mappings": [_copy("l_orderkey", "order_key")],
+    "configs": [{"source_field": "is_return", "code": "LF:R", "term": "returned",
+                 "enrichments": [{"target_field": "detail", "source_field": "l_shipmode"},
+                                 {"target_field": "detail", "source_field": "l_returnflag"}]},
+                {"source_field": "big_qty", "code": "LF:Q", "term": "large quantity",
+                 "enrichments": [{"target_field": "detail", "source_field": "l_quantity"}]},
+                {"source_field": "taxed", "code": "LF:T", "term": "taxed"}],
+}
+
+
+@q("expand_lineitem", """SELECT l_orderkey AS order_key, 'LF:R' AS lineflag_code, 'returned' AS lineflag_term, l_returnflag AS detail
+FROM lineitem WHERE l_returnflag = 'R'
+UNION ALL SELECT l_orderkey, 'LF:Q', 'large quantity',
+  CASE WHEN l_quantity = floor(l_quantity) THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '.0' ELSE CAST(l_quantity AS VARCHAR) END
+FROM lineitem WHERE l_quantity > 40
+UNION ALL SELECT l_orderkey, 'LF:T', 'taxed', NULL FROM lineitem WHERE l_tax > 0.04""")
+def _line_expand(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return map_entity(li, LINE_EXPANSION, order_by=["l_orderkey", "l_linenumber"]).df

@@ -137,18 +137,25 @@ def map_direct(df: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def map_entity(source: DataFrame, spec, order_by=None, before: Hook | None = None, after: Hook | None = None,
-               null_rules: list | None = None, name: str | None = None) -> EntityResult:
+               null_rules: list | None = None, name: str | None = None, metrics: str = "output") -> EntityResult:
     """Map one entity. ``order_by`` gives row order for first/last (tables have
-    no implicit order); ``before``/``after`` are DataFrame -> DataFrame hooks."""
+    no implicit order); ``before``/``after`` are DataFrame -> DataFrame hooks.
+
+    ``metrics="all"`` also counts rows at the input and after row selection.
+    Those two ``observe`` points sit inside the plan and stop Catalyst from
+    pushing filters through them, so by default only the output is counted."""
     spec = load_spec(spec, name)
     warnings = list(spec.warnings)
-    obs = {k: Observation(f"{spec.name}_{k}") for k in ("input", "selected", "output")}
+    points = ("input", "selected", "output") if metrics == "all" else ("output",)
+    obs = {k: Observation(f"{spec.name}_{k}_{id(spec)}") for k in points}
     df = _with_order(source, order_by, warnings, _needs_order(spec))
-    df = df.observe(obs["input"], F.count(F.lit(1)).alias("rows"))
+    if "input" in obs:
+        df = df.observe(obs["input"], F.count(F.lit(1)).alias("rows"))
     if before is not None:
         df = before(df)
     df = preprocess(df, spec, warnings)
-    df = df.observe(obs["selected"], F.count(F.lit(1)).alias("rows"))
+    if "selected" in obs:
+        df = df.observe(obs["selected"], F.count(F.lit(1)).alias("rows"))
     if spec.pattern == "expansion":
         out_df, fold = expand.expand(df, spec, warnings)
         out = fold.output(out_df)
