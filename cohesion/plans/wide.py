@@ -9,107 +9,67 @@ DuckDB text of the same table (``WIDE_SQL``) builds identical rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ORDER_COL = "row_ord"
 
 
-def _d(base: str, days) -> "F.Column":
-    return F.date_add(F.lit(base).cast("date"), days.cast("int"))
-
-
-def _ymd(d) -> "F.Column":
-    return F.date_format(d, "yyyy-MM-dd")
-
-
-def _p2(x) -> "F.Column":
-    return F.lpad(x.cast("string"), 2, "0")
+def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table, as one Spark SQL statement over the parquet files (one
+    round trip to build the plan; the same rows as ``WIDE_SQL`` in DuckDB)."""
+    return spark.sql(SPARK_WIDE_SQL.format(customer=f"{sf_dir}/customer.parquet", orders=f"{sf_dir}/orders.parquet"))
 
 
-def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    k = F.col("c_custkey")
-    dob = _d("1950-01-01", (k * 37) % 18000)
-    enroll = _d("2015-01-01", k % 2000)
-    y, m, d = F.year(dob).cast("string"), F.month(dob), F.dayofmonth(dob)
-    fmt = k % 6
-    dob_mixed = (
-        F.when(fmt == 0, F.concat(y, F.lit("-"), _p2(m), F.lit("-"), _p2(d)))
-        .when(fmt == 1, F.concat(y, F.lit("/"), _p2(m), F.lit("/"), _p2(d)))
-        .when(fmt == 2, F.concat(y, _p2(m), _p2(d)))
-        .when(fmt == 3, F.concat(_p2(m), F.lit("/"), _p2(d), F.lit("/"), y))
-        .when(fmt == 4, F.concat(_p2(d), F.lit("/"), _p2(m), F.lit("/"), y))
-        .otherwise(F.concat(y, F.lit("-"), _p2(m)))
-    )
-    unit = k % 5
-    age_text = (
-        F.when(unit == 0, F.concat((k % 90).cast("string"), F.lit(" years")))
-        .when(unit == 1, F.concat((k % 600).cast("string"), F.lit(" months")))
-        .when(unit == 2, F.concat((k % 300).cast("string"), F.lit(" weeks")))
-        .when(unit == 3, F.concat((k % 9000).cast("string"), F.lit(" days")))
-        .otherwise(F.lit("unknown"))
-    )
-    amount_text = F.when(k % 11 == 0, F.lit("n/a")).otherwise(
-        F.concat((k % 50).cast("string"), F.lit(","), F.lpad(((k * 7) % 1000).cast("string"), 3, "0"), F.lit(".5"))
-    )
-    base = c.select(
-        k.alias("participant_id"),
-        F.lit(None).cast("string").alias("repeat_kind"),
-        F.lit(None).cast("bigint").alias("instance"),
-        _ymd(dob).alias("dob"),
-        _ymd(enroll).alias("enroll_date"),
-        F.lit(None).cast("string").alias("event_date"),
-        F.col("c_mktsegment").alias("segment"),
-        F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit("\t")).alias("segment_padded"),
-        F.col("c_nationkey").cast("bigint").alias("nation"),
-        F.col("c_acctbal").alias("acctbal"),
-        F.when(k % 10 == 3, F.lit(None)).otherwise(F.lit(1)).cast("bigint").alias("consent"),
-        (k % 2).alias("f1"),
-        F.when(k % 7 == 0, F.lit(None)).otherwise(k % 3).cast("bigint").alias("f2"),
-        ((k % 5) - 1).alias("f3"),
-        age_text.alias("age_text"),
-        amount_text.alias("amount_text"),
-        dob_mixed.alias("dob_mixed"),
-        F.when(k % 4 == 0, F.concat(F.substring(y, 1, 1), F.lit(","), F.substring(y, 2, 3))).otherwise(y)
-        .alias("y_text"),
-        F.when(k % 13 == 0, F.lit("0")).otherwise(m.cast("string")).alias("m_text"),
-        F.when(k % 3 == 0, F.lit(None)).otherwise(d.cast("string")).alias("d_text"),
-        F.lit(None).cast("string").alias("order_status"),
-        F.lit(None).cast("string").alias("priority"),
-        F.lit(None).cast("double").alias("total_price"),
-        (F.datediff(enroll, F.lit("1900-01-01").cast("date")).cast("bigint") * 100000000 + k).alias(ORDER_COL),
-    )
-    od = F.to_date(F.col("o_orderdate"))
-    rep = o.select(
-        F.col("o_custkey").alias("participant_id"),
-        F.lit("order").alias("repeat_kind"),
-        F.col("o_orderkey").alias("instance"),
-        F.lit(None).cast("string").alias("dob"),
-        F.lit(None).cast("string").alias("enroll_date"),
-        _ymd(od).alias("event_date"),
-        F.lit(None).cast("string").alias("segment"),
-        F.lit(None).cast("string").alias("segment_padded"),
-        F.lit(None).cast("bigint").alias("nation"),
-        F.lit(None).cast("double").alias("acctbal"),
-        F.lit(None).cast("bigint").alias("consent"),
-        F.lit(None).cast("bigint").alias("f1"),
-        F.lit(None).cast("bigint").alias("f2"),
-        F.lit(None).cast("bigint").alias("f3"),
-        F.lit(None).cast("string").alias("age_text"),
-        F.lit(None).cast("string").alias("amount_text"),
-        F.lit(None).cast("string").alias("dob_mixed"),
-        F.lit(None).cast("string").alias("y_text"),
-        F.lit(None).cast("string").alias("m_text"),
-        F.lit(None).cast("string").alias("d_text"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("o_orderpriority").alias("priority"),
-        F.col("o_totalprice").alias("total_price"),
-        (F.lit(1000000000000000).cast("bigint")
-         + F.datediff(od, F.lit("1900-01-01").cast("date")).cast("bigint") * 100000000
-         + F.col("o_orderkey")).alias(ORDER_COL),
-    )
-    return base.unionByName(rep)
+SPARK_WIDE_SQL = r"""
+SELECT c_custkey AS participant_id,
+       CAST(NULL AS STRING) AS repeat_kind,
+       CAST(NULL AS BIGINT) AS instance,
+       date_format(dd, 'yyyy-MM-dd') AS dob,
+       date_format(date_add(DATE'2015-01-01', CAST(c_custkey % 2000 AS INT)), 'yyyy-MM-dd') AS enroll_date,
+       CAST(NULL AS STRING) AS event_date,
+       c_mktsegment AS segment,
+       concat('  ', c_mktsegment, char(9)) AS segment_padded,
+       CAST(c_nationkey AS BIGINT) AS nation,
+       c_acctbal AS acctbal,
+       CAST(CASE WHEN c_custkey % 10 = 3 THEN NULL ELSE 1 END AS BIGINT) AS consent,
+       c_custkey % 2 AS f1,
+       CAST(CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 3 END AS BIGINT) AS f2,
+       (c_custkey % 5) - 1 AS f3,
+       CASE c_custkey % 5
+         WHEN 0 THEN concat(CAST(c_custkey % 90 AS STRING), ' years')
+         WHEN 1 THEN concat(CAST(c_custkey % 600 AS STRING), ' months')
+         WHEN 2 THEN concat(CAST(c_custkey % 300 AS STRING), ' weeks')
+         WHEN 3 THEN concat(CAST(c_custkey % 9000 AS STRING), ' days')
+         ELSE 'unknown' END AS age_text,
+       CASE WHEN c_custkey % 11 = 0 THEN 'n/a'
+         ELSE concat(CAST(c_custkey % 50 AS STRING), ',', lpad(CAST((c_custkey * 7) % 1000 AS STRING), 3, '0'), '.5')
+       END AS amount_text,
+       CASE c_custkey % 6
+         WHEN 0 THEN date_format(dd, 'yyyy-MM-dd')
+         WHEN 1 THEN date_format(dd, 'yyyy/MM/dd')
+         WHEN 2 THEN date_format(dd, 'yyyyMMdd')
+         WHEN 3 THEN date_format(dd, 'MM/dd/yyyy')
+         WHEN 4 THEN date_format(dd, 'dd/MM/yyyy')
+         ELSE date_format(dd, 'yyyy-MM') END AS dob_mixed,
+       CASE WHEN c_custkey % 4 = 0
+         THEN concat(substr(CAST(year(dd) AS STRING), 1, 1), ',', substr(CAST(year(dd) AS STRING), 2, 3))
+         ELSE CAST(year(dd) AS STRING) END AS y_text,
+       CASE WHEN c_custkey % 13 = 0 THEN '0' ELSE CAST(month(dd) AS STRING) END AS m_text,
+       CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(dayofmonth(dd) AS STRING) END AS d_text,
+       CAST(NULL AS STRING) AS order_status,
+       CAST(NULL AS STRING) AS priority,
+       CAST(NULL AS DOUBLE) AS total_price,
+       CAST(datediff(date_add(DATE'2015-01-01', CAST(c_custkey % 2000 AS INT)), DATE'1900-01-01') AS BIGINT)
+         * 100000000 + c_custkey AS row_ord
+FROM (SELECT *, date_add(DATE'1950-01-01', CAST((c_custkey * 37) % 18000 AS INT)) AS dd
+      FROM parquet.`{customer}`) c
+UNION ALL
+SELECT o_custkey, 'order', o_orderkey, NULL, NULL, date_format(CAST(o_orderdate AS DATE), 'yyyy-MM-dd'),
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       o_orderstatus, o_orderpriority, o_totalprice,
+       CAST(1000000000000000 AS BIGINT)
+         + CAST(datediff(CAST(o_orderdate AS DATE), DATE'1900-01-01') AS BIGINT) * 100000000 + o_orderkey
+FROM parquet.`{orders}`
+"""
 
 
 WIDE_SQL = r"""
