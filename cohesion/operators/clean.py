@@ -9,7 +9,6 @@ one small aggregation job over the column(s) and nothing else.
 from __future__ import annotations
 
 import fnmatch
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,23 +49,53 @@ def resolve_patterns(df: DataFrame, fields, order_col: str | None = None) -> lis
     return out
 
 
+def _literal_like(value, dtype) -> Column:
+    """A literal of a collected value (a Row for struct orders), cast to ``dtype``."""
+    def build(v):
+        if hasattr(v, "asDict"):
+            return F.struct(*[build(x).alias(k) for k, x in v.asDict().items()])
+        return F.lit(v)
+
+    return build(value).cast(dtype)
+
+
 def auto_numeric_columns(df: DataFrame, order_col: str | None = None) -> list[str]:
     """Text columns whose first 100 non-null values (in row order) all look numeric.
 
-    Per column, a bounded top-k (``orderBy().limit(100)``, planned as a
-    per-partition top-k) brings at most 100 values to the driver."""
+    Exact, in two aggregation jobs whatever the number of columns: (1) per
+    column, the earliest row order of a non-null value that does NOT match,
+    and the non-null count; (2) per column, how many non-null values come
+    before that first failure. A column qualifies when it has values and no
+    failure, or at least 100 values precede the first failure. Both are
+    partial aggregations; at most two numbers per column reach the driver."""
     fams = _fams(df)
     text_cols = [c for c in df.columns if fams[c] == TY.STRING and not c.startswith("__")]
-    ordc = F.col(order_col) if order_col and order_col in df.columns else F.monotonically_increasing_id()
-    rx = re.compile(AUTO_NUMERIC_PATTERN)
-    out = []
-    for c in text_cols:
-        # a bounded top-k: the 100 earliest non-null values (TakeOrderedAndProject)
-        sample = [r[0] for r in df.where(_c(c).isNotNull()).select(_c(c), ordc.alias("__k"))
-                  .orderBy("__k").limit(AUTO_SAMPLE).select(_c(c)).collect()]
-        if sample and all(rx.match(v) is not None for v in sample):
+    if not text_cols:
+        return []
+    if order_col and order_col in df.columns:
+        df = df.withColumn("__auto_ord", F.col(order_col))
+    else:
+        df = df.withColumn("__auto_ord", F.monotonically_increasing_id())
+    ordc = F.col("__auto_ord")
+    ord_type = df.schema["__auto_ord"].dataType
+    fails = {c: _c(c).isNotNull() & ~_c(c).rlike(AUTO_NUMERIC_PATTERN) for c in text_cols}
+    first = df.agg(*[F.min(F.when(fails[c], ordc)).alias(f"f{i}") for i, c in enumerate(text_cols)],
+                   *[F.count(_c(c)).alias(f"n{i}") for i, c in enumerate(text_cols)]).collect()[0]
+    out, pending = [], {}
+    for i, c in enumerate(text_cols):
+        if first[f"n{i}"] == 0:
+            continue
+        if first[f"f{i}"] is None:
             out.append(c)
-    return out
+        else:
+            pending[c] = first[f"f{i}"]
+    if pending:
+        names = list(pending)
+        before = df.agg(*[
+            F.count_if(_c(c).isNotNull() & (ordc < _literal_like(pending[c], ord_type))).alias(f"b{i}")
+            for i, c in enumerate(names)]).collect()[0]
+        out += [c for i, c in enumerate(names) if before[f"b{i}"] >= AUTO_SAMPLE]
+    return [c for c in text_cols if c in out]
 
 
 def clean_numeric(df: DataFrame, fields) -> DataFrame:

@@ -175,32 +175,38 @@ def empty_entity(spark: SparkSession, spec: EntitySpec, error: str) -> EntityRes
 
 
 def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
-              int_with_nulls: str = "double") -> dict[str, EntityResult]:
-    """Map every entity. ``source`` is one shared DataFrame (persisted once and
-    reused by all entities) or None with ``source_dir`` for per-entity files.
-    A spec that fails to compile yields an empty result; the rest go on."""
+              int_with_nulls: str = "double", share: str = "none") -> dict[str, EntityResult]:
+    """Map every entity.
+
+    ``source`` is one DataFrame shared by all entities, or None with
+    ``source_dir`` for per-entity files. ``share``: ``"none"`` (default) lets
+    each entity plan its own scan, so its filters and column pruning reach the
+    files; ``"persist"`` caches the source once (MEMORY_AND_DISK, recomputed
+    from lineage if an executor is lost) for text sources that are costly to
+    re-read. A spec that fails to compile yields an empty result; the rest go on.
+    """
+    from pyspark import StorageLevel
+
     from ..sources.multifile import load_entity_sources
 
     results = {}
-    shared = None
-    if source is not None:
-        shared = source.persist()
+    shared = source
+    if source is not None and share == "persist":
+        shared = source.persist(StorageLevel.MEMORY_AND_DISK)
     for key, raw in specs.items():
+        spark = shared.sparkSession if shared is not None else SparkSession.active()
         try:
             spec = load_spec(raw, key)
         except SpecError as e:
-            spark = (shared or source).sparkSession if (shared or source) is not None else SparkSession.active()
             results[key] = EntityResult(key, spark.createDataFrame([], "`_` string"), [], error=str(e))
             continue
         try:
             if shared is not None:
                 df = shared
             else:
-                spark = SparkSession.active()
                 df = load_entity_sources(spark, source_dir, key, spec.source_files, int_with_nulls)
             results[key] = map_entity(df, spec, order_by=order_by, name=key)
         except (SpecError, FileNotFoundError, ValueError) as e:
-            spark = SparkSession.active()
             results[key] = empty_entity(spark, spec, f"{type(e).__name__}: {e}")
     return results
 
