@@ -1106,3 +1106,13 @@ UNION ALL SELECT l_orderkey, 'LF:T', 'taxed', NULL FROM lineitem WHERE l_tax > 0
 def _line_expand(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
     return map_entity(li, LINE_EXPANSION, order_by=["l_orderkey", "l_linenumber"]).df
+
+
+# ------------------------------------------------------------------ more cleaning variants
+
+_base_query("convert_to_numeric_ignore", ["m_text", "amount_text"], [_copy("m_text"), _copy("amount_text")],
+            "TRY_CAST(m_text AS DOUBLE) AS m_text, amount_text",
+            pre=[{"type": "convert_to_numeric", "fields": ["m_text", "amount_text"], "errors": "ignore"}])
+_base_query("calculate_field_ifexp", ["band"], [_copy("band")],
+            "CASE WHEN acctbal > 5000 THEN 'high' ELSE 'low' END AS band",
+            pre=[{"type": "calculate_field", "target": "band", "formula": "'high' if acctbal > 5000 else 'low'"}])
