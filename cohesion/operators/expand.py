@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import scalars as S
+import json
+
+from ..functions import sqltext as Q
 from ..functions import types as TY
 from ..functions.predicates import _equals
 from ..spec import EntitySpec
@@ -26,42 +28,6 @@ def _c(n: str) -> Column:
     return F.col(f"`{n}`")
 
 
-def _keep(c: Column, fam: str, skip_values) -> Column:
-    """Config fires when the value is present and not a skip value (int-cast
-    when the value is a number, else compared as it is)."""
-    ints, texts = [], []
-    for s in skip_values or []:
-        if isinstance(s, bool) or isinstance(s, int):
-            ints.append(int(s))
-        elif isinstance(s, float) and s == s and s not in (float("inf"), float("-inf")):
-            if s.is_integer():
-                ints.append(int(s))
-        elif isinstance(s, str):
-            texts.append(s)
-    iv = S.to_int_trunc(c, fam)
-    skip_num = iv.isin(ints) if ints else F.lit(False)
-    skip_txt = TY.py_str(c, fam).isin(texts) if texts else F.lit(False)
-    skipped = F.when(iv.isNotNull(), skip_num).otherwise(skip_txt)
-    return ~TY.is_missing(c, fam) & ~F.coalesce(skipped, F.lit(False))
-
-
-def _combine(fold: Fold, per_cfg: dict[str, list[tuple[int, tuple]]], key: str) -> dict:
-    """Per target: CASE key WHEN i THEN value_i ... ELSE previous value."""
-    out = {}
-    for t, branches in per_cfg.items():
-        prev = fold.prev(t)
-        fam = prev[1]
-        for _, (_, f) in branches:
-            fam = TY.common_family(fam, f)
-        expr = None
-        for i, (c, f) in branches:
-            v = TY.to_family(c, f, fam)
-            cond = F.col(key) == F.lit(i)
-            expr = F.when(cond, v) if expr is None else expr.when(cond, v)
-        out[t] = (expr.otherwise(TY.to_family(prev[0], prev[1], fam)), fam)
-    return out
-
-
 def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFrame, Fold]:
     fams = {f.name: TY.family(f.dataType) for f in df.schema.fields}
     pid = spec.expansion_pid
@@ -80,19 +46,17 @@ def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFr
     items = []
     for i, c in live:
         col = c["source_field"]
-        st = F.struct(
-            F.lit(i).alias("cfg"),
-            TY.to_family(_c(col), fams[col], xfam).cast(TY.spark_type(xfam)).alias("xval"),
-            F.lit(col).alias("xname"),
-        )
-        items.append(F.when(_keep(_c(col), fams[col], skip), st))
+        ref = Q.ident(col)
+        xval = f"CAST({Q.to_family(ref, fams[col], xfam)} AS {Q.sql_type(xfam)})"
+        items.append(f"CASE WHEN {Q.keep_value(ref, fams[col], skip)} THEN "
+                     f"named_struct('cfg', {i}, 'xval', {xval}, 'xname', {Q.lit(col)}) END")
     if not items:
         df = df.limit(0)
-        arr = F.array(F.struct(F.lit(-1).alias("cfg"), F.lit(None).cast("string").alias("xval"),
-                               F.lit("").alias("xname")))
         xfam = TY.STRING
+        arr = F.expr("array(named_struct('cfg', -1, 'xval', CAST(NULL AS STRING), 'xname', ''))")
     else:
-        arr = F.filter(F.array(*items), lambda x: x.isNotNull())
+        # one SQL expression for all configs: planning stays fast with hundreds of them
+        arr = F.expr(f"filter(array({', '.join(items)}), x -> x IS NOT NULL)")
     df = df.select("*", F.explode(arr).alias("__x")).select(
         "*", F.col("__x.cfg").alias(CFG), F.col("__x.xval").alias("__xval"), F.col("__x.xname").alias("__xname")
     ).drop("__x")
@@ -111,11 +75,18 @@ def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFr
         for k, t in keys.items():
             if k in c and fold.exists(t):
                 v = c[k]
-                vf = TY.value_family(v)
-                if vf == TY.OTHER:
-                    v, vf = str(v), TY.STRING
-                per_t.setdefault(t, []).append((i, (TY.lit_of(v), vf)))
-    fold.apply(_combine(fold, per_t, CFG))
+                if TY.value_family(v) == TY.OTHER:
+                    v = str(v)
+                per_t.setdefault(t, []).append((i, v))
+    updates = {}
+    for t, entries in per_t.items():
+        prev, pfam = fold.prev_sql(t)
+        fam = pfam
+        for _, v in entries:
+            fam = TY.common_family(fam, TY.value_family(v))
+        branches = [(i, Q.to_family(Q.lit(v), TY.value_family(v), fam)) for i, v in entries]
+        updates[t] = (F.expr(Q.case_on(CFG, branches, Q.to_family(prev, pfam, fam))), fam)
+    fold.apply(updates)
 
     # 3. create_records checkbox enrichments -> extra records
     variants = []  # (cfg, enrichment, target, value)
@@ -170,11 +141,13 @@ def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFr
                 updates[t] = set_if_not_null(prev, (val, fam))
         fold.apply(updates)
 
-    # 4. other enrichments, per config (guarded by the config index)
+    # 4. other enrichments, per config. Configs sharing an identical enrichment
+    #    (typical of range templates) are compiled once, guarded by
+    #    ``__cfg IN (...)``, with the config's own column as default source.
     depth = max([len(c.get("enrichments") or []) for _, c in live] or [0])
     for j in range(depth):
         fold.materialize()
-        per_t = {}
+        groups: dict[tuple, list] = {}
         for i, c in live:
             ens = c.get("enrichments") or []
             if j >= len(ens):
@@ -182,8 +155,30 @@ def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFr
             e = ens[j]
             if not isinstance(e, dict) or (e.get("source_type") == "checkbox" and e.get("create_records")):
                 continue
-            csrc = Source(fams=fams, default_field=c["source_field"])
+            key = (json.dumps(e, sort_keys=True, default=str), fams[c["source_field"]])
+            groups.setdefault(key, []).append((i, c["source_field"], e))
+        per_t = {}
+        for (_, gfam), members in groups.items():
+            e = members[0][2]
+            if len(members) == 1:
+                csrc = Source(fams=fams, default_field=members[0][1])
+                guard = F.col(CFG) == F.lit(members[0][0])
+            else:
+                dflt = F.expr(Q.case_on(CFG, [(i, Q.ident(col)) for i, col, _ in members], "NULL"))
+                csrc = Source(fams=fams, default_col=(dflt, gfam), default_name=F.col("__xname"))
+                guard = F.expr(f"{CFG} IN ({', '.join(str(i) for i, _, _ in members)})")
             for t, val in compile_mapping(fold, e, csrc).items():
-                per_t.setdefault(t, []).append((i, val))
-        fold.apply(_combine(fold, per_t, CFG))
+                per_t.setdefault(t, []).append((guard, val))
+        updates = {}
+        for t, branches in per_t.items():
+            prev = fold.prev(t)
+            fam = prev[1]
+            for _, (_, f) in branches:
+                fam = TY.common_family(fam, f)
+            expr = None
+            for guard, (c, f) in branches:
+                v = TY.to_family(c, f, fam)
+                expr = F.when(guard, v) if expr is None else expr.when(guard, v)
+            updates[t] = (expr.otherwise(TY.to_family(prev[0], prev[1], fam)), fam)
+        fold.apply(updates)
     return fold.df, fold

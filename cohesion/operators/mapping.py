@@ -57,6 +57,7 @@ class Fold:
         self.expr: dict[str, Column] = {}
         self.fam: dict[str, str] = {}
         self.simple: dict[str, bool] = {}
+        self.name: dict[str, str | None] = {}
         self._n = 0
         for t in declared:
             self._add(t)
@@ -67,6 +68,7 @@ class Fold:
             self.expr[t] = F.lit(None).cast("string")
             self.fam[t] = TY.NULL
             self.simple[t] = True
+            self.name[t] = None
 
     def prev(self, t: str) -> Typed:
         self._add(t)
@@ -87,15 +89,25 @@ class Fold:
                 cols[name] = self.expr[t]
                 self.expr[t] = F.col(name)
                 self.simple[t] = True
+                self.name[t] = name
         if cols:
             self.df = self.df.withColumns(cols)
 
+    def prev_sql(self, t: str) -> tuple[str, str]:
+        """The previous value as SQL text (materialised first when needed)."""
+        self._add(t)
+        if not self.simple[t]:
+            self.materialize([t])
+        n = self.name[t]
+        return (f"`{n}`" if n else "CAST(NULL AS STRING)"), self.fam[t]
+
     def apply(self, updates: dict[str, Typed]):
         for t, (c, fam) in updates.items():
             self._add(t)
             self.expr[t] = c
             self.fam[t] = fam
             self.simple[t] = False
+            self.name[t] = None
 
     def exists(self, t: str) -> bool:
         return t in self.expr

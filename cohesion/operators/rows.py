@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqltext as Q
 from ..functions import types as TY
 from ..functions.predicates import compile_condition, df_resolver
 
@@ -60,11 +61,16 @@ def _first_non_null(c: Column, fam: str, last: bool) -> Column:
 
 def composite_rows(df: DataFrame, pid: str, last: bool = False) -> DataFrame:
     """One row per participant made of the first (last) non-null value of each
-    column, in row order. Rows with a null id drop out."""
+    column, in row order. Rows with a null id drop out. (Aggregates are built
+    as SQL text: one call per column however wide the table is.)"""
     fams = _fams(df)
     cols = [c for c in df.columns if c not in (pid, ORD)]
-    aggs = [_first_non_null(_c(c), fams[c], last).alias(c) for c in cols]
-    aggs.append((F.max if last else F.min)(ORD).alias(ORD))
+    fn = "max_by" if last else "min_by"
+    aggs = []
+    for c in cols:
+        ok = f"NOT {Q.is_missing(Q.ident(c), fams[c])}"
+        aggs.append(F.expr(f"{fn}(CASE WHEN {ok} THEN {Q.ident(c)} END, CASE WHEN {ok} THEN {ORD} END) AS {Q.ident(c)}"))
+    aggs.append(F.expr(f"{'max' if last else 'min'}({ORD}) AS {ORD}"))
     out = df.filter(_c(pid).isNotNull()).groupBy(_c(pid)).agg(*aggs)
     return out.select(*df.columns)
 

@@ -18,6 +18,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import sqltext as Q
+
 ORD = "__ord"
 
 # The texts read as missing (pandas' default NA tokens), and
@@ -93,47 +95,50 @@ def read_text_table(spark: SparkSession, path: str, sep: str | None = None, enco
     renames = {c: c.lstrip("\ufeff") for c in df.columns if c.startswith("\ufeff")}
     if renames:
         df = df.withColumnsRenamed(renames)
-    cols = [c for c in df.columns]
-    order = F.struct(F.lit(file_index).alias("f"), F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("p"))
-    return df.select(*[F.when(~_c(c).isin(NULL_TOKENS), _c(c)).alias(c) for c in cols], order.alias(ORD))
+    tokens = ", ".join(Q.lit(t) for t in NULL_TOKENS)
+    exprs = [f"CASE WHEN {Q.ident(c)} NOT IN ({tokens}) THEN {Q.ident(c)} END AS {Q.ident(c)}" for c in df.columns]
+    exprs.append(f"named_struct('f', {int(file_index)}, 'path', _metadata.file_path, "
+                 f"'block', _metadata.file_block_start, 'p', monotonically_increasing_id()) AS {ORD}")
+    return df.selectExpr(*exprs)
 
 
 def infer_types(df: DataFrame, int_with_nulls: str = "double") -> DataFrame:
-    """One aggregation pass over text columns -> cast each to its inferred type."""
+    """One aggregation pass over text columns -> cast each to its inferred type.
+    Built as SQL text (one expression list) so wide files plan quickly."""
     cols = [c for c in df.columns if c != ORD]
     if not cols:
         return df
-    aggs = []
+    int_rx, float_rx = Q.lit(_INT_RX), Q.lit(_FLOAT_RX)
+    bools = ", ".join(Q.lit(t) for t in TRUE_TOKENS + FALSE_TOKENS)
+    aggs = ["count(1) AS r"]
     for i, c in enumerate(cols):
-        v = _c(c)
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.count_if(v.rlike(_INT_RX)).alias(f"i{i}"),
-            F.count_if(v.rlike(_FLOAT_RX)).alias(f"f{i}"),
-            F.count_if(v.isin(TRUE_TOKENS + FALSE_TOKENS)).alias(f"b{i}"),
-            F.count(F.lit(1)).alias(f"r{i}"),
-        ]
-    stats = df.agg(*aggs).collect()[0]
+        v = Q.ident(c)
+        aggs += [f"count({v}) AS n{i}", f"count_if({v} RLIKE {int_rx}) AS i{i}",
+                 f"count_if({v} RLIKE {float_rx}) AS f{i}", f"count_if({v} IN ({bools})) AS b{i}"]
+    stats = df.selectExpr(*aggs).collect()[0]
+    rows = stats["r"]
+    trues = ", ".join(Q.lit(t) for t in TRUE_TOKENS)
     out = []
     for i, c in enumerate(cols):
-        n, ni, nf, nb, rows = (stats[f"{k}{i}"] for k in "nifbr")
-        v = _c(c)
-        has_null = n < rows
+        n, ni, nf, nb = (stats[f"{k}{i}"] for k in "nifb")
+        v = Q.ident(c)
+        stripped = f"regexp_replace({v}, '^\\\\s+|\\\\s+$', '')"
         if n == 0:
-            out.append(v.cast("double").alias(c))  # all-missing column: float NaN in pandas
+            e = f"CAST({v} AS DOUBLE)"  # all-missing column: float NaN in pandas
         elif ni == n:
-            as_long = F.regexp_replace(v, r"^\s+|\s+$", "").try_cast("bigint")
-            out.append((as_long.cast("double") if has_null and int_with_nulls == "double" else as_long).alias(c))
+            e = f"try_cast({stripped} AS BIGINT)"
+            if n < rows and int_with_nulls == "double":
+                e = f"CAST({e} AS DOUBLE)"
         elif nf == n:
-            out.append(F.regexp_replace(v, r"^\s+|\s+$", "").try_cast("double").alias(c))
+            e = f"try_cast({stripped} AS DOUBLE)"
         elif nb == n:
-            out.append(v.isin(TRUE_TOKENS).alias(c))
+            e = f"({v} IN ({trues}))"
         else:
-            out.append(v.alias(c))
+            e = v
+        out.append(f"{e} AS {v}")
     if ORD in df.columns:
-        out.append(F.col(ORD))
-    return df.select(*out)
+        out.append(ORD)
+    return df.selectExpr(*out)
 
 
 def with_order(df: DataFrame, file_index: int = 0) -> DataFrame:
