@@ -56,3 +56,16 @@ def write_study(results: dict, out_dir: str, fmt: str = "csv") -> dict[str, str
             r.error = r.error or f"write failed: {type(e).__name__}: {e}"
             out[key] = None
     return out
+
+
+def write_reports(results: dict, out_dir: str, fmt: str = "csv") -> str:
+    """All entities' validation reports as one table (one aggregation job per
+    entity, unioned and written once) at ``<out_dir>/validation_report.<fmt>``."""
+    from functools import reduce
+
+    reports = [r.report() for r in results.values()]
+    path = f"{out_dir.rstrip('/')}/validation_report.{fmt}"
+    df = reduce(lambda a, b: a.unionByName(b), reports)
+    w = df.write.mode("overwrite")
+    (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
+    return path
