@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions import sqltext as Q
 from ..functions import types as TY
 from ..functions.predicates import SpecError, _equals
 
@@ -37,6 +38,12 @@ class Source:
             return F.col(f"`{name}`"), self.fams[name]
         return None
 
+    def sql(self, name) -> tuple[str, str] | None:
+        """A source column as SQL text (for builders emitted in one ``F.expr``)."""
+        if isinstance(name, str) and name in self.fams:
+            return Q.ident(name), self.fams[name]
+        return None
+
     def has(self, name) -> bool:
         return isinstance(name, str) and name in self.fams
 
@@ -384,12 +391,11 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
 
     if ttype == "age":
         p = m.get("params") or {}
-        age = S.age_in_days(
-            _resolve_param(src, p.get("birth_date_field")),
-            _resolve_param(src, p.get("event_date_field")),
-            _resolve_param(src, p.get("age_fallback_field")),
-            _resolve_param(src, p.get("event_offset_field")),
-        )
+        def q(k):
+            return src.sql(p.get(k)) if p.get(k) else None
+
+        age = F.expr(Q.age_in_days(q("birth_date_field"), q("event_date_field"), q("age_fallback_field"),
+                                   q("event_offset_field")))
         return {targets: set_if_not_null(fold.prev(targets), (age, TY.INT))}
 
     if ttype == "note":
@@ -413,13 +419,15 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
         s = get_src(source_field) if source_field else None
         if s is None:
             return {}
-        return {targets: set_if(fold.prev(targets), (S.format_date(*s), TY.STRING), ~TY.is_missing(*s))}
+        qs = src.sql(source_field) if source_field != "__default__" else None
+        formatted = F.expr(Q.format_date(*qs)) if qs else S.format_date(*s)
+        return {targets: set_if(fold.prev(targets), (formatted, TY.STRING), ~TY.is_missing(*s))}
 
     if ttype == "duration":
         p = m.get("params") or {}
         if not p.get("start_date_field") or not p.get("end_date_field"):
             return {}
-        d = S.duration_in_days(src.get(p.get("start_date_field")), src.get(p.get("end_date_field")))
+        d = F.expr(Q.duration_in_days(src.sql(p.get("start_date_field")), src.sql(p.get("end_date_field"))))
         return {targets: set_if_not_null(fold.prev(targets), (d, TY.INT))}
 
     if ttype == "integer":
