@@ -28,3 +28,40 @@ def test_auto_numeric_first_hundred_only(spark):
     df = spark.createDataFrame(rows, "o long, a string, b string")
     # a fails only after 150 values -> numeric; b fails at the 51st value -> not numeric
     assert auto_numeric_columns(df, "o") == ["a"]
+
+
+def test_write_study_skips_empty_and_isolates_failures(spark, tmp_path):
+    import pytest as _pytest  # noqa: F401
+
+    from cohesion import map_entity
+    from cohesion.sources.sinks import write_reports, write_study
+
+    df = spark.createDataFrame([("P1", 1), ("P2", 2)], "pid string, v long")
+    ok = map_entity(df, {"entity": {"name": "Ok", "fields": {"base": ["pid"]}},
+                         "mappings": [{"source_field": "pid", "target_field": "pid"}],
+                         "validations": [{"type": "unique", "field": "pid"}]}, name="ok")
+    empty = map_entity(df, {"entity": {"name": "Empty", "fields": {"base": ["pid"]}},
+                            "filters": {"participant_id_field": "pid",
+                                        "participant": {"filter": [{"field": "v", "op": "equals", "value": 9}]}},
+                            "mappings": [{"source_field": "pid", "target_field": "pid"}]}, name="empty")
+    # fails only when executed: ANSI cast error raised by the job, not at plan time
+    bad = map_entity(df, {"entity": {"name": "Bad", "fields": {"base": ["x"]}}, "mappings": []}, name="bad",
+                     after=lambda d: d.selectExpr("CAST('not a number' AS INT) AS x"))
+    paths = write_study({"ok": ok, "empty": empty, "bad": bad}, str(tmp_path))
+    assert paths["ok"] and os.path.isdir(paths["ok"])
+    assert paths["empty"] is None and not os.path.exists(tmp_path / "empty.csv")
+    assert paths["bad"] is None and bad.error
+    rep = read_file(spark, write_reports({"ok": ok}, str(tmp_path)))
+    assert rep.count() == 1
+
+
+def test_join_key_type_clash_is_a_plan_error(spark):
+    import pytest
+
+    from cohesion.functions.predicates import SpecError
+    from cohesion.sources.multifile import join_sources
+
+    a = spark.createDataFrame([("1", "x")], "k string, a string")
+    b = spark.createDataFrame([(1, "y")], "k long, b string")
+    with pytest.raises(SpecError):
+        join_sources(a, b, ["k"])
