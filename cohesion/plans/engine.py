@@ -34,6 +34,7 @@ class EntityResult:
     warnings: list[str] = field(default_factory=list)
     error: str | None = None
     observations: dict[str, Observation] = field(default_factory=dict)
+    shared: DataFrame | None = None  # persisted selection shared with other entities
 
     def report(self) -> DataFrame:
         """One row per validation rule with the number of offending rows."""
@@ -140,23 +141,29 @@ def map_direct(df: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def map_entity(source: DataFrame, spec, order_by=None, before: Hook | None = None, after: Hook | None = None,
-               null_rules: list | None = None, name: str | None = None, metrics: str = "output") -> EntityResult:
+               null_rules: list | None = None, name: str | None = None, metrics: str = "output",
+               selected: DataFrame | None = None) -> EntityResult:
     """Map one entity. ``order_by`` gives row order for first/last (tables have
     no implicit order); ``before``/``after`` are DataFrame -> DataFrame hooks.
 
     ``metrics="all"`` also counts rows at the input and after row selection.
     Those two ``observe`` points sit inside the plan and stop Catalyst from
-    pushing filters through them, so by default only the output is counted."""
+    pushing filters through them, so by default only the output is counted.
+    ``selected`` passes rows already through eligibility/enrichment/selection/
+    cleaning (shared by entities with the same filters, see ``map_study``)."""
     spec = load_spec(spec, name)
     warnings = list(spec.warnings)
     points = ("input", "selected", "output") if metrics == "all" else ("output",)
     obs = {k: Observation(f"{spec.name}_{k}_{id(spec)}") for k in points}
-    df = _with_order(source, order_by, warnings, _needs_order(spec))
-    if "input" in obs:
-        df = df.observe(obs["input"], F.count(F.lit(1)).alias("rows"))
-    if before is not None:
-        df = before(df)
-    df = preprocess(df, spec, warnings)
+    if selected is None:
+        df = _with_order(source, order_by, warnings, _needs_order(spec))
+        if "input" in obs:
+            df = df.observe(obs["input"], F.count(F.lit(1)).alias("rows"))
+        if before is not None:
+            df = before(df)
+        df = preprocess(df, spec, warnings)
+    else:
+        df = selected
     if "selected" in obs:
         df = df.observe(obs["selected"], F.count(F.lit(1)).alias("rows"))
     if spec.pattern == "expansion":
@@ -171,6 +178,13 @@ def map_entity(source: DataFrame, spec, order_by=None, before: Hook | None = Non
     return EntityResult(spec.name, out, spec.validations, warnings, observations=obs)
 
 
+def _selection_key(spec: EntitySpec) -> str:
+    """Entities with equal filters and cleaning steps select the same rows."""
+    import json
+
+    return json.dumps({"f": spec.filters, "p": spec.preprocessing}, sort_keys=True, default=str)
+
+
 def empty_entity(spark: SparkSession, spec: EntitySpec, error: str) -> EntityResult:
     schema = ", ".join(f"`{c}` string" for c in spec.fields) or "`_` string"
     return EntityResult(spec.name, spark.createDataFrame([], schema), spec.validations, list(spec.warnings),
@@ -182,38 +196,60 @@ def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
     """Map every entity.
 
     ``source`` is one DataFrame shared by all entities, or None with
-    ``source_dir`` for per-entity files. ``share``: ``"none"`` (default) lets
-    each entity plan its own scan, so its filters and column pruning reach the
-    files; ``"persist"`` caches the source once (MEMORY_AND_DISK, recomputed
-    from lineage if an executor is lost) for text sources that are costly to
-    re-read. A spec that fails to compile yields an empty result; the rest go on.
+    ``source_dir`` for per-entity files. ``share``:
+
+    * ``"none"`` (default): each entity plans its own scan, so its filters and
+      column pruning reach the files; nothing is cached.
+    * ``"persist"``: entities with the same filters and cleaning steps share
+      one selected-rows DataFrame, persisted (MEMORY_AND_DISK; recomputed from
+      lineage if an executor is lost), so eligibility, enrichment and the
+      row-selection dedup shuffle run once per group instead of once per entity.
+      Call ``release(results)`` after writing.
+
+    A spec that fails to compile yields an empty result; the rest go on.
     """
     from pyspark import StorageLevel
 
     from ..sources.multifile import load_entity_sources
 
     results = {}
-    shared = source
-    if source is not None and share == "persist":
-        shared = source.persist(StorageLevel.MEMORY_AND_DISK)
+    groups: dict[str, DataFrame] = {}
     for key, raw in specs.items():
-        spark = shared.sparkSession if shared is not None else SparkSession.active()
+        spark = source.sparkSession if source is not None else SparkSession.active()
         try:
             spec = load_spec(raw, key)
         except SpecError as e:
             results[key] = EntityResult(key, spark.createDataFrame([], "`_` string"), [], error=str(e))
             continue
         try:
-            if shared is not None:
-                df = shared
-            else:
+            if source is None:
                 df = load_entity_sources(spark, source_dir, key, spec.source_files, int_with_nulls)
-            results[key] = map_entity(df, spec, order_by=order_by, name=key)
+                results[key] = map_entity(df, spec, order_by=order_by, name=key)
+                continue
+            if share != "persist":
+                results[key] = map_entity(source, spec, order_by=order_by, name=key)
+                continue
+            gkey = _selection_key(spec)
+            if gkey not in groups:
+                warnings: list[str] = []
+                df = _with_order(source, order_by, warnings, _needs_order(spec))
+                groups[gkey] = preprocess(df, spec, warnings).persist(StorageLevel.MEMORY_AND_DISK)
+            results[key] = map_entity(source, spec, order_by=order_by, name=key, selected=groups[gkey])
+            results[key].shared = groups[gkey]
         except (SpecError, FileNotFoundError, ValueError) as e:
             results[key] = empty_entity(spark, spec, f"{type(e).__name__}: {e}")
     return results
 
 
+def release(results: dict) -> None:
+    """Unpersist the shared selections once the results are written."""
+    done = set()
+    for r in results.values():
+        if r.shared is not None and id(r.shared) not in done:
+            r.shared.unpersist()
+            done.add(id(r.shared))
+
+
 def condition_column(df: DataFrame, cond, warnings: list[str] | None = None):
     """Public helper: a spec condition as a boolean Column over ``df``."""
     return compile_condition(cond, df_resolver(df), warnings if warnings is not None else [])

@@ -52,3 +52,17 @@ def test_pr12_study(spark):
     rep = res["participant"].report().toPandas()
     assert set(rep.rule) == {"required", "unique"} and rep.bad_rows.sum() == 0
     assert res["participant"].counts()["output"] == 6
+
+
+def test_example_study_with_shared_selections(example):
+    src, specs = example
+    from cohesion.plans.engine import release
+
+    res = map_study(src, specs, share="persist")
+    try:
+        for entity in ENTITIES:
+            got = _as_text(res[entity].df.toPandas())
+            gold = pd.read_csv(os.path.join(EX, "golden", f"{entity}.csv"), dtype=str, keep_default_na=False)
+            assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, gold.values.tolist())), entity
+    finally:
+        release(res)
