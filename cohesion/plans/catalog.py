@@ -1116,3 +1116,21 @@ _base_query("convert_to_numeric_ignore", ["m_text", "amount_text"], [_copy("m_te
 _base_query("calculate_field_ifexp", ["band"], [_copy("band")],
             "CASE WHEN acctbal > 5000 THEN 'high' ELSE 'low' END AS band",
             pre=[{"type": "calculate_field", "target": "band", "formula": "'high' if acctbal > 5000 else 'low'"}])
+
+
+@q("study_shared_selection", None)
+def _study_shared(spark, sf):
+    """As ``study_all_entities`` with one persisted selection per filter group
+    (the caller runs the result, then ``engine.release`` frees the cache)."""
+    w = wide(spark, sf)
+    res = map_study(w, {"direct": ENTITY_DIRECT, "expansion": ENTITY_EXPANSION, "broken": _BAD_SPEC},
+                    order_by=ORDER_COL, share="persist")
+    parts = [r.df.agg(F.lit(k).alias("entity"), F.count(F.lit(1)).cast("long").alias("records"))
+             for k, r in res.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+ORACLE["study_shared_selection"] = ORACLE["study_all_entities"]
