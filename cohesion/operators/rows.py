@@ -72,7 +72,7 @@ def composite_rows(df: DataFrame, pid: str, last: bool = False) -> DataFrame:
         aggs.append(F.expr(f"{fn}(CASE WHEN {ok} THEN {Q.ident(c)} END, CASE WHEN {ok} THEN {ORD} END) AS {Q.ident(c)}"))
     aggs.append(F.expr(f"{'max' if last else 'min'}({ORD}) AS {ORD}"))
     out = df.filter(_c(pid).isNotNull()).groupBy(_c(pid)).agg(*aggs)
-    return out.select(*df.columns)
+    return out.select(*[_c(c) for c in df.columns])
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if c != ORD]
     if ORD not in df.columns:
         return df.dropDuplicates()
-    return df.groupBy(*[_c(c) for c in cols]).agg(F.min(ORD).alias(ORD)).select(*df.columns)
+    return df.groupBy(*[_c(c) for c in cols]).agg(F.min(ORD).alias(ORD)).select(*[_c(c) for c in df.columns])
 
 
 def first_row_per_key(df: DataFrame, keys: list[str], cols: list[str] | None = None) -> DataFrame:

@@ -104,3 +104,19 @@ def test_spec_rules():
     with pytest.raises(SpecError):
         load_spec({"entity": {"source_files": {"primary": "a.csv", "secondary": [{"file": "b.csv",
                                                                                   "join_type": "cross"}]}}})
+
+
+def test_odd_column_names(spark, tmp_path):
+    from cohesion.sources.readers import read_file
+
+    p = tmp_path / "odd.csv"
+    p.write_text("participant id,lab.value,visit\nP1,1.5,1\nP1,,2\nP2,3,1\n")
+    df = read_file(spark, str(p))
+    spec = {"entity": {"name": "T", "fields": {"base": ["pid", "lab"]}},
+            "filters": {"participant_id_field": "participant id",
+                        "rows": [{"name": "f", "filter": [{"field": "visit", "op": "greater_than", "value": 0}],
+                                  "select": "last"}]},
+            "mappings": [{"source_field": "participant id", "target_field": "pid"},
+                         {"source_field": "lab.value", "target_field": "lab"}]}
+    got = sorted(tuple(r) for r in map_entity(df, spec).df.collect())
+    assert got == [("P1", 1.5), ("P2", 3.0)]
