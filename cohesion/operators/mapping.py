@@ -11,7 +11,6 @@ size linear in the number of mappings. No Python runs per row.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -289,12 +288,6 @@ def _const_writes(fold: Fold, targets, default) -> dict[str, Typed]:
     return {t: (TY.lit_of(default), fam)}
 
 
-def _resolve_param(src: Source, name) -> Typed | None:
-    if not name:
-        return None
-    return src.get(name)
-
-
 def _identifier(fold: Fold, m: dict, src: Source, source_field, target) -> dict[str, Typed]:
     if isinstance(target, list):
         raise SpecError(f"identifier mapping needs a single target, got {target!r}")
@@ -479,8 +472,7 @@ def _integer(prev: Typed, s: Typed | None, no_source: bool, vm, default) -> Type
     dflt_given = default is not None
     dflt = (F.lit(as_int(default)).cast("long"), TY.INT)
     if no_source or s is None:
-        if no_source:
-            return set_if(prev, dflt, None) if dflt_given else prev
+        # no source value at all: the default (when given) overwrites
         return set_if(prev, dflt, None) if dflt_given else prev
     c, fam = s
     present = ~TY.is_missing(c, fam)
@@ -494,7 +486,6 @@ def _integer(prev: Typed, s: Typed | None, no_source: bool, vm, default) -> Type
             for k, v in txt.items():
                 branches.append((ikey.isNull() & (TY.py_str(c, fam) == F.lit(k)), v))
     fallback = dflt[0] if dflt_given else None
-    expr = None
     pc, pfam = prev
     if pfam not in (TY.INT, TY.NULL):
         # a mixed column: keep the target textual
@@ -505,10 +496,9 @@ def _integer(prev: Typed, s: Typed | None, no_source: bool, vm, default) -> Type
     for cond, v in branches:
         out_v = tail if v is None else F.lit(as_int(v)).cast("long")
         chain = F.when(present & cond, out_v) if chain is None else chain.when(present & cond, out_v)
-    conv = ikey
-    chain = F.when(present, conv) if chain is None else chain.when(present, conv)
-    expr = chain.otherwise(tail)
-    return expr, TY.INT
+    # a present value that is not mapped: its own int (null when not a number)
+    chain = F.when(present, ikey) if chain is None else chain.when(present, ikey)
+    return chain.otherwise(tail), TY.INT
 
 
 def _integer_mixed(prev: Typed, s: Typed, vm, default) -> Typed:
