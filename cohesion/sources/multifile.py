@@ -106,15 +106,17 @@ def load_entity_sources(spark: SparkSession, directory: str, entity: str, source
     base = directory.rstrip("/")
     if not source_files:
         return read_file(spark, find_entity_file(spark, directory, entity), 0, int_with_nulls)
-    df = read_file(spark, f"{base}/{source_files['primary']}", 0, int_with_nulls)
+    ml = bool(source_files.get("multi_line"))
+    df = read_file(spark, f"{base}/{source_files['primary']}", 0, int_with_nulls, multi_line=ml)
     idx = 1
     for n, sec in enumerate(source_files.get("secondary") or [], start=1):
         files = sec["file"] if isinstance(sec["file"], list) else [sec["file"]]
         frames = []
         for f in files:
-            frames.append(read_file(spark, f"{base}/{f}", idx, int_with_nulls))
+            frames.append(read_file(spark, f"{base}/{f}", idx, int_with_nulls, multi_line=ml))
             idx += 1
         right = frames[0] if len(frames) == 1 else union_by_name(frames)
         how = {"left": "left", "right": "right", "inner": "inner", "outer": "full_outer"}[sec["join_type"]]
-        df = join_sources(df, right, sec["join_on"], how, sec.get("columns"), n_joined=n)
+        df = join_sources(df, right, sec["join_on"], how, sec.get("columns"),
+                          nulls_match=sec.get("nulls_match", True), n_joined=n)
     return df

@@ -148,13 +148,15 @@ def with_order(df: DataFrame, file_index: int = 0) -> DataFrame:
 
 
 def read_file(spark: SparkSession, path: str, file_index: int = 0, int_with_nulls: str = "double",
-              encoding: str = "auto", sep: str | None = None, schema: dict | None = None) -> DataFrame:
+              encoding: str = "auto", sep: str | None = None, schema: dict | None = None,
+              multi_line: bool = False) -> DataFrame:
     """A1-A5: ``.csv`` (and any unknown suffix) comma, ``.tsv`` tab, ``.txt``
     sniffed; ``.parquet`` read as is. ``schema`` ({column: Spark type}) skips
     the inference pass: the file is then read once."""
     if Path(path).suffix.lower() == ".parquet":
         return with_order(spark.read.parquet(path), file_index)
-    raw = read_text_table(spark, path, sep=sep, encoding=encoding, file_index=file_index)
+    # multiLine only on request: it makes each file one split
+    raw = read_text_table(spark, path, sep=sep, encoding=encoding, file_index=file_index, multi_line=multi_line)
     if schema:
         return raw.select(*[(F.regexp_replace(_c(c), r"^\s+|\s+$", "").try_cast(schema[c]).alias(c)
                              if c in schema and schema[c] != "string" else _c(c)) for c in raw.columns])

@@ -94,7 +94,7 @@ def expand_configs(configs: list, warnings: list[str]) -> list[dict]:
 
 def _check_source_files(entity: dict) -> dict | None:
     if "source_file" in entity and entity["source_file"]:
-        return {"primary": entity["source_file"], "secondary": []}
+        return {"primary": entity["source_file"], "secondary": [], "multi_line": bool(entity.get("multi_line"))}
     sf = entity.get("source_files")
     if sf is None:
         return None
@@ -115,25 +115,61 @@ def _check_source_files(entity: dict) -> dict | None:
                 raise SpecError(f"join_type must be one of {sorted(JOIN_TYPES)}, got {jt!r}")
             on = s.get("join_on", DEFAULT_PID)
             secs.append({"file": f, "join_on": on if isinstance(on, list) else [on], "join_type": jt,
-                         "columns": s.get("columns")})
+                         "columns": s.get("columns"), "nulls_match": bool(s.get("nulls_match", True))})
         else:
             raise SpecError("secondary element must be a string or a mapping")
-    return {"primary": sf["primary"], "secondary": secs}
+    return {"primary": sf["primary"], "secondary": secs, "multi_line": bool(sf.get("multi_line"))}
+
+
+def _load_yaml(text: str, warnings: list[str]):
+    """``yaml.safe_load`` (the last of duplicate keys wins) with a warning for
+    each duplicate top-level key."""
+    import yaml
+
+    dups: list[str] = []
+
+    class _Loader(yaml.SafeLoader):
+        pass
+
+    def mapping(loader, node, deep=False):
+        keys = [loader.construct_object(k, deep=deep) for k, _ in node.value]
+        if node is getattr(loader, "_root", None):
+            seen = set()
+            for k in keys:
+                if k in seen:
+                    dups.append(str(k))
+                seen.add(k)
+        return yaml.SafeLoader.construct_mapping(loader, node, deep)
+
+    def root(loader):
+        node = loader.get_single_node()
+        if node is None:
+            return None
+        loader._root = node
+        return loader.construct_document(node)
+
+    _Loader.add_constructor(yaml.resolver.BaseResolver.DEFAULT_MAPPING_TAG, mapping)
+    _Loader.get_single_data = root
+    loader = _Loader(text)
+    try:
+        data = loader.get_single_data()
+    finally:
+        loader.dispose()
+    warnings += [f"duplicate spec section {k!r}: the last one is used" for k in dups]
+    return data
 
 
 def load_spec(spec: dict | str | Path, name: str | None = None) -> EntitySpec:
     """Normalise one entity spec (dict, or path to a YAML file)."""
     if isinstance(spec, EntitySpec):
         return spec
+    warnings: list[str] = []
     if isinstance(spec, (str, Path)):
-        import yaml
-
         p = Path(spec)
         name = name or p.stem
-        spec = yaml.safe_load(p.read_text(encoding="utf-8"))
+        spec = _load_yaml(p.read_text(encoding="utf-8"), warnings)
     if not isinstance(spec, dict):
         raise SpecError("a spec must be a mapping")
-    warnings: list[str] = []
     for k in spec:
         if k not in KNOWN_SECTIONS:
             warnings.append(f"unknown spec section ignored: {k!r}")

@@ -120,3 +120,25 @@ def test_odd_column_names(spark, tmp_path):
                          {"source_field": "lab.value", "target_field": "lab"}]}
     got = sorted(tuple(r) for r in map_entity(df, spec).df.collect())
     assert got == [("P1", 1.5), ("P2", 3.0)]
+
+
+def test_multiline_and_nulls_match_options(spark, tmp_path):
+    from cohesion import map_study
+
+    d = tmp_path / "src"
+    d.mkdir()
+    (d / "main.csv").write_text('pid,note\nP1,"two\nlines"\n,orphan\n')
+    (d / "extra.csv").write_text("pid,x\nP1,1\n,2\n")
+    spec = {"entity": {"name": "M", "fields": {"base": ["pid", "note", "x"]},
+                       "source_files": {"primary": "main.csv", "multi_line": True, "secondary": [
+                           {"file": "extra.csv", "join_on": "pid", "nulls_match": False}]}},
+            "mappings": [{"source_field": c, "target_field": c} for c in ("pid", "note", "x")]}
+    got = sorted((tuple(r) for r in map_study(None, {"m": spec}, source_dir=str(d))["m"].df.collect()), key=repr)
+    assert got == sorted([("P1", "two\nlines", 1.0), (None, "orphan", None)], key=repr)
+
+
+def test_duplicate_yaml_sections_warn(tmp_path):
+    p = tmp_path / "x.yaml"
+    p.write_text("entity:\n  name: X\nfilters:\n  a: 1\nfilters:\n  b: 2\n")
+    s = load_spec(p)
+    assert s.filters == {"b": 2} and any("duplicate" in w for w in s.warnings)
