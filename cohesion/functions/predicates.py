@@ -3,7 +3,9 @@
 A condition is ``{field, op|operator, value}``; a list of conditions is an AND;
 ``{any: [...]}`` is an OR and ``{all: [...]}`` an explicit AND, nested freely.
 Comparisons are type-strict like Python: a number never equals a text. The
-result is never null, so it can be used directly in ``filter``/``when``.
+result is never null, so it can be used directly in ``filter``/``when``;
+comparisons are written as ``c IS NOT NULL AND c op v`` (not ``coalesce``)
+so that file scans receive them as pushed filters.
 """
 
 from __future__ import annotations
@@ -55,7 +57,8 @@ def _equals(c: Column, fam: str, v) -> Column:
         return _false()
     if fam == TY.FLOAT and isinstance(v, float) and v != v:
         return _false()
-    return F.coalesce(c == _typed_value(v, fam), _false())
+    # never null, and both conjuncts push down to parquet/ORC scans
+    return c.isNotNull() & (c == _typed_value(v, fam))
 
 
 def _in(c: Column, fam: str, values) -> Column:
@@ -63,7 +66,7 @@ def _in(c: Column, fam: str, values) -> Column:
     has_null = any(v is None for v in values)
     cond = _false()
     if vals:
-        cond = F.coalesce(c.isin([_typed_value(v, fam) for v in vals]), _false())
+        cond = c.isNotNull() & c.isin([_typed_value(v, fam) for v in vals])
     if has_null:
         cond = cond | TY.is_missing(c, fam)
     return cond
@@ -120,7 +123,9 @@ def compile_condition(cond, resolve: Resolver, warnings: list[str] | None = None
             return _false()
         if not TY.comparable(fam, vf) or vf == TY.STRING and fam != TY.STRING and fam != TY.DATETIME:
             raise SpecError(f"cannot order-compare column {field!r} ({fam}) with {value!r}")
-        return F.coalesce(ORDERING_OPS[op](c, _typed_value(value, fam)), _false())
+        cmp = c.isNotNull() & ORDERING_OPS[op](c, _typed_value(value, fam))
+        # Spark orders NaN above every number; in the spec language NaN compares False
+        return cmp & ~F.isnan(c) if fam == TY.FLOAT else cmp
     if op == "regex_match_any":
         if not isinstance(value, list):
             warnings.append(f"regex_match_any on {field!r} skipped: value is not a list")

@@ -114,3 +114,11 @@ def test_formula_semantics(spark):
         _formula(spark, rows, schema, "__import__('os')")
     with pytest.raises(SpecError):
         _formula(spark, rows, schema, "missing_col + 1")
+
+
+def test_nan_compares_false(spark):
+    rows = [(float("nan"),), (5.0,), (None,)]
+    got, _ = _pred(spark, rows, "d double", {"field": "d", "op": "greater_than", "value": 1})
+    assert got == [False, True, False]
+    got, _ = _pred(spark, rows, "d double", {"field": "d", "op": "is_null"})
+    assert got == [True, False, True]

@@ -33,3 +33,10 @@ def test_baseline_filter_prunes_repeat_rows(spark):
 def test_scan_prunes_columns(spark):
     plan = _plan(E.queries()["participant_eligibility"](spark, SF))
     assert "c_name" not in plan  # never read
+
+
+def test_spec_conditions_reach_the_parquet_scan(spark):
+    plan = _plan(E.queries()["map_values_lineitem"](spark, SF))
+    assert "GreaterThan(l_discount,0.05)" in plan.replace(" ", "")
+    plan = _plan(E.queries()["filter_in"](spark, SF))
+    assert "In(o_orderstatus" in plan.replace(" ", "")
