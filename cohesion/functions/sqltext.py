@@ -59,10 +59,17 @@ def py_str(c: str, fam: str) -> str:
     if fam == TY.BOOL:
         return f"(CASE WHEN {c} IS NULL THEN NULL WHEN {c} THEN 'True' ELSE 'False' END)"
     d = f"CAST({c} AS DOUBLE)"
+    js = f"CAST({d} AS STRING)"
+    ex = f"CAST(substring_index({js}, 'E', -1) AS INT)"
+    expo = (f"concat(regexp_replace(substring_index({js}, 'E', 1), '\\\\.0$', ''), 'e', "
+            f"CASE WHEN {ex} < 0 THEN '-' ELSE '+' END, "
+            f"CASE WHEN abs({ex}) < 10 THEN concat('0', CAST(abs({ex}) AS STRING)) ELSE CAST(abs({ex}) AS STRING) END)")
     return (f"(CASE WHEN isnan({d}) THEN 'nan' WHEN {d} = CAST('Infinity' AS DOUBLE) THEN 'inf' "
             f"WHEN {d} = CAST('-Infinity' AS DOUBLE) THEN '-inf' "
             f"WHEN {d} = floor({d}) AND abs({d}) < 1e16 THEN concat(CAST(CAST({d} AS BIGINT) AS STRING), '.0') "
-            f"ELSE CAST({d} AS STRING) END)")
+            f"WHEN abs({d}) >= 1e-4 AND abs({d}) < 1e16 "
+            f"THEN regexp_replace(CAST(try_cast({d} AS DECIMAL(38,18)) AS STRING), '0+$', '') "
+            f"WHEN {js} LIKE '%E%' THEN {expo} ELSE {js} END)")
 
 
 def to_family(c: str, src: str, dst: str) -> str:

@@ -105,14 +105,26 @@ def py_str(c: Column, fam: str) -> Column:
     if fam == INT:
         return c.cast("string")
     if fam == FLOAT:
+        # Python's repr: whole numbers as "1.0"; plain decimals for 1e-4 <= |x| < 1e16;
+        # exponent form "1e-05" / "1.5e+16" outside (Java prints "1.0E-5" / "1.5E16").
         d = c.cast("double")
         whole = (d == F.floor(d)) & (F.abs(d) < F.lit(1e16))
+        plain = (F.abs(d) >= F.lit(1e-4)) & (F.abs(d) < F.lit(1e16))
+        dec = F.regexp_replace(d.try_cast("decimal(38,18)").cast("string"), "0+$", "")
+        js = d.cast("string")
+        mant = F.regexp_replace(F.substring_index(js, "E", 1), r"\.0$", "")
+        ex = F.substring_index(js, "E", -1).cast("int")
+        expo = F.concat(mant, F.lit("e"), F.when(ex < 0, F.lit("-")).otherwise(F.lit("+")),
+                        F.when(F.abs(ex) < 10, F.concat(F.lit("0"), F.abs(ex).cast("string")))
+                        .otherwise(F.abs(ex).cast("string")))
         return (
             F.when(F.isnan(d), F.lit("nan"))
             .when(d == F.lit(float("inf")), F.lit("inf"))
             .when(d == F.lit(float("-inf")), F.lit("-inf"))
             .when(whole, F.concat(d.cast("long").cast("string"), F.lit(".0")))
-            .otherwise(d.cast("string"))
+            .when(plain, dec)
+            .when(js.contains("E"), expo)
+            .otherwise(js)
         )
     if fam == BOOL:
         return F.when(c.isNull(), F.lit(None)).when(c, F.lit("True")).otherwise(F.lit("False"))

@@ -122,3 +122,15 @@ def test_nan_compares_false(spark):
     assert got == [False, True, False]
     got, _ = _pred(spark, rows, "d double", {"field": "d", "op": "is_null"})
     assert got == [True, False, True]
+
+
+def test_py_str_matches_python_repr_for_doubles(spark):
+    from cohesion.functions import sqltext as Q
+
+    vals = [0.1, 0.30000000000000004, 12345678.9, 1e-05, 1.5e-07, 1e16, 1.2345e20, 0.0001, 0.00012, -2.5,
+            100.0, 1e300, 123456789012.345, 2.5e-4, 12345678.0, -7.25e-9]
+    df = spark.createDataFrame([(v,) for v in vals], "d double")
+    got = [tuple(r) for r in df.select(TY.py_str(F.col("d"), TY.FLOAT),
+                                       F.expr(Q.py_str("d", TY.FLOAT))).collect()]
+    assert [g[0] for g in got] == [str(v) for v in vals]
+    assert [g[1] for g in got] == [str(v) for v in vals]
