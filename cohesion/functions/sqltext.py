@@ -172,3 +172,15 @@ def duration_in_days(start, end) -> str:
         return "CAST(NULL AS BIGINT)"
     d = f"CAST(datediff({parse_date(*end)}, {parse_date(*start)}) AS BIGINT)"
     return f"(CASE WHEN {d} >= 0 THEN {d} END)"
+
+
+def age_from_parsed(birth, event, b: str, e: str, fallback: str | None, offset=None) -> str:
+    """``age_in_days`` over already parsed dates ``b``/``e`` (column references)
+    and an already computed fallback age ``fallback``."""
+    (bc, bf), (ec, ef) = birth, event
+    fb = fallback or "CAST(NULL AS BIGINT)"
+    diff = f"CAST(datediff({e}, {b}) AS BIGINT)"
+    if offset is not None:
+        diff = f"({diff} + coalesce({int_trunc(*offset)}, CAST(0 AS BIGINT)))"
+    present = f"NOT {is_missing(bc, bf)} AND NOT {is_missing(ec, ef)} AND {b} IS NOT NULL AND {e} IS NOT NULL"
+    return f"(CASE WHEN {present} THEN (CASE WHEN {diff} >= 0 THEN {diff} END) ELSE {fb} END)"

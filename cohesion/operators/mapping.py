@@ -64,6 +64,7 @@ class Fold:
         self.fam: dict[str, str] = {}
         self.simple: dict[str, bool] = {}
         self.name: dict[str, str | None] = {}
+        self._helpers: dict[str, str] = {}
         self._n = 0
         for t in declared:
             self._add(t)
@@ -99,6 +100,16 @@ class Fold:
         if cols:
             self.df = self.df.withColumns(cols)
 
+    def helper(self, sql: str) -> str:
+        """A derived source value (e.g. a parsed date) as a column, computed once
+        and shared by every mapping that needs it; returns its SQL reference."""
+        name = self._helpers.get(sql)
+        if name is None:
+            name = f"__h{len(self._helpers)}"
+            self.df = self.df.withColumn(name, F.expr(sql))
+            self._helpers[sql] = name
+        return f"`{name}`"
+
     def prev_sql(self, t: str) -> tuple[str, str]:
         """The previous value as SQL text (materialised first when needed)."""
         self._add(t)
@@ -387,9 +398,15 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
         def q(k):
             return src.sql(p.get(k)) if p.get(k) else None
 
-        age = F.expr(Q.age_in_days(q("birth_date_field"), q("event_date_field"), q("age_fallback_field"),
-                                   q("event_offset_field")))
-        return {targets: set_if_not_null(fold.prev(targets), (age, TY.INT))}
+        birth, event, fb, off = q("birth_date_field"), q("event_date_field"), q("age_fallback_field"), \
+            q("event_offset_field")
+        fb_ref = fold.helper(Q.age_with_units(*fb)) if fb else None
+        if birth is None or event is None:
+            age_sql = fb_ref or "CAST(NULL AS BIGINT)"
+        else:
+            age_sql = Q.age_from_parsed(birth, event, fold.helper(Q.parse_date(*birth)),
+                                        fold.helper(Q.parse_date(*event)), fb_ref, off)
+        return {targets: set_if_not_null(fold.prev(targets), (F.expr(age_sql), TY.INT))}
 
     if ttype == "note":
         fields = m.get("source_field", [])
