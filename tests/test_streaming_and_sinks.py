@@ -65,3 +65,15 @@ def test_join_key_type_clash_is_a_plan_error(spark):
     b = spark.createDataFrame([(1, "y")], "k long, b string")
     with pytest.raises(SpecError):
         join_sources(a, b, ["k"])
+
+
+def test_study_runner_cli(spark, tmp_path):
+    from cohesion.__main__ import main
+
+    out = tmp_path / "mapped"
+    rc = main(["--study", os.path.join(FIXTURES, "pr12", "specs"), "--input-dir",
+               os.path.join(FIXTURES, "pr12", "source"), "--output", str(out)])
+    assert rc == 0
+    assert read_file(spark, str(out / "participant.csv")).count() == 6
+    assert read_file(spark, str(out / "diagnosis.csv")).count() == 5
+    assert (out / "validation_report.csv").exists()
