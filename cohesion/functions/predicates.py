@@ -150,7 +150,7 @@ def df_resolver(df) -> Resolver:
 
     def resolve(name):
         if name in fams:
-            return F.col(f"`{name}`"), fams[name]
+            return F.expr("`" + name.replace("`", "``") + "`"), fams[name]
         return None
 
     return resolve

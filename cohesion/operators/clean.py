@@ -25,7 +25,7 @@ AUTO_SAMPLE = 100
 
 
 def _c(n: str) -> Column:
-    return F.col(f"`{n}`")
+    return F.expr("`" + n.replace("`", "``") + "`")
 
 
 def _fams(df: DataFrame) -> dict[str, str]:

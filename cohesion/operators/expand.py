@@ -25,7 +25,7 @@ VID = "__vid"
 
 
 def _c(n: str) -> Column:
-    return F.col(f"`{n}`")
+    return F.expr("`" + n.replace("`", "``") + "`")
 
 
 def expand(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> tuple[DataFrame, Fold]:

@@ -34,7 +34,7 @@ class Source:
 
     def get(self, name) -> Typed | None:
         if isinstance(name, str) and name in self.fams:
-            return F.col(f"`{name}`"), self.fams[name]
+            return F.expr("`" + name.replace("`", "``") + "`"), self.fams[name]
         return None
 
     def sql(self, name) -> tuple[str, str] | None:

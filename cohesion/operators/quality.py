@@ -23,7 +23,7 @@ REPORT_SCHEMA = T.StructType([
 
 
 def _c(n: str) -> Column:
-    return F.col(f"`{n}`")
+    return F.expr("`" + n.replace("`", "``") + "`")
 
 
 def rule_columns(df: DataFrame, validations: list) -> list[tuple[str, str, Column]]:

@@ -28,7 +28,7 @@ def _fams(df: DataFrame) -> dict[str, str]:
 
 
 def _c(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return F.expr("`" + name.replace("`", "``") + "`")
 
 
 def condition(df: DataFrame, cond, warnings: list[str]) -> Column:

@@ -22,7 +22,7 @@ SUFFIX = "_secondary"
 
 
 def _c(n: str) -> Column:
-    return F.col(f"`{n}`")
+    return F.expr("`" + n.replace("`", "``") + "`")
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:

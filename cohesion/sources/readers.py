@@ -40,7 +40,7 @@ _FLOAT_RX = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|inf|Inf|IN
 
 
 def _c(n: str) -> Column:
-    return F.col(f"`{n}`")
+    return F.expr("`" + n.replace("`", "``") + "`")
 
 
 def hadoop_exists(spark: SparkSession, path: str) -> bool:

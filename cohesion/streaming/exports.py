@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions import sqltext as Q
 from ..plans.engine import map_study
 from ..sources import readers as RD
 from ..sources.sinks import write_study
@@ -38,11 +39,10 @@ def map_exports_stream(spark: SparkSession, source_dir: str, specs: dict, out_di
               .option("maxFilesPerTrigger", 1).csv(source_dir))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        cols = [c for c in batch.columns]
-        from pyspark.sql import functions as F
-
-        text = batch.select(*[F.when(~F.col(f"`{c}`").isin(RD.NULL_TOKENS), F.col(f"`{c}`")).alias(c)
-                              for c in cols])
+        cols = list(batch.columns)
+        tokens = ", ".join(Q.lit(t) for t in RD.NULL_TOKENS)
+        text = batch.selectExpr(*[f"CASE WHEN {Q.ident(c)} NOT IN ({tokens}) THEN {Q.ident(c)} END AS {Q.ident(c)}"
+                                  for c in cols])
         typed = RD.infer_types(RD.with_order(text, 0), int_with_nulls)
         results = map_study(typed, specs)
         write_study(results, f"{out_dir.rstrip('/')}/batch={batch_id}", fmt)
