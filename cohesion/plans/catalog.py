@@ -1134,3 +1134,31 @@ def _study_shared(spark, sf):
 
 
 ORACLE["study_shared_selection"] = ORACLE["study_all_entities"]
+
+
+# ------------------------------------------------------------------ events: flags per user, expanded
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+EVENTS_EXPANSION = {
+    "entity": {"name": "Event", "fields": {"base": ["submitter_participant_id", "event_code", "event_term",
+                                                    "submitter_event_id"]}, "pattern": "expansion"},
+    "filters": {"participant_id_field": "user_id"},
+    "mappings": [{"source_field": "user_id", "target_field": "submitter_participant_id"},
+                 {"target_field": "submitter_event_id", "target_type": "identifier",
+                  "params": {"prefix_field": "user_id", "type": "event", "suffix_fields": ["source_field_name"]}}],
+    "configs": [{"source_field": f"has_{t}", "code": f"EV:{t}", "term": t} for t in EVENT_TYPES],
+}
+
+
+@q("expand_events", "\nUNION ALL ".join(
+    f"SELECT user_id AS submitter_participant_id, 'EV:{t}' AS event_code, '{t}' AS event_term, "
+    f"CAST(user_id AS VARCHAR) || '_event_has_{t}' AS submitter_event_id "
+    f"FROM (SELECT user_id, max(CASE WHEN event_type = '{t}' THEN 1 ELSE 0 END) AS f FROM events "
+    f"WHERE user_id IS NOT NULL GROUP BY user_id) WHERE f = 1" for t in EVENT_TYPES))
+def _expand_events(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    # one row per user with a 0/1 flag per event type: a partial aggregation, no pivot scan
+    flags = ev.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(*[
+        F.max(F.when(F.col("event_type") == t, 1).otherwise(0)).cast("long").alias(f"has_{t}")
+        for t in EVENT_TYPES])
+    return map_entity(flags, EVENTS_EXPANSION).df
