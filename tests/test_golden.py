@@ -66,3 +66,20 @@ def test_example_study_with_shared_selections(example):
             assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, gold.values.tolist())), entity
     finally:
         release(res)
+
+
+def test_metrics_all_and_release(example, spark):
+    src, specs = example
+    from cohesion.plans.engine import release
+
+    r = map_entity(src, specs["measurement"], metrics="all")
+    r.df.write.format("noop").mode("overwrite").save()
+    assert r.counts() == {"input": 9, "selected": 9, "output": 9}
+
+    res = map_study(src, {k: specs[k] for k in ("participant", "demographic")}, share="persist")
+    shared = res["participant"].shared
+    assert shared is not None and shared is res["demographic"].shared  # one selection for equal filters
+    res["participant"].df.count()
+    assert shared.storageLevel.useDisk or shared.storageLevel.useMemory
+    release(res)
+    assert not shared.storageLevel.useMemory and not shared.storageLevel.useDisk
