@@ -42,6 +42,16 @@ class EntityResult:
             return quality.empty_report(self.df.sparkSession)
         return quality.validation_report(self.df, self.validations, self.name)
 
+    def explain(self, mode: str = "formatted") -> str:
+        """The entity's physical plan as text (``DataFrame.explain`` modes)."""
+        import contextlib
+        import io
+
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            self.df.explain(mode)
+        return buf.getvalue()
+
     def counts(self) -> dict[str, int | None]:
         """Observed row counts (filled once an action has run on ``df``)."""
         out = {}

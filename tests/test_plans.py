@@ -40,3 +40,12 @@ def test_spec_conditions_reach_the_parquet_scan(spark):
     assert "GreaterThan(l_discount,0.05)" in plan.replace(" ", "")
     plan = _plan(E.queries()["filter_in"](spark, SF))
     assert "In(o_orderstatus" in plan.replace(" ", "")
+
+
+def test_entity_result_explain(spark):
+    from cohesion import map_entity
+    from cohesion.plans.catalog import ENTITY_DIRECT
+    from cohesion.plans.wide import ORDER_COL, wide
+
+    text = map_entity(wide(spark, SF), ENTITY_DIRECT, order_by=ORDER_COL).explain()
+    assert "Physical Plan" in text and "Window" not in text
