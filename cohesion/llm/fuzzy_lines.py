@@ -80,36 +80,27 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, d1, line) of every occurrence to drop, d1 being the text's key."""
     d = docs.select("doc_id", "k1", "text")
 
+    def keys():
+        def f(cols):
+            found = [(doc, d1, i, len(s), *line_key(s)) for doc, d1, text in zip(cols["doc_id"], cols["k1"], cols["text"]) for i, s in prepared(text)]
+            return dict(zip(("doc_id", "d1", "line", "size", "k1", "k2"), map(list, zip(*found)) if found else [[]] * 6))
+
+        return f
+
     def sign():
         def f(cols):
-            out = {k: [] for k in ("doc_id", "d1", "line", "size", "k1", "k2", "bands")}
-            which: list[int] = []
-            known: dict[str, int] = {}
-            for doc, d1, text in zip(cols["doc_id"], cols["k1"], cols["text"]):
-                for i, s in prepared(text):
-                    which.append(known.setdefault(s, len(known)))
-                    out["doc_id"].append(doc)
-                    out["d1"].append(d1)
-                    out["line"].append(i)
-                    out["size"].append(len(s))
-            todo = list(known)
-            keys = [line_key(s) for s in todo]
-            out["k1"], out["k2"] = [keys[w][0] for w in which], [keys[w][1] for w in which]
+            todo = list({s: 0 for text in cols["text"] for _, s in prepared(text)})  # the equal lines of a batch once
             bands = band_hashes(signatures(todo), BANDS, ROWS) if todo else []
-            once = set()
-            for w in which:  # the equal lines of a batch carry their bands once
-                out["bands"].append(None if w in once else bands[w])
-                once.add(w)
-            return out
+            return {"id": [line_key(s)[0] for s in todo], "bands": list(bands)}
 
         return f
 
-    signed = cut(arrow_map(d, "doc_id long, d1 long, line int, size int, k1 long, k2 long, bands array<long>", sign), "lines")
+    signed = cut(arrow_map(d, "doc_id long, d1 long, line int, size int, k1 long, k2 long", keys), "lines")
     total = signed.count()
     lines = cut(signed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "d1", "line")).alias("first"), F.count("*").alias("copies"), F.min("size").alias("n"))
                 .withColumn("id", F.monotonically_increasing_id()), "distinct")
     # the candidate graph goes by k1 alone: two lines that share it by chance are merely candidates
-    candidates = components(bucket_edges(signed.where("bands is not null").select(F.col("k1").alias("id"), "bands")))
+    candidates = components(bucket_edges(arrow_map(d.select("text"), "id long, bands array<long>", sign)))
     block = cut(candidates.select(F.col("id").alias("k1"), F.col("root").alias("block")), "blocks")
     near = cut(chunked(lines.join(block, "k1")), "members")
     words = key_filter(near, "k1", near.count())
@@ -149,7 +140,19 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def drop_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, n_lines, n_kept, text without the dropped lines."""
     d = keyed(docs)
-    gone = line_classes(d, threshold).groupBy("doc_id", F.col("d1").alias("k1")).agg(F.collect_list("line").alias("gone"))
+    gone = cut(line_classes(d, threshold).groupBy("doc_id", F.col("d1").alias("k1")).agg(F.collect_list("line").alias("gone")), "gone")
+    # texts that lose nothing, which a small filter tells for most, are not moved to meet their dropped lines
+    words = key_filter(gone, "k1", gone.count())
+
+    def part(moved: bool):
+        def make():
+            def f(cols):
+                keep = np.flatnonzero(may_hold(words, cols["k1"]) == moved)
+                return {c: [cols[c][i] for i in keep] for c in ("doc_id", "k1", "text")}
+
+            return f
+
+        return arrow_map(d.select("doc_id", "k1", "text"), "doc_id long, k1 long, text string", make)
 
     def rebuild():
         def f(cols):
@@ -167,5 +170,6 @@ def drop_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
         return f
 
-    joined = d.select("doc_id", "k1", "text").join(gone, ["doc_id", "k1"], "left").select("doc_id", "text", "gone")
+    joined = (part(True).join(gone, ["doc_id", "k1"], "left").select("doc_id", "text", "gone")
+              .unionByName(part(False).select("doc_id", "text", F.lit(None).cast("array<int>").alias("gone"))))
     return arrow_map(joined, "doc_id long, n_lines long, n_kept long, text string", rebuild)

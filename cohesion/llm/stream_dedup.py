@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, shared_path, text_or_empty
-from .near import join_per_key
+from .near import HOT, join_per_key
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -68,7 +68,13 @@ def dedup_files(spark: SparkSession, path: str, checkpoint: str | None = None) -
     state = stream_state(spark, path, checkpoint or shared_path(spark, "dedup-stream"))
     rows = normalised(spark.read.parquet(path))
     total = int(state.agg(F.sum("n")).first()[0] or 0)
-    checked = rows.groupBy("digest").agg(F.min("norm").alias("least"), F.max("norm").alias("greatest"))
+    # digests with a large share of the rows are few and known to every task, which combines their texts before
+    # the shuffle; the texts of the others meet by digest
+    hits = state.where("n > 1").select("digest", "n")
+    hot, cold = hits.where(F.col("n") * HOT >= total).select("digest"), hits.where(F.col("n") * HOT < total).select("digest")
+    ends = (F.min("norm").alias("least"), F.max("norm").alias("greatest"))
+    checked = (rows.join(F.broadcast(hot), "digest", "left_semi").groupBy("digest").agg(*ends)
+               .unionByName(rows.join(F.broadcast(hot), "digest", "left_anti").join(cold, "digest", "left_semi").groupBy("digest").agg(*ends)))
     collided = cut(checked.where("least != greatest").select("digest"), "collided")
     light = rows.select("id", "file", "row", "digest")
     out = join_per_key(light, state.withColumn("many", F.col("n")), ["digest"], "many", total)
