@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut
+from .near import join_per_key
 
 #: A subtree is template if it is on at least this many pages of a host, and on at least this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.02
@@ -204,19 +205,19 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def _signed(h: int) -> int:
+def of_host(host: str, subtree: int) -> int:
+    """A subtree's hash on that host, as a signed long."""
+    h = xxhash.xxh64_intdigest(f"{host} {subtree}")
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """(key, host, hash array) of every distinct page: its subtrees that may be template."""
+    """(key, host, hash array) of every distinct page: its subtrees that may be template, hashed with the host."""
     def make():
         def f(cols):
-            out = {"key": [], "host": [], "hash": []}
-            for key, url, source in zip(cols["key"], cols["url"], cols["html"]):
-                out["key"].append(key)
-                out["host"].append(host_of(url))
-                out["hash"].append([_signed(h) for h in subtrees(parse(source))])
+            out = {"key": cols["key"], "host": [host_of(u) for u in cols["url"]], "hash": []}
+            for host, source in zip(out["host"], cols["html"]):
+                out["hash"].append([of_host(host, h) for h in subtrees(parse(source))])
             return out
 
         return f
@@ -226,33 +227,34 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
 
 
 def site_templates(seen: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hash) of the subtrees that recur on many pages of a host. Counts are combined before the
-    shuffle, so a host with a third of the pages moves no more than its distinct subtrees."""
-    per_host = seen.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = seen.select("host", F.explode("hash").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
-    return (counts.where(F.col("n") >= min_pages).join(per_host, "host")
-            .where(F.col("n") >= F.col("pages") * min_share).select("host", "hash"))
+    """(key, template) from page_subtrees: the hashes to delete from each page, as they recur on its host. Counts
+    are combined before the shuffle, so a host with a third of the pages moves no more than its distinct subtrees."""
+    pages = seen.groupBy("host").agg(F.count("*").alias("pages"))
+    total = seen.count()
+    rows = cut(join_per_key(seen, pages.withColumn("need", F.greatest(F.lit(min_pages), F.ceil(F.col("pages") * min_share)).cast("int")), ["host"], "pages", total)
+               .select(F.monotonically_increasing_id().alias("page"), "key", "need", "hash"), "subtrees")
+    each = rows.select("page", "need", F.explode("hash").alias("hash"))
+    recurring = cut(each.groupBy("hash").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").drop("need"), "templates")
+    spots = int(recurring.agg(F.sum("n")).first()[0] or 0)
+    marked = join_per_key(each.drop("need"), recurring, ["hash"], "n", spots).groupBy("page").agg(F.collect_list("hash").alias("template"))
+    return rows.select("page", "key").join(marked, "page").drop("page")
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages."""
     p = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     p = p.withColumn("key", F.md5(F.concat_ws("\0", F.coalesce("url", F.lit("")), "html")))
-    seen = cut(page_subtrees(p), "subtrees")
-    template = site_templates(seen, min_pages, min_share)
-    marked = (seen.select("key", "host", F.explode("hash").alias("hash")).join(template, ["host", "hash"])
-              .groupBy("key").agg(F.collect_list("hash").alias("template")))
+    marked = site_templates(cut(page_subtrees(p), "pages"), min_pages, min_share)
     joined = p.join(marked, "key", "left")
 
     def make():
         def f(cols):
             out = {"page_id": cols["page_id"], "url": cols["url"], "text": [], "n_chars": []}
-            for source, template in zip(cols["html"], cols["template"]):
-                root = parse(source)
-                drop = frozenset()
+            for url, source, template in zip(cols["url"], cols["html"], cols["template"]):
+                root, drop = parse(source), frozenset()
                 if template:
-                    subtrees(root)
-                    drop = frozenset(h & (2**64 - 1) for h in template)
+                    host, template = host_of(url), set(template)
+                    drop = {h for h in subtrees(root) if of_host(host, h) in template}
                 text = "\n".join(blocks(root, drop))
                 out["text"].append(text)
                 out["n_chars"].append(len(text))
