@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -170,6 +171,10 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, r
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs, all columns, that are the first of their class."""
     gone = cut(classes(docs, **options).where("not kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct(), "gone")
+    words = key_filter(gone, "_k1", gone.count())
+    maybe = F.pandas_udf(lambda k: pd.Series(may_hold(words, k.to_numpy())), "boolean")
     text = text_or_empty()
-    return docs.join(gone, (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col("_id")) & (F.xxhash64(text) == F.col("_k1"))
-                     & (F.xxhash64(F.lit(1), text) == F.col("_k2")), "left_anti")
+    at = docs.withColumn("_gone", maybe(F.xxhash64(text)))  # only rows the small filter holds move to meet the list
+    left = at.where("_gone").join(gone.hint("merge"), (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col("_id")) & (F.xxhash64(text) == F.col("_k1"))
+                                  & (F.xxhash64(F.lit(1), text) == F.col("_k2")), "left_anti")
+    return at.where("not _gone").unionByName(left).select(*docs.columns)
