@@ -44,6 +44,7 @@ def stream_state(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each of many small stores reserves MBs
     }
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
