@@ -75,7 +75,7 @@ def dedup_files(spark: SparkSession, path: str, checkpoint: str | None = None) -
     hot, cold = hits.where(F.col("n") * HOT >= total).select("digest"), hits.where(F.col("n") * HOT < total).select("digest")
     ends = (F.min("norm").alias("least"), F.max("norm").alias("greatest"))
     checked = (rows.join(F.broadcast(hot), "digest", "left_semi").groupBy("digest").agg(*ends)
-               .unionByName(rows.join(F.broadcast(hot), "digest", "left_anti").join(cold, "digest", "left_semi").groupBy("digest").agg(*ends)))
+               .unionByName(rows.join(F.broadcast(hot), "digest", "left_anti").join(cold.hint("merge"), "digest", "left_semi").groupBy("digest").agg(*ends)))
     collided = cut(checked.where("least != greatest").select("digest"), "collided")
     light = rows.select("id", "file", "row", "digest")
     out = join_per_key(light, state.withColumn("many", F.col("n")), ["digest"], "many", total)
@@ -101,4 +101,4 @@ def keep_first(docs: DataFrame) -> DataFrame:
     gone = cut(dedup_files(spark, path).where("not kept").select(F.col("file").alias("_file"), F.col("row").alias("_row")), "gone")
     rows = spark.read.schema(docs.schema).parquet(path)
     return (rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
-            .join(gone, ["_file", "_row"], "left_anti").select(*docs.columns))
+            .join(gone.hint("merge"), ["_file", "_row"], "left_anti").select(*docs.columns))
