@@ -1,0 +1,302 @@
+"""Each operator against a brute-force version, and on nulls, empty and long texts, repeated rows and empty tables."""
+import collections
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from cohesion.llm import bpe, fingerprints, fuzzy_lines, html_template, licenses, near, ngram_join, packing, quality_crf, stream_dedup, token_edits
+
+BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+SYLLABLES = "ka lo mi tu re sa no vi pe da gu fo".split()
+
+
+def words(rng, n):
+    return ["".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Documents with copies, near copies, nulls, empty texts, a very long text, repeated rows and a null id."""
+    rng = random.Random(3)
+    out = []
+    for i in range(0, 60):
+        w = words(rng, rng.randint(30, 90))
+        out.append((i, " ".join(w[:20]) + "\n" + " ".join(w[20:])))
+    for i in range(60, 75):
+        w = out[i % 7][1].split(" ")
+        w[rng.randrange(len(w))] = "changed"
+        out.append((i, " ".join(w)))
+    out += [(i, out[3][1].upper() if i % 2 else out[3][1]) for i in range(75, 85)]
+    out += [(85, None), (86, ""), (87, " \n\n "), (88, "one"), (89, " ".join(words(rng, 30_000))), (90, "Ünï 日本 <|endoftext|> \x1c 😀"), (90, "other"), (3, out[3][1]), (3, out[3][1]), (None, "no id here at all"), (None, None)]
+    return out
+
+
+def test_bpe_equals_the_library(spark, make_docs, rows):
+    tok = Tokenizer.from_file(BYTE)
+    got = collections.Counter(tuple(r) for r in bpe.encode_documents(make_docs(rows), BYTE, ids=False).collect())
+    want = collections.Counter()
+    for i, t in rows:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        want[(i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest())] += 1
+    assert got == want
+    assert bpe.encode_documents(make_docs([]), BYTE).collect() == []
+
+
+def test_edits_keep_the_count(rows):
+    tok = Tokenizer.from_file(BYTE)
+    tok.encode_special_tokens = True
+    rng, b = random.Random(1), bpe.load_bpe(BYTE)
+    alphabet = [*" \n\t\x1c\x85aAbé'sT12²!.日😀", "  ", "\n\n", "'ll", " the"]
+    for _ in range(400):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))
+        tree = token_edits.CountTree(b, text)
+        for _ in range(6):
+            at, n, new = rng.randint(0, len(text) + 2), rng.randint(0, 6), "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 5)))
+            tree.edit(at, n, new)
+            at = min(at, len(text))
+            text = text[:at] + new + text[at + n:]
+            assert (tree.text(), tree.chars[1], tree.tokens[1]) == (text, len(text), len(tok.encode(text, add_special_tokens=False).ids))
+
+
+def test_edit_counts_over_a_table(spark, make_docs, rows):
+    edits = spark.createDataFrame([(0, 1, 5, 3, "new words"), (0, 2, 0, 0, "x "), (88, 1, 0, 99, None), (None, 1, 0, 1, "n")], "doc_id long, seq int, start long, length long, replacement string")
+    got = {(r.doc_id, r.n_edits): r for r in token_edits.count_tokens(token_edits.with_edits(make_docs(rows), edits), BYTE).collect()}
+    text = rows[0][1]
+    text = "x " + text[:5] + "new words" + text[8:]
+    assert got[(0, 2)].edited_tokens == len(bpe.load_bpe(BYTE).encode(text)) and got[(0, 2)].edited_chars == len(text)
+    assert got[(88, 1)].edited_tokens == 0 and got[(85, 0)].n_tokens == 0
+
+
+def test_packing_holds_every_id_once(spark, make_docs, rows):
+    tok = Tokenizer.from_file(WORD)
+    ids = collections.Counter()
+    for i, t in rows:
+        ids[(i, tuple(tok.encode(t or "", add_special_tokens=False).ids + [2]))] += 1
+    got = packing.pack(make_docs(rows), WORD, group_pieces=40).collect()
+    by_doc = collections.defaultdict(list)
+    for (i, seq), n in ids.items():
+        by_doc[i] += [np.array(seq, np.uint32)] * n
+    assert sum(r.length for r in got) == sum(len(s) * n for (_, s), n in ids.items())
+    for r in got:
+        assert any(len(s) == r.doc_tokens and zlib.crc32(s[r.start:r.start + r.length].tobytes()) == r.ids_crc32 for s in by_doc[r.doc_id])
+    seqs = collections.defaultdict(list)
+    for r in got:
+        seqs[r.sequence_id].append((r.offset, r.length))
+    for s in seqs.values():
+        at = 0
+        for offset, n in sorted(s):
+            assert offset == at
+            at += n
+        assert at <= 4096
+    assert packing.pack(make_docs([]), WORD).collect() == []
+
+
+def test_best_fit_takes_the_tightest_window():
+    rng, fit, open_ = random.Random(5), packing.BestFit(100), {}
+    for n in sorted((rng.randint(1, 100) for _ in range(500)), reverse=True):
+        room = [c for c in open_.values() if c >= n]
+        w, at = fit.place(n)
+        assert at == (100 - min(room) if room else 0)
+        open_[w] = open_.get(w, 100) - n
+
+
+def test_stream_dedup(spark, make_docs, rows, tmp_path):
+    path = str(tmp_path / "documents")
+    make_docs(rows).repartition(3).write.parquet(path)
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[(t or "").translate(low)].append(i)
+    top = lambda g: max((i for i in g if i is not None), default=None)
+    want = collections.Counter((i, top(g), len(g), hashlib.sha256(t.encode()).hexdigest()) for t, g in groups.items() for i in g)
+    got = stream_dedup.dedup_report(spark, path).collect()
+    assert collections.Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
+    assert sum(r.kept for r in got) == len(groups)
+    kept = stream_dedup.keep_first(make_docs(rows))
+    assert kept.count() == len(groups) and kept.columns == make_docs(rows).columns
+
+
+def test_stream_state_goes_on_from_its_checkpoint(spark, make_docs, tmp_path):
+    path, checkpoint = str(tmp_path / "in"), str(tmp_path / "state")
+    make_docs([(1, "a"), (2, "b")]).write.parquet(path)
+    assert sorted(r.n for r in stream_dedup.stream_state(spark, path, checkpoint).collect()) == [1, 1]
+    make_docs([(3, "A")]).write.mode("append").parquet(path)
+    assert sorted((r.n, r.keep.id) for r in stream_dedup.stream_state(spark, path, checkpoint).collect()) == [(1, 2), (2, 3)]
+
+
+def grams(t):
+    w = (t or "").lower().split()
+    k = min(5, len(w))
+    return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+
+
+def roots(sets, threshold):
+    """Components and link counts by comparing every pair."""
+    root, links = list(range(len(sets))), [0] * len(sets)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and len(a & sets[j]) >= threshold * len(a | sets[j]) - 1e-9:
+                links[i] += 1
+                links[j] += 1
+                old, new = root[i], root[j]
+                root = [new if r == old else r for r in root]
+    return root, links
+
+
+def test_ngram_join(spark, make_docs, rows):
+    texts = sorted({t or "" for _, t in rows})
+    root, links = roots([grams(t) for t in texts], 0.8)
+    at = {t: k for k, t in enumerate(texts)}
+    members = collections.defaultdict(list)
+    for i, t in rows:
+        members[root[at[t or ""]]].append(-1 if i is None else i)
+    want = collections.Counter((i, min(members[root[at[t or ""]]]), links[at[t or ""]], len(members[root[at[t or ""]]])) for i, t in rows)
+    got = ngram_join.classes(make_docs(rows)).collect()
+    assert collections.Counter((r.doc_id, -1 if r.class_id is None else r.class_id, r.n_links, r.class_size) for r in got) == want
+    assert any(n for _, _, n, _ in want)
+    kept = ngram_join.keep_one(make_docs([(i, t) for i, t in rows if i not in (None, 3, 90)]))
+    left = [(i, t) for i, t in rows if i not in (None, 3, 90)]
+    r2, _ = roots([grams(t) for t in texts], 0.8)
+    assert kept.count() == len({r2[at[t or ""]] for _, t in left})
+    assert ngram_join.classes(make_docs([])).collect() == []
+
+
+def test_verification_in_chunks_finds_the_same(spark, monkeypatch):
+    monkeypatch.setattr(near, "CHUNK", 60)
+    rng = random.Random(2)
+    base = list(range(40))
+    sets = [sorted({*rng.sample(base, 37), 100 + i}) for i in range(12)]
+    members = spark.createDataFrame([(i, len(s), 0) for i, s in enumerate(sets)], "id long, n int, block long")
+    items = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "id long, items array<long>")
+    got = near.verify(near.chunked(members).join(items, "id"), 0.8).groupBy("id").sum("links").collect()
+    _, links = roots([frozenset(s) for s in sets], 0.8)
+    assert {i: n for i, n in got if n} == {i: n for i, n in enumerate(links) if n} and any(links)
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(i + 1, i) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(30)]
+    got = {r.id: r.root for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    label = {x: x for e in edges for x in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    assert got == {x: r for x, r in label.items() if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_fuzzy_lines(spark, make_docs, rows):
+    rows = [r for r in rows if r[0] not in (None, 89)]
+    occurrences = collections.defaultdict(set)
+    key = {t: ngram_join.keyed(make_docs([(0, t)])).first().k1 for t in {t for _, t in rows if _ in (90,)}}
+    for i, t in rows:
+        for k, s in fuzzy_lines.prepared(t or ""):
+            occurrences[s].add((i, key.get(t, 0), k, t))
+    lines = sorted(occurrences)
+    sets = [frozenset(s[j:j + 8] for j in range(len(s) - 7)) or frozenset([s]) for s in lines]
+    root, _ = roots(sets, 0.8)
+    groups = collections.defaultdict(list)
+    for s, r in zip(lines, root):
+        groups[r] += occurrences[s]
+    gone = collections.defaultdict(set)
+    for g in groups.values():
+        for i, _, k, t in sorted(g, key=lambda x: x[:3])[1:]:
+            gone[(i, t)].add(k)
+    want = collections.Counter((i, "\n".join(x for k, x in enumerate((t or "").split("\n")) if k not in gone[(i, t)])) for i, t in rows)
+    assert collections.Counter((r.doc_id, r.text) for r in fuzzy_lines.drop_lines(make_docs(rows)).collect()) == want
+
+
+def test_fingerprints(spark, make_docs):
+    rng = random.Random(6)
+    docs = [(i, " ".join(words(rng, n))) for i, n in ((1, 300), (5, 250), (2, 400), (9, 3), (4, 900))] + [(7, None), (8, "")]
+    ranks = fingerprints.rarity_ranks(fingerprints.entropy_counts(make_docs(docs)))
+    got = {r.doc_id: r for r in fingerprints.compare_edits(make_docs(docs), ranks).collect()}
+    order = sorted(docs, reverse=True)
+    for k, (i, t) in enumerate(order):
+        t, nxt = t or "", order[(k + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        assert got[i].edited_sha256 == hashlib.sha256((t[:len(t) - half] + nxt[:half]).encode()).hexdigest() and got[i].n_chars == len(t)
+    assert got[4].near_edited > 0.2 > got[4].near_next and got[7].near_next == 0.0 and got[8].near_next == 1.0
+    same = fingerprints.fingerprint(make_docs([(1, docs[0][1]), (2, docs[0][1])]), ranks).collect()
+    assert same[0].fingerprint == same[1].fingerprint
+    assert fingerprints.compare_edits(make_docs([]), ranks).collect() == []
+
+
+def test_window_entropy():
+    b = np.frombuffer(bytes(random.Random(8).choices(b"abcdef ", k=300)), np.uint8)
+    for i, got in enumerate(fingerprints.entropy_bins(b)):
+        want = int(fingerprints._F[np.bincount(b[i:i + 64], minlength=256)].sum()) >> 4
+        assert got == want
+
+
+def test_quality(spark, make_docs):
+    rng = random.Random(9)
+    good = [(i, "\n".join(" ".join(words(rng, 25)).capitalize() + "." for _ in range(4))) for i in range(120)]
+    bad = [(i, "\n".join(" ".join(w.upper() + "!!" for w in words(rng, 25)) for _ in range(4))) for i in range(120, 200)]
+    rows = good + bad + [(900, None), (901, ""), (902, "x" * 200_000)]
+    labels = spark.createDataFrame([(i, int(i < 120)) for i in range(200)] + [(900, None), (None, 1), (5, 1)], "doc_id long, quality int")
+    field = quality_crf.train(make_docs(rows), labels)
+    got = {r.doc_id: r for r in quality_crf.score(make_docs(rows), field).collect()}
+    held = [r for i, r in got.items() if i < 200 and r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
+    assert sum(r.predicted == (r.doc_id < 120) for r in held) >= 0.95 * len(held) and all(0 <= r.score <= 1 for r in got.values())
+    assert quality_crf.keep_good(make_docs(rows), field).where("doc_id < 120").count() == 120
+    assert {r.score for r in quality_crf.score(make_docs(rows), quality_crf.train(make_docs(rows), labels.where("quality = 1"))).collect()} == {1.0}
+
+
+def test_forward_backward_equals_enumeration():
+    rng = np.random.default_rng(0)
+    x, w, moves = rng.normal(size=(5, 3)), rng.normal(size=3), rng.normal(size=(2, 2))
+    field = quality_crf.LineField(w, moves, np.zeros(3), np.ones(3))
+    total, good = 0.0, np.zeros(5)
+    for k in range(32):
+        y = [k >> i & 1 for i in range(5)]
+        p = np.exp(sum(e * v for e, v in zip(x @ w, y)) + sum(moves[a, b] for a, b in zip(y, y[1:])))
+        total += p
+        good += p * np.array(y)
+    assert np.allclose(field.marginals(x), good / total)
+
+
+def test_licenses(spark, make_docs):
+    rng = random.Random(1)
+    filler = lambda n: " ".join(words(rng, n))
+    mit = licenses.NOTICES["MIT-text"]
+    broken = " ".join(w for k, w in enumerate(mit.split()) if k % 12)
+    rows = [(1, f"{filler(50)}\n{licenses.NOTICES['MIT']}\n{filler(3000)}\n{licenses.NOTICES['MIT']}"), (2, filler(100)), (3, f"{filler(9)} {broken} {filler(9)}"), (4, None), (5, ""),
+            (6, licenses.NOTICES["Apache-2.0-header"])]
+    got = {r.doc_id: r for r in licenses.scan_documents(make_docs(rows)).collect()}
+    assert got[1].license == "MIT" and len(got[1].hits) == 2
+    assert got[3].license == "MIT-text" and 0.85 < got[3].coverage < 1 and got[6].license == "Apache-2.0-header"
+    assert [got[i].license for i in (2, 4, 5)] == [None] * 3
+
+
+def test_patience_is_a_longest_increasing_subsequence():
+    rng = random.Random(2)
+    for _ in range(200):
+        v = [rng.randrange(12) for _ in range(rng.randint(0, 9))]
+        got = licenses.increasing(v)
+        best = max((bin(m).count("1") for m in range(1 << len(v)) if all(a < b for a, b in zip(*(lambda s: (s, s[1:]))([x for i, x in enumerate(v) if m >> i & 1])))), default=0)
+        assert len(got) == best and [v[i] for i in got] == sorted({v[i] for i in got})
+
+
+PAGE = """<html><head><title>t</title><style>p{{}}</style></head><body><nav><ul><li>Home</ul></nav><div class="promo-x">{extra}</div><div id="strip">Same on every page</div>
+<article><h1>{title}</h1><p>First&nbsp;&amp; <b>bold</b>
+line<p>Second<br>part<div class="newsletter">Join us</div><script>var a="</p>"</script><section class="comments"><p>Nice!</p></section></article><footer>&copy;</footer></body></html>"""
+
+
+def test_html(spark):
+    pages = [(i, f"https://a.example/{i}", PAGE.format(title=f"T{i}", extra=f"e{i}")) for i in range(12)]
+    bare = [(100 + i, f"https://b.example/{i}", f"<body><div><p>Shared strip</p></div><p>Own text {i}</p></body>") for i in range(8)]
+    odd = [(200, None, None), (201, "http://[", "<p>x"), (202, "https://c.example", ""), (0, "https://a.example/0", pages[0][2])]
+    df = spark.createDataFrame([(*r, "x") for r in pages + bare + odd], "page_id long, url string, html string, host string")
+    got = collections.defaultdict(list)
+    for r in html_template.main_text(df).collect():
+        got[r.page_id].append(r.text)
+        assert r.n_chars == len(r.text)
+    assert got[0] == ["T0\nFirst & bold line\nSecond part"] * 2 and got[5] == ["T5\nFirst & bold line\nSecond part"]
+    assert got[103] == ["Own text 3"] and got[200] == [""] and got[201] == ["x"] and got[202] == [""]
+    assert html_template.main_text(df.limit(0)).collect() == []
