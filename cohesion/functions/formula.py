@@ -98,11 +98,11 @@ class _Compiler:
         if fa not in TY.NUMERIC + (TY.BOOL,) or fb not in TY.NUMERIC + (TY.BOOL,):
             raise SpecError(f"arithmetic on non-numeric operands ({fa}, {fb})")
         if isinstance(op, ast.Add):
-            return a + b, (TY.INT if both_int else TY.FLOAT)
+            return (F.try_add(a, b), TY.INT) if both_int else (a + b, TY.FLOAT)  # past bigint: null
         if isinstance(op, ast.Sub):
-            return a - b, (TY.INT if both_int else TY.FLOAT)
+            return (F.try_subtract(a, b), TY.INT) if both_int else (a - b, TY.FLOAT)
         if isinstance(op, ast.Mult):
-            return a * b, (TY.INT if both_int else TY.FLOAT)
+            return (F.try_multiply(a, b), TY.INT) if both_int else (a * b, TY.FLOAT)
         if isinstance(op, ast.Div):
             return _ieee_div(a, b), TY.FLOAT
         if isinstance(op, ast.FloorDiv):
@@ -119,7 +119,7 @@ class _Compiler:
         if isinstance(op, ast.Pow):
             p = F.pow(a.cast("double"), b.cast("double"))
             if both_int:
-                return F.when(b >= 0, p.cast("long")).otherwise(p.cast("long")), TY.INT
+                return p.try_cast("long"), TY.INT
             return p, TY.FLOAT
         raise SpecError("binary operator not allowed")
 

@@ -69,9 +69,8 @@ def to_int_trunc(c: Column, fam: str) -> Column:
     if fam == TY.BOOL:
         return c.cast("long")
     if fam == TY.FLOAT:
-        return F.when(~F.isnan(c) & (F.abs(c) < F.lit(9.2e18)), c.cast("long"))
-    d = strip(c.cast("string")).try_cast("double")
-    return F.when(~F.isnan(d) & (F.abs(d) < F.lit(9.2e18)), d.cast("long"))
+        return c.try_cast("long")
+    return TY.text_double(c).try_cast("long")
 
 
 def clean_numeric_string(c: Column) -> Column:
@@ -98,7 +97,7 @@ def age_with_units(c: Column, fam: str) -> Column:
         y = c.cast("double")
         return F.when((y >= 0) & (y <= MAX_AGE_YEARS), (y * DAYS_PER_YEAR).cast("long"))
     s = F.lower(strip(c.cast("string")))
-    plain = s.try_cast("double")
+    plain = TY.text_double(s)
     in_years = F.when(
         ~F.isnan(plain) & (plain >= 0) & (plain <= MAX_AGE_YEARS), (plain * DAYS_PER_YEAR).cast("long")
     )
@@ -195,6 +194,7 @@ def valid_age(c: Column, fam: str, min_age=VALID_AGE_MIN, max_age=VALID_AGE_MAX,
         # NaN in a float column is not None in the reference: counted invalid
         none_ok = c.isNull() if allow_none else F.lit(False)
         return none_ok | (v.isNotNull() & (v >= min_age) & (v <= max_age))
-    v = to_int_trunc(c, fam)
+    v = strip(c.cast("string"))  # int("12.5") raises, so a text is an age only as a whole number
+    v = F.when(v.rlike(r"^[+-]?\d+$"), v.try_cast("bigint"))
     none_ok = c.isNull() if allow_none else F.lit(False)
     return none_ok | (v.isNotNull() & (v >= min_age) & (v <= max_age))

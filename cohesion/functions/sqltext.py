@@ -10,6 +10,7 @@ as the Column builders in ``types`` and ``scalars``.
 from __future__ import annotations
 
 from . import types as TY
+from .scalars import DAYS_PER_MONTH, DAYS_PER_YEAR, MAX_AGE_DAYS, MAX_AGE_YEARS
 
 _SQL_TYPES = {TY.INT: "BIGINT", TY.FLOAT: "DOUBLE", TY.STRING: "STRING", TY.BOOL: "BOOLEAN", TY.NULL: "STRING"}
 
@@ -48,9 +49,8 @@ def int_trunc(c: str, fam: str) -> str:
     if fam in (TY.INT, TY.BOOL):
         return f"CAST({c} AS BIGINT)"
     if fam == TY.FLOAT:
-        return f"(CASE WHEN NOT isnan({c}) AND abs({c}) < 9.2e18 THEN CAST({c} AS BIGINT) END)"
-    d = f"try_cast(regexp_replace(CAST({c} AS STRING), '^\\\\s+|\\\\s+$', '') AS DOUBLE)"
-    return f"(CASE WHEN NOT isnan({d}) AND abs({d}) < 9.2e18 THEN CAST({d} AS BIGINT) END)"
+        return f"try_cast({c} AS BIGINT)"
+    return f"try_cast({TY.text_double_sql(c)} AS BIGINT)"
 
 
 def py_str(c: str, fam: str) -> str:
@@ -67,6 +67,9 @@ def py_str(c: str, fam: str) -> str:
     return (f"(CASE WHEN isnan({d}) THEN 'nan' WHEN {d} = CAST('Infinity' AS DOUBLE) THEN 'inf' "
             f"WHEN {d} = CAST('-Infinity' AS DOUBLE) THEN '-inf' "
             f"WHEN {d} = floor({d}) AND abs({d}) < 1e16 THEN concat(CAST(CAST({d} AS BIGINT) AS STRING), '.0') "
+            f"WHEN abs({d}) >= 1e-4 AND abs({d}) < 1e16 AND {js} NOT LIKE '%E%' THEN {js} "
+            f"WHEN abs({d}) >= 1e-4 AND abs({d}) < 1 THEN concat(CASE WHEN {d} < 0 THEN '-' ELSE '' END, '0.000', "
+            f"regexp_replace(regexp_replace(substring_index({js}, 'E', 1), '[-.]', ''), '0+$', '')) "
             f"WHEN abs({d}) >= 1e-4 AND abs({d}) < 1e16 "
             f"THEN regexp_replace(CAST(try_cast({d} AS DECIMAL(38,18)) AS STRING), '0+$', '') "
             f"WHEN {js} LIKE '%E%' THEN {expo} ELSE {js} END)")
@@ -139,18 +142,18 @@ def age_with_units(c: str, fam: str) -> str:
         return "CAST(NULL AS BIGINT)"
     if fam in (TY.INT, TY.FLOAT, TY.BOOL):
         y = f"CAST({c} AS DOUBLE)"
-        return f"(CASE WHEN {y} >= 0 AND {y} <= 120 THEN CAST({y} * 365.25 AS BIGINT) END)"
+        return f"(CASE WHEN {y} >= 0 AND {y} <= {MAX_AGE_YEARS} THEN CAST({y} * {DAYS_PER_YEAR} AS BIGINT) END)"
     s = f"lower(regexp_replace(CAST({c} AS STRING), {_WS}, ''))"
-    plain = f"try_cast({s} AS DOUBLE)"
+    plain = TY.text_double_sql(s)
     rx = "'^(\\\\d+\\\\.?\\\\d*)\\\\s*(years?|months?|weeks?|days?)$'"
     num = f"try_cast(regexp_extract({s}, {rx}, 1) AS DOUBLE)"
     unit = f"regexp_extract({s}, {rx}, 2)"
-    factor = (f"(CASE WHEN startswith({unit}, 'year') THEN 365.25 WHEN startswith({unit}, 'month') THEN 30.44 "
+    factor = (f"(CASE WHEN startswith({unit}, 'year') THEN {DAYS_PER_YEAR} WHEN startswith({unit}, 'month') THEN {DAYS_PER_MONTH} "
               f"WHEN startswith({unit}, 'week') THEN 7.0 WHEN startswith({unit}, 'day') THEN 1.0 END)")
     days = f"(CASE WHEN {s} RLIKE {rx} AND {num} * {factor} < 9.2e18 THEN CAST({num} * {factor} AS BIGINT) END)"
-    return (f"coalesce(CASE WHEN NOT isnan({plain}) AND {plain} >= 0 AND {plain} <= 120 "
-            f"THEN CAST({plain} * 365.25 AS BIGINT) END, "
-            f"CASE WHEN {days} >= 0 AND {days} <= 43830.0 THEN {days} END)")
+    return (f"coalesce(CASE WHEN NOT isnan({plain}) AND {plain} >= 0 AND {plain} <= {MAX_AGE_YEARS} "
+            f"THEN CAST({plain} * {DAYS_PER_YEAR} AS BIGINT) END, "
+            f"CASE WHEN {days} >= 0 AND {days} <= {MAX_AGE_DAYS} THEN {days} END)")
 
 
 def age_in_days(birth, event, fallback=None, offset=None) -> str:

@@ -94,6 +94,24 @@ def is_missing(c: Column, fam: str) -> Column:
     return c.isNull()
 
 
+# Fixed value: the texts Python's float() reads, outer space aside. Java's parser alone also takes
+# suffixes such as ``5d`` and ``3f``.
+NUMBER_TEXT = r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$"
+
+
+def text_double(c: Column) -> Column:
+    """A text as a double; null where Python's float() would raise."""
+    s = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
+    return F.when(s.rlike(NUMBER_TEXT), s.try_cast("double"))
+
+
+def text_double_sql(c: str) -> str:
+    """``text_double`` as SQL text."""
+    s = f"regexp_replace(CAST({c} AS STRING), '^\\\\s+|\\\\s+$', '')"
+    rx = NUMBER_TEXT.replace("\\", "\\\\")
+    return f"(CASE WHEN {s} RLIKE '{rx}' THEN try_cast({s} AS DOUBLE) END)"
+
+
 def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
@@ -110,8 +128,11 @@ def py_str(c: Column, fam: str) -> Column:
         d = c.cast("double")
         whole = (d == F.floor(d)) & (F.abs(d) < F.lit(1e16))
         plain = (F.abs(d) >= F.lit(1e-4)) & (F.abs(d) < F.lit(1e16))
+        # 1e7 and above have at most ten decimals; 1e-4 to 1e-3 print as d.ddE-4, whose digits follow 0.000
         dec = F.regexp_replace(d.try_cast("decimal(38,18)").cast("string"), "0+$", "")
         js = d.cast("string")
+        small = F.concat(F.when(d < 0, F.lit("-")).otherwise(F.lit("")), F.lit("0.000"),
+                         F.regexp_replace(F.regexp_replace(F.substring_index(js, "E", 1), r"[-.]", ""), "0+$", ""))
         mant = F.regexp_replace(F.substring_index(js, "E", 1), r"\.0$", "")
         ex = F.substring_index(js, "E", -1).cast("int")
         expo = F.concat(mant, F.lit("e"), F.when(ex < 0, F.lit("-")).otherwise(F.lit("+")),
@@ -122,6 +143,8 @@ def py_str(c: Column, fam: str) -> Column:
             .when(d == F.lit(float("inf")), F.lit("inf"))
             .when(d == F.lit(float("-inf")), F.lit("-inf"))
             .when(whole, F.concat(d.cast("long").cast("string"), F.lit(".0")))
+            .when(plain & ~js.contains("E"), js)
+            .when(plain & (F.abs(d) < F.lit(1.0)), small)
             .when(plain, dec)
             .when(js.contains("E"), expo)
             .otherwise(js)

@@ -18,10 +18,9 @@ from ..functions import types as TY
 from ..functions.formula import compile_formula
 from ..functions.predicates import SpecError, df_resolver
 
-# Fixed value: a text column is numeric for ``auto`` when its first 100 non-null
-# values all match this pattern.
+# Fixed value: a text column is numeric for ``auto`` when any of its values matches
+# this pattern. Every value counts, not the first hundred, so row order has no part.
 AUTO_NUMERIC_PATTERN = r"^[\d,\s]+\.?\d*$"
-AUTO_SAMPLE = 100
 
 
 def _c(n: str) -> Column:
@@ -34,68 +33,29 @@ def _fams(df: DataFrame) -> dict[str, str]:
 
 def resolve_patterns(df: DataFrame, fields, order_col: str | None = None) -> list[str]:
     """Exact names, ``*``/``?`` wildcards (case-sensitive) or ``auto``."""
-    if fields == "auto":
+    if fields in ("auto", ["auto"]):
         return auto_numeric_columns(df, order_col)
     if isinstance(fields, str):
         fields = [fields]
     out: list[str] = []
     for f in fields or []:
-        if any(ch in str(f) for ch in "*?["):
+        if any(ch in str(f) for ch in "*?"):
             for c in df.columns:
-                if fnmatch.fnmatchcase(c, str(f)) and c not in out and not c.startswith("__"):
+                if fnmatch.fnmatchcase(c, str(f).replace("[", "[[]")) and c not in out and not c.startswith("__"):
                     out.append(c)
         elif f not in out:
             out.append(f)
     return out
 
 
-def _literal_like(value, dtype) -> Column:
-    """A literal of a collected value (a Row for struct orders), cast to ``dtype``."""
-    def build(v):
-        if hasattr(v, "asDict"):
-            return F.struct(*[build(x).alias(k) for k, x in v.asDict().items()])
-        return F.lit(v)
-
-    return build(value).cast(dtype)
-
-
 def auto_numeric_columns(df: DataFrame, order_col: str | None = None) -> list[str]:
-    """Text columns whose first 100 non-null values (in row order) all look numeric.
-
-    Exact, in two aggregation jobs whatever the number of columns: (1) per
-    column, the earliest row order of a non-null value that does NOT match,
-    and the non-null count; (2) per column, how many non-null values come
-    before that first failure. A column qualifies when it has values and no
-    failure, or at least 100 values precede the first failure. Both are
-    partial aggregations; at most two numbers per column reach the driver."""
+    """Text columns of which any value looks numeric: one aggregation, one flag per column."""
     fams = _fams(df)
     text_cols = [c for c in df.columns if fams[c] == TY.STRING and not c.startswith("__")]
     if not text_cols:
         return []
-    if order_col and order_col in df.columns:
-        df = df.withColumn("__auto_ord", F.col(order_col))
-    else:
-        df = df.withColumn("__auto_ord", F.monotonically_increasing_id())
-    ordc = F.col("__auto_ord")
-    ord_type = df.schema["__auto_ord"].dataType
-    fails = {c: _c(c).isNotNull() & ~_c(c).rlike(AUTO_NUMERIC_PATTERN) for c in text_cols}
-    first = df.agg(*[F.min(F.when(fails[c], ordc)).alias(f"f{i}") for i, c in enumerate(text_cols)],
-                   *[F.count(_c(c)).alias(f"n{i}") for i, c in enumerate(text_cols)]).collect()[0]
-    out, pending = [], {}
-    for i, c in enumerate(text_cols):
-        if first[f"n{i}"] == 0:
-            continue
-        if first[f"f{i}"] is None:
-            out.append(c)
-        else:
-            pending[c] = first[f"f{i}"]
-    if pending:
-        names = list(pending)
-        before = df.agg(*[
-            F.count_if(_c(c).isNotNull() & (ordc < _literal_like(pending[c], ord_type))).alias(f"b{i}")
-            for i, c in enumerate(names)]).collect()[0]
-        out += [c for i, c in enumerate(names) if before[f"b{i}"] >= AUTO_SAMPLE]
-    return [c for c in text_cols if c in out]
+    found = df.agg(*[F.max(_c(c).rlike(AUTO_NUMERIC_PATTERN)).alias(f"f{i}") for i, c in enumerate(text_cols)]).collect()[0]
+    return [c for i, c in enumerate(text_cols) if found[f"f{i}"]]
 
 
 def clean_numeric(df: DataFrame, fields) -> DataFrame:
@@ -104,9 +64,9 @@ def clean_numeric(df: DataFrame, fields) -> DataFrame:
     for f in fields:
         if f not in fams:
             continue
-        txt = F.regexp_replace(TY.py_str(_c(f), fams[f]), "[, ]", "")
-        num = TY.nan_to_null(txt.try_cast("double"))
-        cols[f] = num.cast("long") if fams[f] == TY.INT else num
+        if fams[f] == TY.INT:
+            continue  # whole numbers are clean; through double they would lose digits
+        cols[f] = TY.nan_to_null(TY.text_double(F.regexp_replace(TY.py_str(_c(f), fams[f]), "[, ]", "")))
     return df.withColumns(cols) if cols else df
 
 
@@ -145,7 +105,7 @@ def replace_missing_codes(df: DataFrame, codes, fields) -> DataFrame:
         if fam in (TY.INT, TY.FLOAT, TY.BOOL):
             base = c.cast("double")
         else:
-            base = TY.py_str(c, fam).try_cast("double")
+            base = TY.text_double(TY.py_str(c, fam))
         base = TY.nan_to_null(base)
         cols[f] = base if expr is None else expr.otherwise(base)
     return df.withColumns(cols) if cols else df
@@ -159,7 +119,7 @@ def convert_to_numeric(df: DataFrame, fields, errors: str = "coerce") -> DataFra
         fam = fams[f]
         if fam in (TY.INT, TY.FLOAT):
             continue
-        conv[f] = TY.nan_to_null(S.strip(TY.py_str(_c(f), fam)).try_cast("double"))
+        conv[f] = TY.nan_to_null(TY.text_double(TY.py_str(_c(f), fam)))
     if not conv:
         return df
     if errors in ("raise", "ignore"):

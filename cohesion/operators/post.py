@@ -57,7 +57,7 @@ def nullable_int(df: DataFrame, columns) -> DataFrame:
     if text:
         # one pass: is every non-null value numeric (auto), and whole (cast)?
         row = df.agg(*[
-            F.count_if(_c(c).isNotNull() & S_strip(_c(c)).try_cast("double").isNull()).alias(f"n{i}")
+            F.count_if(_c(c).isNotNull() & TY.text_double(_c(c)).isNull()).alias(f"n{i}")
             for i, c in enumerate(text)
         ] + [
             F.count_if(_c(c).isNotNull() & S_strip(_c(c)).try_cast("bigint").isNull()).alias(f"w{i}")
@@ -69,7 +69,7 @@ def nullable_int(df: DataFrame, columns) -> DataFrame:
     for c in cands:
         fam = fams[c]
         if fam == TY.FLOAT:
-            cols[c] = F.when(~F.isnan(_c(c)), F.bround(_c(c), 0)).cast("long")
+            cols[c] = F.bround(_c(c), 0).try_cast("long")  # NaN and infinities are null
         elif fam == TY.INT:
             cols[c] = _c(c).cast("long")
         elif fam == TY.BOOL:

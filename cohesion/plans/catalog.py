@@ -448,7 +448,8 @@ _base_query("clean_numeric_wildcard", ["amount", "acctbal"], [_copy("amount_text
             pre=[{"type": "clean_numeric", "fields": ["amount_*", "acct?al"]}])
 _base_query("clean_numeric_auto", ["y_text", "m_text", "amount_text"],
             [_copy("y_text"), _copy("m_text"), _copy("amount_text")],
-            "TRY_CAST(replace(y_text, ',', '') AS DOUBLE) AS y_text, TRY_CAST(m_text AS DOUBLE) AS m_text, amount_text",
+            "TRY_CAST(replace(y_text, ',', '') AS DOUBLE) AS y_text, TRY_CAST(m_text AS DOUBLE) AS m_text, "
+            "TRY_CAST(replace(replace(amount_text, ',', ''), ' ', '') AS DOUBLE) AS amount_text",
             pre=[{"type": "clean_numeric", "fields": "auto"}])
 _base_query("strip_whitespace", ["segment_padded"], [_copy("segment_padded")],
             "trim(segment_padded, ' ' || chr(9)) AS segment_padded",

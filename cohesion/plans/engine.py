@@ -56,10 +56,8 @@ class EntityResult:
         """Observed row counts (filled once an action has run on ``df``)."""
         out = {}
         for k, o in self.observations.items():
-            try:
-                out[k] = o.get.get("rows") if o.get else None
-            except Exception:  # not run yet
-                out[k] = None
+            jo = getattr(o, "_jo", None)  # reading waits for an action, so ask first whether one has ended
+            out[k] = o.get.get("rows") if jo is not None and jo.future().isCompleted() else None
         return out
 
 

@@ -42,9 +42,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only when unset."""
+    """The cluster's shared checkpoint folder. Unset, it is an error on a cluster; in local mode, where one
+    machine does all, it becomes a scratch folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is unset on {master}: set it to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="cohesion-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

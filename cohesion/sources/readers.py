@@ -31,11 +31,10 @@ NULL_TOKENS = [
 TRUE_TOKENS = ["True", "TRUE", "true"]
 FALSE_TOKENS = ["False", "FALSE", "false"]
 
-# Delimiters tried for ``.txt`` files, and how many lines are sniffed.
+# Delimiters tried for ``.txt`` files, on the header line.
 TXT_DELIMITERS = [",", "\t", ";", "|"]
-SNIFF_LINES = 20
 
-_INT_RX = r"^\s*[+-]?\d{1,18}\s*$"
+_INT_RX = r"^\s*[+-]?\d+\s*$"
 _FLOAT_RX = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity)\s*$"
 
 
@@ -57,17 +56,10 @@ def hadoop_exists(spark: SparkSession, path: str) -> bool:
 
 
 def sniff_delimiter(spark: SparkSession, path: str) -> str:
-    """Pick the delimiter that splits the first lines into the most, equal, fields."""
-    lines = [r.value for r in spark.read.text(path).limit(SNIFF_LINES).collect()]
-    best, best_score = ",", -1
-    for d in TXT_DELIMITERS:
-        counts = [ln.count(d) for ln in lines if ln.strip()]
-        if not counts or counts[0] == 0:
-            continue
-        score = counts[0] * 10 + (5 if len(set(counts)) == 1 else 0)
-        if score > best_score:
-            best, best_score = d, score
-    return best
+    """The delimiter that splits the header line into the most fields; ties go to the first of the list."""
+    lines = [r.value for r in spark.read.text(path).limit(1).collect()]
+    counts = [lines[0].count(d) if lines else 0 for d in TXT_DELIMITERS]
+    return TXT_DELIMITERS[counts.index(max(counts))]
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
@@ -119,7 +111,7 @@ def infer_types(df: DataFrame, int_with_nulls: str = "double") -> DataFrame:
     aggs = ["count(1) AS r"]
     for i, c in enumerate(cols):
         v = Q.ident(c)
-        aggs += [f"count({v}) AS n{i}", f"count_if({v} RLIKE {int_rx}) AS i{i}",
+        aggs += [f"count({v}) AS n{i}", f"count_if({v} RLIKE {int_rx} AND try_cast(trim({v}) AS BIGINT) IS NOT NULL) AS i{i}",
                  f"count_if({v} RLIKE {float_rx}) AS f{i}", f"count_if({v} IN ({bools})) AS b{i}"]
     stats = df.selectExpr(*aggs).collect()[0]
     rows = stats["r"]

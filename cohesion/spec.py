@@ -80,7 +80,7 @@ def expand_configs(configs: list, warnings: list[str]) -> list[dict]:
     """Range templates ``{type: range, start, end, template}`` -> one config per n."""
     out = []
     for cfg in configs or []:
-        if isinstance(cfg, dict) and cfg.get("type") == "range":
+        if isinstance(cfg, dict) and (cfg.get("type") == "range" or {"start", "end", "template"} <= cfg.keys()):
             start, end, tpl = cfg.get("start"), cfg.get("end"), cfg.get("template")
             if start is None or end is None or not isinstance(tpl, dict):
                 warnings.append("range config skipped: needs start, end and template")

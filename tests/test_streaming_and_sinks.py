@@ -23,11 +23,11 @@ def test_export_stream_maps_each_file(spark, tmp_path):
     assert como.count() == 7
 
 
-def test_auto_numeric_first_hundred_only(spark):
-    rows = [(i, str(i) if i < 150 else "abc", "x" if i == 50 else "1,000") for i in range(200)]
-    df = spark.createDataFrame(rows, "o long, a string, b string")
-    # a fails only after 150 values -> numeric; b fails at the 51st value -> not numeric
-    assert auto_numeric_columns(df, "o") == ["a"]
+def test_auto_numeric_any_value_of_the_whole_column(spark):
+    rows = [(i, "1,000.5" if i == 150 else "abc", "x" if i == 50 else "7", "n/a", None) for i in range(200)]
+    df = spark.createDataFrame(rows, "o long, a string, b string, c string, d string")
+    # one numeric value anywhere is enough; none, or no value at all, is not
+    assert auto_numeric_columns(df, "o") == ["a", "b"]
 
 
 def test_write_study_skips_empty_and_isolates_failures(spark, tmp_path):
