@@ -95,9 +95,13 @@ def read_text_table(spark: SparkSession, path: str, sep: str | None = None, enco
         df = df.withColumnsRenamed(renames)
     tokens = ", ".join(Q.lit(t) for t in NULL_TOKENS)
     exprs = [f"CASE WHEN {Q.ident(c)} NOT IN ({tokens}) THEN {Q.ident(c)} END AS {Q.ident(c)}" for c in df.columns]
-    exprs.append(f"named_struct('f', {int(file_index)}, 'path', _metadata.file_path, "
-                 f"'block', _metadata.file_block_start, 'p', monotonically_increasing_id()) AS {ORD}")
-    return df.selectExpr(*exprs)
+    return df.selectExpr(*exprs, file_order(file_index))
+
+
+def file_order(file_index: int) -> str:
+    """SQL for the row order of a file source: it doesn't depend on how splits are dealt to tasks."""
+    return (f"named_struct('f', {int(file_index)}, 'path', _metadata.file_path, "
+            f"'block', _metadata.file_block_start, 'p', monotonically_increasing_id()) AS {ORD}")
 
 
 def infer_types(df: DataFrame, int_with_nulls: str = "double") -> DataFrame:
@@ -152,7 +156,7 @@ def read_file(spark: SparkSession, path: str, file_index: int = 0, int_with_null
     sniffed; ``.parquet`` read as is. ``schema`` ({column: Spark type}) skips
     the inference pass: the file is then read once."""
     if Path(path).suffix.lower() == ".parquet":
-        return with_order(spark.read.parquet(path), file_index)
+        return spark.read.parquet(path).selectExpr("*", file_order(file_index))
     # multiLine only on request: it makes each file one split
     raw = read_text_table(spark, path, sep=sep, encoding=encoding, file_index=file_index, multi_line=multi_line)
     if schema:

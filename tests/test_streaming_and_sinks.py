@@ -2,25 +2,24 @@
 import os
 import shutil
 
-from conftest import FIXTURES
 from cohesion import load_study
 from cohesion.operators.clean import auto_numeric_columns
 from cohesion.sources.readers import read_file
 from cohesion.streaming import map_exports_stream
 
+FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
+
 
 def test_export_stream_maps_each_file(spark, tmp_path):
     src = tmp_path / "incoming"
     src.mkdir()
-    shutil.copy(os.path.join(FIXTURES, "example", "source.csv"), src / "export1.csv")
-    specs = load_study(os.path.join(FIXTURES, "example", "specs"))
-    specs = {k: specs[k] for k in ("participant", "comorbidity")}
+    shutil.copy(os.path.join(FIXTURES, "registry", "visits.csv"), src / "export1.csv")
+    specs = load_study(os.path.join(FIXTURES, "registry", "specs"))
+    specs = {k: specs[k] for k in ("person", "condition")}
     out = tmp_path / "out"
     map_exports_stream(spark, str(src), specs, str(out), checkpoint_dir=str(tmp_path / "ckpt"))
-    part = read_file(spark, str(out / "batch=0" / "participant.csv"))
-    assert part.count() == 5
-    como = read_file(spark, str(out / "batch=0" / "comorbidity.csv"))
-    assert como.count() == 7
+    assert read_file(spark, str(out / "batch=0" / "person.csv")).count() == 3
+    assert read_file(spark, str(out / "batch=0" / "condition.csv")).count() == 5
 
 
 def test_auto_numeric_any_value_of_the_whole_column(spark):
@@ -71,9 +70,9 @@ def test_study_runner_cli(spark, tmp_path):
     from cohesion.__main__ import main
 
     out = tmp_path / "mapped"
-    rc = main(["--study", os.path.join(FIXTURES, "pr12", "specs"), "--input-dir",
-               os.path.join(FIXTURES, "pr12", "source"), "--output", str(out)])
+    rc = main(["--study", os.path.join(FIXTURES, "linked", "specs"), "--input-dir",
+               os.path.join(FIXTURES, "linked", "source"), "--output", str(out)])
     assert rc == 0
-    assert read_file(spark, str(out / "participant.csv")).count() == 6
-    assert read_file(spark, str(out / "diagnosis.csv")).count() == 5
+    assert read_file(spark, str(out / "person.csv")).count() == 4
+    assert read_file(spark, str(out / "finding.csv")).count() == 3
     assert (out / "validation_report.csv").exists()
