@@ -114,6 +114,8 @@ def sql_safe_int(x: str) -> str:
 
 
 BASE_SQL = "FROM wide WHERE repeat_kind IS NULL"
+ALL_ROWS = {"rows": [{"name": "all", "filter": [{"field": PID, "op": "is_not_null"}]}]}
+ALL_SQL = "FROM wide"
 
 
 # ------------------------------------------------------------------ 2.B predicates
@@ -261,10 +263,10 @@ def _distinct(spark, sf):
     return R.distinct_participants(wide(spark, sf), PID)
 
 
-@q("dedup_first_per_key", """SELECT order_status, priority, arg_min(instance, row_ord) AS instance,
-  arg_min(participant_id, row_ord) AS participant_id FROM wide WHERE repeat_kind = 'order' GROUP BY 1, 2""")
+@q("dedup_first_per_key", """SELECT order_status, priority, r.i AS instance, r.p AS participant_id FROM (
+  SELECT order_status, priority, arg_min({'i': instance, 'p': participant_id}, row_ord) AS r FROM wide GROUP BY 1, 2)""")
 def _dedup_first(spark, sf):
-    w = wide(spark, sf).where("repeat_kind = 'order'").withColumn(R.ORD, F.col(ORDER_COL))
+    w = wide(spark, sf).withColumn(R.ORD, F.col(ORDER_COL))
     return R.first_row_per_key(w, ["order_status", "priority"], ["instance", PID]).drop(R.ORD)
 
 
@@ -274,13 +276,14 @@ def _dedup_first(spark, sf):
 def _orders_cust(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet").select(
         F.col("o_custkey").alias(PID), F.col("o_orderkey").alias("order_key"), F.col("o_totalprice").alias("price"))
-    c = spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey % 3 = 0").select(
-        F.col("c_custkey").alias(PID), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    # doubled keys leave unmatched rows on both sides of the whole tables
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(
+        (F.col("c_custkey") * 2).alias(PID), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
     return RD.with_order(o, 0), RD.with_order(c, 1)
 
 
 _OC_SQL = """WITH o AS (SELECT o_custkey AS participant_id, o_orderkey AS order_key, o_totalprice AS price FROM orders),
-c AS (SELECT c_custkey AS participant_id, c_name AS name, c_nationkey AS nation FROM customer WHERE c_custkey % 3 = 0)
+c AS (SELECT c_custkey * 2 AS participant_id, c_name AS name, c_nationkey AS nation FROM customer)
 SELECT coalesce(o.participant_id, c.participant_id) AS participant_id, o.order_key, o.price, c.name, c.nation
 FROM o {how} JOIN c ON o.participant_id IS NOT DISTINCT FROM c.participant_id"""
 
@@ -314,14 +317,14 @@ def _jck(spark, sf):
 
 
 @q("join_null_keys", """WITH o AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS participant_id, o_orderkey FROM orders),
-c AS (SELECT CASE WHEN c_custkey = 7 THEN NULL ELSE c_custkey END AS participant_id, c_name FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey = 7)
+c AS (SELECT CASE WHEN c_custkey <= 3 THEN NULL ELSE c_custkey END AS participant_id, c_name FROM customer)
 SELECT coalesce(o.participant_id, c.participant_id) AS participant_id, o.o_orderkey, c.c_name
 FROM o LEFT JOIN c ON o.participant_id IS NOT DISTINCT FROM c.participant_id""")
 def _jnull(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet").select(
         F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias(PID), "o_orderkey")
-    c = spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey % 7 <> 0 OR c_custkey = 7").select(
-        F.when(F.col("c_custkey") == 7, F.lit(None)).otherwise(F.col("c_custkey")).alias(PID), "c_name")
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(
+        F.when(F.col("c_custkey") <= 3, F.lit(None)).otherwise(F.col("c_custkey")).alias(PID), "c_name")
     return MF.join_sources(o, c, [PID], "left")
 
 
@@ -426,12 +429,12 @@ def _enrich_base(spark, sf):
 # ------------------------------------------------------------------ 2.E cleaning
 
 
-def _base_query(name: str, fields, mappings, sql_cols: str, pre=None, post=None, filters=None, sql_from=BASE_SQL,
+def _base_query(name: str, fields, mappings, sql_cols: str, pre=None, post=None, filters=None, sql_from=ALL_SQL,
                 **kw):
     @q(name, f"SELECT participant_id AS submitter_participant_id, {sql_cols} {sql_from}")
     def _b(spark, sf):
         sp = spec(["submitter_participant_id"] + fields, [OUT_PID] + mappings,
-                  filters if filters is not None else {"rows": BASELINE},
+                  filters if filters is not None else ALL_ROWS,
                   preprocessing=pre or [], post_processing=post or [], **kw)
         return run(spark, sf, sp)
 
@@ -503,18 +506,15 @@ _base_query("construct_date_default_day", ["built_date"], [_copy("built_date")],
 
 
 @q("safe_int", f"SELECT participant_id, coalesce({sql_safe_int('amount_text')}, 0) AS amount_int, "
-               f"{sql_safe_int('y_text')} AS year_int {BASE_SQL}")
+               f"{sql_safe_int('y_text')} AS year_int {ALL_SQL}")
 def _safe_int(spark, sf):
-    w = wide(spark, sf).where("repeat_kind IS NULL")
+    w = wide(spark, sf)
     return w.select(PID, S.safe_int(F.col("amount_text"), TY.STRING, 0).alias("amount_int"),
                     S.safe_int(F.col("y_text")).alias("year_int"))
 
 
 # ------------------------------------------------------------------ 2.F field mappings
 
-ALL_ROWS = {"rows": [{"name": "all", "filter": [{"field": PID, "op": "is_not_null"}]}]}
-ALL_SQL = "FROM wide"
-
 _base_query("map_declared_nulls", ["extra_a", "extra_b"], [],
             "CAST(NULL AS VARCHAR) AS extra_a, CAST(NULL AS VARCHAR) AS extra_b")
 _base_query("map_direct", ["flag", "seg"], [_copy("f1", "flag"), _copy("f2", "flag"), _copy("segment", "seg")],
@@ -558,7 +558,7 @@ _base_query("map_note_append", ["seg_note"],
              {"source_field": "f1", "target_field": "seg_note", "value_mappings": {1: "odd"}},
              {"source_field": "segment", "target_field": "seg_note", "value_mappings": {"BUILDING": "odd"}}],
             f"CASE WHEN segment = 'BUILDING' AND f1 = 0 THEN 'bld|even|odd' "
-            f"ELSE concat_ws('|', {_SEG_A}, CASE f1 WHEN 1 THEN 'odd' WHEN 0 THEN 'even' END) END AS seg_note")
+            f"ELSE NULLIF(concat_ws('|', {_SEG_A}, CASE f1 WHEN 1 THEN 'odd' WHEN 0 THEN 'even' END), '') END AS seg_note")
 _base_query("map_checkbox_append", ["flags"],
             [{"target_field": "flags", "source_type": "checkbox",
               "value_mappings": {"f1": "one", "f2": "two", "consent": "consented"}}],
@@ -620,8 +620,8 @@ _base_query("map_duration", ["duration_days", "negative_duration"],
 _base_query("map_note", ["summary_note"],
             [{"source_field": ["segment", "f3", "nation"], "target_field": "summary_note", "target_type": "note"},
              {"source_field": ["f2"], "target_field": "summary_note", "target_type": "note"}],
-            "concat_ws('; ', 'segment: ' || segment, CASE WHEN f3 <> -1 THEN 'f3: ' || CAST(f3 AS VARCHAR) END, "
-            "'nation: ' || CAST(nation AS VARCHAR)) || coalesce(' | f2: ' || CAST(f2 AS VARCHAR), '') AS summary_note")
+            "NULLIF(concat_ws(' | ', NULLIF(concat_ws('; ', 'segment: ' || segment, CASE WHEN f3 <> -1 THEN 'f3: ' || CAST(f3 AS VARCHAR) END, "
+            "'nation: ' || CAST(nation AS VARCHAR)), ''), 'f2: ' || CAST(f2 AS VARCHAR)), '') AS summary_note")
 _base_query("map_integer", ["balance_int"],
             [{"source_field": "acctbal", "target_field": "balance_int", "target_type": "integer", "default_value": 0}],
             "coalesce(CAST(trunc(acctbal) AS BIGINT), 0) AS balance_int", filters=ALL_ROWS, sql_from=ALL_SQL)
@@ -671,10 +671,10 @@ def _entity_direct(spark, sf):
 # ------------------------------------------------------------------ 2.G scalar functions
 
 
-def _fn_query(name: str, build, sql_cols: str, sql_from: str = BASE_SQL):
+def _fn_query(name: str, build, sql_cols: str, sql_from: str = ALL_SQL):
     @q(name, f"SELECT participant_id, {sql_cols} {sql_from}")
     def _fq(spark, sf):
-        w = wide(spark, sf).where("repeat_kind IS NULL")
+        w = wide(spark, sf)
         return w.select(PID, *build(F.col))
 
 
