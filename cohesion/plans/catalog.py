@@ -114,7 +114,7 @@ def sql_safe_int(x: str) -> str:
 
 
 BASE_SQL = "FROM wide WHERE repeat_kind IS NULL"
-ALL_ROWS = {"rows": [{"name": "all", "filter": [{"field": PID, "op": "is_not_null"}]}]}
+ALL_ROWS = {"rows": [{"name": "all", "filter": [{"field": ORDER_COL, "op": "is_not_null"}]}]}
 ALL_SQL = "FROM wide"
 
 
@@ -701,7 +701,7 @@ _fn_query("format_date", lambda c: [S.format_date(c("dob_mixed")).alias("iso")],
 
 
 def xspec(fields, mappings, configs, filters=None, **kw) -> dict:
-    f = {"participant_id_field": PID, "rows": BASELINE}
+    f = {"participant_id_field": PID, **ALL_ROWS}
     f.update(filters or {})
     return spec(["submitter_participant_id"] + fields, [OUT_PID] + mappings, f, pattern="expansion",
                 name=kw.pop("name", "Item"), configs=configs, **kw)
@@ -720,17 +720,17 @@ EXPAND_CHECKBOX = xspec(["item_code", "item_term", "item_source_text", "submitte
     {"source_field": "f2", "code": "C:F2", "term": "Flag two", "source_label": "F2"}])
 _EXPAND_CHECKBOX_SQL = """SELECT participant_id AS submitter_participant_id, 'C:F1' AS item_code, 'Flag one' AS item_term,
   'F1' AS item_source_text, CAST(participant_id AS VARCHAR) || '_item_f1' AS submitter_item_id
-FROM wide WHERE repeat_kind IS NULL AND f1 IS NOT NULL AND f1 <> 0
+FROM wide WHERE f1 IS NOT NULL AND f1 <> 0
 UNION ALL
 SELECT participant_id, 'C:F2', 'Flag two', 'F2', CAST(participant_id AS VARCHAR) || '_item_f2'
-FROM wide WHERE repeat_kind IS NULL AND f2 IS NOT NULL AND f2 <> 0"""
+FROM wide WHERE f2 IS NOT NULL AND f2 <> 0"""
 _x_query("expand_checkbox", EXPAND_CHECKBOX, _EXPAND_CHECKBOX_SQL)
 _x_query("expand_skip_values",
          xspec(["item_code"], [], [{"source_field": "f3", "code": "C:F3"}, {"source_field": "f2", "code": "C:F2"}],
                params={"skip_values": [0, -1]}),
          """SELECT participant_id AS submitter_participant_id, 'C:F3' AS item_code FROM wide
-WHERE repeat_kind IS NULL AND f3 IS NOT NULL AND f3 NOT IN (0, -1)
-UNION ALL SELECT participant_id, 'C:F2' FROM wide WHERE repeat_kind IS NULL AND f2 IS NOT NULL AND f2 NOT IN (0, -1)""")
+WHERE f3 IS NOT NULL AND f3 NOT IN (0, -1)
+UNION ALL SELECT participant_id, 'C:F2' FROM wide WHERE f2 IS NOT NULL AND f2 NOT IN (0, -1)""")
 _x_query("expand_text_radio",
          xspec(["record_instance", "item_code", "status_label"],
                [OUT_INST, {"target_field": "status_label", "source_type": "radio",
@@ -742,16 +742,16 @@ _x_query("expand_text_radio",
 FROM wide WHERE repeat_kind = 'order' AND order_status IS NOT NULL AND order_status <> 'P'""")
 _x_query("expand_null_key", xspec(["item_code"], [], [{"source_field": "f1", "code": "C:F1"}]),
          """SELECT participant_id AS submitter_participant_id, 'C:F1' AS item_code FROM wide
-WHERE repeat_kind IS NULL AND participant_id % 4 <> 0 AND f1 = 1""",
+WHERE participant_id % 4 <> 0 AND f1 = 1""",
          before=lambda d: d.withColumn(PID, F.when(F.col(PID) % 4 == 0, F.lit(None)).otherwise(F.col(PID))))
 _x_query("expand_code_term", xspec(["item_code"], [], [{"source_field": "f1", "code": "C:F1", "term": "not declared"}]),
          "SELECT participant_id AS submitter_participant_id, 'C:F1' AS item_code "
-         "FROM wide WHERE repeat_kind IS NULL AND f1 = 1")
+         "FROM wide WHERE f1 = 1")
 _x_query("expand_code_prefix",
          xspec(["drug_code", "drug_term"], [], [{"source_field": "f1", "code": "RX:1", "term": "one"}],
                code_term_prefix="drug"),
          "SELECT participant_id AS submitter_participant_id, 'RX:1' AS drug_code, 'one' AS drug_term "
-         "FROM wide WHERE repeat_kind IS NULL AND f1 = 1")
+         "FROM wide WHERE f1 = 1")
 _x_query("expand_default_source",
          xspec(["raw_value", "src_id"],
                [{"target_field": "raw_value"},
@@ -759,8 +759,8 @@ _x_query("expand_default_source",
                  "params": {"type": "x", "suffix_fields": ["source_field_name"]}}],
                [{"source_field": "f3"}, {"source_field": "segment"}]),
          """SELECT participant_id AS submitter_participant_id, CAST(f3 AS VARCHAR) AS raw_value, 'x_f3' AS src_id
-FROM wide WHERE repeat_kind IS NULL AND f3 IS NOT NULL AND f3 <> 0
-UNION ALL SELECT participant_id, segment, 'x_segment' FROM wide WHERE repeat_kind IS NULL AND segment IS NOT NULL""")
+FROM wide WHERE f3 IS NOT NULL AND f3 <> 0
+UNION ALL SELECT participant_id, segment, 'x_segment' FROM wide WHERE segment IS NOT NULL""")
 _x_query("expand_enrichment",
          xspec(["item_code", "detail", "amount", "f2_value"], [], [
              {"source_field": "f1", "code": "C:F1", "enrichments": [{"target_field": "detail", "source_field": "segment"}]},
@@ -769,16 +769,16 @@ _x_query("expand_enrichment",
                  {"target_field": "amount", "source_field": "acctbal"},
                  {"target_field": "f2_value"}]}]),
          """SELECT participant_id AS submitter_participant_id, 'C:F1' AS item_code, segment AS detail,
-  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS BIGINT) AS f2_value FROM wide WHERE repeat_kind IS NULL AND f1 = 1
+  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS BIGINT) AS f2_value FROM wide WHERE f1 = 1
 UNION ALL SELECT participant_id, 'C:F2', 'f2-set', acctbal, f2 FROM wide
-WHERE repeat_kind IS NULL AND f2 IS NOT NULL AND f2 <> 0""")
+WHERE f2 IS NOT NULL AND f2 <> 0""")
 _x_query("expand_create_records",
          xspec(["item_code", "sub_code", "note_x"], [], [
              {"source_field": "consent", "code": "C:CONSENT", "enrichments": [
                  {"target_field": "sub_code", "source_type": "checkbox", "create_records": True,
                   "value_mappings": {"f1": "A", "f2": "B"}},
                  {"target_field": "note_x", "default_value": "after"}]}]),
-         """WITH b AS (SELECT * FROM wide WHERE repeat_kind IS NULL AND consent IS NOT NULL AND consent <> 0)
+         """WITH b AS (SELECT * FROM wide WHERE consent IS NOT NULL AND consent <> 0)
 SELECT participant_id AS submitter_participant_id, 'C:CONSENT' AS item_code, 'A' AS sub_code, 'after' AS note_x FROM b WHERE f1 = 1
 UNION ALL SELECT participant_id, 'C:CONSENT', 'B', 'after' FROM b WHERE f2 = 1
 UNION ALL SELECT participant_id, 'C:CONSENT', NULL, 'after' FROM b WHERE f1 IS DISTINCT FROM 1 AND f2 IS DISTINCT FROM 1""")
@@ -787,9 +787,9 @@ _x_query("expand_range",
              {"type": "range", "start": 1, "end": 3,
               "template": {"source_field": "f{n}", "code": "CODE:{n:02d}", "term": "flag {n}"}}]),
          """SELECT participant_id AS submitter_participant_id, 'CODE:01' AS item_code, 'flag 1' AS item_term
-FROM wide WHERE repeat_kind IS NULL AND f1 IS NOT NULL AND f1 <> 0
-UNION ALL SELECT participant_id, 'CODE:02', 'flag 2' FROM wide WHERE repeat_kind IS NULL AND f2 IS NOT NULL AND f2 <> 0
-UNION ALL SELECT participant_id, 'CODE:03', 'flag 3' FROM wide WHERE repeat_kind IS NULL AND f3 IS NOT NULL AND f3 <> 0""")
+FROM wide WHERE f1 IS NOT NULL AND f1 <> 0
+UNION ALL SELECT participant_id, 'CODE:02', 'flag 2' FROM wide WHERE f2 IS NOT NULL AND f2 <> 0
+UNION ALL SELECT participant_id, 'CODE:03', 'flag 3' FROM wide WHERE f3 IS NOT NULL AND f3 <> 0""")
 
 ENTITY_EXPANSION = {
     "entity": {"name": "Comorbidity", "fields": {
@@ -831,9 +831,9 @@ def _summary(spark, sf):
 
 
 @q("hook_transform", """SELECT participant_id AS submitter_participant_id, segment, true AS hooked
-FROM wide WHERE repeat_kind IS NULL AND nation < 10""")
+FROM wide WHERE nation < 10""")
 def _hook(spark, sf):
-    sp = spec(["submitter_participant_id", "segment"], [OUT_PID, _copy("segment")], {"rows": BASELINE})
+    sp = spec(["submitter_participant_id", "segment"], [OUT_PID, _copy("segment")], ALL_ROWS)
     return run(spark, sf, sp, before=lambda d: d.where(F.col("nation") < 10),
                after=lambda d: d.withColumn("hooked", F.lit(True)))
 
@@ -846,7 +846,7 @@ def _vspec(validations, post=None):
                 [OUT_PID, {"source_field": "f2", "target_field": "code", "value_mappings": {1: "one", 2: "two"}},
                  {"target_field": "age_at_x", "target_type": "age",
                   "params": {"birth_date_field": "dob", "event_date_field": "enroll_date"}}, _copy("segment")],
-                {"rows": BASELINE}, validations=validations, post_processing=post or [])
+                ALL_ROWS, validations=validations, post_processing=post or [])
 
 
 _V_AGE = sql_age("dob", "enroll_date")
@@ -864,24 +864,24 @@ _v_query("validate_participant_id", [{"type": "participant_id", "field": "submit
                                      {"type": "participant_id", "field": "code"}],
          """SELECT 'Record' AS entity, 'participant_id' AS rule, 'submitter_participant_id' AS field, CAST(0 AS BIGINT) AS bad_rows
 UNION ALL SELECT 'Record', 'participant_id', 'code', CAST(count(*) AS BIGINT) FROM wide
-WHERE repeat_kind IS NULL AND (f2 IS NULL OR f2 NOT IN (1, 2))""")
+WHERE (f2 IS NULL OR f2 NOT IN (1, 2))""")
 _v_query("validate_age_range", [{"type": "age_range", "field": "age_at_x", "min_age": 0, "max_age": 15000}],
          f"""SELECT 'Record' AS entity, 'age_range' AS rule, 'age_at_x' AS field,
   CAST(count(*) FILTER (WHERE a IS NOT NULL AND (a < 0 OR a > 15000)) AS BIGINT) AS bad_rows
-FROM (SELECT {_V_AGE} AS a FROM wide WHERE repeat_kind IS NULL)""")
+FROM (SELECT {_V_AGE} AS a FROM wide)""")
 _v_query("validate_unique", [{"type": "unique", "field": "segment"}],
          """SELECT 'Record' AS entity, 'unique' AS rule, 'segment' AS field,
   CAST(count(*) - count(DISTINCT segment) - max(CASE WHEN segment IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS bad_rows
-FROM wide WHERE repeat_kind IS NULL""")
+FROM wide""")
 _v_query("validation_report", [{"type": "participant_id", "field": "submitter_participant_id"},
                                {"type": "age_range", "field": "age_at_x", "max_age": 12000},
                                {"type": "unique", "field": "code"}, {"type": "unique", "field": "no_such"}],
          f"""SELECT 'Record' AS entity, 'participant_id' AS rule, 'submitter_participant_id' AS field, CAST(0 AS BIGINT) AS bad_rows
 UNION ALL SELECT 'Record', 'age_range', 'age_at_x',
   CAST(count(*) FILTER (WHERE a IS NOT NULL AND (a < 0 OR a > 12000)) AS BIGINT)
-FROM (SELECT {_V_AGE} AS a FROM wide WHERE repeat_kind IS NULL)
+FROM (SELECT {_V_AGE} AS a FROM wide)
 UNION ALL SELECT 'Record', 'unique', 'code', CAST(count(*) - count(DISTINCT c) - max(CASE WHEN c IS NULL THEN 1 ELSE 0 END) AS BIGINT)
-FROM (SELECT CASE f2 WHEN 1 THEN 'one' WHEN 2 THEN 'two' END AS c FROM wide WHERE repeat_kind IS NULL)""")
+FROM (SELECT CASE f2 WHEN 1 THEN 'one' WHEN 2 THEN 'two' END AS c FROM wide)""")
 
 
 # ------------------------------------------------------------------ 2.L post-processing
@@ -896,10 +896,10 @@ def _post_query(name: str, sp: dict, sql: str):
 _V_COLS = (f"participant_id AS submitter_participant_id, CASE f2 WHEN 1 THEN 'one' WHEN 2 THEN 'two' END AS code, "
            f"{_V_AGE} AS age_at_x, segment")
 _post_query("drop_null_required", _vspec([{"type": "required", "field": "code"}]),
-            f"SELECT {_V_COLS} FROM wide WHERE repeat_kind IS NULL AND f2 IN (1, 2)")
+            f"SELECT {_V_COLS} FROM wide WHERE f2 IN (1, 2)")
 _post_query("post_filter_records", _vspec([], [{"type": "filter_records", "field": "code", "op": "equals",
                                                 "value": "one"}]),
-            f"SELECT {_V_COLS} FROM wide WHERE repeat_kind IS NULL AND f2 = 1")
+            f"SELECT {_V_COLS} FROM wide WHERE f2 = 1")
 _base_query("post_clean_numeric", ["amount"], [_copy("amount_text", "amount")],
             "TRY_CAST(replace(amount_text, ',', '') AS DOUBLE) AS amount",
             post=[{"type": "clean_numeric", "fields": ["amount"]}])
