@@ -15,6 +15,8 @@ document and each get its result. An empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -62,20 +64,22 @@ def signatures(lines: list[str], bins: int = BANDS * ROWS) -> np.ndarray:
     return np.concatenate([np.zeros((0, bins), np.uint64), *(_sign(lines[a:b], bins) for a, b in zip(cuts, cuts[1:]))])
 
 
+@lru_cache(maxsize=2)
+def _donors(bins: int) -> np.ndarray:
+    """For each bin, the order in which it tries the bins if it is empty."""
+    rng = np.random.default_rng(11)
+    return np.stack([rng.permutation(bins) for _ in range(bins)])
+
+
 def _sign(lines: list[str], bins: int) -> np.ndarray:
     out = np.full((len(lines), bins), EMPTY)
     h, owner = shingle_hashes(lines)
     at = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
     np.minimum.at(out.ravel(), owner * bins + at, h & np.uint64(0xFFFFFFFF))
-    full = out != EMPTY
-    rng = np.random.default_rng(11)
-    for attempt in range(256):
-        row, col = np.nonzero(out == EMPTY)
-        if not len(row):
-            break
-        donor = rng.integers(0, bins, bins)[col] if attempt < 255 else full[row].argmax(1)
-        take = full[row, donor]
-        out[row[take], col[take]] = out[row[take], donor[take]]
+    row, col = np.nonzero(out == EMPTY)
+    order = _donors(bins)[col]
+    first = (out[row[:, None], order] != EMPTY).argmax(1)
+    out[row, col] = out[row, order[np.arange(len(row)), first]]
     return out
 
 
