@@ -103,28 +103,28 @@ def _sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether each id has one edge at most and no root has one: large and small stars change nothing then."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("root")))
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("root").alias("root")).where("up > 1 or up + root > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) for every id of ``edges`` (a, b); root is the smallest id of its component."""
     e = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = _state(e)
-    while state[0]:
+    while not _is_stars(e):
+        total = e.count()
         # large star: larger neighbours go to the smallest of the neighbourhood
         both = e.select(F.col("a").alias("n"), F.col("b").alias("x")).unionByName(e.select(F.col("b").alias("n"), F.col("a").alias("x")))
         least = cut(both.groupBy("n").agg(F.least(F.min("x"), F.min("n")).alias("m"), F.count("*").alias("degree")), "large")
-        large = cut(join_per_key(e.select(F.col("b").alias("n"), F.col("a").alias("x")), least, ["n"], "degree", 2 * state[0])
+        large = cut(join_per_key(e.select(F.col("b").alias("n"), F.col("a").alias("x")), least, ["n"], "degree", 2 * total)
                     .select(F.col("x").alias("a"), F.col("m").alias("b")).distinct(), "large")
         # small star: smaller neighbours and the node itself go to the smallest
         least = cut(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree")), "small")
-        small = (join_per_key(large, least, ["a"], "degree", max(1, state[0])).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = (join_per_key(large, least, ["a"], "degree", total).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))))
         e = cut(small.distinct(), "edges")
-        before, state = state, _state(e)
-        if state == before:
-            break
     return e.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
 
 
