@@ -2,15 +2,16 @@
 
 Everything here is keyed on one column, the participant id. No operator uses a
 window partitioned by that id: a single participant may hold a large share of
-the rows, and a window would put all of them in one task. Instead each step
-is a partial aggregation (map-side combine, so a hot id is pre-reduced before
-the shuffle) producing at most one row per id, joined back with an equi-join
-that AQE can split when a key is skewed, or broadcast when the aggregated side
-turns out small at run time.
+the rows, and a window would put all of them in one task. Eligibility, the
+enrichments and the baseline merge are one partial aggregation (map-side
+combine, so a hot id is pre-reduced before the shuffle) producing at most one
+row per id, and one equi-join back (``with_participant``). That join is salted:
+the rows of a hot id are dealt into parts, each with its copy of the id's row.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,11 @@ from ..functions.predicates import compile_condition, df_resolver
 
 ORD = "__ord"
 
+#: Rows of one id that a task joins. An id with more of them, and at least 1/HOT of all rows, is
+#: dealt into parts; so the list of such ids, which is broadcast, has at most HOT entries.
+PART_ROWS = 1_000_000
+HOT = 10_000
+
 
 def _fams(df: DataFrame) -> dict[str, str]:
     return {f.name: TY.family(f.dataType) for f in df.schema.fields}
@@ -35,15 +41,81 @@ def condition(df: DataFrame, cond, warnings: list[str]) -> Column:
     return compile_condition(cond, df_resolver(df), warnings)
 
 
-def eligible_participants(df: DataFrame, pid: str, cond: Column) -> DataFrame:
-    """Keep every row of participants having at least one row where ``cond`` holds.
+@dataclass
+class Fill:
+    """Null cells of ``fields`` are filled from the participant's rows where ``cond`` holds: ``first`` or
+    ``last`` non-null value, or ``row``: the value, as it is, of the first of these rows."""
+
+    cond: Column
+    fields: list[str]
+    mode: str = "first"
+
+
+def hot_ids(df: DataFrame, pid: str) -> DataFrame:
+    """(__hid, __parts) of the ids whose rows a join deals into parts; HOT rows at most."""
+    counts = df.groupBy(_c(pid).alias("__hid")).agg(F.count(F.lit(1)).alias("__n"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return (counts.filter((F.col("__n") > PART_ROWS) & (F.col("__n") * HOT >= total))
+            .select("__hid", F.ceil(F.col("__n") / PART_ROWS).cast("int").alias("__parts")))
+
+
+def salted(df: DataFrame, pid: str, hot: DataFrame) -> DataFrame:
+    """df with ``__salt``: which part of its id a row belongs to, 0 for ids that aren't hot."""
+    spread = [F.col(ORD)] if ORD in df.columns else [_c(c) for c in df.columns]
+    part = F.pmod(F.xxhash64(*spread), F.col("__parts")).cast("int")
+    return (df.join(F.broadcast(hot), _c(pid).eqNullSafe(F.col("__hid")), "left")
+            .select(*[_c(c) for c in df.columns], F.coalesce(part, F.lit(0)).alias("__salt")))
+
 
-    Left-semi join on the distinct qualifying ids; a null id matches a null id.
-    The id side is a partial-aggregated distinct (bounded by the number of
-    participants); AQE broadcasts it when its measured size is small.
+def with_participant(df: DataFrame, pid: str, eligible: Column | None = None, fills: list[Fill] = (),
+                     wanted: Column | None = None) -> DataFrame:
+    """Rows of eligible participants (one of their rows passes ``eligible``), null cells filled by ``fills`` in order.
+
+    One aggregation by id and one salted join, however many fills there are. A
+    later fill of the same field only acts where the earlier ones found nothing,
+    and there the rows are unchanged, so all of them read the source's own values.
+    A null id matches a null id in eligibility and in ``row`` fills; other fills leave it alone.
+    ``wanted`` reads no filled field: only such rows are joined and returned, so that the count of hot
+    ids, too, reads no others.
     """
-    ids = df.filter(cond).select(_c(pid).alias("__eid")).distinct()
-    return df.join(ids, _c(pid).eqNullSafe(F.col("__eid")), "left_semi")
+    if eligible is None and not fills:
+        return df
+    fams = _fams(df)
+    key, aggs, conds, found = _c(pid), [], [], {}
+    if eligible is not None:
+        conds.append(eligible)
+        aggs.append(F.max(eligible).alias("__ok"))
+    for i, f in enumerate(fills):
+        cond = f.cond if f.mode == "row" else f.cond & key.isNotNull()
+        conds.append(cond)
+        if f.mode == "row":
+            row = F.struct(*[_c(c).alias(f"f{j}") for j, c in enumerate(f.fields)])
+            aggs.append(F.min_by(F.when(cond, row), F.when(cond, F.col(ORD))).alias(f"__f{i}"))
+        for j, c in enumerate(f.fields):
+            if f.mode == "row":
+                value = F.col(f"__f{i}").getField(f"f{j}")
+            else:
+                ok = cond & ~TY.is_missing(_c(c), fams[c])
+                fn = F.max_by if f.mode == "last" else F.min_by
+                aggs.append(fn(F.when(ok, _c(c)), F.when(ok, F.col(ORD))).alias(f"__f{i}_{j}"))
+                value = F.col(f"__f{i}_{j}")
+            found.setdefault(c, []).append(value)
+    per_id = df.filter(reduce(lambda x, y: x | y, conds)).groupBy(key.alias("__pid")).agg(*aggs)
+    if eligible is not None:
+        per_id = per_id.filter("__ok")
+    taken = df if wanted is None else df.filter(wanted)
+    hot = hot_ids(taken, pid)
+    copies = (per_id.join(F.broadcast(hot), F.col("__pid").eqNullSafe(F.col("__hid")), "left")
+              .withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))))
+    joined = salted(taken, pid, hot).join(copies, key.eqNullSafe(F.col("__pid")) & (F.col("__salt") == F.col("__part")),
+                                       "left" if eligible is None else "inner")
+    out = []
+    for c in df.columns:
+        value = _c(c)
+        for f in found.get(c, []):
+            value = F.when(TY.is_missing(value, fams[c]), f).otherwise(value)
+        out.append(value.alias(c))
+    return joined.select(*out)
 
 
 def excluded_participants(df: DataFrame, pid: str, cond: Column) -> DataFrame:
@@ -53,12 +125,6 @@ def excluded_participants(df: DataFrame, pid: str, cond: Column) -> DataFrame:
     return all_ids.join(ids, _c(pid).eqNullSafe(F.col("__eid")), "left_anti")
 
 
-def _first_non_null(c: Column, fam: str, last: bool) -> Column:
-    ok = ~TY.is_missing(c, fam)
-    fn = F.max_by if last else F.min_by
-    return fn(F.when(ok, c), F.when(ok, F.col(ORD)))
-
-
 def composite_rows(df: DataFrame, pid: str, last: bool = False) -> DataFrame:
     """One row per participant made of the first (last) non-null value of each
     column, in row order. Rows with a null id drop out. (Aggregates are built
@@ -127,45 +193,5 @@ def select_rows(df: DataFrame, pid: str, selectors: list, warnings: list[str], p
     return dedup_rows(reduce(lambda a, b: a.unionByName(b), frames))
 
 
-def fill_from_rows(
-    df: DataFrame, pid: str, cond: Column, fields: list[str], last: bool = False, tag: str = "e"
-) -> DataFrame:
-    """Fill null cells of ``fields`` on every row of a participant with that
-    participant's first (last) non-null value among rows where ``cond`` holds.
-    Null ids are left alone."""
-    fams = _fams(df)
-    src = df.filter(cond & _c(pid).isNotNull())
-    aggs = [_first_non_null(_c(f), fams[f], last).alias(f"__{tag}_{i}") for i, f in enumerate(fields)]
-    per_pid = src.groupBy(_c(pid).alias(f"__{tag}_pid")).agg(*aggs)
-    joined = df.join(per_pid, _c(pid) == F.col(f"__{tag}_pid"), "left")
-    out = []
-    for c in df.columns:
-        if c in fields:
-            i = fields.index(c)
-            out.append(
-                F.when(TY.is_missing(_c(c), fams[c]), F.col(f"__{tag}_{i}")).otherwise(_c(c)).alias(c)
-            )
-        else:
-            out.append(_c(c))
-    return joined.select(*out)
-
-
-def merge_baseline(df: DataFrame, pid: str, baseline_cond: Column, fields: list[str]) -> DataFrame:
-    """Fill null cells of ``fields`` from the participant's first baseline row
-    (the row's values as they are, not the first non-null). Null id matches null id."""
-    fams = _fams(df)
-    base = first_row_per_key(df.filter(baseline_cond), [pid], fields)
-    base = base.select(_c(pid).alias("__b_pid"), *[_c(f).alias(f"__b_{i}") for i, f in enumerate(fields)])
-    joined = df.join(base, _c(pid).eqNullSafe(F.col("__b_pid")), "left")
-    out = []
-    for c in df.columns:
-        if c in fields:
-            i = fields.index(c)
-            out.append(F.when(TY.is_missing(_c(c), fams[c]), F.col(f"__b_{i}")).otherwise(_c(c)).alias(c))
-        else:
-            out.append(_c(c))
-    return joined.select(*out)
-
-
 def distinct_participants(df: DataFrame, pid: str) -> DataFrame:
     return df.select(_c(pid)).distinct()

@@ -1,7 +1,7 @@
 """Entity and study jobs: spec -> lazy DataFrame plan.
 
-``map_entity`` chains, in this order: participant eligibility (left-semi
-join) -> enrichment (partial aggregation + join per step) -> row selection
+``map_entity`` chains, in this order: participant eligibility and enrichment
+(one partial aggregation and one salted join) -> row selection
 (filters, per-participant composites, whole-row dedup) -> cleaning steps ->
 direct mapping or expansion -> post-processing. Validations are a separate
 one-pass aggregation over the result. Nothing is collected; the only eager
@@ -11,6 +11,7 @@ steps are the small column-statistics jobs some steps need (``auto``).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -90,6 +91,15 @@ def _participant_filter(filters: dict):
     return None
 
 
+def _names_in(cond) -> set[str]:
+    """Every text in a condition, the fields that it reads among them."""
+    if isinstance(cond, dict):
+        return set().union(*map(_names_in, cond.values()))
+    if isinstance(cond, (list, tuple)):
+        return set().union(*map(_names_in, cond))
+    return {cond} if isinstance(cond, str) else set()
+
+
 def preprocess(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> DataFrame:
     """Eligibility -> enrichment -> row selection -> field filters -> cleaning."""
     f = spec.filters
@@ -97,39 +107,45 @@ def preprocess(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> DataFram
     has_pid = pid in df.columns
 
     pcond = _participant_filter(f)
+    eligible = None
     if pcond:
         if has_pid:
-            df = rows.eligible_participants(df, pid, rows.condition(df, pcond, warnings))
+            eligible = rows.condition(df, pcond, warnings)
         else:
             warnings.append(f"participant id column {pid!r} missing: eligibility skipped")
 
     enrich = f.get("enrich") or []
-    steps = [enrich] if isinstance(enrich, dict) else list(enrich)
-    for n, e in enumerate(steps):
+    fills: list[rows.Fill] = []
+    for e in [enrich] if isinstance(enrich, dict) else list(enrich):
         if not isinstance(e, dict) or not has_pid:
             continue
         if "merge_baseline_fields" in e:
             fields = [x for x in (e.get("merge_baseline_fields") or []) if x in df.columns]
             base_sel = next((s for s in f.get("rows") or [] if isinstance(s, dict) and s.get("name") == "baseline"),
                             None)
-            cond = (base_sel or {}).get("filter") or e.get("source")
+            cond, mode = (base_sel or {}).get("filter") or e.get("source"), "row"
             if not fields or not cond:
                 warnings.append("merge_baseline_fields skipped: no fields or no baseline rows defined")
                 continue
-            df = rows.merge_baseline(df, pid, rows.condition(df, cond, warnings), fields)
-            continue
-        fields = e.get("fields") or []
-        src = e.get("source") or []
-        if not src or not fields:
-            warnings.append(f"enrichment {e.get('name', 'unnamed')!r} missing source or fields: skipped")
-            continue
-        present = [x for x in fields if x in df.columns and x != pid]
-        if not present:
-            continue
-        df = rows.fill_from_rows(df, pid, rows.condition(df, src, warnings), present,
-                                 last=e.get("select") == "last", tag=f"e{n}")
-
+        else:
+            cond, mode = e.get("source") or [], "last" if e.get("select") == "last" else "first"
+            if not cond or not (e.get("fields") or []):
+                warnings.append(f"enrichment {e.get('name', 'unnamed')!r} missing source or fields: skipped")
+                continue
+            fields = [x for x in e["fields"] if x in df.columns and x != pid]
+            if not fields:
+                continue
+        if _names_in(cond) & {c for x in fills for c in x.fields}:
+            # the condition reads a field that an earlier step fills, so those steps have to come first
+            df, eligible, fills = rows.with_participant(df, pid, eligible, fills), None, []
+        fills.append(rows.Fill(rows.condition(df, cond, warnings), fields, mode))
     selectors = f.get("rows") or []
+    picks = [s["filter"] for s in selectors if isinstance(s, dict) and s.get("filter")]
+    wanted = None
+    if picks and not _names_in(picks) & {c for x in fills for c in x.fields}:
+        wanted = reduce(lambda a, b: a | b, [rows.condition(df, c, []) for c in picks])
+    df = rows.with_participant(df, pid, eligible, fills, wanted)
+
     if selectors:
         df = rows.select_rows(df, pid, selectors, warnings, pid_present=has_pid)
 
