@@ -24,6 +24,9 @@ def main(argv=None) -> int:
     ap.add_argument("--output", required=True)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--share", default="none", choices=["none", "persist"])
+    ap.add_argument("--sep", help="delimiter of --input (default: by file name, or found in the header line)")
+    ap.add_argument("--multi-line", action=argparse.BooleanOptionalAction, default=None,
+                    help="quoted fields of --input hold line ends (default: found in the file)")
     a = ap.parse_args(argv)
 
     from .plans.engine import map_study, release
@@ -34,7 +37,7 @@ def main(argv=None) -> int:
 
     spark = get_session()
     specs = load_study(a.study)
-    source = read_file(spark, a.input) if a.input else None
+    source = read_file(spark, a.input, sep=a.sep, multi_line=a.multi_line) if a.input else None
     results = map_study(source, specs, source_dir=a.input_dir, share=a.share)
     paths = write_study(results, a.output, a.format)
     write_reports({k: r for k, r in results.items() if not r.error}, a.output, a.format)

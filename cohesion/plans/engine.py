@@ -78,7 +78,7 @@ def _with_order(df: DataFrame, order_by, warnings: list[str], needed: bool) -> D
     if ORD in df.columns:
         return df
     if needed:
-        warnings.append("no order_by given: first/last follow the scan order")
+        raise SpecError("first/last need a row order: give order_by, or read the source with read_file")
     return df.withColumn(ORD, F.monotonically_increasing_id())
 
 

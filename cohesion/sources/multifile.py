@@ -106,7 +106,7 @@ def load_entity_sources(spark: SparkSession, directory: str, entity: str, source
     base = directory.rstrip("/")
     if not source_files:
         return read_file(spark, find_entity_file(spark, directory, entity), 0, int_with_nulls)
-    ml = bool(source_files.get("multi_line"))
+    ml = source_files.get("multi_line")
     df = read_file(spark, f"{base}/{source_files['primary']}", 0, int_with_nulls, multi_line=ml)
     idx = 1
     for n, sec in enumerate(source_files.get("secondary") or [], start=1):

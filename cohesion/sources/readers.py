@@ -62,11 +62,17 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
     return TXT_DELIMITERS[counts.index(max(counts))]
 
 
+def text_facts(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """(encoding, whether a quoted field may go over a line end), from one aggregation over the lines.
+    UTF-8 unless some line does not decode (then Latin-1, which accepts any byte); a line with an odd
+    number of quotes opens or closes a field of several lines."""
+    v = F.col("value")
+    found = spark.read.text(path).agg(F.max(~F.is_valid_utf8(v)), F.max(F.length(v) % 2 != F.length(F.replace(v, F.lit('"'))) % 2)).first()
+    return "ISO-8859-1" if found[0] else "UTF-8", bool(found[1])
+
+
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless some line does not decode (then Latin-1, which accepts any byte).
-    A distributed filter that stops at the first bad line."""
-    bad = spark.read.text(path).filter(~F.is_valid_utf8(F.col("value"))).limit(1)
-    return "ISO-8859-1" if bad.count() else "UTF-8"
+    return text_facts(spark, path)[0]
 
 
 def delimiter_for(spark: SparkSession, path: str) -> str:
@@ -79,12 +85,18 @@ def delimiter_for(spark: SparkSession, path: str) -> str:
 
 
 def read_text_table(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "auto",
-                    multi_line: bool = False, file_index: int = 0) -> DataFrame:
+                    multi_line: bool | None = None, file_index: int = 0) -> DataFrame:
     """All columns as text, null tokens nulled, BOM stripped from the header, plus
     the row order ``(file index, file path, block start, position)``: splits of
-    one file are ordered by their start offset, rows within a split by position."""
+    one file are ordered by their start offset, rows within a split by position.
+    ``multi_line`` None: quoted fields may hold line ends where the file has such fields; the file is
+    then one split, which Spark's reader needs for them."""
     sep = sep or delimiter_for(spark, path)
-    enc = detect_encoding(spark, path) if encoding == "auto" else encoding
+    enc = encoding
+    if encoding == "auto" or multi_line is None:
+        found, several = text_facts(spark, path)
+        enc = found if encoding == "auto" else encoding
+        multi_line = several if multi_line is None else multi_line
     df = (
         spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
         .option("encoding", enc).option("inferSchema", False).option("multiLine", multi_line)
@@ -151,13 +163,12 @@ def with_order(df: DataFrame, file_index: int = 0) -> DataFrame:
 
 def read_file(spark: SparkSession, path: str, file_index: int = 0, int_with_nulls: str = "double",
               encoding: str = "auto", sep: str | None = None, schema: dict | None = None,
-              multi_line: bool = False) -> DataFrame:
+              multi_line: bool | None = None) -> DataFrame:
     """A1-A5: ``.csv`` (and any unknown suffix) comma, ``.tsv`` tab, ``.txt``
     sniffed; ``.parquet`` read as is. ``schema`` ({column: Spark type}) skips
     the inference pass: the file is then read once."""
     if Path(path).suffix.lower() == ".parquet":
         return spark.read.parquet(path).selectExpr("*", file_order(file_index))
-    # multiLine only on request: it makes each file one split
     raw = read_text_table(spark, path, sep=sep, encoding=encoding, file_index=file_index, multi_line=multi_line)
     if schema:
         return raw.select(*[(F.regexp_replace(_c(c), r"^\s+|\s+$", "").try_cast(schema[c]).alias(c)

@@ -94,7 +94,7 @@ def expand_configs(configs: list, warnings: list[str]) -> list[dict]:
 
 def _check_source_files(entity: dict) -> dict | None:
     if "source_file" in entity and entity["source_file"]:
-        return {"primary": entity["source_file"], "secondary": [], "multi_line": bool(entity.get("multi_line"))}
+        return {"primary": entity["source_file"], "secondary": [], "multi_line": entity.get("multi_line")}
     sf = entity.get("source_files")
     if sf is None:
         return None
@@ -118,7 +118,7 @@ def _check_source_files(entity: dict) -> dict | None:
                          "columns": s.get("columns"), "nulls_match": bool(s.get("nulls_match", True))})
         else:
             raise SpecError("secondary element must be a string or a mapping")
-    return {"primary": sf["primary"], "secondary": secs, "multi_line": bool(sf.get("multi_line"))}
+    return {"primary": sf["primary"], "secondary": secs, "multi_line": sf.get("multi_line")}
 
 
 def _load_yaml(text: str, warnings: list[str]):
