@@ -6,11 +6,13 @@ many pages of that host: those are its template and are deleted. What remains of
 the article (``article`` or ``main``; without either, of the body) is cut into
 blocks of text.
 
-Two rules stand beside the counts. Elements that are furniture by their tag or
-by a word of their class, id or role (menus, headers, footers, sidebars, notices,
-adverts, forms, comments) go on every page, also on a host with too few pages to
-count. Inside the article, paragraphs, headings, lists and other text blocks are
-never template: a passage that many articles of a host share is still their text.
+Two rules stand beside the counts. Elements that are furniture by their tag go on
+every page, also on a host with too few pages to count, and so do those with a mark:
+a word of their class, id or role that menus, footers, sidebars, notices, adverts and
+comments have. A mark never drops html, body, article, main or what holds an article
+or main. Inside the article, and on text blocks and wrappers of a page without one, it
+only makes an element a candidate that the counts decide on. Inside the article,
+unmarked text blocks are never template.
 
 Null html counts as empty and gives the empty text; a null or malformed url
 counts as one host without a name. Pages with equal url and html share one
@@ -47,7 +49,11 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense s
                   "breadcrumb breadcrumbs pagination pager footer sidebar aside rail widget widgets related recommended recommendations notice notices cookie "
                   "cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup login search share sharing social comment comments "
                   "disqus respond reply replies contentinfo complementary masthead toolbar skip hidden".split())
-#: "header" marks furniture on containers, but an article's own <header> holds its heading.
+#: An id is a mark if all its words are marks or one of these; ids are also anchors of real text ("related-work").
+PLACES = frozenset("left right top bottom main site page primary secondary global wrap wrapper container box block area bar inner outer col column".split())
+CONTENT = ("article", "main")
+#: A part with more than this share of a page's text is its text, whatever its marks.
+MOST = 2 / 3
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th caption figure figcaption address hgroup details summary "
                    "div section article main header footer nav aside body html center fieldset form hr".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th caption figure figcaption address hgroup".split())
@@ -58,12 +64,15 @@ CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)),
 
 
 class Node:
-    __slots__ = ("tag", "words", "children", "dropped", "hash")
+    __slots__ = ("tag", "words", "children", "hidden", "dropped", "marked", "inside", "holds", "size", "hash")
 
-    def __init__(self, tag: str, words: tuple = (), hidden: bool = False):
+    def __init__(self, tag: str, words: tuple = (), hidden: bool = False, marked: bool = False):
         self.tag, self.words, self.children = tag, words, []
-        self.dropped = tag in DROPPED or hidden or not MARKS.isdisjoint(words)
-        self.hash = 0
+        self.hidden = hidden and tag not in ("html", "body")
+        self.dropped = tag in DROPPED or self.hidden
+        self.marked = marked and tag not in ("html", "body", *CONTENT)
+        self.inside = self.holds = False
+        self.size = self.hash = 0
 
 
 def parse(source: str) -> Node:
@@ -90,7 +99,7 @@ def parse(source: str) -> Node:
                 if tag not in BLOCKS and stack[i].tag in BLOCKS:
                     break  # a stray end of an inline element does not end the block around it
             continue
-        words, hidden = (), False
+        words, hidden, marked = (), False, False
         if m[3]:
             for name, a, b, c in ATTRIBUTE.findall(m[3]):
                 if name.lower() == "hidden":
@@ -98,7 +107,9 @@ def parse(source: str) -> Node:
                 elif name.lower() == "aria-hidden":
                     hidden |= (a or b or c).lower() == "true"
                 else:
-                    words += tuple(WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", a or b or c).lower()))
+                    found = tuple(WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", a or b or c).lower()))
+                    words += found
+                    marked |= not MARKS.isdisjoint(found) and (name.lower() != "id" or all(w in MARKS or w in PLACES or w.isdigit() for w in found))
         if tag in ENDS_P:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
@@ -114,7 +125,7 @@ def parse(source: str) -> Node:
                     break
                 if stack[i].tag in bounds:
                     break
-        node = Node(tag, words, hidden)
+        node = Node(tag, words, hidden, marked)
         stack[-1].children.append(node)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
@@ -124,6 +135,33 @@ def parse(source: str) -> Node:
                 at = end.end() if end else size
             continue
         stack.append(node)
+    return settle(root)
+
+
+def settle(root: Node) -> Node:
+    """Says of each element whether it is in an article or main, and whether its tag or mark alone drops it."""
+    order, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        order.append(n)
+        for c in n.children:
+            if isinstance(c, Node):
+                c.inside = n.inside or n.tag in CONTENT
+                todo.append(c)
+    for n in reversed(order):
+        n.holds = n.tag in CONTENT
+        for c in n.children:
+            if isinstance(c, str):
+                n.size += sum(map(len, c.split()))
+            elif not c.dropped or c.tag == "form" and not c.hidden:
+                n.size += c.size
+                n.holds |= c.holds
+    for n in order:
+        most = n.size > MOST * root.size
+        if n.tag == "form" and not n.hidden:
+            n.dropped = not (n.holds or most and not n.inside)  # some sites wrap the whole page in a form
+        elif n.marked and not n.dropped:
+            n.dropped = not (n.holds or n.inside or n.tag in TEXT_BLOCKS and n.tag not in ("ul", "ol") or most and not root.holds)
     return root
 
 
@@ -133,7 +171,7 @@ def content(root: Node) -> list[Node]:
     found, todo = [], [root]
     while todo:
         n = todo.pop()
-        if n.tag in ("article", "main"):
+        if n.tag in CONTENT:
             found.append(n)
         else:
             todo += [c for c in reversed(n.children) if isinstance(c, Node) and not c.dropped]
@@ -157,7 +195,7 @@ def subtrees(root: Node) -> set[int]:
             h.update(c.hash.to_bytes(8, "little") if isinstance(c, Node) else " ".join(c.split()).encode("utf-8", "replace"))
             h.update(b"\0")
         n.hash = h.intdigest()
-        if n.tag not in ("#root", "html", "body", "article", "main", "br", "hr") and (n.tag in BLOCKS if within else True) and not (within and n.tag in TEXT_BLOCKS):
+        if n.tag not in ("#root", "html", "body", "article", "main", "br", "hr") and (n.tag in BLOCKS if within else True) and (n.marked or not (within and n.tag in TEXT_BLOCKS)):
             may.add(n.hash)
     return may
 

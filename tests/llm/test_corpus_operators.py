@@ -300,3 +300,14 @@ def test_html(spark):
     assert got[0] == ["T0\nFirst & bold line\nSecond part"] * 2 and got[5] == ["T5\nFirst & bold line\nSecond part"]
     assert got[103] == ["Own text 3"] and got[200] == [""] and got[201] == ["x"] and got[202] == [""]
     assert html_template.main_text(df.limit(0)).collect() == []
+
+
+def test_marks_do_not_drop_wrappers_or_text():
+    """A word of a class or id alone drops no wrapper of the article and no text in it."""
+    get = lambda source: "\n".join(html_template.blocks(html_template.parse(source)))
+    inner = '<section id="related-work"><h2 id="search">Search</h2><p class="notice">Real</p></section>'
+    for page in ('<body class="single has-sidebar"><article><p>A{}</article>', '<body><div id="page" class="no-banner"><main><p>A{}</main></div>',
+                 '<body><article class="post has-comments"><p>A{}</article>', '<form id="f"><article><p>A{}</article></form>',
+                 '<body><div class="no-banner"><p>A{}</div>'):
+        assert get(page.format(inner)) == "A\nSearch\nReal"
+    assert get('<body><div class="menu">Home</div><div id="left-sidebar">Side</div><p>The text of the page</p></body>') == "The text of the page"
