@@ -2,17 +2,20 @@
 
 Every element subtree of a page is hashed (tag, class, id and text below it, white
 space aside). Counting the hashes per host in Spark shows which subtrees recur on
-many pages of that host: those are its template and are deleted. What remains of
-the article (``article`` or ``main``; without either, of the body) is cut into
-blocks of text.
+many pages of that host: those are its template and are deleted, inside the article
+(``article`` or ``main``) and outside. What remains of the page is cut into blocks of
+text. On a host with too few pages to count, only the article is; without one, the body.
+
+Paragraphs, lists and other text blocks of the article, or of a page without one, are
+template only if they recur in the same place; elsewhere a shared passage is text of
+its pages. Headings go only with what follows them.
 
 Two rules stand beside the counts. Elements that are furniture by their tag go on
 every page, also on a host with too few pages to count, and so do those with a mark:
 a word of their class, id or role that menus, footers, sidebars, notices, adverts and
 comments have. A mark never drops html, body, article, main or what holds an article
 or main. Inside the article, and on text blocks and wrappers of a page without one, it
-only makes an element a candidate that the counts decide on. Inside the article,
-unmarked text blocks are never template.
+only makes an element a candidate that the counts decide on.
 
 Null html counts as empty and gives the empty text; a null or malformed url
 counts as one host without a name. Pages with equal url and html share one
@@ -25,12 +28,13 @@ import html as entities
 import re
 from urllib.parse import urlsplit
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut
-from .near import join_per_key
+from .near import join_per_key, key_filter, may_hold
 
 #: A subtree is template if it is on at least this many pages of a host, and on at least this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.02
@@ -52,6 +56,11 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense s
 #: An id is a mark if all its words are marks or one of these; ids are also anchors of real text ("related-work").
 PLACES = frozenset("left right top bottom main site page primary secondary global wrap wrapper container box block area bar inner outer col column".split())
 CONTENT = ("article", "main")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Never template by themselves: roots, parts of a list or table, and what has no text.
+PARTS = frozenset("#root html body article main br hr li dt dd thead tbody tfoot tr td th caption figcaption hgroup summary".split())
+#: A marked element in the article is template if its text is on so many pages of the host.
+MARKED_PAGES = 2
 #: A part with more than this share of a page's text is its text, whatever its marks.
 MOST = 2 / 3
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th caption figure figcaption address hgroup details summary "
@@ -64,14 +73,14 @@ CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)),
 
 
 class Node:
-    __slots__ = ("tag", "words", "children", "hidden", "dropped", "marked", "inside", "holds", "size", "hash")
+    __slots__ = ("tag", "words", "children", "hidden", "dropped", "marked", "inside", "holds", "leaf", "size", "hash")
 
     def __init__(self, tag: str, words: tuple = (), hidden: bool = False, marked: bool = False):
         self.tag, self.words, self.children = tag, words, []
         self.hidden = hidden and tag not in ("html", "body")
         self.dropped = tag in DROPPED or self.hidden
         self.marked = marked and tag not in ("html", "body", *CONTENT)
-        self.inside = self.holds = False
+        self.inside = self.holds = self.leaf = False
         self.size = self.hash = 0
 
 
@@ -178,30 +187,85 @@ def content(root: Node) -> list[Node]:
     return found or [root]
 
 
-def subtrees(root: Node) -> set[int]:
-    """Hashes every element and returns those of the elements that may be template: all outside the content,
-    and inside it all but text blocks."""
-    order, todo = [], [(root, False)]
-    inside = {id(n) for n in content(root) if n is not root}
+def candidates(root: Node, host: str) -> dict[int, int]:
+    """id(element) -> hash on that host, of the elements with text that may be template. In the article, and on a page
+    without one, a text block's hash holds its place: the tags above it, and how many elements are before or after it.
+    Odd hashes are of marked elements in the article."""
+    order, todo = [], [(root, 0, 0)]
     while todo:
-        n, within = todo.pop()
-        within = within or id(n) in inside
-        order.append((n, within))
-        todo += [(c, within) for c in n.children if isinstance(c, Node)]
-    may = set()
-    for n, within in reversed(order):
+        n, path, place = todo.pop()
+        order.append((n, path, place))
+        if n.tag in BLOCKS:
+            path = xxhash.xxh64_intdigest(f"{path} {n.tag}")
+        below = [c for c in n.children if isinstance(c, Node) and not c.dropped and c.size]
+        todo += [(c, path, k + 1 if 2 * k < len(below) else k - len(below)) for k, c in enumerate(below)]
+    out = {}
+    for n, path, place in reversed(order):
         h = xxhash.xxh64(f"{n.tag} {' '.join(n.words)}")
+        leaf = True
         for c in n.children:
-            h.update(c.hash.to_bytes(8, "little") if isinstance(c, Node) else " ".join(c.split()).encode("utf-8", "replace"))
+            if isinstance(c, str):
+                h.update(" ".join(c.split()).encode("utf-8", "replace"))
+            elif c.dropped:
+                continue
+            else:
+                h.update(c.hash.to_bytes(8, "little"))
+                leaf &= c.leaf and c.tag not in BLOCKS
             h.update(b"\0")
-        n.hash = h.intdigest()
-        if n.tag not in ("#root", "html", "body", "article", "main", "br", "hr") and (n.tag in BLOCKS if within else True) and (n.marked or not (within and n.tag in TEXT_BLOCKS)):
-            may.add(n.hash)
-    return may
+        n.hash, n.leaf = h.intdigest(), leaf
+        if not n.size or n.holds or n.tag in PARTS or n.tag == "header" and n.inside:
+            continue
+        if n.tag in BLOCKS or not n.inside and not root.holds:
+            placed = (n.inside or not root.holds) and (n.tag in TEXT_BLOCKS or leaf)
+            key = xxhash.xxh64_intdigest(f"{host} {n.hash} {path} {place}" if placed else f"{host} {n.hash}")
+            key = key & ~1 | (n.marked and n.inside)
+            out[id(n)] = key - (1 << 64) if key >= 1 << 63 else key
+    return out
 
 
-def blocks(root: Node, template: set[int] | frozenset = frozenset()) -> list[str]:
-    """The text blocks of the content in page order, without furniture and template subtrees."""
+def recurring(root: Node, hashes: dict[int, int], counts: dict[int, int], need: int, inside: int) -> list[tuple[Node, int]]:
+    """The outermost elements on ``need`` pages or more, in the content on ``inside`` or more, with how many. A heading
+    goes only with the element that follows it."""
+    out, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        after = False
+        for c in reversed(n.children):
+            if not isinstance(c, Node) or not (c.size or c.dropped):
+                continue
+            gone = c.dropped
+            if not gone:
+                h = hashes.get(id(c), 0)
+                least = MARKED_PAGES if h & 1 else inside if c.inside or not root.holds else need
+                gone = counts.get(h, 0) >= least and (after or c.tag not in HEADINGS)
+                if gone:
+                    out.append((c, counts[h]))
+                else:
+                    todo.append(c)
+            after = gone
+    return out
+
+
+def deleted(root: Node, hashes: dict[int, int], counts: dict[int, int], pages: int, need: int) -> set[int]:
+    """id() of the template elements of a page of a host with so many pages. If what recurs is most of the content,
+    the page is a near copy of others; then only what recurs on ``need`` pages besides the copies is template. A page
+    without an article may be mostly menus, so there it is a copy only if less than half of the host is like it."""
+    found = recurring(root, hashes, counts, need, need)
+    parts = sorted((n, c.size) for c, n in found if (c.inside or not root.holds) and not hashes[id(c)] & 1)
+    shared, marked = sum(size for _, size in parts), sum(c.size for c, _ in found if hashes[id(c)] & 1)
+    if shared > MOST * (sum(n.size for n in content(root)) - marked):
+        copies, before = 0, 0
+        for copies, size in parts:
+            before += size
+            if 2 * before >= shared:
+                break
+        if root.holds or 2 * copies < pages:
+            found = recurring(root, hashes, counts, need, copies + need)
+    return {id(c) for c, _ in found}
+
+
+def blocks(root: Node, gone: set[int] | frozenset = frozenset(), whole: bool = False) -> list[str]:
+    """The text blocks in page order, without furniture and the elements in ``gone``; of the content, or of the whole page."""
     out, words = [], []
 
     def flush():
@@ -210,8 +274,7 @@ def blocks(root: Node, template: set[int] | frozenset = frozenset()) -> list[str
             out.append(s)
         words.clear()
 
-    top = content(root)
-    for node in top:
+    for node in [root] if whole else content(root):
         todo: list = [node]
         while todo:
             n = todo.pop()
@@ -219,10 +282,10 @@ def blocks(root: Node, template: set[int] | frozenset = frozenset()) -> list[str
                 words.append(n)
             elif n is None:
                 flush()
-            elif n is not node and (n.dropped or n.hash in template) and n is not root:
+            elif n is not node and (n.dropped or id(n) in gone):
                 if n.tag in BLOCKS or n.tag == "button":
                     flush()
-            elif n.tag == "header" and node.tag == "#root":
+            elif n.tag == "header" and not n.inside and not n.holds:
                 flush()  # the page's header; an article's own header holds its heading
             elif n.tag == "br":
                 words.append(" ")
@@ -243,61 +306,69 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def of_host(host: str, subtree: int) -> int:
-    """A subtree's hash on that host, as a signed long."""
-    h = xxhash.xxh64_intdigest(f"{host} {subtree}")
-    return h - (1 << 64) if h >= 1 << 63 else h
-
-
 def page_subtrees(pages: DataFrame) -> DataFrame:
     """(key, host, hash array) of every distinct page: its subtrees that may be template, hashed with the host."""
     def make():
         def f(cols):
             out = {"key": cols["key"], "host": [host_of(u) for u in cols["url"]], "hash": []}
             for host, source in zip(out["host"], cols["html"]):
-                out["hash"].append([of_host(host, h) for h in subtrees(parse(source))])
+                out["hash"].append(sorted(set(candidates(parse(source), host).values())))
             return out
 
         return f
 
-    seen = arrow_map(pages.select("key", "url", "html"), "key string, host string, hash array<long>", make)
+    seen = arrow_map(pages.select("key", "url", "html"), "key binary, host string, hash array<long>", make)
     return seen.dropDuplicates(["key"])
 
 
 def site_templates(seen: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(key, template) from page_subtrees: the hashes to delete from each page, as they recur on its host. Counts
-    are combined before the shuffle, so a host with a third of the pages moves no more than its distinct subtrees."""
-    pages = seen.groupBy("host").agg(F.count("*").alias("pages"))
+    """(key, pages, need, template) of the pages of hosts with min_pages pages, from page_subtrees: on how many of the
+    host's pages a subtree must be, and the hashes of the page that are on two pages or more, with how many. Counts are combined before the
+    shuffle, so a host with a third of the pages moves no more than its distinct subtrees."""
     total = seen.count()
-    rows = cut(join_per_key(seen, pages.withColumn("need", F.greatest(F.lit(min_pages), F.ceil(F.col("pages") * min_share)).cast("int")), ["host"], "pages", total)
-               .select(F.monotonically_increasing_id().alias("page"), "key", "need", "hash"), "subtrees")
-    each = rows.select("page", "need", F.explode("hash").alias("hash"))
-    recurring = cut(each.groupBy("hash").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").drop("need"), "templates")
-    spots = int(recurring.agg(F.sum("n")).first()[0] or 0)
-    marked = join_per_key(each.drop("need"), recurring, ["hash"], "n", spots).groupBy("page").agg(F.collect_list("hash").alias("template"))
-    return rows.select("page", "key").join(marked, "page").drop("page")
+    hosts = (seen.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+             .withColumn("need", F.greatest(F.lit(min_pages), F.ceil(F.col("pages") * min_share)).cast("int")))
+    known = join_per_key(seen.select("key", "host"), hosts.withColumn("many", F.col("pages")), ["host"], "many", total).drop("host")
+    often = cut(seen.select(F.explode("hash").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).where(f"n >= {MARKED_PAGES}"), "templates")
+    found = often.agg(F.sum("n"), F.count("*")).first()
+    words = key_filter(often, "hash", int(found[1]))
+
+    def make():
+        def f(cols):  # only subtrees that the small filter holds move to meet their counts
+            out = {"key": [], "hash": []}
+            for key, hashes in zip(cols["key"], cols["hash"]):
+                keep = np.array(hashes, np.int64)[may_hold(words, np.array(hashes, np.int64))].tolist()
+                out["key"] += [key] * len(keep)
+                out["hash"] += keep
+            return out
+
+        return f
+
+    each = arrow_map(seen.select("key", "hash"), "key binary, hash long", make)
+    marked = (join_per_key(each, often.withColumn("many", F.col("n")), ["hash"], "many", int(found[0] or 0))
+              .groupBy("key").agg(F.collect_list(F.struct("hash", "n")).alias("template")))
+    return known.join(marked, "key", "left")
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages."""
     p = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    p = p.withColumn("key", F.md5(F.concat_ws("\0", F.coalesce("url", F.lit("")), "html")))
+    p = p.withColumn("key", F.unhex(F.md5(F.concat_ws("\0", F.coalesce("url", F.lit("")), "html"))))
     marked = site_templates(cut(page_subtrees(p), "pages"), min_pages, min_share)
     joined = p.join(marked, "key", "left")
 
     def make():
         def f(cols):
             out = {"page_id": cols["page_id"], "url": cols["url"], "text": [], "n_chars": []}
-            for url, source, template in zip(cols["url"], cols["html"], cols["template"]):
-                root, drop = parse(source), frozenset()
+            for url, source, n, need, template in zip(cols["url"], cols["html"], cols["pages"], cols["need"], cols["template"]):
+                root, gone = parse(source), frozenset()
                 if template:
-                    host, template = host_of(url), set(template)
-                    drop = {h for h in subtrees(root) if of_host(host, h) in template}
-                text = "\n".join(blocks(root, drop))
+                    gone = deleted(root, candidates(root, host_of(url)), {x["hash"]: x["n"] for x in template}, n, need)
+                text = "\n".join(blocks(root, gone, need is not None))
                 out["text"].append(text)
                 out["n_chars"].append(len(text))
             return out
 
         return f
 
-    return arrow_map(joined.select("page_id", "url", "html", "template"), "page_id long, url string, text string, n_chars long", make)
+    return arrow_map(joined.select("page_id", "url", "html", "pages", "need", "template"), "page_id long, url string, text string, n_chars long", make)

@@ -311,3 +311,21 @@ def test_marks_do_not_drop_wrappers_or_text():
                  '<body><div class="no-banner"><p>A{}</div>'):
         assert get(page.format(inner)) == "A\nSearch\nReal"
     assert get('<body><div class="menu">Home</div><div id="left-sidebar">Side</div><p>The text of the page</p></body>') == "The text of the page"
+
+
+def test_host_counts_decide_in_and_outside_the_article(spark):
+    """Unmarked furniture, also a notice inside the articles, goes because it recurs; a passage that articles share in other places stays."""
+    def page(i):
+        own = [f"<p>Own {i} {k}</p>" for k in range(4 + i % 3)]
+        own.insert(i % 4, "<p>A proverb</p>")
+        return f"<body><div>Strip</div><article><h1>T{i}</h1>{''.join(own)}<p>Subscribe to our letter</p></article><div><p>Outside {i}</p></div></body>"
+
+    bare = lambda i: f"<body><div><span>Top</span></div><h2>Summary</h2><p>Own {i}</p><h3>More</h3><ul><li>Home<li>Away</ul></body>"
+    rows = [(i, f"https://a.example/{i}", page(i)) for i in range(8)] + [(20 + i, f"https://b.example/{i}", bare(i)) for i in range(8)] + [(40, "https://c.example/", page(1))]
+    got = {r.page_id: r.text.split("\n") for r in html_template.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        own = [f"Own {i} {k}" for k in range(4 + i % 3)]
+        own.insert(i % 4, "A proverb")
+        assert got[i] == [f"T{i}", *own, f"Outside {i}"]
+        assert got[20 + i] == ["Summary", f"Own {i}"]
+    assert got[40][-1] == "Subscribe to our letter"  # one page of its host: the article as it stands
