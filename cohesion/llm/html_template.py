@@ -18,8 +18,8 @@ or main. Inside the article, and on text blocks and wrappers of a page without o
 only makes an element a candidate that the counts decide on.
 
 Null html counts as empty and gives the empty text; a null or malformed url
-counts as one host without a name. Pages with equal url and html share one
-result. Unclosed and stray tags are closed as browsers do for the usual cases.
+counts as one host without a name. Pages of a host with equal html are one page,
+whatever their urls, and share one result. Unclosed and stray tags are closed as browsers do for the usual cases.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, cut
 from .near import join_per_key, key_filter, may_hold
 
-#: A subtree is template if it is on at least this many pages of a host, and on at least this share of them.
-MIN_PAGES, MIN_SHARE = 5, 0.02
+#: A subtree is template if it is on at least this many pages of a host, or on log2 of the host's pages if that is more.
+MIN_PAGES = 5
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -215,7 +215,7 @@ def candidates(root: Node, host: str) -> dict[int, int]:
         n.hash, n.leaf = h.intdigest(), leaf
         if not n.size or n.holds or n.tag in PARTS or n.tag == "header" and n.inside:
             continue
-        if n.tag in BLOCKS or not n.inside and not root.holds:
+        if n.tag in BLOCKS:  # inline elements are pieces of a sentence
             placed = (n.inside or not root.holds) and (n.tag in TEXT_BLOCKS or leaf)
             key = xxhash.xxh64_intdigest(f"{host} {n.hash} {path} {place}" if placed else f"{host} {n.hash}")
             key = key & ~1 | (n.marked and n.inside)
@@ -310,24 +310,22 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
     """(key, host, hash array) of every distinct page: its subtrees that may be template, hashed with the host."""
     def make():
         def f(cols):
-            out = {"key": cols["key"], "host": [host_of(u) for u in cols["url"]], "hash": []}
-            for host, source in zip(out["host"], cols["html"]):
-                out["hash"].append(sorted(set(candidates(parse(source), host).values())))
-            return out
+            return {"key": cols["key"], "host": cols["host"],
+                    "hash": [sorted(set(candidates(parse(source), host).values())) for host, source in zip(cols["host"], cols["html"])]}
 
         return f
 
-    seen = arrow_map(pages.select("key", "url", "html"), "key binary, host string, hash array<long>", make)
+    seen = arrow_map(pages.select("key", "host", "html"), "key binary, host string, hash array<long>", make)
     return seen.dropDuplicates(["key"])
 
 
-def site_templates(seen: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def site_templates(seen: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(key, pages, need, template) of the pages of hosts with min_pages pages, from page_subtrees: on how many of the
     host's pages a subtree must be, and the hashes of the page that are on two pages or more, with how many. Counts are combined before the
     shuffle, so a host with a third of the pages moves no more than its distinct subtrees."""
     total = seen.count()
     hosts = (seen.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-             .withColumn("need", F.greatest(F.lit(min_pages), F.ceil(F.col("pages") * min_share)).cast("int")))
+             .withColumn("need", F.greatest(F.lit(min_pages), F.ceil(F.log2("pages"))).cast("int")))
     known = join_per_key(seen.select("key", "host"), hosts.withColumn("many", F.col("pages")), ["host"], "many", total).drop("host")
     often = cut(seen.select(F.explode("hash").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).where(f"n >= {MARKED_PAGES}"), "templates")
     found = often.agg(F.sum("n"), F.count("*")).first()
@@ -350,20 +348,21 @@ def site_templates(seen: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     return known.join(marked, "key", "left")
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages."""
     p = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    p = p.withColumn("key", F.unhex(F.md5(F.concat_ws("\0", F.coalesce("url", F.lit("")), "html"))))
-    marked = site_templates(cut(page_subtrees(p), "pages"), min_pages, min_share)
+    host = F.pandas_udf(lambda urls: urls.map(host_of), "string")
+    p = p.withColumn("host", host("url")).withColumn("key", F.unhex(F.md5(F.concat_ws("\0", "host", "html"))))
+    marked = site_templates(cut(page_subtrees(p), "pages"), min_pages)
     joined = p.join(marked, "key", "left")
 
     def make():
         def f(cols):
             out = {"page_id": cols["page_id"], "url": cols["url"], "text": [], "n_chars": []}
-            for url, source, n, need, template in zip(cols["url"], cols["html"], cols["pages"], cols["need"], cols["template"]):
+            for host, source, n, need, template in zip(cols["host"], cols["html"], cols["pages"], cols["need"], cols["template"]):
                 root, gone = parse(source), frozenset()
                 if template:
-                    gone = deleted(root, candidates(root, host_of(url)), {x["hash"]: x["n"] for x in template}, n, need)
+                    gone = deleted(root, candidates(root, host), {x["hash"]: x["n"] for x in template}, n, need)
                 text = "\n".join(blocks(root, gone, need is not None))
                 out["text"].append(text)
                 out["n_chars"].append(len(text))
@@ -371,4 +370,4 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
         return f
 
-    return arrow_map(joined.select("page_id", "url", "html", "pages", "need", "template"), "page_id long, url string, text string, n_chars long", make)
+    return arrow_map(joined.select("page_id", "url", "host", "html", "pages", "need", "template"), "page_id long, url string, text string, n_chars long", make)

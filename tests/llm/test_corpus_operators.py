@@ -329,3 +329,17 @@ def test_host_counts_decide_in_and_outside_the_article(spark):
         assert got[i] == [f"T{i}", *own, f"Outside {i}"]
         assert got[20 + i] == ["Summary", f"Own {i}"]
     assert got[40][-1] == "Subscribe to our letter"  # one page of its host: the article as it stands
+
+
+def test_recurrence_spares_copies_and_inline_text(spark):
+    """Inline elements never go, a page under many urls is one page, copies keep their text, and large hosts find rare menus."""
+    rows = [(i, f"https://a.example/{i}", f"<body><p>It is <b>not</b> number {i}, see <a>here</a></p></body>") for i in range(6)]
+    rows += [(10 + i, f"https://b.example/x?s={i}", "<article><div class=body><p>The one text</p><p>In two parts</p></div></article>") for i in range(8)]
+    rows += [(20 + i, f"https://c.example/{i}", f"<article><h1>{i}</h1><div class=body><p>The one text</p><p>In two parts</p></div></article>") for i in range(8)]
+    rows += [(100 + i, f"https://d.example/{i}", f"<body>{'<div><ul><li>Rare menu</ul></div>' if i < 12 else ''}<p>The own text of {i}</p></body>") for i in range(1000)]
+    got = {r.page_id: r.text for r in html_template.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == f"It is not number {i}, see here"
+    for i in range(8):
+        assert got[10 + i] == "The one text\nIn two parts" and got[20 + i] == f"{i}\nThe one text\nIn two parts"
+    assert all(got[100 + i] == f"The own text of {i}" for i in range(1000))
