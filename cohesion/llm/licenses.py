@@ -5,8 +5,9 @@ in the stretch and once in the template are anchors; the longest increasing
 subsequence of them is kept, and the gaps between kept anchors are aligned in
 the same way. Coverage is the share of the template's words aligned. Words
 outside the template cannot align and only hold positions. A text is cut into
-stretches at places where no template word comes for a while, so that a notice in
-a long document, or its second copy, is aligned by itself.
+stretches at places where no template word comes for a while, and long stretches are
+read in windows, so that a notice in a long document, or its second copy, is aligned by
+itself. Aligned words too far from the rest to be of one copy are left out of it.
 
 Null texts count as empty and hold no license. Repeated rows are scanned alike;
 ties between licenses go to the longer template, then by name.
@@ -14,8 +15,11 @@ ties between licenses go to the longer template, then by name.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,34 +111,87 @@ def _once(words: list[str], a: int, b: int) -> dict[str, int]:
 class Template:
     def __init__(self, name: str, notice: str):
         self.name, self.words = name, words_of(notice)
-        self.vocabulary, self.size = frozenset(self.words), len(self.words)
+        self.counts, self.size = Counter(self.words), len(self.words)
+        self.vocabulary = frozenset(self.counts)
+        self.need = math.ceil(COVERAGE * self.size - 1e-9)
+
+    def possible(self, words: Iterable[str]) -> bool:
+        """Whether a text of these words could align enough: no fewer positions than any alignment has."""
+        here = Counter(w for w in words if w in self.vocabulary)
+        return sum(min(n, here[w]) for w, n in self.counts.items()) >= self.need
 
     def stretches(self, found: list[tuple[int, str]]) -> list[list[tuple[int, str]]]:
-        """Runs of template words that could hold a copy: gaps of half the template end a run, and a run longer
-        than a copy is also cut where the template's first word comes again."""
+        """Runs of template words that could hold a copy: gaps of half the template end a run."""
         runs, run = [], []
         for p, w in found:
             if w not in self.vocabulary:
                 continue
-            if run and (p - run[-1][0] > max(3, self.size // 2) or w == self.words[0] and len(run) >= COVERAGE * self.size):
+            if run and p - run[-1][0] > max(3, self.size // 2):
                 runs.append(run)
                 run = []
             run.append((p, w))
         runs.append(run)
-        return [r for r in runs if len(r) >= COVERAGE * self.size]
+        return [r for r in runs if len(r) >= self.need]
+
+    def pieces(self, run: list[tuple[int, str]]) -> list[list[tuple[int, str]]]:
+        """A run cut where the template's first two words come again."""
+        opening = self.words[:2]
+        at = [i for i in range(1, len(run)) if [w for _, w in run[i:i + 2]] == opening]
+        return [run[i:k] for i, k in zip([0, *at], [*at, len(run)])]
+
+    def best(self, run: list[tuple[int, str]]) -> list[tuple[int, int]]:
+        """The aligned pairs of the span with the most of them; pairs too far off to be of one copy are left out."""
+        pairs = align([w for _, w in run], self.words)
+        a = top = first = 0
+        for b in range(len(pairs)):
+            while run[pairs[b][0]][0] - run[pairs[a][0]][0] >= 2 * self.size:
+                a += 1
+            if b + 1 - a > top:
+                first, top = a, b + 1 - a
+        return pairs[first:first + top]
 
     def scan(self, found: list[tuple[int, str]]) -> list[tuple[float, int, int]]:
         """(coverage, first word, last word) of each stretch that holds the template."""
         out = []
         for run in self.stretches(found):
-            pairs = align([w for _, w in run], self.words)
-            if len(pairs) < COVERAGE * self.size:
-                continue
-            first, last = run[pairs[0][0]][0], run[pairs[-1][0]][0]
-            if last - first < 2 * self.size:
-                out.append((len(pairs) / self.size, first, last))
+            parts = self.pieces(run)
+            hits = [h for part in parts for h in self.hits(part)]
+            out += hits or (self.hits(run) if len(parts) > 1 else [])
         return out
 
+    def hits(self, run: list[tuple[int, str]]) -> list[tuple[float, int, int]]:
+        """The copies in a run, left to right: it is read in windows of three templates, as a copy spans two at most."""
+        out, at, wide = [], 0, 3 * self.size
+        while len(run) - at >= self.need:
+            window = run[at:at + wide]
+            hit = self.copy(window) if self.possible(w for _, w in window) else None
+            if hit:
+                out.append(hit[:3])
+                before = run[at:at + hit[3]]
+                if len(before) >= self.need and self.possible(w for _, w in before):
+                    out += self.hits(before)
+                at += hit[4] + 1
+            elif at + wide >= len(run):
+                break
+            else:
+                at += self.size
+        return sorted(out, key=lambda h: h[1])
+
+    def copy(self, run: list[tuple[int, str]]) -> tuple[float, int, int, int, int] | None:
+        """(coverage, first word, last word, first and last index) of a copy in a run."""
+        pairs = self.best(run)
+        if not pairs:
+            return None
+        # once more with what is near alone: words far off may have taken the place of the copy's own
+        low, high = run[pairs[0][0]][0] - 2 * pairs[0][1], run[pairs[-1][0]][0] + 2 * (self.size - 1 - pairs[-1][1])
+        skip = sum(p < low for p, _ in run)
+        again = [(i + skip, j) for i, j in self.best([x for x in run if low <= x[0] <= high])]
+        pairs = max(pairs, again, key=len)
+        if len(pairs) < self.need:
+            return None
+        first, last = pairs[0][0], pairs[-1][0]
+        return len(pairs) / self.size, run[first][0], run[last][0], first, last
+
 
 def scan_text(text: str, templates: list[Template], vocabulary: frozenset) -> list[tuple[str, float, int, int]]:
     """(license, coverage, first word, last word), best first."""
@@ -144,7 +201,7 @@ def scan_text(text: str, templates: list[Template], vocabulary: frozenset) -> li
     present = {w for _, w in found}
     out = []
     for t in templates:
-        if len(present & t.vocabulary) >= COVERAGE * len(t.vocabulary):
+        if sum(n for w, n in t.counts.items() if w in present) >= t.need:  # positions, as coverage counts them
             out += [(t.size, t.name, *hit) for hit in t.scan(found)]
     out.sort(key=lambda x: (-x[2], -x[0], x[1], x[3]))
     return [(name, c, a, b) for _, name, c, a, b in out]

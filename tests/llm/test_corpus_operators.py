@@ -343,3 +343,25 @@ def test_recurrence_spares_copies_and_inline_text(spark):
     for i in range(8):
         assert got[10 + i] == "The one text\nIn two parts" and got[20 + i] == f"{i}\nThe one text\nIn two parts"
     assert all(got[100 + i] == f"The own text of {i}" for i in range(1000))
+
+
+def scan(text):
+    templates = [licenses.Template(n, t) for n, t in sorted(licenses.NOTICES.items())]
+    return licenses.scan_text(text, templates, frozenset().union(*(t.vocabulary for t in templates)))
+
+
+def test_edited_notices_are_aligned():
+    """The check before the alignment drops no notice with enough positions, and a far word spoils no hit."""
+    once = lambda ws: {w for w in ws if ws.count(w) == 1}
+    for name, changed in (("Apache-2.0-header", 12), ("MIT-text", 11), ("GPL-3.0-header", 7), ("BSD-2-Clause", 7)):
+        ws = licenses.words_of(licenses.NOTICES[name])
+        drop = [w for w in ws if w in once(ws) and not w[0].isdigit() and w not in ("gnu", "apache", "version")][-changed:]
+        text = " ".join("zzz" if w in drop else w for w in ws)
+        got = [c for n, c, *_ in scan(text) if n == name]
+        assert got and got[0] >= (len(ws) - changed) / len(ws) - 0.03, (name, got)
+    mit = licenses.words_of(licenses.NOTICES["MIT-text"])
+    far = " ".join(mit[:-1]) + " " + " ".join(["zz " * 20 + "the"] * 9) + " zz software"
+    hits = [h for h in scan(far) if h[0] == "MIT-text"]
+    assert len(hits) == 1 and hits[0][1] >= (len(mit) - 1) / len(mit) and hits[0][2:] == (0, len(mit) - 2)
+    stray = "the of to and or this " * 12 + " ".join(mit) + " " + " ".join(mit)
+    assert [h[1] for h in scan(stray) if h[0] == "MIT-text"] == [1.0, 1.0]
