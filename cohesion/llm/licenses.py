@@ -9,6 +9,11 @@ stretches at places where no template word comes for a while, and long stretches
 read in windows, so that a notice in a long document, or its second copy, is aligned by
 itself. Aligned words too far from the rest to be of one copy are left out of it.
 
+Names and versions (``IDENTITY``) must stand in a copy without a word between them, so
+that a license is not taken for its likes, and a hit inside a longer notice's copy is
+part of it. A version is a number: "v3" and "3.0" are "3". Licenses that are not in
+``NOTICES`` are not found.
+
 Null texts count as empty and hold no license. Repeated rows are scanned alike;
 ties between licenses go to the longer template, then by name.
 """
@@ -45,15 +50,86 @@ NOTICES = {
     "CC-BY-4.0": "Licensed under CC BY 4.0",
     "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
                     "met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+                    "met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+                    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+                    "documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors "
+                    "may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-4-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+                    "met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+                    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+                    "documentation and/or other materials provided with the distribution. All advertising materials mentioning features or use of this software must "
+                    "display the following acknowledgement. Neither the name of the copyright holder nor the names of its contributors "
+                    "may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD": "Released under the BSD License",
+    "BSD-2-Clause-name": "Released under the BSD 2-Clause License",
+    "BSD-3-Clause-name": "Released under the BSD 3-Clause License",
+    "ISC": "Released under the ISC License",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+                "above copyright notice and this permission notice appear in all copies.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+                      "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+                       "by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+                       "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+                       "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+                      "You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "EPL-2.0": "Licensed under the Eclipse Public License, Version 2.0",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0",
+    "Unlicense": "This is free and unencumbered software released into the public domain",
+    "CC0-1.0": "Licensed under CC0 1.0",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0",
+}
+for _short, _long in (("", ""), ("-SA", "-ShareAlike"), ("-ND", "-NoDerivatives"), ("-NC", "-NonCommercial"), ("-NC-SA", "-NonCommercial-ShareAlike"),
+                      ("-NC-ND", "-NonCommercial-NoDerivatives")):
+    NOTICES[f"CC-BY{_short}-4.0-name"] = f"This work is licensed under a Creative Commons Attribution{_long} 4.0 International License"
+
+#: Words that must stand in a copy one after the other, as only they tell the license from its likes: name and version.
+#: "version" and "v." may be left out.
+IDENTITY = {
+    "Apache-2.0": ("apache license version 2.0",), "Apache-2.0-header": ("apache license version 2.0",), "MIT": ("mit license",),
+    "MPL-2.0": ("mozilla public license version 2.0",), "MPL-2.0-header": ("mozilla public license v 2.0",), "EPL-2.0": ("eclipse public license version 2.0",),
+    "BSL-1.0": ("boost software license version 1.0",), "BSD": ("bsd license",), "BSD-2-Clause-name": ("bsd 2 clause",), "BSD-3-Clause-name": ("bsd 3 clause",),
+    "BSD-3-Clause": ("neither the name", "endorse or promote products"), "BSD-4-Clause": ("advertising materials mentioning",),
+    "ISC": ("isc license",), "ISC-text": ("provided that the above copyright notice",), "Unlicense": ("free and unencumbered software",), "CC0-1.0": ("cc0 1.0",),
 }
+for _name, _words in (("GPL", "gnu general"), ("LGPL", "gnu lesser general"), ("AGPL", "gnu affero general")):
+    for _version in ("2", "2.1", "3"):
+        _key = f"{_name}-{_version if '.' in _version else _version + '.0'}"
+        if _key in NOTICES:
+            IDENTITY[_key] = (f"{_words} public license version {_version}",)
+            IDENTITY[f"{_key}-header"] = (f"{_words} public license", f"version {_version} of the license")
+for _name in NOTICES:
+    if _name.startswith("CC-BY"):
+        IDENTITY[_name] = (NOTICES[_name].split("under ")[1].removeprefix("a ").removesuffix(" International License"),)
 COVERAGE = 0.8
+#: Notices of so few words that have no identity must be whole: any word may be the name.
+SHORT = 12
 WORD = re.compile(r"\w+(?:\.\d+)*")
+VERSION = re.compile(r"v?(\d+(?:\.\d+)*?)(?:\.0)*")
 
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def plain(word: str) -> str:
+    """A version as a number: "3.0", "v3" and "v3.0" are "3"."""
+    m = VERSION.fullmatch(word) if word[-1:].isdigit() else None
+    return m[1] if m else word
+
+
 def increasing(values: list[int]) -> list[int]:
     """Indexes of a longest strictly increasing subsequence, by patience piles."""
     tops, piles, before = [], [], [-1] * len(values)
@@ -108,12 +184,18 @@ def _once(words: list[str], a: int, b: int) -> dict[str, int]:
     return {w: i for w, i in at.items() if w not in twice}
 
 
+#: Words that an identity may have or not.
+FILLERS = frozenset(("version", "v"))
+
+
 class Template:
-    def __init__(self, name: str, notice: str):
-        self.name, self.words = name, words_of(notice)
+    def __init__(self, name: str, notice: str, identity: tuple[str, ...] = ()):
+        self.name, self.words = name, [plain(w) for w in words_of(notice)]
+        self.identity = [[w for w in map(plain, words_of(x)) if w not in FILLERS] for x in identity]
+        self.must = frozenset(w for x in self.identity for w in x)
         self.counts, self.size = Counter(self.words), len(self.words)
         self.vocabulary = frozenset(self.counts)
-        self.need = math.ceil(COVERAGE * self.size - 1e-9)
+        self.need = math.ceil(COVERAGE * self.size - 1e-9) if identity or self.size > SHORT else max(1, self.size)
 
     def possible(self, words: Iterable[str]) -> bool:
         """Whether a text of these words could align enough: no fewer positions than any alignment has."""
@@ -124,7 +206,7 @@ class Template:
         """Runs of template words that could hold a copy: gaps of half the template end a run."""
         runs, run = [], []
         for p, w in found:
-            if w not in self.vocabulary:
+            if w not in self.vocabulary and w not in FILLERS:
                 continue
             if run and p - run[-1][0] > max(3, self.size // 2):
                 runs.append(run)
@@ -190,19 +272,50 @@ class Template:
         if len(pairs) < self.need:
             return None
         first, last = pairs[0][0], pairs[-1][0]
+        if not all(holds(run[first:last + 1], x) for x in self.identity):
+            return None
         return len(pairs) / self.size, run[first][0], run[last][0], first, last
 
 
+def holds(span: list[tuple[int, str]], phrase: list[str]) -> bool:
+    """Whether the words of a phrase stand in the span with no other word between them."""
+    for i, (p, w) in enumerate(span):
+        if w != phrase[0]:
+            continue
+        k = 1
+        for q, v in span[i + 1:i + 3 * len(phrase)]:
+            if k == len(phrase) or q != p + 1:
+                break
+            if v == phrase[k]:
+                k += 1
+            elif v not in FILLERS:
+                break
+            p = q
+        if k == len(phrase):
+            return True
+    return False
+
+
+def outermost(hits: list[tuple]) -> list[tuple]:
+    """Hits (size, name, coverage, first, last) without those inside the span of a longer notice."""
+    out: list[tuple] = []
+    for h in sorted(hits, key=lambda x: (-x[0], -x[2], x[1])):
+        if not any(k[3] <= h[3] and h[4] <= k[4] and k[0] > h[0] for k in out):
+            out.append(h)
+    return out
+
+
 def scan_text(text: str, templates: list[Template], vocabulary: frozenset) -> list[tuple[str, float, int, int]]:
     """(license, coverage, first word, last word), best first."""
-    found = [(i, w) for i, w in enumerate(words_of(text)) if w in vocabulary]
+    found = [(i, w) for i, w in enumerate(map(plain, words_of(text))) if w in vocabulary]
     if not found:
         return []
     present = {w for _, w in found}
     out = []
     for t in templates:
-        if sum(n for w, n in t.counts.items() if w in present) >= t.need:  # positions, as coverage counts them
+        if t.must <= present and sum(n for w, n in t.counts.items() if w in present) >= t.need:  # positions, as coverage counts them
             out += [(t.size, t.name, *hit) for hit in t.scan(found)]
+    out = outermost(out)
     out.sort(key=lambda x: (-x[2], -x[0], x[1], x[3]))
     return [(name, c, a, b) for _, name, c, a, b in out]
 
@@ -215,8 +328,8 @@ def scan_documents(docs: DataFrame, notices: dict[str, str] | None = None) -> Da
     notices = NOTICES if notices is None else notices
 
     def make():
-        templates = [Template(n, t) for n, t in sorted(notices.items())]
-        vocabulary = frozenset().union(*(t.vocabulary for t in templates))
+        templates = [Template(n, t, IDENTITY.get(n, ()) if t == NOTICES.get(n) else ()) for n, t in sorted(notices.items())]
+        vocabulary = frozenset(FILLERS).union(*(t.vocabulary for t in templates))
 
         def f(cols):
             hits = [scan_text(t, templates, vocabulary) for t in cols["text"]]

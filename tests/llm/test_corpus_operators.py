@@ -346,7 +346,7 @@ def test_recurrence_spares_copies_and_inline_text(spark):
 
 
 def scan(text):
-    templates = [licenses.Template(n, t) for n, t in sorted(licenses.NOTICES.items())]
+    templates = [licenses.Template(n, t, licenses.IDENTITY.get(n, ())) for n, t in sorted(licenses.NOTICES.items())]
     return licenses.scan_text(text, templates, frozenset().union(*(t.vocabulary for t in templates)))
 
 
@@ -365,3 +365,18 @@ def test_edited_notices_are_aligned():
     assert len(hits) == 1 and hits[0][1] >= (len(mit) - 1) / len(mit) and hits[0][2:] == (0, len(mit) - 2)
     stray = "the of to and or this " * 12 + " ".join(mit) + " " + " ".join(mit)
     assert [h[1] for h in scan(stray) if h[0] == "MIT-text"] == [1.0, 1.0]
+
+
+def test_licenses_are_told_from_their_likes(spark, make_docs):
+    gpl = licenses.NOTICES["GPL-3.0-header"]
+    cases = {"Released under the BSD License": "BSD", "Licensed under the Mozilla Public License, Version 2.0": "MPL-2.0",
+             "This work is licensed under the GNU General Public License, version 2": "GPL-2.0", "This work is licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0",
+             "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under CC BY 4.0": "CC-BY-4.0", "Licensed under CC BY 3.0": None,
+             "Released under the ISC License": "ISC", "under the MIT license": "MIT", "This work is licensed under the GNU General Public License v3.0": "GPL-3.0",
+             "Licensed under the Apache License v. 2.0": "Apache-2.0", "Licensed under the Apache Software License, Version 2.0": None,
+             gpl.replace("version 3", "version 2"): "GPL-2.0-header", gpl.replace("GNU General", "GNU Affero General"): "AGPL-3.0-header",
+             gpl.replace("GNU General", "GNU Lesser General"): "LGPL-3.0-header", **{t: n for n, t in licenses.NOTICES.items()}}
+    got = {r.doc_id: r for r in licenses.scan_documents(make_docs([(i, f"Some words. {t} And more.") for i, t in enumerate(cases)])).collect()}
+    for i, (text, name) in enumerate(cases.items()):
+        assert {h.license for h in got[i].hits} == ({name} if name else set()), (text, got[i])
+        assert got[i].license == name and got[i].n_licenses == bool(name)
