@@ -10,7 +10,8 @@ full n-gram sets. Equal texts are one member with many copies.
 Per document: class_id, the least doc_id among those connected by similarity of
 at least the threshold; n_links, how many different texts its text is similar to;
 copies, documents with its very text; class_size, documents of its class; kept,
-whether it is the class's first. Null texts count as empty; empty texts, and texts
+whether it is the class's first row by (doc_id, text hashes, place in the table read), one
+row of each class; twin, whether it equals the kept row in doc_id and text. Null texts count as empty; empty texts, and texts
 of white space alone, are similar to their copies only. A null doc_id is the
 smallest of all. Rows that repeat doc_id and text are members of one class.
 """
@@ -106,7 +107,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, copies, class_size, kept, and its text's key k1, k2."""
+    """One row per document: doc_id, class_id, n_links, copies, class_size, kept, twin, and its text's key k1, k2."""
     bands = plan_bands(threshold, recall, rows)
     seed = seeds(bands * rows)
     d = keyed(docs)
@@ -125,10 +126,11 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, r
 
         return f
 
-    signed = cut(arrow_map(d, "doc_id long, k1 long, k2 long, n int, bands array<long>", sign), "signed")
+    # the row number is written once, so it stays the same whoever reads it
+    signed = cut(arrow_map(d, "doc_id long, k1 long, k2 long, n int, bands array<long>", sign).withColumn("row", F.monotonically_increasing_id()), "signed")
     total = signed.count()
-    texts = cut(signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"))
-                .withColumn("id", F.monotonically_increasing_id()), "texts")
+    texts = cut(signed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row")).alias("lead"), F.count("*").alias("copies"), F.first("n").alias("n"))
+                .select("k1", "k2", F.col("lead.doc_id").alias("first"), F.col("lead.row").alias("row"), "copies", "n", F.monotonically_increasing_id().alias("id")), "texts")
     # the candidate graph goes by k1 alone: two texts that share it by chance are merely candidates
     candidates = components(bucket_edges(signed.select(F.col("k1").alias("id"), "bands")))
     block = cut(candidates.select(F.col("id").alias("k1"), F.col("root").alias("block")), "blocks")
@@ -159,22 +161,30 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, r
     links = verified.groupBy("id").agg(F.sum("links").alias("n_links"))
     joined = components(verified.select(F.col("id").alias("a"), F.col("root").alias("b")))
     member = cut(texts.join(links, "id", "left").join(joined, "id", "left")
-                 .select("k1", "k2", "first", "copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                 .select("k1", "k2", "first", "row", "copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                          F.coalesce("root", "id").alias("root")), "member")
-    per_class = cut(member.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"), F.count("*").alias("texts")), "classes")
-    member = cut(join_per_key(member, per_class, ["root"], "texts", total).drop("root", "first").withColumn("many", F.col("copies")), "member")
-    out = join_per_key(signed.select("doc_id", "k1", "k2"), member, ["k1", "k2"], "many", total)
+    per_class = cut(member.groupBy("root").agg(F.min(F.struct("first", "k1", "k2", "row")).alias("lead"), F.sum("copies").alias("class_size"), F.count("*").alias("texts")), "classes")
+    at = F.col("lead")
+    member = cut(join_per_key(member, per_class, ["root"], "texts", total)
+                 .select("k1", "k2", "copies", "n_links", "class_size", at["first"].alias("class_id"), at["row"].alias("kept_row"),
+                         ((at["k1"] == F.col("k1")) & (at["k2"] == F.col("k2"))).alias("kept_text"), F.col("copies").alias("many")), "member")
+    out = join_per_key(signed.select("doc_id", "k1", "k2", "row"), member, ["k1", "k2"], "many", total)
     return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), F.when(F.col("class_id") != NULL_ID, F.col("class_id")).alias("class_id"),
-                      "n_links", "copies", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"), "k1", "k2")
+                      "n_links", "copies", "class_size", (F.col("row") == F.col("kept_row")).alias("kept"),
+                      (F.col("kept_text") & (F.col("doc_id") == F.col("class_id")) & (F.col("row") != F.col("kept_row"))).alias("twin"), "k1", "k2")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, all columns, that are the first of their class."""
-    gone = cut(classes(docs, **options).where("not kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct(), "gone")
+    """One row of docs, all columns, for each class: the first, and any one of rows that equal it in doc_id and text."""
+    gone = cut(classes(docs, **options).where("not kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"),
+                                                                  F.col("twin").alias("_twin")).distinct(), "gone")
     words = key_filter(gone, "_k1", gone.count())
     maybe = F.pandas_udf(lambda k: pd.Series(may_hold(words, k.to_numpy())), "boolean")
     text = text_or_empty()
     at = docs.withColumn("_gone", maybe(F.xxhash64(text)))  # only rows the small filter holds move to meet the list
-    left = at.where("_gone").join(gone.hint("merge"), (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col("_id")) & (F.xxhash64(text) == F.col("_k1"))
-                                  & (F.xxhash64(F.lit(1), text) == F.col("_k2")), "left_anti")
-    return at.where("not _gone").unionByName(left).select(*docs.columns)
+    met = at.where("_gone").join(gone.hint("merge"), (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col("_id")) & (F.xxhash64(text) == F.col("_k1"))
+                                 & (F.xxhash64(F.lit(1), text) == F.col("_k2")), "left")
+    out = at.where("not _gone").select(*docs.columns).unionByName(met.where("_id is null").select(*docs.columns))
+    if gone.where("_twin").isEmpty():
+        return out
+    return out.unionByName(met.where("_twin").dropDuplicates(["_id", "_k1", "_k2"]).select(*docs.columns))

@@ -380,3 +380,18 @@ def test_licenses_are_told_from_their_likes(spark, make_docs):
     for i, (text, name) in enumerate(cases.items()):
         assert {h.license for h in got[i].hits} == ({name} if name else set()), (text, got[i])
         assert got[i].license == name and got[i].n_licenses == bool(name)
+
+
+def test_one_row_of_each_class_is_kept(spark, make_docs, rows):
+    """Also where near copies have no id or one id, and of rows equal in id and text."""
+    near_copies = [t for i, t in rows if i is not None and 60 <= i < 75]
+    odd = [(None, t) for t in near_copies] + [(7, t) for t in near_copies[:3]] + rows + rows[:5]
+    got = ngram_join.classes(make_docs(odd)).collect()
+    texts = sorted({t or "" for _, t in odd})
+    root, _ = roots([grams(t) for t in texts], 0.8)
+    at = {t: k for k, t in enumerate(texts)}
+    n_classes = len({root[at[t or ""]] for _, t in odd})
+    kept = [r for r in got if r.kept]
+    assert len(got) == len(odd) and len(kept) == n_classes and all(r.doc_id == r.class_id for r in kept)
+    left = ngram_join.keep_one(make_docs(odd)).collect()
+    assert len({root[at[r.text or ""]] for r in left}) == len(left) == n_classes
