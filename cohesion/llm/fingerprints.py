@@ -13,9 +13,11 @@ like only to itself (1.0). Null texts count as empty. Equal texts have equal
 fingerprints within a run, as the corpus counts are the same.
 
 The edited text of a document takes its second half from the next document in
-descending order (doc_id, nulls last; then text; the last is followed by the
-first). Documents are dealt into ranges of that order, each with a copy of the
-row that follows it, and read as sorted streams: no task holds a range in memory.
+descending order (doc_id, nulls last; then a hash of the text; the last is followed
+by the first). Documents are dealt into ranges of that order, each with a copy of the
+row that follows it, and read as sorted streams: no task holds a range in memory. A
+doc_id that many rows have, null above all, is cut into ranges by the hash; rows equal in
+doc_id and text stay in one range.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -179,19 +182,28 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     chars = d.agg(F.sum(F.length("text")), F.count("*")).first()
     n = max(1, min(int(chars[0] or 0) // range_chars, int(chars[1])))
     n = max(n, min(int(chars[1]), spark.sparkContext.defaultParallelism))
+    d = d.withColumn("hash", F.xxhash64("text"))
     cuts = d.agg(F.percentile_approx("rank", [i / n for i in range(1, n)], 10_000).alias("c")).first()["c"] if n > 1 else []
-    cuts = sorted(set(cuts or []))
+    times = Counter(cuts or [])
+    # a rank that several cuts fall on is cut by the hash, which is even; its last cut is after all of it
+    cuts = sorted((c, (k << 64) // m - (1 << 63) if k < m else (1 << 63) - 1) for c, m in times.items() for k in range(1, m + 1))
     part = F.lit(len(cuts))
     if cuts:  # ranges hold (cut, next cut]; part 0 has the largest ids. A lookup in a sorted literal, bounded by the number of ranges
-        part = F.lit(len(cuts)) - F.aggregate(F.array(*[F.lit(c) for c in cuts]), F.lit(0), lambda a, c: a + (c < F.col("rank")).cast("int"))
+        if max(times.values()) == 1:
+            below = F.aggregate(F.array(*[F.lit(c) for c, _ in cuts]), F.lit(0), lambda a, c: a + (c < F.col("rank")).cast("int"))
+        else:
+            points = F.array(*[F.struct(F.lit(c).cast("long").alias("rank"), F.lit(h).cast("long").alias("hash")) for c, h in cuts])
+            below = F.aggregate(points, F.lit(0), lambda a, c: a + ((c["rank"] < F.col("rank")) | ((c["rank"] == F.col("rank")) & (c["hash"] < F.col("hash")))).cast("int"))
+        part = F.lit(len(cuts)) - below
     d = d.withColumn("part", part)
-    firsts = sorted((r["part"], r["first"]) for r in d.groupBy("part").agg(F.max("rank").alias("first")).collect())
+    firsts = sorted((r["part"], r["first"]["rank"], r["first"]["hash"]) for r in d.groupBy("part").agg(F.max(F.struct("rank", "hash")).alias("first")).collect())
     if not firsts:
         return d.select("part", F.lit(False).alias("halo"), "rank", "doc_id", "text")
-    follows = spark.createDataFrame([(p, firsts[(i + 1) % len(firsts)][1]) for i, (p, _) in enumerate(firsts)], "part int, rank long")
-    halo = d.drop("part").join(F.broadcast(follows), "rank").select("part", F.lit(True).alias("halo"), "rank", "doc_id", "text")
+    follows = spark.createDataFrame([(p, *firsts[(i + 1) % len(firsts)][1:]) for i, (p, *_) in enumerate(firsts)], "part int, rank long, hash long")
+    halo = (d.drop("part").join(F.broadcast(follows), ["rank", "hash"]).groupBy("part", "rank").agg(F.min("text").alias("text"), F.first("doc_id").alias("doc_id"))
+            .select("part", F.lit(True).alias("halo"), "rank", "doc_id", "text"))
     own = d.select("part", F.lit(False).alias("halo"), "rank", "doc_id", "text")
-    return own.unionByName(halo).repartition(len(firsts), "part").sortWithinPartitions("part", "halo", F.desc("rank"), "text")
+    return own.unionByName(halo).repartition(len(firsts), "part").sortWithinPartitions("part", "halo", F.desc("rank"), F.desc(F.xxhash64("text")), "text")
 
 
 def compare_edits(docs: DataFrame, ranks: np.ndarray) -> DataFrame:

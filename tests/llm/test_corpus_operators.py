@@ -395,3 +395,21 @@ def test_one_row_of_each_class_is_kept(spark, make_docs, rows):
     assert len(got) == len(odd) and len(kept) == n_classes and all(r.doc_id == r.class_id for r in kept)
     left = ngram_join.keep_one(make_docs(odd)).collect()
     assert len({root[at[r.text or ""]] for r in left}) == len(left) == n_classes
+
+
+def test_rows_of_one_id_go_to_many_ranges(spark, make_docs):
+    rng = random.Random(12)
+    docs = [(i, " ".join(words(rng, 20))) for i in range(40)] + [(k, " ".join(words(rng, 20))) for k in [None] * 60 + [7] * 30]
+    parts = collections.Counter(r.part for r in fingerprints.with_next(make_docs(docs), 800).where("not halo").collect())
+    assert sum(parts.values()) == len(docs) and max(parts.values()) <= len(docs) // 5
+    halos = fingerprints.with_next(make_docs(docs), 800).where("halo").count()
+    assert halos == len(parts)
+    ranks = fingerprints.rarity_ranks(fingerprints.entropy_counts(make_docs(docs)))
+    got = collections.Counter(r.edited_sha256 for r in fingerprints.compare_edits(make_docs(docs), ranks).collect())
+    hashed = {r.text: r.h for r in make_docs(docs).selectExpr("text", "xxhash64(text) h").collect()}
+    order = sorted(docs, key=lambda r: (-1 if r[0] is None else r[0], hashed[r[1]]), reverse=True)
+    want = collections.Counter()
+    for k, (_, t) in enumerate(order):
+        half = len(t) // 2
+        want[hashlib.sha256((t[:len(t) - half] + order[(k + 1) % len(order)][1][:half]).encode()).hexdigest()] += 1
+    assert got == want
