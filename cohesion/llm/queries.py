@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, fuzzy_lines, html_template, licenses, ngram_join, packing, quality_crf, stream_dedup, token_edits
+from . import bpe, fill_middle, fingerprints, fuzzy_lines, html_template, licenses, ngram_join, packing, quality_crf, stream_dedup, token_edits
 from .common import table, text_or_empty
 
 
@@ -70,9 +70,14 @@ def op10_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(docs, fingerprints.rarity_ranks(fingerprints.entropy_counts(docs)))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_site_templates, op2_byte_bpe, op3_license_scan, op4_stream_dedup, op5_quality_crf,
-    op6_fuzzy_lines, op7_ngram_join, op8_best_fit_packing, op9_edit_token_counts, op10_improbable_features)}
+    op6_fuzzy_lines, op7_ngram_join, op8_best_fit_packing, op9_edit_token_counts, op10_improbable_features,
+    op12_fill_middle)}
 
 #: DuckDB SQL where SQL can say what the operator says. translate() there, too, lower-cases A-Z alone.
 ORACLE = {
@@ -81,4 +86,17 @@ ORACLE = {
         h as (select doc_id, sha256(norm) as text_sha256 from n),
         g as (select text_sha256, max(doc_id) as keep_id, count(*) as group_size from h group by 1)
         select h.doc_id, g.keep_id, g.group_size, h.doc_id = g.keep_id as kept, h.text_sha256 from h join g using (text_sha256)""",
+    "op12_fill_middle": """
+        with t as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+                sha256('1:' || coalesce(cast(doc_id as varchar), '')) as d from documents),
+        h as (select doc_id, text, u, len(u) as n, cast('0x' || d[1:8] as bigint) as h1, cast('0x' || d[9:16] as bigint) as h2,
+                cast('0x' || d[17:24] as bigint) as h3, cast('0x' || d[25:32] as bigint) as h4 from t),
+        c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+                case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+                     when h4 % 100 < 20 then 'spm' else 'psm' end as form from h),
+        p as (select *, array_to_string(u[1:a], '') as pre, array_to_string(u[a + 1:b], '') as mid, array_to_string(u[b + 1:n], '') as suf from c)
+        select doc_id, n, form, case when form != 'plain' then length(pre) end as prefix_chars, case when form != 'plain' then length(mid) end as middle_chars,
+            sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+            sha256(text) as restored_sha256
+        from p""",
 }
