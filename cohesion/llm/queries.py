@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fill_middle, fingerprints, fuzzy_lines, html_template, licenses, ngram_join, packing, quality_crf, stream_dedup, token_edits
+from . import bpe, conversations, fill_middle, fingerprints, fuzzy_lines, html_template, licenses, ngram_join, packing, quality_crf, stream_dedup, token_edits
 from .common import table, text_or_empty
 
 
@@ -74,10 +74,14 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.report(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_site_templates, op2_byte_bpe, op3_license_scan, op4_stream_dedup, op5_quality_crf,
     op6_fuzzy_lines, op7_ngram_join, op8_best_fit_packing, op9_edit_token_counts, op10_improbable_features,
-    op12_fill_middle)}
+    op12_fill_middle, op13_conversation_repair)}
 
 #: DuckDB SQL where SQL can say what the operator says. translate() there, too, lower-cases A-Z alone.
 ORACLE = {
