@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, fill_middle, fingerprints, fuzzy_lines, html_template, licenses, ngram_join, packing, quality_crf, stream_dedup, token_edits
+from . import attention_lm, bpe, conversations, fill_middle, fingerprints, fuzzy_lines, html_template, licenses, ngram_join, packing, quality_crf, stream_dedup, token_edits
 from .common import table, text_or_empty
 
 
@@ -70,6 +70,10 @@ def op10_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(docs, fingerprints.rarity_ranks(fingerprints.entropy_counts(docs)))
 
 
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.report(table(spark, sf_dir, "documents"))
 
@@ -81,7 +85,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_site_templates, op2_byte_bpe, op3_license_scan, op4_stream_dedup, op5_quality_crf,
     op6_fuzzy_lines, op7_ngram_join, op8_best_fit_packing, op9_edit_token_counts, op10_improbable_features,
-    op12_fill_middle, op13_conversation_repair)}
+    op11_attention_lm, op12_fill_middle, op13_conversation_repair)}
 
 #: DuckDB SQL where SQL can say what the operator says. translate() there, too, lower-cases A-Z alone.
 ORACLE = {
