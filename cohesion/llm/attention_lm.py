@@ -29,7 +29,7 @@ are ignored. Bytes that are not UTF-8 are kept in words and read as U+FFFD by th
 from __future__ import annotations
 
 import base64
-from array import array
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +51,8 @@ BATCH, RATE, REFRESH, KEEP = 512, 0.01, 64, 0.3
 POOLED, FIRST, ROW, ID = 30.0, 50.0, 5.0, 0.05
 #: Words in a chunk (a longer text is a chunk by itself), distinct words in it, and bytes of a word encoded at once.
 CHUNK_WORDS, CHUNK_DISTINCT, WORD_BYTES = 4_000_000, 800_000, 256
+#: Words worked on at once, and distinct words encoded at once.
+PART_WORDS, ENCODED = 400_000, 10_000
 PAD = CLASSES
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -72,6 +74,37 @@ def word_ids(encoding, word: bytes) -> list[int]:
     return [i for at in range(0, len(text), WORD_BYTES) for i in encoding.encode_ordinary(text[at:at + WORD_BYTES])]
 
 
+def all_word_ids(encoding, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of ids of each word, all ids). Words are encoded many at a time: the vocabulary's pattern begins a piece at
+    every space, unless other white space stands next to it; then they are encoded one by one."""
+    opens = _opening(encoding)
+    lens, ids = [], []
+    for at in range(0, len(words), ENCODED):
+        part = words[at:at + ENCODED]
+        text = " " + b" ".join(part).decode("utf-8", "replace")
+        got = None
+        if max(map(len, part)) <= WORD_BYTES and not _OTHER_SPACE.search(text):
+            got = np.array(encoding.encode_ordinary(text), np.uint16)
+            begin = np.flatnonzero(opens[got])
+            each = np.diff(np.append(begin, len(got)))
+        if got is None or len(each) != len(part):
+            single = [word_ids(encoding, w) for w in part]
+            each, got = np.array([len(x) for x in single]), np.array([i for x in single for i in x], np.uint16)
+        lens.append(each)
+        ids.append(got)
+    return (np.concatenate(lens), np.concatenate(ids)) if words else (np.zeros(0, int), np.zeros(0, np.uint16))
+
+
+_OTHER_SPACE = re.compile(r"[^\S ]")
+
+
+def _opening(encoding) -> np.ndarray:
+    """Which ids begin with a space."""
+    out = np.zeros(VOCABULARY, bool)
+    out[[i for i in range(END) if encoding.decode_single_token_bytes(i)[:1] == b" "]] = True
+    return out
+
+
 # ---- chunks of texts
 
 CHUNK = "docs binary, known binary, held binary, sizes binary, words binary, n binary, lens binary, ids binary"
@@ -85,30 +118,34 @@ class Chunk:
         for k, kind in FIELDS.items():
             setattr(self, k, np.frombuffer(row[k], kind))
         self.ends = np.cumsum(self.sizes)
-
-    def pick(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(words, sizes) of some of the texts."""
-        if chosen.all():
-            return self.words, self.sizes
-        return self.words[np.repeat(chosen, self.sizes)], self.sizes[chosen]
-
-    def stream(self, chosen: np.ndarray, of_id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The classes of the chosen texts, each after STEP pads as END, its ids, END and pads up to a multiple
-        of STEP; and where each begins."""
-        words, sizes = self.pick(chosen)
+        self.starts = np.concatenate([[0], np.cumsum(self.lens, dtype=np.int64)])[:-1]
+
+    def parts(self) -> Iterator[slice]:
+        """Runs of texts with about PART_WORDS words, or one longer text: what is worked on at once."""
+        place = self.ends // PART_WORDS
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1, [len(place)]])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a < b:
+                yield slice(int(a), int(b))
+
+    def stream(self, part: slice, of_id: np.ndarray, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The classes of a part's texts (those ``chosen``), each after STEP pads as END, its ids, END and pads up to
+        a multiple of STEP; and where each begins."""
+        sizes = self.sizes[part]
+        words = self.words[self.ends[part.start] - sizes[0]:self.ends[part.stop - 1]]
+        if chosen is not None:
+            words, sizes = words[np.repeat(chosen, sizes)], sizes[chosen]
         lens = self.lens[words]
         total = np.concatenate([[0], np.cumsum(lens, dtype=np.int64)])
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        each = np.diff(total[bounds])  # ids of each text
+        bounds = total[np.concatenate([[0], np.cumsum(sizes)])]
+        each = np.diff(bounds)  # ids of each text
         begin = np.concatenate([[0], np.cumsum(STEP + -(-(each + 2) // STEP) * STEP)])
         out = np.full(begin[-1], PAD, np.int16)
-        starts = np.concatenate([[0], np.cumsum(self.lens, dtype=np.int64)])[:-1]
-        flat = of_id[self.ids]
         source = np.arange(total[-1], dtype=np.int64)
-        source += np.repeat(starts[words] - total[:-1], lens)
+        source += np.repeat(self.starts[words] - total[:-1], lens)
         to = np.arange(total[-1], dtype=np.int64)
-        to += np.repeat(begin[:-1] + STEP + 1 - total[bounds[:-1]], each)
-        out[to] = flat[source]
+        to += np.repeat(begin[:-1] + STEP + 1 - bounds[:-1], each)
+        out[to] = of_id[self.ids[source]]
         out[begin[:-1] + STEP] = out[begin[:-1] + STEP + 1 + each] = of_id[END]
         return out, begin
 
@@ -135,16 +172,15 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
         class Places(dict):
             def __missing__(self, word):
                 self[word] = out = len(self)
-                got = word_ids(encoding, word)
-                lens.append(len(got))
-                ids.extend(got)
                 return out
 
         def start():
-            return Places(), array("i"), array("H"), [], [], [], []
+            return Places(), [], [], [], []
 
         def close():
             chunk = (task << 32) + made
+            every = list(places)
+            lens, ids = all_word_ids(encoding, every)
             words = np.concatenate(texts) if texts else np.zeros(0, np.int32)
             sizes = np.array([len(t) for t in texts], np.int64)
             trains = np.repeat(~np.array(helds, bool), sizes)
@@ -153,7 +189,6 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
                 pa.array([np.asarray(x).astype(FIELDS[k]).tobytes()], pa.binary()) for k, x in (
                     ("docs", docs), ("known", known), ("held", helds), ("sizes", sizes), ("words", words), ("n", n), ("lens", lens), ("ids", ids)))], schema=schema)
             at = 0
-            every = list(places)
             while at < len(every):
                 part = every[at:at + 20_000]
                 k = np.arange(at, at + len(part))
@@ -161,7 +196,7 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
                                                   *(pa.nulls(len(part), pa.binary()) for _ in FIELDS)], schema=schema)
                 at += len(part)
 
-        places, lens, ids, texts, docs, known, helds = start()
+        places, texts, docs, known, helds = start()
         size = 0
         for b in batches:
             for doc, out, text in zip(*(c.to_pylist() for c in b.columns)):
@@ -174,7 +209,7 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
                 if size >= CHUNK_WORDS or len(places) >= CHUNK_DISTINCT:
                     yield from close()
                     made, size = made + 1, 0
-                    places, lens, ids, texts, docs, known, helds = start()
+                    places, texts, docs, known, helds = start()
         if texts:
             yield from close()
 
@@ -209,6 +244,7 @@ def _told(at: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
 _REL = np.arange(STEP, 2 * STEP)[:, None] - np.arange(2 * STEP)[None, :]
 _SEEN = _REL >= 0  # the causal mask of a window's second half over all of it
 _DISTANCE = np.where(_SEEN, _REL, 0)
+_ALL = np.ones((MIXTURE, 1), np.float32)
 SHAPES = {"query": (CLASSES + 1, WIDTH), "key": (CLASSES + 1, WIDTH), "value": (CLASSES + 1, WIDTH), "distance": (2 * STEP,), "context": (WIDTH, HIDDEN),
           "last0": (CLASSES + 1, HIDDEN), "last1": (CLASSES + 1, HIDDEN), "last2": (CLASSES + 1, HIDDEN), "out": (HIDDEN, MIXTURE), "own": (CLASSES + 1, MIXTURE)}
 
@@ -229,7 +265,7 @@ def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k, s in SHAPES.items():
         n = int(np.prod(s))
-        out[k], at = flat[at:at + n].reshape(s).astype(np.float32), at + n
+        out[k], at = flat[at:at + n].reshape(s), at + n
     return out
 
 
@@ -262,13 +298,13 @@ class Pass:
         self.hidden = np.maximum(h, 0, out=h)
         z = self.hidden @ w["out"]
         z += w["own"].take(self.last[0], axis=0)
-        z -= z.max(1, keepdims=True)
+        np.clip(z, -30, 30, out=z)
         np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
+        z /= z @ _ALL
         self.gate = z
         self.share = tables.take(self.pair, axis=0)
         self.share *= z
-        self.p = self.share.sum(1)
+        self.p = (self.share @ _ALL)[:, 0]
 
     def gradients(self) -> dict[str, np.ndarray]:
         """Of the mean of -log p. ``share`` becomes each table's part in its target."""
@@ -279,7 +315,7 @@ class Pass:
         dh = dz @ w["out"].T
         dh *= self.hidden > 0
         dctx = (dh @ w["context"].T) / self.total
-        dsum = np.concatenate([dctx, -(dctx * self.ctx).sum(1, keepdims=True)], 1).reshape(n, STEP, WIDTH + 1)
+        dsum = np.concatenate([dctx, -np.einsum("nd,nd->n", dctx, self.ctx)[:, None]], 1).reshape(n, STEP, WIDTH + 1)
         ds = np.matmul(dsum, self.v.transpose(0, 2, 1))
         ds *= self.e
         per_key = np.concatenate([np.matmul(ds.transpose(0, 2, 1), self.q) * WIDTH**-0.5, np.matmul(self.e.transpose(0, 2, 1), dsum)[..., :WIDTH]], 2).reshape(-1, 2 * WIDTH)
@@ -307,24 +343,24 @@ class Trainer:
     """Adam on the weights, expected counts for the tables, from a common model on."""
 
     def __init__(self, weights: dict[str, np.ndarray], tables: np.ndarray):
-        self.w = {k: v.copy() for k, v in weights.items()}
+        self.flat = flatten(weights).copy()
+        self.w = unflatten(self.flat)  # views
+        self.mean, self.square = np.zeros_like(self.flat), np.zeros_like(self.flat)
         self.first = self.tables = tables
-        self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.w.items()}
-        self.counts = np.zeros((CLASSES * CLASSES, MIXTURE), np.float32)
+        self.counts = np.zeros((MIXTURE, CLASSES * CLASSES), np.float32)
         self.held, self.steps, self.ids = [], 0, 0
 
     def learn(self, win: np.ndarray) -> None:
         p = Pass(self.w, self.tables, win)
         self.steps += 1
         rate = RATE * min(1.0, self.steps / 20)
-        fix1, fix2 = 1 / (1 - 0.9**self.steps), 1 / (1 - 0.99**self.steps)
-        for k, g in p.gradients().items():
-            m, v = self.moments[k]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            self.w[k] -= rate * (m * fix1) / (np.sqrt(v * fix2) + 1e-8)
-        self.held.append((p.pair[p.on], p.share[p.on]))
-        self.ids += int(p.on.sum())
+        g = flatten(p.gradients())
+        self.mean += 0.1 * (g - self.mean)
+        g *= g
+        self.square += 0.01 * (g - self.square)
+        self.flat -= (rate / (1 - 0.9**self.steps)) * self.mean / (np.sqrt(self.square / (1 - 0.99**self.steps)) + 1e-8)
+        self.held.append((p.pair[p.on], np.ascontiguousarray(p.share[p.on].T)))
+        self.ids += len(self.held[-1][0])
         if self.steps % REFRESH == 0 or self.steps in (4, 8, 16, 32):
             self.refresh()
 
@@ -332,11 +368,11 @@ class Trainer:
         if not self.held:
             return
         pair = np.concatenate([x for x, _ in self.held])
-        share = np.concatenate([x for _, x in self.held])
+        share = np.concatenate([x for _, x in self.held], 1)
         self.held = []
         for m in range(MIXTURE):
-            self.counts[:, m] += np.bincount(pair, share[:, m], CLASSES * CLASSES)
-        self.tables = mixed_tables(self.counts, self.first, FIRST)
+            self.counts[m] += np.bincount(pair, share[m], CLASSES * CLASSES)
+        self.tables = mixed_tables(self.counts.T, self.first, FIRST)
 
 
 def mixed_tables(counts: np.ndarray, prior: np.ndarray, weight: float) -> np.ndarray:
@@ -352,14 +388,15 @@ class Model:
 
     def score(self, chunk: Chunk) -> np.ndarray:
         """log10 probability of each text of a chunk."""
-        every = np.ones(len(chunk.sizes), bool)
-        stream, begin = chunk.stream(every, self.of_id)
-        win, at = windows(stream)
-        part = np.zeros(len(win))
-        for i in range(0, len(win), 2048):
-            p = Pass(self.weights, self.tables, win[i:i + 2048])
-            part[i:i + 2048] = np.where(p.on, np.log10(p.p), 0).reshape(-1, STEP).sum(1, dtype=np.float64)
-        out = np.bincount(np.searchsorted(begin, at, "right") - 1, part, len(every))
+        out = np.zeros(len(chunk.sizes))
+        for part in chunk.parts():
+            stream, begin = chunk.stream(part, self.of_id)
+            win, at = windows(stream)
+            logs = np.zeros(len(win))
+            for i in range(0, len(win), 2048):
+                p = Pass(self.weights, self.tables, win[i:i + 2048])
+                logs[i:i + 2048] = np.where(p.on, np.log10(p.p), 0).astype(np.float64).reshape(-1, STEP) @ np.ones(STEP)
+            out[part] = np.bincount(np.searchsorted(begin, at, "right") - 1, logs, part.stop - part.start)
         word = np.bincount(np.repeat(np.arange(len(chunk.lens)), chunk.lens), self.within[chunk.ids], len(chunk.lens))
         return out + _per_text(word[chunk.words], chunk.ends) + self.within[END]
 
@@ -407,8 +444,9 @@ def train(stored: DataFrame) -> Model:
     def count_pairs(batches):
         n = np.zeros((CLASSES + 1) * (CLASSES + 1), np.int64)
         for _, c in _chunk_rows(batches):
-            s = c.stream(c.held == 0, of_id)[0].astype(np.int64)
-            n += np.bincount(s[:-1] * (CLASSES + 1) + s[1:], minlength=len(n))
+            for part in c.parts():
+                s = c.stream(part, of_id, c.held[part] == 0)[0].astype(np.int32)
+                n += np.bincount(s[:-1] * (CLASSES + 1) + s[1:], minlength=len(n))
         n = n.reshape(CLASSES + 1, -1)[:CLASSES, :CLASSES].ravel()
         at = np.flatnonzero(n)
         yield from _told(at, n[at][:, None])
@@ -428,14 +466,16 @@ def train(stored: DataFrame) -> Model:
         def learn(batches, weights=weights, tables=tables, shares=shares, number=number):
             t = Trainer(weights, tables)
             for chunk, c in _chunk_rows(batches):
-                win, _ = windows(c.stream((c.held == 0) & np.isin(_share(c.docs), shares), of_id)[0])
-                order = np.random.default_rng([chunk, number]).permutation(len(win))
-                for i in range(0, len(win), BATCH):
-                    t.learn(win[order[i:i + BATCH]])
+                chosen, rng = (c.held == 0) & np.isin(_share(c.docs), shares), np.random.default_rng([chunk, number])
+                for part in c.parts():
+                    win, _ = windows(c.stream(part, of_id, chosen[part])[0])
+                    order = rng.permutation(len(win))
+                    for i in range(0, len(win), BATCH):
+                        t.learn(win[order[i:i + BATCH]])
             t.refresh()
             if t.ids:
-                at = np.flatnonzero(t.counts.any(1))
-                yield from _told(at, t.counts[at])
+                at = np.flatnonzero(t.counts.any(0))
+                yield from _told(at, t.counts[:, at].T)
                 flat = np.resize(flatten(t.w).astype(np.float64), size) * t.ids
                 yield from _told(CLASSES * CLASSES + np.arange(size // MIXTURE + 1), np.concatenate([flat.reshape(-1, MIXTURE), np.full((1, MIXTURE), float(t.ids))]))
 
@@ -443,7 +483,7 @@ def train(stored: DataFrame) -> Model:
         got = np.zeros((CLASSES * CLASSES + size // MIXTURE + 1, MIXTURE))
         got[at] = v
         if trained := got[-1, 0]:
-            weights = unflatten(got[CLASSES * CLASSES:-1].ravel() / trained)
+            weights = unflatten((got[CLASSES * CLASSES:-1].ravel() / trained).astype(np.float32))
             counts = KEEP * counts + got[:CLASSES * CLASSES]
             tables = mixed_tables(counts, np.repeat(pooled, MIXTURE, 1), POOLED)
     return Model(of_id, within, weights, tables)
