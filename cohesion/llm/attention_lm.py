@@ -38,10 +38,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import bound_batches, cut
 
 #: Fixed sizes of the model; nothing in it grows with the corpus.
-CLASSES, TAIL_CLASSES, MIXTURE, WIDTH, HIDDEN, STEP = 512, 16, 8, 8, 16, 8
+CLASSES, TAIL_CLASSES, MIXTURE, WIDTH, HIDDEN, STEP = 512, 16, 8, 8, 8, 8
 VOCABULARY, END = 50_257, 50_256
 #: Of SHARES parts of the training texts, which each round reads: all of them once.
 SHARES, ROUNDS = 8, ((0,), (1, 2), (3, 4, 5, 6, 7))
@@ -50,7 +50,7 @@ BATCH, RATE, REFRESH, KEEP = 512, 0.01, 64, 0.3
 #: Pseudo-counts: of the pooled pair table in each mixture table, of the round's first tables, of a class in a row, of an id.
 POOLED, FIRST, ROW, ID = 30.0, 50.0, 5.0, 0.05
 #: Words in a chunk (a longer text is a chunk by itself), distinct words in it, and bytes of a word encoded at once.
-CHUNK_WORDS, CHUNK_DISTINCT, WORD_BYTES = 4_000_000, 800_000, 256
+CHUNK_WORDS, CHUNK_DISTINCT, WORD_BYTES = 3_000_000, 500_000, 256
 #: Words worked on at once, and distinct words encoded at once.
 PART_WORDS, ENCODED = 400_000, 10_000
 PAD = CLASSES
@@ -521,6 +521,7 @@ def _scores(batches: Iterator[pa.RecordBatch], model: Model, end_count: int) ->
 
 def score_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document. ``path``: a vocabulary of byte ranks."""
+    bound_batches(docs.sparkSession)
     stored = cut(chunks(docs, path), "chunks")
     whole = stored.where("word is null").select("chunk", *(f"c_{k}" for k in FIELDS))
     model = train(whole)

@@ -13,8 +13,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from cohesion.session import ensure_checkpoint_dir
 
-#: Rows in one Arrow batch. Documents may hold 100,000s of characters, so Spark's 10,000 rows could be a GB.
-BATCH_ROWS = 500
+#: Rows and bytes in one Arrow batch. Documents may hold 100,000s of characters, so Spark's 10,000 rows or 64 MB, held as
+#: Arrow, as Python strings and as results, are much for a worker.
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +35,18 @@ def cut(df: DataFrame, kind: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches hold BATCH_BYTES, or one larger row, unless the session has a limit of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "64MB", "67108864"):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """``mapInArrow`` over column lists. ``make`` runs once in each task and returns a function
     from {column: list} to {column: list}; output columns follow ``schema``."""
     spark = df.sparkSession
+    bound_batches(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     out_type = T.StructType.fromDDL(schema)
@@ -52,19 +61,5 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], di
     return df.mapInArrow(run, schema)
 
 
-def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Groups of consecutive rows that agree in the first ``keys`` columns, from sorted batches."""
-    at, rows = None, []
-    for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            if row[:keys] != at:
-                if rows:
-                    yield at, rows
-                at, rows = row[:keys], []
-            rows.append(row[keys:])
-    if rows:
-        yield at, rows
-
-
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut
+from .common import bound_batches, cut
 from .near import join_per_key
 
 #: What one partition holds: rows, and bytes of text.
@@ -219,6 +219,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def _mapped(df: DataFrame, rows_of, ddl: str) -> DataFrame:
     """mapInArrow with a function from an iterator of rows to one of rows."""
+    bound_batches(df.sparkSession)
     kind = T.StructType.fromDDL(ddl)
     return df.mapInArrow(lambda batches: _batches(rows_of(_rows(batches)), to_arrow_schema(kind)), ddl)
 

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import bound_batches, text_or_empty
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: Of 100 texts, how many are rearranged, and of 100 rearranged ones, how many put the suffix first.
@@ -95,6 +95,7 @@ def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
 
 def transform(docs: DataFrame, seed: int = 1, rate: int = RATE, suffix_first: int = SUFFIX_FIRST) -> DataFrame:
     """doc_id, n (units), form, prefix_chars, middle_chars, output of every document."""
+    bound_batches(docs.sparkSession)
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"), 256)
     hashes = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long").alias(f"h{i + 1}") for i in range(4)]
 
