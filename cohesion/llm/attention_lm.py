@@ -107,16 +107,27 @@ def _opening(encoding) -> np.ndarray:
 
 # ---- chunks of texts
 
-CHUNK = "docs binary, known binary, held binary, sizes binary, words binary, n binary, lens binary, ids binary"
+#: What a chunk holds: of each text its doc_id (0 if null), whether it has one, is held out, its words; the places of all words;
+#: of each distinct word its count in training texts and its number of ids; those ids.
 FIELDS = {"docs": np.int64, "known": np.uint8, "held": np.uint8, "sizes": np.int64, "words": np.int32, "n": np.int32, "lens": np.int32, "ids": np.uint16}
 
 
+def pack(fields: dict) -> bytes:
+    """The arrays of FIELDS as one value: their compressed sizes, then each with its own size."""
+    raw = [np.asarray(fields[k]).astype(kind).tobytes() for k, kind in FIELDS.items()]
+    parts = [pa.compress(r, "zstd", asbytes=True) for r in raw]
+    return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(x for r, p in zip(raw, parts) for x in (len(r).to_bytes(8, "little"), p))
+
+
 class Chunk:
     """Texts as places in a list of distinct words, and those words' ids."""
 
-    def __init__(self, row: dict):
-        for k, kind in FIELDS.items():
-            setattr(self, k, np.frombuffer(row[k], kind))
+    def __init__(self, packed: bytes):
+        at = 8 * len(FIELDS)
+        for (k, kind), size in zip(FIELDS.items(), np.frombuffer(packed, np.int64, len(FIELDS)).tolist()):
+            length = int.from_bytes(packed[at:at + 8], "little")
+            setattr(self, k, np.frombuffer(pa.decompress(packed[at + 8:at + 8 + size], length, "zstd", asbytes=True), kind))
+            at += 8 + size
         self.ends = np.cumsum(self.sizes)
         self.starts = np.concatenate([[0], np.cumsum(self.lens, dtype=np.int64)])[:-1]
 
@@ -164,7 +175,7 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
     """Rows of (chunk, word, k, n) for each distinct word of a chunk, n its count in training texts, and a row for each chunk."""
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    schema = pa.schema([("chunk", pa.int64()), ("k", pa.int32()), ("word", pa.binary()), ("n", pa.int64()), *((f"c_{k}", pa.binary()) for k in FIELDS)])
+    schema = pa.schema([("chunk", pa.int64()), ("k", pa.int32()), ("word", pa.binary()), ("n", pa.int64()), ("texts", pa.int64()), ("trained", pa.int64()), ("packed", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, task, made = tokenizer(path), TaskContext.get().partitionId(), 0
@@ -185,15 +196,14 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
             sizes = np.array([len(t) for t in texts], np.int64)
             trains = np.repeat(~np.array(helds, bool), sizes)
             n = np.bincount(words[trains], minlength=len(places))
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), *(
-                pa.array([np.asarray(x).astype(FIELDS[k]).tobytes()], pa.binary()) for k, x in (
-                    ("docs", docs), ("known", known), ("held", helds), ("sizes", sizes), ("words", words), ("n", n), ("lens", lens), ("ids", ids)))], schema=schema)
+            packed = pack({"docs": docs, "known": known, "held": helds, "sizes": sizes, "words": words, "n": n, "lens": lens, "ids": ids})
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((chunk, None, None, None, len(docs), len(docs) - sum(helds), packed), schema)], schema=schema)
             at = 0
             while at < len(every):
                 part = every[at:at + 20_000]
                 k = np.arange(at, at + len(part))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), chunk)), pa.array(k.astype(np.int32)), pa.array(part, pa.binary()), pa.array(n[k].astype(np.int64)),
-                                                  *(pa.nulls(len(part), pa.binary()) for _ in FIELDS)], schema=schema)
+                                                  pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary())], schema=schema)
                 at += len(part)
 
         places, texts, docs, known, helds = start()
@@ -213,15 +223,13 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
         if texts:
             yield from close()
 
-    ddl = "chunk long, k int, word binary, n long, " + ", ".join(f"c_{k} binary" for k in FIELDS)
-    return rows.mapInArrow(run, ddl)
+    return rows.mapInArrow(run, "chunk long, k int, word binary, n long, texts long, trained long, packed binary")
 
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
     for b in batches:
-        for i in range(b.num_rows):
-            row = b.slice(i, 1).to_pylist()[0]
-            yield row["chunk"], Chunk({k: row[f"c_{k}"] for k in FIELDS})
+        for chunk, packed in zip(b.column("chunk"), b.column("packed")):
+            yield chunk.as_py(), Chunk(packed.as_py())
 
 
 def _sums(df: DataFrame, run, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -333,9 +341,9 @@ def _by_class(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The rows summed by class."""
     out = np.zeros((CLASSES + 1, rows.shape[1]), np.float32)
     order = np.argsort(index.astype(np.int16), kind="stable")
-    index = index[order]
+    index = index.take(order)
     begin = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    out[index[begin]] = np.add.reduceat(rows[order], begin, axis=0)
+    out[index[begin]] = np.add.reduceat(rows.take(order, axis=0), begin, axis=0)
     return out
 
 
@@ -474,9 +482,10 @@ def train(stored: DataFrame) -> Model:
                         t.learn(win[order[i:i + BATCH]])
             t.refresh()
             if t.ids:
-                at = np.flatnonzero(t.counts.any(0))
-                yield from _told(at, t.counts[:, at].T)
-                flat = np.resize(flatten(t.w).astype(np.float64), size) * t.ids
+                counts = np.rint(t.counts * 64) / 64  # short numbers compress well on the way
+                at = np.flatnonzero(counts.any(0))
+                yield from _told(at, counts[:, at].T)
+                flat = np.resize(t.flat.astype(np.float64), size) * t.ids
                 yield from _told(CLASSES * CLASSES + np.arange(size // MIXTURE + 1), np.concatenate([flat.reshape(-1, MIXTURE), np.full((1, MIXTURE), float(t.ids))]))
 
         at, v = _sums(stored, learn, MIXTURE)
@@ -506,8 +515,7 @@ def _scores(batches: Iterator[pa.RecordBatch], model: Model, end_count: int) ->
             at = int(i) + 1
             if at > b.num_rows:
                 break
-            row = b.slice(int(i), 1).to_pylist()[0]
-            chunk = Chunk({k: row[f"c_{k}"] for k in FIELDS})
+            chunk = Chunk(b.column("packed")[int(i)].as_py())
             c = np.concatenate(counts)
             logs, known = np.log10(c + 1.0), (c > 0).astype(np.float64)
             m = len(chunk.sizes)
@@ -523,18 +531,17 @@ def score_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document. ``path``: a vocabulary of byte ranks."""
     bound_batches(docs.sparkSession)
     stored = cut(chunks(docs, path), "chunks")
-    whole = stored.where("word is null").select("chunk", *(f"c_{k}" for k in FIELDS))
+    whole = stored.where("word is null").select("chunk", "packed")
     model = train(whole)
-    per_chunk = whole.select("chunk", F.octet_length("c_known").alias("texts"), F.length(F.translate(F.hex("c_held"), "0", "")).alias("held"))
-    n_chunks, texts, held = per_chunk.agg(F.count("*"), F.coalesce(F.sum("texts"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0))).first()
+    n_chunks, trained = stored.where("word is null").agg(F.count("*"), F.coalesce(F.sum("trained"), F.lit(0))).first()
     by_word = Window.partitionBy("word")
     counted = (stored.where("word is not null").select("chunk", "k", "word", "n")
                .select("chunk", "k", F.sum("n").over(by_word).alias("c"), F.min("chunk").over(by_word).alias("one"))
                .select("chunk", "k", "c", ((F.col("c") > 0) & (F.col("one") == F.col("chunk"))).alias("lead")))
     meet = counted.unionByName(whole.withColumn("k", F.lit(None).cast("int")), allowMissingColumns=True)
     dealt = meet.repartition(max(1, n_chunks), "chunk").sortWithinPartitions("chunk", F.col("k").asc_nulls_last())
-    scored = cut(dealt.mapInArrow(lambda batches: _scores(batches, model, texts - held), RESULT), "scores")
+    scored = cut(dealt.mapInArrow(lambda batches: _scores(batches, model, trained), RESULT), "scores")
     train_tokens, fresh = scored.agg(F.coalesce(F.sum(F.when(~F.col("held_out"), F.col("n_tokens"))), F.lit(0)), F.coalesce(F.sum("fresh"), F.lit(0))).first()
-    distinct = fresh + (texts > held)
+    distinct = fresh + (trained > 0)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"),
                          (F.col("log_counts") - F.col("n_tokens") * F.lit(float(np.log10(train_tokens + distinct + 1)))).alias("base_score"), "score")
