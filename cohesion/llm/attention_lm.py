@@ -51,6 +51,10 @@ BATCH, RATE, REFRESH, KEEP = 512, 0.01, 64, 0.3
 POOLED, FIRST, ROW, ID = 30.0, 50.0, 5.0, 0.05
 #: Words in a chunk (a longer text is a chunk by itself), distinct words in it, and bytes of a word encoded at once.
 CHUNK_WORDS, CHUNK_DISTINCT, WORD_BYTES = 3_000_000, 500_000, 256
+#: A chunk's number is its task's, then MADE bits for which of that task's; a word's place is its chunk's, then WORD bits for which of its
+#: words. The chunk itself comes after its words. One long to sort by.
+MADE, WORD = 12, 27
+LAST = (1 << WORD) - 1
 #: Words worked on at once, and distinct words encoded at once.
 PART_WORDS, ENCODED = 400_000, 10_000
 PAD = CLASSES
@@ -172,10 +176,10 @@ def windows(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(docs: DataFrame, path: str) -> DataFrame:
-    """Rows of (chunk, word, k, n) for each distinct word of a chunk, n its count in training texts, and a row for each chunk."""
+    """Rows of (place, word, n) for each distinct word of a chunk, n its count in training texts, and a row for each chunk."""
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    schema = pa.schema([("chunk", pa.int64()), ("k", pa.int32()), ("word", pa.binary()), ("n", pa.int64()), ("texts", pa.int64()), ("trained", pa.int64()), ("packed", pa.binary())])
+    schema = pa.schema([("place", pa.int64()), ("word", pa.binary()), ("n", pa.int64()), ("trained", pa.int64()), ("packed", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, task, made = tokenizer(path), TaskContext.get().partitionId(), 0
@@ -189,7 +193,7 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
             return Places(), [], [], [], []
 
         def close():
-            chunk = (task << 32) + made
+            place = ((task << MADE) + made) << WORD
             every = list(places)
             lens, ids = all_word_ids(encoding, every)
             words = np.concatenate(texts) if texts else np.zeros(0, np.int32)
@@ -197,13 +201,13 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
             trains = np.repeat(~np.array(helds, bool), sizes)
             n = np.bincount(words[trains], minlength=len(places))
             packed = pack({"docs": docs, "known": known, "held": helds, "sizes": sizes, "words": words, "n": n, "lens": lens, "ids": ids})
-            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((chunk, None, None, None, len(docs), len(docs) - sum(helds), packed), schema)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((place + LAST, None, None, len(docs) - sum(helds), packed), schema)], schema=schema)
             at = 0
             while at < len(every):
                 part = every[at:at + 20_000]
                 k = np.arange(at, at + len(part))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), chunk)), pa.array(k.astype(np.int32)), pa.array(part, pa.binary()), pa.array(n[k].astype(np.int64)),
-                                                  pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary())], schema=schema)
+                none = pa.nulls(len(part))
+                yield pa.RecordBatch.from_arrays([pa.array(place + k), pa.array(part, pa.binary()), pa.array(n[k].astype(np.int64)), none.cast(pa.int64()), none.cast(pa.binary())], schema=schema)
                 at += len(part)
 
         places, texts, docs, known, helds = start()
@@ -223,13 +227,13 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
         if texts:
             yield from close()
 
-    return rows.mapInArrow(run, "chunk long, k int, word binary, n long, texts long, trained long, packed binary")
+    return rows.mapInArrow(run, "place long, word binary, n long, trained long, packed binary")
 
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
     for b in batches:
-        for chunk, packed in zip(b.column("chunk"), b.column("packed")):
-            yield chunk.as_py(), Chunk(packed.as_py())
+        for place, packed in zip(b.column("place"), b.column("packed")):
+            yield place.as_py() >> WORD, Chunk(packed.as_py())
 
 
 def _sums(df: DataFrame, run, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -510,8 +514,9 @@ def _scores(batches: Iterator[pa.RecordBatch], model: Model, end_count: int) ->
         at = 0
         for i in [*np.flatnonzero(b.column("c").is_null().to_numpy(zero_copy_only=False)), b.num_rows]:
             own = b.slice(at, int(i) - at)
-            counts.append(own.column("c").to_numpy())
-            fresh += int(own.column("lead").to_numpy(zero_copy_only=False).sum())
+            c = own.column("c").to_numpy()
+            counts.append(c >> 1)
+            fresh += int((c & 1).sum())
             at = int(i) + 1
             if at > b.num_rows:
                 break
@@ -531,15 +536,19 @@ def score_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document. ``path``: a vocabulary of byte ranks."""
     bound_batches(docs.sparkSession)
     stored = cut(chunks(docs, path), "chunks")
-    whole = stored.where("word is null").select("chunk", "packed")
+    whole = stored.where("word is null").select("place", "packed")
     model = train(whole)
-    n_chunks, trained = stored.where("word is null").agg(F.count("*"), F.coalesce(F.sum("trained"), F.lit(0))).first()
+    n_chunks, trained, tasks = stored.where("word is null").agg(F.count("*"), F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.max(F.shiftright("place", MADE + WORD)) + 1, F.lit(1))).first()
     by_word = Window.partitionBy("word")
-    counted = (stored.where("word is not null").select("chunk", "k", "word", "n")
-               .select("chunk", "k", F.sum("n").over(by_word).alias("c"), F.min("chunk").over(by_word).alias("one"))
-               .select("chunk", "k", "c", ((F.col("c") > 0) & (F.col("one") == F.col("chunk"))).alias("lead")))
-    meet = counted.unionByName(whole.withColumn("k", F.lit(None).cast("int")), allowMissingColumns=True)
-    dealt = meet.repartition(max(1, n_chunks), "chunk").sortWithinPartitions("chunk", F.col("k").asc_nulls_last())
+    n, place = F.sum("n").over(by_word), F.col("place")
+    # a word's count, doubled, and one more in the first of the chunks that have it, so that it is counted once as a distinct word
+    counted = stored.where("word is not null").select("place", "word", "n").select(
+        "place", (n * 2 + F.when((n > 0) & (F.min("place").over(by_word) == place), 1).otherwise(0)).alias("c"))
+    meet = counted.withColumn("packed", F.lit(None).cast("binary")).unionByName(whole.withColumn("c", F.lit(None).cast("long")))
+    # chunks are dealt evenly: those of a task one after the other
+    parts, each = max(1, n_chunks), -(-n_chunks // tasks)
+    slot = F.shiftright(place, MADE + WORD) * each + F.shiftright(place, WORD).bitwiseAND(F.lit((1 << MADE) - 1))
+    dealt = meet.repartitionById(parts, F.pmod(slot, F.lit(parts)).cast("int")).sortWithinPartitions("place")
     scored = cut(dealt.mapInArrow(lambda batches: _scores(batches, model, trained), RESULT), "scores")
     train_tokens, fresh = scored.agg(F.coalesce(F.sum(F.when(~F.col("held_out"), F.col("n_tokens"))), F.lit(0)), F.coalesce(F.sum("fresh"), F.lit(0))).first()
     distinct = fresh + (trained > 0)

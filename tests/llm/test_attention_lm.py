@@ -53,7 +53,7 @@ def chunk_of(encoding, texts):
                 ids += got
         words.append([places[x] for x in own])
     row = {"docs": np.arange(len(texts)), "known": np.ones(len(texts)), "held": np.zeros(len(texts)), "sizes": [len(x) for x in words], "words": sum(words, []), "n": np.ones(len(lens)), "lens": lens, "ids": ids}
-    return lm.Chunk({k: np.asarray(v).astype(lm.FIELDS[k]).tobytes() for k, v in row.items()})
+    return lm.Chunk(lm.pack(row))
 
 
 def test_scores_equal_plain_loops(monkeypatch):
@@ -162,14 +162,14 @@ def test_learns_from_the_context(spark, make_docs):
             out.append(common[at])
         return " ".join(out)
 
-    texts = [(i, text(orders[i % 4])) for i in range(3000)]
+    texts = [(i, text(orders[i % 4])) for i in range(12000)]
     got = {r.doc_id: r for r in lm.score_documents(make_docs(texts), PATH).collect()}
     words = [(held(i), t.split()) for i, t in texts]
     pairs = collections.Counter(p for out, w in words if not out for p in zip(w, w[1:]))
     firsts = collections.Counter(x for out, w in words if not out for x in w[:-1])
     of_pairs = sum(math.log10(pairs[p] / firsts[p[0]]) for out, w in words if out for p in zip(w, w[1:]))
     outs = [r for r in got.values() if r.held_out]
-    assert len(outs) > 300
+    assert len(outs) > 1200
     assert sum(r.score for r in outs) > 0.8 * of_pairs > sum(r.base_score for r in outs)
 
 
