@@ -56,7 +56,7 @@ CHUNK_WORDS, CHUNK_DISTINCT, WORD_BYTES = 3_000_000, 500_000, 256
 MADE, WORD = 12, 27
 LAST = (1 << WORD) - 1
 #: Words worked on at once, and distinct words encoded at once.
-PART_WORDS, ENCODED = 400_000, 10_000
+PART_WORDS, ENCODED = 200_000, 10_000
 PAD = CLASSES
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
