@@ -1029,6 +1029,64 @@ def _src_infer(spark, sf):
     return RD.read_file(spark, f"{d}/t.csv").drop(R.ORD)
 
 
+@q("src_csv_quoted_newline", """SELECT c_custkey, c_name || chr(10) || '"' || c_mktsegment || '", and' || chr(13) || chr(10) || 'more' AS note,
+  CASE WHEN c_custkey % 3 = 0 THEN '5" pipe' ELSE c_mktsegment END AS plain FROM customer""")
+def _src_newline(spark, sf):
+    d = scratch(spark, "newline")
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    note = F.concat("c_name", F.lit('\n""'), "c_mktsegment", F.lit('"", and\r\nmore'))
+    plain = F.when(F.col("c_custkey") % 3 == 0, '5" pipe').otherwise(F.col("c_mktsegment"))
+    _write_lines(c.select(F.concat(F.col("c_custkey").cast("string"), F.lit(',"'), note, F.lit('",'), plain)), "c_custkey,note,plain", f"{d}/c.csv")
+    return RD.read_file(spark, f"{d}/c.csv").drop(R.ORD)
+
+
+def _write_lines(lines, header: str, path: str) -> None:
+    """A text file in parts, each with the header line first."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    line = F.col(lines.columns[0])
+    lines.select(F.when(first, F.concat(F.lit(header + "\n"), line)).otherwise(line).alias("line")).write.text(path)
+
+
+def _wide_rows(spark, sf):
+    """Customers as text lines of four fields; each seventh has two more, each eleventh one less."""
+    k, c = F.col("c_custkey"), spark.read.parquet(f"{sf}/customer.parquet")
+    base = F.concat_ws(",", k.cast("string"), "c_name", F.concat(F.lit('"'), "c_mktsegment", F.lit(', x"')))
+    return c.select(F.when(k % 7 == 0, F.concat(base, F.lit(",1,extra,"))).when(k % 11 == 0, base).otherwise(F.concat(base, F.lit(",1"))).alias("line"))
+
+
+@q("src_csv_malformed", """SELECT CAST(6 AS INTEGER) AS fields, CAST(4 AS INTEGER) AS expected,
+  c_custkey || ',' || c_name || ',"' || c_mktsegment || ', x",1,extra,' AS record FROM customer WHERE c_custkey % 7 = 0""")
+def _src_malformed(spark, sf):
+    d = scratch(spark, "malformed")
+    _write_lines(_wide_rows(spark, sf), "id,name,segment,flag", f"{d}/c.csv")
+    return RD.malformed_rows(spark, f"{d}/c.csv").select("fields", "expected", "record")
+
+
+def _src_bad_rows(how: str, where: str):
+    @q(f"src_csv_bad_rows_{how}", f"""SELECT c_custkey AS id, c_name AS name, c_mktsegment || ', x' AS segment,
+  CASE WHEN c_custkey % 11 = 0 AND c_custkey % 7 <> 0 THEN NULL ELSE 1.0 END AS flag FROM customer WHERE {where}""")
+    def _f(spark, sf):
+        d = scratch(spark, "badrows")
+        _write_lines(_wide_rows(spark, sf), "id,name,segment,flag", f"{d}/c.csv")
+        return RD.read_file(spark, f"{d}/c.csv", bad_rows=how).drop(R.ORD)
+
+
+_src_bad_rows("skip", "c_custkey % 7 <> 0")
+_src_bad_rows("keep", "true")
+
+
+@q("src_csv_duplicate_header", """SELECT c_custkey AS id, c_name AS first_a, c_mktsegment AS second_a, c_custkey + 1 AS upper_age, c_custkey + 2 AS lower_age,
+  c_custkey + 3 AS unnamed FROM customer""")
+def _src_header(spark, sf):
+    d = scratch(spark, "header")
+    k = F.col("c_custkey")
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(F.concat_ws(",", k.cast("string"), "c_name", "c_mktsegment", (k + 1).cast("string"), (k + 2).cast("string"), (k + 3).cast("string")))
+    _write_lines(c, "id,a,a,Age,age,", f"{d}/c.csv")
+    names = {"id": "id", "a": "first_a", "a.1": "second_a", "Age": "upper_age", "age": "lower_age", "Unnamed: 5": "unnamed"}
+    return map_entity(RD.read_file(spark, f"{d}/c.csv"), spec(list(names.values()), [{"source_field": a, "target_field": b} for a, b in names.items()],
+                                                             {"participant_id_field": "id", "rows": [{"name": "all", "select": "all", "filter": [{"field": "id", "op": "is_not_null"}]}]})).df
+
+
 _AUTO_SPEC = {"entity": {"name": "Customer", "fields": {"base": ["submitter_participant_id", "segment"]}},
               "mappings": [OUT_PID, _copy("segment")]}
 

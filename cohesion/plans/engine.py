@@ -21,6 +21,7 @@ from ..functions import types as TY
 from ..functions.predicates import SpecError, compile_condition, df_resolver
 from ..operators import clean, expand, post, quality, rows
 from ..operators.mapping import Fold, Source, compile_mapping
+from ..session import telling_case
 from ..spec import EntitySpec, load_spec
 
 ORD = rows.ORD
@@ -175,6 +176,11 @@ def map_entity(source: DataFrame, spec, order_by=None, before: Hook | None = Non
     pushing filters through them, so by default only the output is counted.
     ``selected`` passes rows already through eligibility/enrichment/selection/
     cleaning (shared by entities with the same filters, see ``map_study``)."""
+    with telling_case(source.sparkSession, [*source.columns, *(selected.columns if selected is not None else [])]):
+        return _map_entity(source, spec, order_by, before, after, null_rules, name, metrics, selected)
+
+
+def _map_entity(source, spec, order_by, before, after, null_rules, name, metrics, selected) -> EntityResult:
     spec = load_spec(spec, name)
     warnings = list(spec.warnings)
     points = ("input", "selected", "output") if metrics == "all" else ("output",)
@@ -256,8 +262,9 @@ def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
             gkey = _selection_key(spec)
             if gkey not in groups:
                 warnings: list[str] = []
-                df = _with_order(source, order_by, warnings, _needs_order(spec))
-                groups[gkey] = preprocess(df, spec, warnings).persist(StorageLevel.MEMORY_AND_DISK)
+                with telling_case(spark, source.columns):
+                    df = _with_order(source, order_by, warnings, _needs_order(spec))
+                    groups[gkey] = preprocess(df, spec, warnings).persist(StorageLevel.MEMORY_AND_DISK)
             results[key] = map_entity(source, spec, order_by=order_by, name=key, selected=groups[gkey])
             results[key].shared = groups[gkey]
         except (SpecError, FileNotFoundError, ValueError) as e:

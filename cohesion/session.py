@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -56,3 +59,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - sessions without a SparkContext (e.g. Spark Connect)
         pass
     return d
+
+
+def stored(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back: a lost executor costs a re-read, two readers share one run."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohesion-{kind}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def telling_case(spark: SparkSession, names: Iterable[str]) -> Iterator[None]:
+    """While plans are built here, names that differ only by case are different columns, if ``names`` hold any such."""
+    names, key = list(names), "spark.sql.caseSensitive"
+    if len({n.lower() for n in names}) == len(set(names)):
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

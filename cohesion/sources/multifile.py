@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import types as TY
 from ..functions.predicates import SpecError
+from ..session import telling_case
 from .readers import ORD, find_entity_file, read_file
 
 SUFFIX = "_secondary"
@@ -115,8 +116,10 @@ def load_entity_sources(spark: SparkSession, directory: str, entity: str, source
         for f in files:
             frames.append(read_file(spark, f"{base}/{f}", idx, int_with_nulls, multi_line=ml))
             idx += 1
-        right = frames[0] if len(frames) == 1 else union_by_name(frames)
+        with telling_case(spark, [c for f in frames for c in f.columns]):
+            right = frames[0] if len(frames) == 1 else union_by_name(frames)
         how = {"left": "left", "right": "right", "inner": "inner", "outer": "full_outer"}[sec["join_type"]]
-        df = join_sources(df, right, sec["join_on"], how, sec.get("columns"),
-                          nulls_match=sec.get("nulls_match", True), n_joined=n)
+        with telling_case(spark, [*df.columns, *right.columns]):
+            df = join_sources(df, right, sec["join_on"], how, sec.get("columns"),
+                              nulls_match=sec.get("nulls_match", True), n_joined=n)
     return df

@@ -13,12 +13,17 @@ Every source gets an ``__ord`` column (file index, position) so that
 
 from __future__ import annotations
 
+import csv
+import io
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import sqltext as Q
+from ..session import telling_case
+from .records import count_fields, opens, read_records, text_lines
 
 ORD = "__ord"
 
@@ -62,12 +67,11 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
     return TXT_DELIMITERS[counts.index(max(counts))]
 
 
-def text_facts(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """(encoding, whether a quoted field may go over a line end), from one aggregation over the lines.
-    UTF-8 unless some line does not decode (then Latin-1, which accepts any byte); a line with an odd
-    number of quotes opens or closes a field of several lines."""
+def text_facts(spark: SparkSession, path: str, sep: str = ",") -> tuple[str, bool]:
+    """(encoding, whether a quoted field goes over a line end), from one aggregation over the lines.
+    UTF-8 unless some line does not decode (then Latin-1, which accepts any byte)."""
     v = F.col("value")
-    found = spark.read.text(path).agg(F.max(~F.is_valid_utf8(v)), F.max(F.length(v) % 2 != F.length(F.replace(v, F.lit('"'))) % 2)).first()
+    found = spark.read.option("lineSep", "\n").text(path).agg(F.max(~F.is_valid_utf8(v)), F.max(opens(v, sep))).first()
     return "ISO-8859-1" if found[0] else "UTF-8", bool(found[1])
 
 
@@ -84,30 +88,89 @@ def delimiter_for(spark: SparkSession, path: str) -> str:
     return ","
 
 
-def read_text_table(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "auto",
-                    multi_line: bool | None = None, file_index: int = 0) -> DataFrame:
-    """All columns as text, null tokens nulled, BOM stripped from the header, plus
-    the row order ``(file index, file path, block start, position)``: splits of
-    one file are ordered by their start offset, rows within a split by position.
-    ``multi_line`` None: quoted fields may hold line ends where the file has such fields; the file is
-    then one split, which Spark's reader needs for them."""
+def column_names(fields: list[str]) -> list[str]:
+    """The names of a header's fields: an empty one by its place, a repeated one with ``.1``, ``.2`` ... (the first that no
+    field has). Names that differ by case are different."""
+    given = [f if f else f"Unnamed: {i}" for i, f in enumerate(fields)]
+    out: list[str] = []
+    for name in given:
+        n, now = 0, name
+        while now in out or (n and now in given):
+            n += 1
+            now = f"{name}.{n}"
+        out.append(now)
+    return out
+
+
+def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
+    """The header's fields, of the first file of ``path``."""
+    files = spark.read.text(path).inputFiles()
+    if not files:
+        return []
+    lines = text_lines(spark, min(files), encoding).where("trim('\r' from line) != ''").select("line", opens(F.col("line"), sep).alias("more")).limit(1).collect()
+    if not lines:
+        return []
+    text = lines[0]["line"]
+    if lines[0]["more"]:
+        text = read_records(spark, min(files), sep, encoding).where("header").first()["record"]
+    fields = next(csv.reader(io.StringIO(text.lstrip("\ufeff").rstrip("\r"), newline=""), delimiter=sep))
+    return column_names(fields)
+
+
+#: Number of fields of a row that has more than the header, else null.
+EXTRA = "__fields"
+_BAD = "_bad"
+
+
+class BadRows(ValueError):
+    """Rows with more fields than the header."""
+
+
+def _text_table(spark: SparkSession, path: str, sep: str | None, encoding: str, multi_line: bool | None, file_index: int) -> DataFrame:
+    """read_text_table with EXTRA."""
     sep = sep or delimiter_for(spark, path)
     enc = encoding
     if encoding == "auto" or multi_line is None:
-        found, several = text_facts(spark, path)
+        found, several = text_facts(spark, path, sep)
         enc = found if encoding == "auto" else encoding
         multi_line = several if multi_line is None else multi_line
-    df = (
-        spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
-        .option("encoding", enc).option("inferSchema", False).option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE").csv(path)
-    )
-    renames = {c: c.lstrip("\ufeff") for c in df.columns if c.startswith("\ufeff")}
-    if renames:
-        df = df.withColumnsRenamed(renames)
+    names = _header(spark, path, sep, enc)
+    if not names:
+        return spark.createDataFrame([], f"{EXTRA} int, {ORD} struct<f int, path string, block long, p long>")
+    # places, not names, until Spark's own rules on names are past
+    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))] + [T.StructField(_BAD, T.StringType())])
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    if multi_line:
+        rows = read_records(spark, path, sep, enc).where("not header")
+        df = rows.select("path", "block", "p", F.from_csv("record", F.lit(schema.simpleString()[7:-1].replace(":", " ")), options | {"multiLine": "true"}).alias("row")).select("path", "block", "p", "row.*")
+        order = f"named_struct('f', {int(file_index)}, 'path', path, 'block', block, 'p', p) AS {ORD}"
+    else:
+        df = spark.read.schema(schema).options(**options, header=True, encoding=enc).csv(path)
+        order = file_order(file_index)
     tokens = ", ".join(Q.lit(t) for t in NULL_TOKENS)
-    exprs = [f"CASE WHEN {Q.ident(c)} NOT IN ({tokens}) THEN {Q.ident(c)} END AS {Q.ident(c)}" for c in df.columns]
-    return df.selectExpr(*exprs, file_order(file_index))
+    count = count_fields(F.col(_BAD), sep)
+    df = df.withColumn(EXTRA, F.when(F.col(_BAD).isNotNull() & (count > len(names)), count).cast("int"))
+    return df.selectExpr(*[f"CASE WHEN `_{i}` NOT IN ({tokens}) THEN `_{i}` END AS {Q.ident(c)}" for i, c in enumerate(names)], EXTRA, order)
+
+
+def read_text_table(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "auto",
+                    multi_line: bool | None = None, file_index: int = 0) -> DataFrame:
+    """All columns as text, null tokens nulled, BOM stripped from the header, plus
+    the row order ``(file index, file path, block start, position)``: splits of
+    one file are ordered by their start offset, rows within a split by position.
+    ``multi_line`` None: whether quoted fields hold line ends is found in the file. If they do, records are
+    found across lines and blocks first (``records``); the file stays split either way."""
+    return _text_table(spark, path, sep, encoding, multi_line, file_index).drop(EXTRA)
+
+
+def malformed_rows(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "auto") -> DataFrame:
+    """path, block, p, fields, expected, record of every record with more fields than the header. (One with fewer is filled with nulls.)"""
+    sep = sep or delimiter_for(spark, path)
+    enc, several = text_facts(spark, path, sep)
+    enc = enc if encoding == "auto" else encoding
+    expected = len(_header(spark, path, sep, enc))
+    rows = read_records(spark, path, sep, enc, several).withColumn("fields", count_fields(F.col("record"), sep))
+    return rows.where(F.col("fields") > expected).select("path", "block", "p", F.col("fields").cast("int").alias("fields"), F.lit(expected).alias("expected"), "record")
 
 
 def file_order(file_index: int) -> str:
@@ -116,12 +179,15 @@ def file_order(file_index: int) -> str:
             f"'block', _metadata.file_block_start, 'p', monotonically_increasing_id()) AS {ORD}")
 
 
-def infer_types(df: DataFrame, int_with_nulls: str = "double") -> DataFrame:
+def infer_types(df: DataFrame, int_with_nulls: str = "double", bad_rows: str = "keep") -> DataFrame:
     """One aggregation pass over text columns -> cast each to its inferred type.
-    Built as SQL text (one expression list) so wide files plan quickly."""
-    cols = [c for c in df.columns if c != ORD]
+    Built as SQL text (one expression list) so wide files plan quickly. The same pass counts the rows with EXTRA
+    fields: ``bad_rows`` is error (BadRows is raised), skip (they go) or keep (their surplus fields go)."""
+    if EXTRA in df.columns and bad_rows == "skip":
+        df = df.where(F.col(EXTRA).isNull()).drop(EXTRA)
+    cols = [c for c in df.columns if c not in (ORD, EXTRA)]
     if not cols:
-        return df
+        return df.drop(EXTRA)
     int_rx, float_rx = Q.lit(_INT_RX), Q.lit(_FLOAT_RX)
     bools = ", ".join(Q.lit(t) for t in TRUE_TOKENS + FALSE_TOKENS)
     aggs = ["count(1) AS r"]
@@ -129,7 +195,11 @@ def infer_types(df: DataFrame, int_with_nulls: str = "double") -> DataFrame:
         v = Q.ident(c)
         aggs += [f"count({v}) AS n{i}", f"count_if({v} RLIKE {int_rx} AND try_cast(trim({v}) AS BIGINT) IS NOT NULL) AS i{i}",
                  f"count_if({v} RLIKE {float_rx}) AS f{i}", f"count_if({v} IN ({bools})) AS b{i}"]
+    if EXTRA in df.columns:
+        aggs.append(f"count({EXTRA}) AS extra")
     stats = df.selectExpr(*aggs).collect()[0]
+    if EXTRA in df.columns and bad_rows == "error" and stats["extra"]:
+        raise BadRows(f"{stats['extra']} rows have more fields than the {len(cols)} of the header (malformed_rows lists them; bad_rows='skip' or 'keep' reads on)")
     rows = stats["r"]
     trues = ", ".join(Q.lit(t) for t in TRUE_TOKENS)
     out = []
@@ -163,17 +233,23 @@ def with_order(df: DataFrame, file_index: int = 0) -> DataFrame:
 
 def read_file(spark: SparkSession, path: str, file_index: int = 0, int_with_nulls: str = "double",
               encoding: str = "auto", sep: str | None = None, schema: dict | None = None,
-              multi_line: bool | None = None) -> DataFrame:
+              multi_line: bool | None = None, bad_rows: str | None = None) -> DataFrame:
     """A1-A5: ``.csv`` (and any unknown suffix) comma, ``.tsv`` tab, ``.txt``
     sniffed; ``.parquet`` read as is. ``schema`` ({column: Spark type}) skips
-    the inference pass: the file is then read once."""
+    the inference pass: the file is then read once. ``bad_rows`` says what becomes of rows with more fields than the header: error
+    (the default), skip, or keep without the surplus (the default with ``schema``, as telling takes a look at every field)."""
     if Path(path).suffix.lower() == ".parquet":
         return spark.read.parquet(path).selectExpr("*", file_order(file_index))
-    raw = read_text_table(spark, path, sep=sep, encoding=encoding, file_index=file_index, multi_line=multi_line)
-    if schema:
-        return raw.select(*[(F.regexp_replace(_c(c), r"^\s+|\s+$", "").try_cast(schema[c]).alias(c)
-                             if c in schema and schema[c] != "string" else _c(c)) for c in raw.columns])
-    return infer_types(raw, int_with_nulls)
+    raw = _text_table(spark, path, sep, encoding, multi_line, file_index)
+    with telling_case(spark, raw.columns):
+        if not schema:
+            return infer_types(raw, int_with_nulls, bad_rows or "error")
+        if bad_rows == "skip":
+            raw = raw.where(F.col(EXTRA).isNull())
+        elif bad_rows == "error":
+            raw = raw.where(F.when(F.col(EXTRA).isNotNull(), F.raise_error(F.lit(f"a row of {path} has more fields than the header")).isNull()).otherwise(True))
+        return raw.drop(EXTRA).select(*[(F.regexp_replace(_c(c), r"^\s+|\s+$", "").try_cast(schema[c]).alias(c)
+                                        if c in schema and schema[c] != "string" else _c(c)) for c in raw.columns if c != EXTRA])
 
 
 def find_entity_file(spark: SparkSession, directory: str, entity: str) -> str:
