@@ -5,7 +5,7 @@
 
 One shared export (``--input``) or per-entity files (``--input-dir``: each
 entity's ``source_files`` or ``<entity>.csv|.tsv|.txt``). Writes one output
-per entity plus ``validation_report``; prints one line per entity. Exit code
+per entity, ``validation_report``, ``study_metrics`` and ``mapping_summary.txt``; prints one line per entity. Exit code
 1 when an entity failed.
 """
 
@@ -32,7 +32,7 @@ def main(argv=None) -> int:
     from .plans.engine import map_study, release
     from .session import get_session
     from .sources.readers import read_file
-    from .sources.sinks import write_reports, write_study
+    from .sources.sinks import write_metrics, write_reports, write_study
     from .spec import load_study
 
     spark = get_session()
@@ -40,11 +40,13 @@ def main(argv=None) -> int:
     source = read_file(spark, a.input, sep=a.sep, multi_line=a.multi_line) if a.input else None
     results = map_study(source, specs, source_dir=a.input_dir, share=a.share)
     paths = write_study(results, a.output, a.format)
-    write_reports({k: r for k, r in results.items() if not r.error}, a.output, a.format)
+    if results:
+        write_reports(results, a.output, a.format, paths)
+        write_metrics(results, paths, a.output, a.format, a.study)
     release(results)
     failed = False
     for k, r in results.items():
-        n = r.counts().get("output")
+        n = r.written.get("rows")
         print(f"{k}\t{'FAILED: ' + r.error if r.error else f'{n} rows -> {paths.get(k)}'}")
         failed |= r.error is not None
     return 1 if failed else 0

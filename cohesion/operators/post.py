@@ -92,8 +92,19 @@ def null_unless(df: DataFrame, field: str, when_field: str, equals) -> DataFrame
     return df.withColumn(field, F.when(keep, _c(field)).otherwise(F.lit(None).cast(df.schema[field].dataType)))
 
 
-def postprocess(df: DataFrame, steps: list, validations: list, warnings: list[str], rules: list | None = None
-                ) -> DataFrame:
+def _tracked(df: DataFrame, field: str, when_field: str, equals, track: dict[str, str] | None) -> DataFrame:
+    """null_unless; with ``track``, a column of it tells whether the field held a value before, so that both counts can be
+    taken at the end of the plan, where they keep no filter from the scan."""
+    if track is not None and field in df.columns and when_field in df.columns:
+        had = f"__had_{len(track)}"
+        track[had] = field
+        df = df.withColumn(had, _c(field).isNotNull())
+    return null_unless(df, field, when_field, equals)
+
+
+def postprocess(df: DataFrame, steps: list, validations: list, warnings: list[str], rules: list | None = None,
+                track: dict[str, str] | None = None) -> DataFrame:
+    """``track`` gets {column: field} for each conditional-null rule: whether the field held a value before it."""
     df = drop_null_required(df, validations)
     for step in steps or []:
         if not isinstance(step, dict):
@@ -107,9 +118,9 @@ def postprocess(df: DataFrame, steps: list, validations: list, warnings: list[st
         elif t == "convert_nullable_int":
             df = nullable_int(df, step.get("columns", "auto"))
         elif t == "null_unless":
-            df = null_unless(df, step["field"], step["when_field"], step.get("equals"))
+            df = _tracked(df, step["field"], step["when_field"], step.get("equals"), track)
         else:
             warnings.append(f"unknown post_processing type {t!r} skipped")
     for r in rules if rules is not None else [DEFAULT_NULL_UNLESS]:
-        df = null_unless(df, r["field"], r["when_field"], r["equals"])
+        df = _tracked(df, r["field"], r["when_field"], r["equals"], track)
     return df

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import types as TY
 from ..operators import rows as R
+from ..operators.quality import validation_report
 from ..sources import multifile as MF
 from ..sources import readers as RD
 from . import report as RP
@@ -884,6 +885,72 @@ UNION ALL SELECT 'Record', 'unique', 'code', CAST(count(*) - count(DISTINCT c) -
 FROM (SELECT CASE f2 WHEN 1 THEN 'one' WHEN 2 THEN 'two' END AS c FROM wide)""")
 
 
+_UNIQUE_FIELDS = ["participant_id", "segment", "f1", "f2", "f3", "nation", "instance", "acctbal", "dob", "enroll_date", "order_status", "age_text", "total_price", "event_date"]
+_v_many = [{"type": "unique", "field": c} for c in _UNIQUE_FIELDS] + [{"type": "required", "field": "f2"}, {"type": "required", "field": "segment"}]
+
+
+@q("validate_unique_many", " UNION ALL ".join(
+    f"SELECT 'wide' AS entity, 'unique' AS rule, '{c}' AS field, CAST(count(*) - count(DISTINCT {c}) - max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS bad_rows FROM wide"
+    for c in _UNIQUE_FIELDS) + "".join(
+    f" UNION ALL SELECT 'wide', 'required', '{c}', CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) FROM wide" for c in ("f2", "segment")))
+def _unique_many(spark, sf):
+    return validation_report(wide(spark, sf), _v_many, "wide")
+
+
+_M_SPEC = spec(["submitter_participant_id", "vital_status", "age_at_death"],
+               [OUT_PID, {"source_field": "segment", "target_field": "vital_status", "value_mappings": {"BUILDING": "Deceased", "MACHINERY": "Alive"}},
+                {"target_field": "age_at_death", "target_type": "age", "params": {"birth_date_field": "dob", "event_date_field": "enroll_date"}}],
+               {"participant": {"filter": [{"field": "consent", "op": "equals", "value": 1}]}, "rows": BASELINE}, name="Participant",
+               validations=[{"type": "participant_id", "field": "submitter_participant_id"}, {"type": "unique", "field": "vital_status"},
+                            {"type": "unique", "field": "submitter_participant_id"}, {"type": "age_range", "field": "age_at_death", "max_age": 12000}],
+               post_processing=[{"type": "mystery"}])
+_M_SQL = f"""o AS (SELECT participant_id AS pid, CASE segment WHEN 'BUILDING' THEN 'Deceased' WHEN 'MACHINERY' THEN 'Alive' END AS vital, {_V_AGE} AS had
+    FROM wide WHERE repeat_kind IS NULL AND participant_id IN (SELECT participant_id FROM wide WHERE consent = 1)),
+  m AS (SELECT *, CASE WHEN vital = 'Deceased' THEN had END AS age FROM o),
+  n AS (SELECT count(*) AS rows, count(DISTINCT pid) AS ids, count(had) AS before, count(age) AS after, count(*) FILTER (WHERE age < 0 OR age > 12000) AS old,
+    count(*) - count(DISTINCT vital) - max(CASE WHEN vital IS NULL THEN 1 ELSE 0 END) AS again FROM m),
+  s AS (SELECT count(*) AS rows, count(DISTINCT participant_id) AS ids, count(DISTINCT participant_id) FILTER (WHERE consent = 1) AS ok FROM wide)"""
+
+
+@q("study_metrics", f"""WITH {_M_SQL},
+  x AS (SELECT unnest([
+    {{'entity': 'participant', 'metric': 'input_rows', 'detail': '', 'value': s.rows}}, {{'entity': 'participant', 'metric': 'output_rows', 'detail': '', 'value': n.rows}},
+    {{'entity': 'participant', 'metric': 'output_columns', 'detail': '', 'value': 3}}, {{'entity': 'participant', 'metric': 'failed', 'detail': '', 'value': 0}},
+    {{'entity': 'participant', 'metric': 'warning', 'detail': 'unknown post_processing type ''mystery'' skipped', 'value': 1}},
+    {{'entity': 'participant', 'metric': 'participants_before', 'detail': '', 'value': s.ids}}, {{'entity': 'participant', 'metric': 'participants_after', 'detail': '', 'value': s.ok}},
+    {{'entity': 'participant', 'metric': 'eligibility_retention_pct', 'detail': '', 'value': round(100.0 * s.ok / s.ids, 4)}},
+    {{'entity': 'participant', 'metric': 'participants', 'detail': '', 'value': n.ids}},
+    {{'entity': 'participant', 'metric': 'bad_rows', 'detail': 'participant_id: submitter_participant_id', 'value': 0}},
+    {{'entity': 'participant', 'metric': 'bad_rows', 'detail': 'unique: vital_status', 'value': n.again}},
+    {{'entity': 'participant', 'metric': 'bad_rows', 'detail': 'unique: submitter_participant_id', 'value': n.rows - n.ids}},
+    {{'entity': 'participant', 'metric': 'bad_rows', 'detail': 'age_range: age_at_death', 'value': n.old}},
+    {{'entity': 'participant', 'metric': 'rules_failed', 'detail': '', 'value': CAST(n.again > 0 AS INT) + CAST(n.old > 0 AS INT) + CAST(n.rows > n.ids AS INT)}},
+    {{'entity': 'participant', 'metric': 'values_before_rule', 'detail': 'age_at_death', 'value': n.before}},
+    {{'entity': 'participant', 'metric': 'values_after_rule', 'detail': 'age_at_death', 'value': n.after}},
+    {{'entity': 'broken', 'metric': 'output_rows', 'detail': '', 'value': 0}}, {{'entity': 'broken', 'metric': 'output_columns', 'detail': '', 'value': 0}},
+    {{'entity': 'broken', 'metric': 'failed', 'detail': 'SpecError: cannot order-compare column ''segment'' (string) with 5', 'value': 1}},
+    {{'entity': '', 'metric': 'input_rows', 'detail': '', 'value': s.rows}}, {{'entity': '', 'metric': 'output_rows', 'detail': '', 'value': n.rows}},
+    {{'entity': '', 'metric': 'rules_failed', 'detail': '', 'value': CAST(n.again > 0 AS INT) + CAST(n.old > 0 AS INT) + CAST(n.rows > n.ids AS INT)}},
+    {{'entity': '', 'metric': 'entities', 'detail': '', 'value': 2}}, {{'entity': '', 'metric': 'entities_failed', 'detail': '', 'value': 1}},
+    {{'entity': '', 'metric': 'participant_retention_pct', 'detail': '', 'value': round(100.0 * n.rows / s.rows, 4)}}]) AS r FROM n, s)
+SELECT r.entity, r.metric, r.detail, CAST(r.value AS DOUBLE) AS value FROM x""")
+def _study_metrics(spark, sf):
+    from ..sources.sinks import write_study
+    from .metrics import study_metrics
+
+    results = map_study(wide(spark, sf), {"participant": _M_SPEC, "broken": _BAD_SPEC}, order_by=ORDER_COL)
+    return study_metrics(spark, results, write_study(results, scratch(spark, "metrics"), "parquet"), "parquet")
+
+
+@q("post_null_counts", f"""WITH {_M_SQL} SELECT 'age_at_death' AS field, CAST(before AS BIGINT) AS values_before, CAST(after AS BIGINT) AS values_after FROM n""")
+def _null_counts(spark, sf):
+    from ..sources.sinks import write_entity
+
+    r = map_entity(wide(spark, sf), _M_SPEC, order_by=ORDER_COL)
+    write_entity(r, scratch(spark, "nulls"), "parquet")
+    return spark.createDataFrame([("age_at_death", r.written["had_0"], r.written["has_0"])], "field string, values_before long, values_after long")
+
+
 # ------------------------------------------------------------------ 2.L post-processing
 
 

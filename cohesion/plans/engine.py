@@ -10,6 +10,7 @@ steps are the small column-statistics jobs some steps need (``auto``).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Callable
@@ -28,6 +29,19 @@ ORD = rows.ORD
 Hook = Callable[[DataFrame], DataFrame]
 
 
+@dataclass
+class Steps:
+    """The parts of an entity's plan that reports need: its source and eligibility, and the output before the last hook."""
+
+    source: DataFrame
+    pid: str
+    eligible: list | dict | None
+    before_hook: DataFrame
+    track: dict[str, str]  # column -> field of each conditional-null rule
+    after: Hook | None
+    nulled: Observation | None = None
+
+
 @dataclass
 class EntityResult:
     name: str
@@ -37,6 +51,26 @@ class EntityResult:
     error: str | None = None
     observations: dict[str, Observation] = field(default_factory=dict)
     shared: DataFrame | None = None  # persisted selection shared with other entities
+    steps: Steps | None = None
+    written: dict = field(default_factory=dict)  # what the run that wrote the entity counted
+
+    def measured(self) -> tuple[DataFrame, Observation]:
+        """The output with an Observation, at its end, of everything that adds up: rows, bad rows of each rule that looks at a row by
+        itself (``bad_0``, ...), and values before and after each conditional-null rule (``had_0``, ``has_0``, ...)."""
+        obs = Observation(f"{self.name}_written_{uuid.uuid4().hex}")
+        rules = quality.rules_of(self.df, self.validations)
+        counts = [F.count(F.lit(1)).alias("rows"), *(F.count_if(r.bad).alias(f"bad_{i}") for i, r in enumerate(rules) if r.bad is not None)]
+        if self.steps is None:
+            return self.df.observe(obs, *counts), obs
+        with telling_case(self.df.sparkSession, self.df.columns):
+            out, track = self.steps.before_hook, self.steps.track
+            nulled = [x for i, (had, name) in enumerate(track.items()) for x in (F.count_if(had).alias(f"had_{i}"), F.count(F.expr("`" + name.replace("`", "``") + "`")).alias(f"has_{i}"))]
+            if self.steps.after is None:
+                return out.observe(obs, *counts, *nulled).drop(*track), obs
+            if nulled:
+                self.steps.nulled = Observation(f"{self.name}_nulled_{uuid.uuid4().hex}")
+                out = out.observe(self.steps.nulled, *nulled)
+            return self.steps.after(out.drop(*track)).observe(obs, *counts), obs
 
     def report(self) -> DataFrame:
         """One row per validation rule with the number of offending rows."""
@@ -57,6 +91,10 @@ class EntityResult:
     def counts(self) -> dict[str, int | None]:
         """Observed row counts (filled once an action has run on ``df``)."""
         out = {}
+        try:  # what an action has observed arrives over the listener bus
+            self.df.sparkSession.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        except Exception:  # noqa: BLE001 - no JVM access from this session, or a busy bus
+            pass
         for k, o in self.observations.items():
             jo = getattr(o, "_jo", None)  # reading waits for an action, so ask first whether one has ended
             out[k] = o.get.get("rows") if jo is not None and jo.future().isCompleted() else None
@@ -185,6 +223,7 @@ def _map_entity(source, spec, order_by, before, after, null_rules, name, metrics
     warnings = list(spec.warnings)
     points = ("input", "selected", "output") if metrics == "all" else ("output",)
     obs = {k: Observation(f"{spec.name}_{k}_{id(spec)}") for k in points}
+    track: dict[str, str] = {}
     if selected is None:
         df = _with_order(source, order_by, warnings, _needs_order(spec))
         if "input" in obs:
@@ -201,11 +240,13 @@ def _map_entity(source, spec, order_by, before, after, null_rules, name, metrics
         out = fold.output(out_df)
     else:
         out = map_direct(df, spec)
-    out = post.postprocess(out, spec.post_processing, spec.validations, warnings, null_rules)
+    full = post.postprocess(out, spec.post_processing, spec.validations, warnings, null_rules, track)
+    steps = Steps(source, spec.pid, _participant_filter(spec.filters), full, track, after)
+    out = full.drop(*track)
     if after is not None:
         out = after(out)
     out = out.observe(obs["output"], F.count(F.lit(1)).alias("rows"))
-    return EntityResult(spec.name, out, spec.validations, warnings, observations=obs)
+    return EntityResult(spec.name, out, spec.validations, warnings, observations=obs, steps=steps)
 
 
 def _selection_key(spec: EntitySpec) -> str:
