@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,21 @@ from ..functions.predicates import SpecError, _equals
 
 Typed = tuple[Column, str]
 
+#: A code list of more entries is a table that is joined; up to here it is a map in the expression, which is searched entry by entry.
+LIST_KEYS = 100
+#: A list, or a table of configs, of at most so many bytes is broadcast. They come from the spec, so their size is known here.
+BROADCAST_BYTES = 16 << 20
+
+_ARROW = {TY.INT: pa.int64(), TY.FLOAT: pa.float64(), TY.BOOL: pa.bool_()}
+
+
+def spec_table(spark, columns: dict[str, tuple[str, list]]) -> DataFrame:
+    """A table from {name: (family, values)}, broadcast if it is small; its rows are in the plan as data, not as expressions."""
+    arrays = [pa.array(v, _ARROW.get(fam, pa.string())) for fam, v in columns.values()]
+    table = pa.table(arrays, names=list(columns))
+    df = spark.createDataFrame(table)
+    return F.broadcast(df) if table.nbytes <= BROADCAST_BYTES else df
+
 
 @dataclass
 class Source:
@@ -65,6 +81,7 @@ class Fold:
         self.simple: dict[str, bool] = {}
         self.name: dict[str, str | None] = {}
         self._helpers: dict[str, str] = {}
+        self._lists: dict[tuple, list[str]] = {}
         self._n = 0
         for t in declared:
             self._add(t)
@@ -110,6 +127,20 @@ class Fold:
             self._helpers[sql] = name
         return f"`{name}`"
 
+    def dictionary(self, key: Column, key_family: str, entries: dict, families: list[str]) -> list[Column]:
+        """Columns with the values of ``entries`` ({key: [value, ...]}) for this row's key, null where there is none: a left join with the
+        list, one hash lookup a row. The same list on the same key is joined once."""
+        mark = (str(key._jc) if hasattr(key, "_jc") else str(key), key_family, tuple(families), tuple((k, *v) for k, v in entries.items()))
+        if mark not in self._lists:
+            n = len(self._lists)
+            names = [f"__d{n}_{i}" for i in range(len(families))]
+            keys = [str(k) if key_family == TY.STRING else k for k in entries]
+            table = spec_table(self.df.sparkSession, {f"__d{n}_k": (key_family, keys)} | {
+                c: (fam, [_render(v[i], fam) if v[i] is not None else None for v in entries.values()]) for i, (c, fam) in enumerate(zip(names, families))})
+            self.df = self.df.join(table, key == F.col(f"__d{n}_k"), "left").drop(f"__d{n}_k")
+            self._lists[mark] = names
+        return [F.col(c) for c in self._lists[mark]]
+
     def prev_sql(self, t: str) -> tuple[str, str]:
         """The previous value as SQL text (materialised first when needed)."""
         self._add(t)
@@ -222,16 +253,17 @@ def _split_keys(vm: dict):
     return num, txt
 
 
-def _lookup(src: Typed, table: dict, fam: str) -> Column:
-    """Mapped value for the source value, null when there is no (truthy) mapping."""
-    num, txt = table
+def _key(src: Typed, num: dict, txt: dict) -> tuple[Column, str, dict]:
+    """(key of a source value, its family, the entries that it can meet)."""
     c, sfam = src
     if sfam in (TY.INT, TY.FLOAT, TY.BOOL):
-        key, entries = S.to_int_trunc(c, sfam), num
-    elif sfam == TY.STRING:
-        key, entries = c, txt
-    else:
-        key, entries = TY.py_str(c, sfam), txt
+        return S.to_int_trunc(c, sfam), TY.INT, num
+    return (c if sfam == TY.STRING else TY.py_str(c, sfam)), TY.STRING, txt
+
+
+def _lookup(src: Typed, table: dict, fam: str) -> Column:
+    """Mapped value for the source value, null when there is no (truthy) mapping."""
+    key, _, entries = _key(src, *table)
     entries = {k: v for k, v in entries.items() if v is not None and v != [] and v}
     if not entries:
         return F.lit(None).cast(TY.spark_type(fam))
@@ -244,27 +276,33 @@ def _lookup(src: Typed, table: dict, fam: str) -> Column:
 def value_map_writes(
     fold: Fold, targets, src: Typed, vm: dict, present: Column, append_mode: bool = False
 ) -> dict[str, Typed]:
-    """``_map_field_value``: map the source value; list values spread over list
+    """The source value, mapped; list values spread over list
     targets, a scalar goes to the first target; falsy values are never written."""
     num, txt = _split_keys(vm)
     out = {}
     tlist = targets if isinstance(targets, list) else [targets]
-    for i, t in enumerate(tlist):
 
-        def pick(v):
-            if isinstance(targets, list):
-                if isinstance(v, list):
-                    return v[i] if i < len(v) else None
-                return v if i == 0 else None
-            return str(v) if isinstance(v, list) else v
+    def pick(v, i: int):
+        if isinstance(targets, list):
+            if isinstance(v, list):
+                return v[i] if i < len(v) else None
+            return v if i == 0 else None
+        return str(v) if isinstance(v, list) else v
 
-        n_i = {k: pick(v) for k, v in num.items()}
-        t_i = {k: pick(v) for k, v in txt.items()}
+    parts = {}  # target -> (its part of both lists, family)
+    for i, t in enumerate(tlist):
+        n_i = {k: pick(v, i) for k, v in num.items()}
+        t_i = {k: pick(v, i) for k, v in txt.items()}
         vals = [v for v in list(n_i.values()) + list(t_i.values()) if v]
-        if not vals:
-            continue
-        fam = _literal_family(vals)
-        mapped = _lookup(src, (n_i, t_i), fam)
+        if vals:
+            parts[t] = (n_i, t_i, _literal_family(vals))
+    key, key_family, entries = _key(src, num, txt)
+    found = {}
+    if parts and len(entries) > LIST_KEYS:
+        own = {t: (n_i if entries is num else t_i) for t, (n_i, t_i, _) in parts.items()}
+        found = dict(zip(parts, fold.dictionary(key, key_family, {k: [x[k] or None for x in own.values()] for k in entries}, [fam for *_, fam in parts.values()])))
+    for t, (n_i, t_i, fam) in parts.items():
+        mapped = found[t] if found else _lookup(src, (n_i, t_i), fam)
         if append_mode or is_note(t):
             prev = fold.prev_multi(t)
             out[t] = append_tokens(prev, [(present & mapped.isNotNull(), TY.to_family(mapped, fam, TY.STRING))])
@@ -441,7 +479,7 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
         return {targets: set_if_not_null(fold.prev(targets), (d, TY.INT))}
 
     if ttype == "integer":
-        return {targets: _integer(fold.prev_multi(targets), get_src(source_field) if source_field not in (None, "null") else None,
+        return {targets: _integer(fold, fold.prev_multi(targets), get_src(source_field) if source_field not in (None, "null") else None,
                                   source_field in (None, "null"), vm, default)}
 
     # direct / value / anything else
@@ -477,7 +515,7 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
     return {first: val}
 
 
-def _integer(prev: Typed, s: Typed | None, no_source: bool, vm, default) -> Typed:
+def _integer(fold: Fold, prev: Typed, s: Typed | None, no_source: bool, vm, default) -> Typed:
     """``target_type: integer``: optional value map (key int-cast), then int."""
 
     def as_int(v):
@@ -497,29 +535,35 @@ def _integer(prev: Typed, s: Typed | None, no_source: bool, vm, default) -> Type
     branches = []
     if vm and isinstance(vm, dict):
         num, txt = _split_keys(vm)
-        for k, v in num.items():
-            branches.append((ikey == F.lit(k), v))
-        if fam not in (TY.INT, TY.FLOAT, TY.BOOL):
-            for k, v in txt.items():
-                branches.append((ikey.isNull() & (TY.py_str(c, fam) == F.lit(k)), v))
+        text = fam not in (TY.INT, TY.FLOAT, TY.BOOL)
+        if len(num) > LIST_KEYS or text and len(txt) > LIST_KEYS:
+            lists = [(ikey, TY.INT, num)] + [(F.when(ikey.isNull(), TY.py_str(c, fam)), TY.STRING, txt)] * text
+            for key, key_family, entries in lists:
+                if entries:
+                    value, kept = fold.dictionary(key, key_family, {k: [as_int(v) if v is not None else None, v is None] for k, v in entries.items()}, [TY.INT, TY.BOOL])
+                    branches += [(kept, None), (~kept, value)]
+        else:
+            branches += [(ikey == F.lit(k), v) for k, v in num.items()]
+            if text:
+                branches += [(ikey.isNull() & (TY.py_str(c, fam) == F.lit(k)), v) for k, v in txt.items()]
     fallback = dflt[0] if dflt_given else None
     pc, pfam = prev
     if pfam not in (TY.INT, TY.NULL):
         # a mixed column: keep the target textual
-        return _integer_mixed(prev, s, vm, default)
+        return _integer_mixed(fold, prev, s, vm, default)
     p = pc.cast("long")
     tail = fallback if fallback is not None else p
     chain = None
     for cond, v in branches:
-        out_v = tail if v is None else F.lit(as_int(v)).cast("long")
+        out_v = tail if v is None else v if isinstance(v, Column) else F.lit(as_int(v)).cast("long")
         chain = F.when(present & cond, out_v) if chain is None else chain.when(present & cond, out_v)
     # a present value that is not mapped: its own int (null when not a number)
     chain = F.when(present, ikey) if chain is None else chain.when(present, ikey)
     return chain.otherwise(tail), TY.INT
 
 
-def _integer_mixed(prev: Typed, s: Typed, vm, default) -> Typed:
-    val, fam = _integer((F.lit(None).cast("long"), TY.NULL), s, False, vm, default)
+def _integer_mixed(fold: Fold, prev: Typed, s: Typed, vm, default) -> Typed:
+    val, fam = _integer(fold, (F.lit(None).cast("long"), TY.NULL), s, False, vm, default)
     # write only where the integer rule writes something
     c, sfam = s
     touched = ~TY.is_missing(c, sfam) | F.lit(default is not None)

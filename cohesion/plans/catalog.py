@@ -18,6 +18,7 @@ from ..functions import scalars as S
 from ..functions import types as TY
 from ..operators import rows as R
 from ..operators.quality import validation_report
+from ..session import stored
 from ..sources import multifile as MF
 from ..sources import readers as RD
 from . import report as RP
@@ -792,6 +793,37 @@ FROM wide WHERE f1 IS NOT NULL AND f1 <> 0
 UNION ALL SELECT participant_id, 'CODE:02', 'flag 2' FROM wide WHERE f2 IS NOT NULL AND f2 <> 0
 UNION ALL SELECT participant_id, 'CODE:03', 'flag 3' FROM wide WHERE f3 IS NOT NULL AND f3 <> 0""")
 
+# thousands of configs over as many columns: seldom set, with codes, literals and enrichments of their own
+_MANY = 3000
+_MANY_SPEC = xspec(["item_code", "item_term", "level", "score", "parity", "submitter_item_id"], [ITEM_ID], [
+    {"type": "range", "start": 0, "end": _MANY - 1, "template": {
+        "source_field": "q{n}", "code": "CODE:{n:04d}", "term": "Item {n}", "enrichments": [
+            {"target_field": "level", "default_value": "L{n}"}, {"target_field": "score"}]}}]
+    + [{"source_field": "q1", "code": "AGAIN", "enrichments": [{"target_field": "parity", "value_mappings": {1: "odd", 2: "even"}}]}])
+
+
+@q("expand_many_configs", f"""WITH v AS (SELECT c_custkey AS pid, i, CASE WHEN (c_custkey * 31 + i * 17) % 1009 = 0 THEN 1 + (c_custkey + i) % 2 ELSE 0 END AS x
+    FROM customer, (SELECT unnest(range({_MANY})) AS i) n)
+  SELECT pid AS submitter_participant_id, 'CODE:' || lpad(CAST(i AS VARCHAR), 4, '0') AS item_code, 'Item ' || i AS item_term, 'L' || i AS level, x AS score,
+    CAST(NULL AS VARCHAR) AS parity, pid || '_item_q' || i AS submitter_item_id FROM v WHERE x <> 0
+  UNION ALL SELECT pid, 'AGAIN', NULL, NULL, NULL, CASE x WHEN 1 THEN 'odd' ELSE 'even' END, pid || '_item_q1' FROM v WHERE i = 1 AND x <> 0""")
+def _expand_many(spark, sf):
+    c = spark.read.parquet(f"{sf}/customer.parquet").selectExpr("c_custkey AS participant_id", "CAST(NULL AS STRING) AS repeat_kind", f"c_custkey AS {ORDER_COL}", *(
+        f"CASE WHEN (c_custkey * 31 + {i * 17}) % 1009 = 0 THEN 1 + (c_custkey + {i}) % 2 ELSE 0 END AS q{i}" for i in range(_MANY)))
+    c = stored(c, "wide")  # a file of thousands of columns, as such sources come
+    return map_entity(c, _MANY_SPEC | {"filters": {"participant_id_field": PID}}, order_by=ORDER_COL).df
+
+
+# code lists of thousands of entries
+_base_query("map_values_large_list", ["visit_code", "visit_label", "enroll_code", "visit_number"],
+            [{"source_field": "instance", "target_field": ["visit_code", "visit_label"], "value_mappings": {k: [f"V{k}", f"visit {k}"] for k in range(10_000)}, "default_value": "none"},
+             {"source_field": "m_text", "target_field": "enroll_code", "value_mappings": {str(k): f"month {k}" for k in range(1, 5_000) if k % 2}},
+             {"source_field": "instance", "target_field": "visit_number", "target_type": "integer", "value_mappings": {k: None if k % 3 == 0 else 2 * k for k in range(10_000)}, "default_value": -1}],
+            """CASE WHEN instance IS NULL THEN 'none' WHEN instance < 10000 THEN 'V' || instance END AS visit_code, CASE WHEN instance < 10000 THEN 'visit ' || instance END AS visit_label,
+            CASE WHEN CAST(m_text AS BIGINT) % 2 = 1 THEN 'month ' || m_text END AS enroll_code,
+            CASE WHEN instance IS NULL THEN -1 WHEN instance < 10000 AND instance % 3 = 0 THEN -1 WHEN instance < 10000 THEN 2 * instance ELSE instance END AS visit_number""",
+            filters=ALL_ROWS)
+
 ENTITY_EXPANSION = {
     "entity": {"name": "Comorbidity", "fields": {
         "base": ["submitter_participant_id", "comorbidity_code", "comorbidity_term", "comorbidity_status"],

@@ -222,7 +222,7 @@ def _map_entity(source, spec, order_by, before, after, null_rules, name, metrics
     spec = load_spec(spec, name)
     warnings = list(spec.warnings)
     points = ("input", "selected", "output") if metrics == "all" else ("output",)
-    obs = {k: Observation(f"{spec.name}_{k}_{id(spec)}") for k in points}
+    obs = {k: Observation(f"{spec.name}_{k}_{uuid.uuid4().hex}") for k in points}
     track: dict[str, str] = {}
     if selected is None:
         df = _with_order(source, order_by, warnings, _needs_order(spec))
