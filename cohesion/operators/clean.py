@@ -111,23 +111,47 @@ def replace_missing_codes(df: DataFrame, codes, fields) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def convert_to_numeric(df: DataFrame, fields, errors: str = "coerce") -> DataFrame:
+# Fixed value: how far a number may move when it becomes single precision.
+FLOAT_TOLERANCE = 5e-4
+
+
+def _single(c: Column) -> Column:
+    """A number as single precision shows it, as a double."""
+    return c.cast("float").cast("string").cast("double")
+
+
+def convert_to_numeric(df: DataFrame, fields, errors: str = "coerce", downcast: str | None = None) -> DataFrame:
+    """Text columns become double. ``errors``: coerce (null), raise, or ignore (such a column stays text). ``downcast``: integer, signed or
+    unsigned turn a column of whole numbers without nulls into bigint (unsigned: if none is negative), so that ids show ``1`` and not
+    ``1.0``; float turns numbers into what single precision holds if none moves by more than FLOAT_TOLERANCE. What the
+    columns hold is learned in one aggregation, and only if errors or downcast ask for it."""
+    if downcast not in (None, "integer", "signed", "unsigned", "float"):
+        raise SpecError(f"convert_to_numeric: unknown downcast {downcast!r}")
     fams = _fams(df)
-    fields = [f for f in (fields or []) if f in fams]
-    conv = {}
-    for f in fields:
-        fam = fams[f]
-        if fam in (TY.INT, TY.FLOAT):
-            continue
-        conv[f] = TY.nan_to_null(TY.text_double(TY.py_str(_c(f), fam)))
-    if not conv:
-        return df
-    if errors in ("raise", "ignore"):
-        bad = df.agg(*[F.count_if(_c(f).isNotNull() & e.isNull()).alias(f) for f, e in conv.items()]).collect()[0]
-        failing = [f for f in conv if bad[f]]
+    fields = list(dict.fromkeys(f for f in (fields or []) if f in fams))
+    conv = {f: TY.nan_to_null(TY.text_double(TY.py_str(_c(f), fams[f]))) for f in fields if fams[f] not in (TY.INT, TY.FLOAT, TY.BOOL) or fams[f] == TY.BOOL and not downcast}
+    narrow = [f for f in fields if downcast and fams[f] != TY.BOOL and not (downcast != "float" and fams[f] == TY.INT)]
+    strict = errors in ("raise", "ignore")
+    value = {f: conv.get(f, TY.nan_to_null(_c(f).cast("double"))) for f in [*conv, *narrow]}
+    aggs = [F.count_if(_c(f).isNotNull() & e.isNull()).alias(f"bad_{i}") for i, (f, e) in enumerate(conv.items())] if strict else []
+    for i, f in enumerate(narrow):
+        v = value[f]
+        if downcast == "float":
+            aggs.append((F.coalesce(F.max(F.abs(_single(v) - v)), F.lit(0.0)) <= FLOAT_TOLERANCE).alias(f"fits_{i}"))
+        else:
+            least = F.lit(0.0 if downcast == "unsigned" else -2.0**63)
+            whole = v.isNotNull() & (v == F.floor(v)) & (v >= least) & (v < 2.0**63)
+            aggs.append((F.count_if(~F.coalesce(whole, F.lit(False))) == 0).alias(f"fits_{i}"))
+    told = df.agg(*aggs).first() if aggs else None
+    if strict:
+        failing = [f for i, f in enumerate(conv) if told[f"bad_{i}"]]
         if failing and errors == "raise":
             raise SpecError(f"convert_to_numeric: non-numeric values in {failing}")
         conv = {f: e for f, e in conv.items() if f not in failing}
+        narrow = [f if f not in failing else None for f in narrow]
+    for i, f in enumerate(narrow):
+        if f and told[f"fits_{i}"]:
+            conv[f] = _single(value[f]) if downcast == "float" else value[f].cast("long")
     return df.withColumns(conv) if conv else df
 
 
@@ -168,7 +192,7 @@ def apply_steps(df: DataFrame, steps: list, warnings: list[str], order_col: str
         elif t == "replace_missing_codes":
             df = replace_missing_codes(df, step.get("codes", {}), fields)
         elif t == "convert_to_numeric":
-            df = convert_to_numeric(df, fields, step.get("errors", "coerce"))
+            df = convert_to_numeric(df, fields, step.get("errors", "coerce"), step.get("downcast"))
         elif t == "calculate_field":
             if not step.get("target") or not step.get("formula"):
                 warnings.append("calculate_field skipped: needs target and formula")

@@ -330,6 +330,30 @@ def _jnull(spark, sf):
     return MF.join_sources(o, c, [PID], "left")
 
 
+def _null_sides(spark, sf):
+    """Customers and suppliers by nation, with a third of the ids missing on both sides."""
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias(PID), F.col("c_custkey").alias("customer"))
+    s = spark.read.parquet(f"{sf}/supplier.parquet").select(F.when(F.col("s_suppkey") % 3 != 0, F.col("s_suppkey") * 2).alias(PID), F.col("s_suppkey").alias("supplier"))
+    return c, s
+
+
+_NULL_SIDES_SQL = """c AS (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS pid, c_custkey AS customer FROM customer),
+s AS (SELECT CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey * 2 END AS pid, s_suppkey AS supplier FROM supplier),
+j AS (SELECT coalesce(c.pid, s.pid) AS participant_id, customer, supplier FROM c FULL OUTER JOIN s ON c.pid IS NOT DISTINCT FROM s.pid)"""
+
+
+@q("join_split_keys", f"WITH {_NULL_SIDES_SQL} SELECT participant_id, customer, supplier FROM j")
+def _split_keys(spark, sf):
+    c, s = _null_sides(spark, sf)
+    return MF.join_sources(c, s, [PID], "full_outer", split=200)
+
+
+@q("join_expected_rows", f"""WITH {_NULL_SIDES_SQL} SELECT (SELECT count(*) FROM c) AS left_rows, (SELECT count(*) FROM s) AS right_rows, count(*) AS out_rows,
+(SELECT max(n) FROM (SELECT count(*) AS n FROM j GROUP BY participant_id)) AS largest_key FROM j""")
+def _expected(spark, sf):
+    return MF.expected_rows(*_null_sides(spark, sf), [PID], "full_outer")
+
+
 @q("join_suffix", """SELECT c_custkey AS participant_id, c_name AS name, s_name AS name_secondary, n_name AS name_secondary2
 FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey LEFT JOIN nation ON c_custkey = n_nationkey""")
 def _jsuffix(spark, sf):
@@ -1069,6 +1093,41 @@ def _empty(spark, sf):
     return run(spark, sf, sp)
 
 
+_base_query("convert_to_numeric_downcast", ["month", "year_id", "nation", "ratio", "balance"],
+            [_copy("m_text", "month"), {"target_field": "year_id", "target_type": "identifier", "params": {"prefix_field": PID, "type": "y", "suffix_fields": ["year"]}},
+             _copy("nation"), _copy("ratio"), _copy("acctbal", "balance")],
+            """CAST(m_text AS DOUBLE) AS month, participant_id || '_y_' || (1950 + participant_id % 50) AS year_id, CAST(nation AS DOUBLE) AS nation,
+            CAST(CAST(CAST((participant_id % 1000) / 7.0 AS FLOAT) AS VARCHAR) AS DOUBLE) AS ratio, CAST(CAST(CAST(acctbal AS FLOAT) AS VARCHAR) AS DOUBLE) AS balance""",
+            pre=[{"type": "calculate_field", "target": "year", "formula": "1950 + participant_id % 50"}, {"type": "calculate_field", "target": "ratio", "formula": "participant_id % 1000 / 7"},
+                 {"type": "convert_to_numeric", "fields": ["m_text", "year"], "downcast": "integer"},  # months have nulls: they stay double
+                 {"type": "convert_to_numeric", "fields": ["nation", "ratio", "acctbal"], "downcast": "float"}])
+
+
+@q("convert_to_numeric_raise", """SELECT 'SpecError: convert_to_numeric: non-numeric values in [''amount_text'']' AS error, count(*) FILTER (WHERE amount_text IS NOT NULL AND TRY_CAST(amount_text AS DOUBLE) IS NULL) > 0 AS raised
+FROM wide""")
+def _numeric_raise(spark, sf):
+    sp = spec(["m_text"], [_copy("m_text")], ALL_ROWS, preprocessing=[{"type": "convert_to_numeric", "fields": ["m_text", "amount_text"], "errors": "raise"}])
+    r = map_study(wide(spark, sf), {"x": sp}, order_by=ORDER_COL)["x"]
+    return spark.createDataFrame([(r.error, r.error is not None)], "error string, raised boolean")
+
+
+_base_query("clean_unknown_step", ["segment"], [_copy("segment")], "segment", pre=[{"type": "no_such_step", "fields": ["segment"]}, {"type": "lowercase", "fields": ["no_such_field"]}])
+
+
+@q("join_key_type_clash", """SELECT 'SpecError: join key ''participant_id'': text on one side, number on the other' AS error, count(*) FILTER (WHERE participant_id IS NOT NULL) > 0 AS keys
+FROM wide""")
+def _key_clash(spark, sf):
+    from ..functions.predicates import SpecError
+
+    w = wide(spark, sf)
+    try:
+        MF.join_sources(w, w.select(F.col(PID).cast("string").alias(PID), F.col("segment").alias("other")), [PID])
+        error = None
+    except SpecError as e:
+        error = f"SpecError: {e}"
+    return w.agg(F.lit(error).alias("error"), (F.count(PID) > 0).alias("keys"))
+
+
 # ------------------------------------------------------------------ 2.A sources and sinks
 
 

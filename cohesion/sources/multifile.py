@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import types as TY
 from ..functions.predicates import SpecError
-from ..session import telling_case
+from ..session import stored, telling_case
 from .readers import ORD, find_entity_file, read_file
 
 SUFFIX = "_secondary"
@@ -50,10 +50,77 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
 
 
+#: Pairs of rows of one key that a task makes. A key with more of them, and with at least 1/HOT of a side's rows, is split; so
+#: the list of such keys, which is broadcast, has at most 2 * HOT entries.
+PART_PAIRS = 100_000_000
+HOT = 10_000
+
+
+def key_counts(left: DataFrame, right: DataFrame, on: list[str], nulls_match: bool = True) -> DataFrame:
+    """(keys, nl, nr): the rows of each key on both sides, and in ``meet`` whether such rows match. One aggregation for each side."""
+    sides = [df.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(on)]).groupBy(*[f"__k{i}" for i in range(len(on))]).agg(F.count(F.lit(1)).alias(n)) for df, n in ((left, "nl"), (right, "nr"))]
+    keys = [f"__k{i}" for i in range(len(on))]
+    r = sides[1].withColumnsRenamed({k: f"{k}r" for k in keys})
+    both = sides[0].join(r, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}r")) for k in keys]), "full_outer")
+    meet = F.col("nl").isNotNull() & F.col("nr").isNotNull()
+    if not nulls_match:
+        meet = meet & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return both.select(*[F.coalesce(k, f"{k}r").alias(k) for k in keys], F.coalesce("nl", F.lit(0)).alias("nl"), F.coalesce("nr", F.lit(0)).alias("nr"), F.coalesce(meet, F.lit(False)).alias("meet"))
+
+
+def expected_rows(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", nulls_match: bool = True) -> DataFrame:
+    """What a join would give, without joining the rows: left_rows, right_rows, out_rows, and largest_key, the most rows out of one key."""
+    c = key_counts(left, right, on, nulls_match)
+    pairs = F.when(F.col("meet"), F.col("nl").cast("decimal(38,0)") * F.col("nr")).otherwise(F.lit(0))
+    alone = {"inner": F.lit(0), "left": F.when(~F.col("meet"), F.col("nl")).otherwise(0), "right": F.when(~F.col("meet"), F.col("nr")).otherwise(0),
+             "full_outer": F.when(~F.col("meet"), F.col("nl") + F.col("nr")).otherwise(0)}[how]
+    out = pairs + alone
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
+    return c.agg(total("nl").alias("left_rows"), total("nr").alias("right_rows"), total(out).alias("out_rows"), F.coalesce(F.max(out), F.lit(0)).cast("long").alias("largest_key"))
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, on: list[str], nulls_match: bool, pairs: int) -> DataFrame:
+    """(keys, __a, __b): into how many parts the rows of a key with more than ``pairs`` are dealt on the left and on the right. 2 * HOT rows at most."""
+    c = key_counts(left, right, on, nulls_match)
+    share = c.agg(F.sum("nl").alias("l"), F.sum("nr").alias("r")).first()  # two numbers
+    side = max(1, int(pairs**0.5))
+    large = F.col("meet") & (F.col("nl").cast("double") * F.col("nr") > pairs) & ((F.col("nl") * HOT >= (share["l"] or 0)) | (F.col("nr") * HOT >= (share["r"] or 0)))
+    parts = lambda n: F.ceil(F.col(n) / side).cast("int")
+    return c.where(large).select(*[f"__k{i}" for i in range(len(on))], parts("nl").alias("__a"), parts("nr").alias("__b"))
+
+
+def _dealt(df: DataFrame, keys: list[str], hot: DataFrame, own: str, other: str, own_parts: str, other_parts: str) -> DataFrame:
+    """The rows of hot keys, each in one part of its own side and once for every part of the other."""
+    row = F.xxhash64(F.col(ORD)) if ORD in df.columns else F.xxhash64(F.monotonically_increasing_id())
+    match = reduce(lambda a, b: a & b, [_c(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    # the part is taken before the copies are made, so that all copies of a row are of one part
+    placed = df.join(F.broadcast(hot), match).withColumn(own, F.pmod(row, F.col(own_parts)).cast("int"))
+    return placed.select(*[_c(c) for c in df.columns], own, F.explode(F.sequence(F.lit(0), F.col(other_parts) - 1)).alias(other))
+
+
+def _join(left: DataFrame, right: DataFrame, on: list[str], right_on: list[str], nulls_match: bool, how: str, split: bool | int) -> DataFrame:
+    conds = [(_c(k).eqNullSafe(_c(r)) if nulls_match else _c(k) == _c(r)) for k, r in zip(on, right_on)]
+    plain = lambda a, b: a.join(b, reduce(lambda x, y: x & y, conds), how)
+    if not split:
+        return plain(left, right)
+    hot = stored(_hot_keys(left, right.withColumnsRenamed(dict(zip(right_on, on))) if on != right_on else right, on, nulls_match, PART_PAIRS if split is True else split), "hot-keys")
+    if hot.isEmpty():
+        return plain(left, right)
+    # rows of hot keys have a match on the other side, so for them every kind of join is an inner one
+    names = [f"__k{i}" for i in range(len(on))]
+    apart = lambda df, keys: df.join(F.broadcast(hot.select(*names)), reduce(lambda a, b: a & b, [_c(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]), "left_anti")
+    light = plain(apart(left, on), apart(right, right_on))
+    l_parts = _dealt(left, on, hot, "__i", "__j", "__a", "__b")
+    r_parts = _dealt(right, right_on, hot.withColumnsRenamed({"__a": "__ra", "__b": "__rb"}), "__rj", "__ri", "__rb", "__ra")
+    heavy = l_parts.join(r_parts, reduce(lambda a, b: a & b, [_c(k).eqNullSafe(_c(r)) for k, r in zip(on, right_on)]) & (F.col("__i") == F.col("__ri")) & (F.col("__j") == F.col("__rj")))
+    return light.unionByName(heavy.drop("__i", "__j", "__ri", "__rj"))
+
+
 def join_sources(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-                 columns: list[str] | None = None, nulls_match: bool = True, n_joined: int = 1) -> DataFrame:
+                 columns: list[str] | None = None, nulls_match: bool = True, n_joined: int = 1, split: bool | int = False) -> DataFrame:
     """Equi-join on ``on``; clashing non-key right columns get ``_secondary``
-    (``_secondary2``... on later clashes). Keys come out once, coalesced."""
+    (``_secondary2``... on later clashes). Keys come out once, coalesced.
+    ``split``: count the keys first, and deal the rows of a key with many on both sides (null ids match null ids) into parts, left times right, of PART_PAIRS pairs or as many as ``split`` says."""
     for k in on:
         if k not in left.columns or k not in right.columns:
             raise SpecError(f"join key {k!r} missing")
@@ -82,8 +149,7 @@ def join_sources(left: DataFrame, right: DataFrame, on: list[str], how: str = "l
                 i += 1
             ren[c] = name
     right = right.withColumnsRenamed(ren)
-    conds = [(_c(k).eqNullSafe(_c(f"__rk_{k}")) if nulls_match else _c(k) == _c(f"__rk_{k}")) for k in on]
-    j = left.join(right, reduce(lambda a, b: a & b, conds), how)
+    j = _join(left, right, on, [f"__rk_{k}" for k in on], nulls_match, how, split)
     out = []
     for c in left.columns:
         if c == ORD:
@@ -121,5 +187,5 @@ def load_entity_sources(spark: SparkSession, directory: str, entity: str, source
         how = {"left": "left", "right": "right", "inner": "inner", "outer": "full_outer"}[sec["join_type"]]
         with telling_case(spark, [*df.columns, *right.columns]):
             df = join_sources(df, right, sec["join_on"], how, sec.get("columns"),
-                              nulls_match=sec.get("nulls_match", True), n_joined=n)
+                              nulls_match=sec.get("nulls_match", True), n_joined=n, split=True)
     return df
