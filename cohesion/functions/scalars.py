@@ -127,13 +127,17 @@ def age_in_days(
     fb = age_with_units(*fallback) if fallback is not None else F.lit(None).cast("long")
     if birth is None or event is None:
         return fb
-    (bc, bf), (ec, ef) = birth, event
-    present = ~TY.is_missing(bc, bf) & ~TY.is_missing(ec, ef)
-    b, e = parse_date(bc, bf), parse_date(ec, ef)
-    diff = F.datediff(e, b).cast("long")
+    return age_from_dates(birth, event, parse_date(*birth), parse_date(*event), fb, offset)
+
+
+def age_from_dates(birth: tuple[Column, str], event: tuple[Column, str], born: Column, when: Column, fallback: Column,
+                   offset: tuple[Column, str] | None = None) -> Column:
+    """``age_in_days`` of dates that are parsed already, with the age that stands in for a missing one."""
+    present = ~TY.is_missing(*birth) & ~TY.is_missing(*event)
+    diff = F.datediff(when, born).cast("long")
     if offset is not None:
         diff = diff + F.coalesce(to_int_trunc(*offset), F.lit(0).cast("long"))
-    return F.when(present & b.isNotNull() & e.isNotNull(), F.when(diff >= 0, diff)).otherwise(fb)
+    return F.when(present & born.isNotNull() & when.isNotNull(), F.when(diff >= 0, diff)).otherwise(fallback)
 
 
 def duration_in_days(start: tuple[Column, str] | None, end: tuple[Column, str] | None) -> Column:

@@ -10,7 +10,6 @@ as the Column builders in ``types`` and ``scalars``.
 from __future__ import annotations
 
 from . import types as TY
-from .scalars import DAYS_PER_MONTH, DAYS_PER_YEAR, MAX_AGE_DAYS, MAX_AGE_YEARS
 
 _SQL_TYPES = {TY.INT: "BIGINT", TY.FLOAT: "DOUBLE", TY.STRING: "STRING", TY.BOOL: "BOOLEAN", TY.NULL: "STRING"}
 
@@ -110,80 +109,3 @@ def case_on(key: str, branches: list[tuple[int, str]], otherwise: str) -> str:
         return otherwise
     body = " ".join(f"WHEN {k} THEN {v}" for k, v in branches)
     return f"(CASE {key} {body} ELSE {otherwise} END)"
-
-
-# --- date and age rules as SQL text (same rules as ``scalars``) -------------------------
-
-_WS = "'^\\\\s+|\\\\s+$'"
-
-
-def parse_date(c: str, fam: str, assume_mid_month: bool = True) -> str:
-    """Text date -> DATE: Y-m-d, Y/m/d, Ymd, m/d/Y, d/m/Y, then Y-m / Y/m as the 15th."""
-    if fam == TY.DATETIME:
-        return f"to_date({c})"
-    s = f"regexp_replace({py_str(c, fam)}, {_WS}, '')"
-    br = [
-        ("'^\\\\d{4}-\\\\d{1,2}-\\\\d{1,2}$'", f"try_to_date({s}, 'yyyy-M-d')"),
-        ("'^\\\\d{4}/\\\\d{1,2}/\\\\d{1,2}$'", f"try_to_date({s}, 'yyyy/M/d')"),
-        ("'^\\\\d{8}$'", f"try_to_date({s}, 'yyyyMMdd')"),
-        ("'^\\\\d{1,2}/\\\\d{1,2}/\\\\d{4}$'", f"coalesce(try_to_date({s}, 'M/d/yyyy'), try_to_date({s}, 'd/M/yyyy'))"),
-    ]
-    if assume_mid_month:
-        br.append(("'^\\\\d{4}[-/]\\\\d{1,2}$'", f"try_to_date(concat(replace({s}, '/', '-'), '-15'), 'yyyy-M-d')"))
-    return "coalesce(" + ", ".join(f"CASE WHEN {s} RLIKE {rx} THEN {d} END" for rx, d in br) + ")"
-
-
-def format_date(c: str, fam: str) -> str:
-    return f"date_format({parse_date(c, fam)}, 'yyyy-MM-dd')"
-
-
-def age_with_units(c: str, fam: str) -> str:
-    if fam == TY.NULL:
-        return "CAST(NULL AS BIGINT)"
-    if fam in (TY.INT, TY.FLOAT, TY.BOOL):
-        y = f"CAST({c} AS DOUBLE)"
-        return f"(CASE WHEN {y} >= 0 AND {y} <= {MAX_AGE_YEARS} THEN CAST({y} * {DAYS_PER_YEAR} AS BIGINT) END)"
-    s = f"lower(regexp_replace(CAST({c} AS STRING), {_WS}, ''))"
-    plain = TY.text_double_sql(s)
-    rx = "'^(\\\\d+\\\\.?\\\\d*)\\\\s*(years?|months?|weeks?|days?)$'"
-    num = f"try_cast(regexp_extract({s}, {rx}, 1) AS DOUBLE)"
-    unit = f"regexp_extract({s}, {rx}, 2)"
-    factor = (f"(CASE WHEN startswith({unit}, 'year') THEN {DAYS_PER_YEAR} WHEN startswith({unit}, 'month') THEN {DAYS_PER_MONTH} "
-              f"WHEN startswith({unit}, 'week') THEN 7.0 WHEN startswith({unit}, 'day') THEN 1.0 END)")
-    days = f"(CASE WHEN {s} RLIKE {rx} AND {num} * {factor} < 9.2e18 THEN CAST({num} * {factor} AS BIGINT) END)"
-    return (f"coalesce(CASE WHEN NOT isnan({plain}) AND {plain} >= 0 AND {plain} <= {MAX_AGE_YEARS} "
-            f"THEN CAST({plain} * {DAYS_PER_YEAR} AS BIGINT) END, "
-            f"CASE WHEN {days} >= 0 AND {days} <= {MAX_AGE_DAYS} THEN {days} END)")
-
-
-def age_in_days(birth, event, fallback=None, offset=None) -> str:
-    """Arguments are (sql, family) pairs or None."""
-    fb = age_with_units(*fallback) if fallback is not None else "CAST(NULL AS BIGINT)"
-    if birth is None or event is None:
-        return fb
-    (bc, bf), (ec, ef) = birth, event
-    b, e = parse_date(bc, bf), parse_date(ec, ef)
-    diff = f"CAST(datediff({e}, {b}) AS BIGINT)"
-    if offset is not None:
-        diff = f"({diff} + coalesce({int_trunc(*offset)}, CAST(0 AS BIGINT)))"
-    present = f"NOT {is_missing(bc, bf)} AND NOT {is_missing(ec, ef)} AND {b} IS NOT NULL AND {e} IS NOT NULL"
-    return f"(CASE WHEN {present} THEN (CASE WHEN {diff} >= 0 THEN {diff} END) ELSE {fb} END)"
-
-
-def duration_in_days(start, end) -> str:
-    if start is None or end is None:
-        return "CAST(NULL AS BIGINT)"
-    d = f"CAST(datediff({parse_date(*end)}, {parse_date(*start)}) AS BIGINT)"
-    return f"(CASE WHEN {d} >= 0 THEN {d} END)"
-
-
-def age_from_parsed(birth, event, b: str, e: str, fallback: str | None, offset=None) -> str:
-    """``age_in_days`` over already parsed dates ``b``/``e`` (column references)
-    and an already computed fallback age ``fallback``."""
-    (bc, bf), (ec, ef) = birth, event
-    fb = fallback or "CAST(NULL AS BIGINT)"
-    diff = f"CAST(datediff({e}, {b}) AS BIGINT)"
-    if offset is not None:
-        diff = f"({diff} + coalesce({int_trunc(*offset)}, CAST(0 AS BIGINT)))"
-    present = f"NOT {is_missing(bc, bf)} AND NOT {is_missing(ec, ef)} AND {b} IS NOT NULL AND {e} IS NOT NULL"
-    return f"(CASE WHEN {present} THEN (CASE WHEN {diff} >= 0 THEN {diff} END) ELSE {fb} END)"

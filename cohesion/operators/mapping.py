@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions import sqltext as Q
 from ..functions import types as TY
 from ..functions.predicates import SpecError, _equals
 
@@ -53,12 +52,6 @@ class Source:
             return F.expr("`" + name.replace("`", "``") + "`"), self.fams[name]
         return None
 
-    def sql(self, name) -> tuple[str, str] | None:
-        """A source column as SQL text (for builders emitted in one ``F.expr``)."""
-        if isinstance(name, str) and name in self.fams:
-            return Q.ident(name), self.fams[name]
-        return None
-
     def has(self, name) -> bool:
         return isinstance(name, str) and name in self.fams
 
@@ -80,7 +73,7 @@ class Fold:
         self.fam: dict[str, str] = {}
         self.simple: dict[str, bool] = {}
         self.name: dict[str, str | None] = {}
-        self._helpers: dict[str, str] = {}
+        self._helpers: dict[tuple, str] = {}
         self._lists: dict[tuple, list[str]] = {}
         self._n = 0
         for t in declared:
@@ -117,15 +110,15 @@ class Fold:
         if cols:
             self.df = self.df.withColumns(cols)
 
-    def helper(self, sql: str) -> str:
+    def helper(self, key: tuple, make) -> Column:
         """A derived source value (e.g. a parsed date) as a column, computed once
-        and shared by every mapping that needs it; returns its SQL reference."""
-        name = self._helpers.get(sql)
+        and shared by every mapping that needs it."""
+        name = self._helpers.get(key)
         if name is None:
             name = f"__h{len(self._helpers)}"
-            self.df = self.df.withColumn(name, F.expr(sql))
-            self._helpers[sql] = name
-        return f"`{name}`"
+            self.df = self.df.withColumn(name, make())
+            self._helpers[key] = name
+        return F.col(name)
 
     def dictionary(self, key: Column, key_family: str, entries: dict, families: list[str]) -> list[Column]:
         """Columns with the values of ``entries`` ({key: [value, ...]}) for this row's key, null where there is none: a left join with the
@@ -433,18 +426,15 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
 
     if ttype == "age":
         p = m.get("params") or {}
-        def q(k):
-            return src.sql(p.get(k)) if p.get(k) else None
-
-        birth, event, fb, off = q("birth_date_field"), q("event_date_field"), q("age_fallback_field"), \
-            q("event_offset_field")
-        fb_ref = fold.helper(Q.age_with_units(*fb)) if fb else None
+        names = [p.get(k) for k in ("birth_date_field", "event_date_field", "age_fallback_field", "event_offset_field")]
+        birth, event, fb, off = (src.get(n) for n in names)
+        fallback = fold.helper(("age", names[2]), lambda: S.age_with_units(*fb)) if fb else F.lit(None).cast("long")
         if birth is None or event is None:
-            age_sql = fb_ref or "CAST(NULL AS BIGINT)"
+            age = fallback
         else:
-            age_sql = Q.age_from_parsed(birth, event, fold.helper(Q.parse_date(*birth)),
-                                        fold.helper(Q.parse_date(*event)), fb_ref, off)
-        return {targets: set_if_not_null(fold.prev(targets), (F.expr(age_sql), TY.INT))}
+            age = S.age_from_dates(birth, event, fold.helper(("date", names[0]), lambda: S.parse_date(*birth)),
+                                   fold.helper(("date", names[1]), lambda: S.parse_date(*event)), fallback, off)
+        return {targets: set_if_not_null(fold.prev(targets), (age, TY.INT))}
 
     if ttype == "note":
         fields = m.get("source_field", [])
@@ -467,15 +457,13 @@ def compile_mapping(fold: Fold, m: dict, src: Source) -> dict[str, Typed]:
         s = get_src(source_field) if source_field else None
         if s is None:
             return {}
-        qs = src.sql(source_field) if source_field != "__default__" else None
-        formatted = F.expr(Q.format_date(*qs)) if qs else S.format_date(*s)
-        return {targets: set_if(fold.prev(targets), (formatted, TY.STRING), ~TY.is_missing(*s))}
+        return {targets: set_if(fold.prev(targets), (S.format_date(*s), TY.STRING), ~TY.is_missing(*s))}
 
     if ttype == "duration":
         p = m.get("params") or {}
         if not p.get("start_date_field") or not p.get("end_date_field"):
             return {}
-        d = F.expr(Q.duration_in_days(src.sql(p.get("start_date_field")), src.sql(p.get("end_date_field"))))
+        d = S.duration_in_days(src.get(p.get("start_date_field")), src.get(p.get("end_date_field")))
         return {targets: set_if_not_null(fold.prev(targets), (d, TY.INT))}
 
     if ttype == "integer":

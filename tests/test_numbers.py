@@ -31,7 +31,6 @@ def test_text_numbers_follow_float(spark):
 def test_age_texts(spark, text, days):
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(S.age_with_units(F.col("t"), TY.STRING)).first()[0] == days
-    assert df.selectExpr(Q.age_with_units("t", TY.STRING)).first()[0] == days
 
 
 def test_small_doubles_print_like_python(spark):
