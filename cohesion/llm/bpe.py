@@ -21,7 +21,7 @@ from itertools import chain
 import regex
 from pyspark.sql import DataFrame
 
-from .common import arrow_map, text_or_empty
+from .common import Remembered, arrow_map, text_or_empty
 
 # The pre-token pattern of the vocabulary's byte-level pre-tokenizer.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -30,8 +30,6 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Runs of non-space with at most one space before them; white space as PRE_TOKEN cuts it.
 #: Every pre-token lies in one chunk, so chunks can be encoded one by one and remembered.
 CHUNK = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Chunks remembered in each task, and the longest of them; beyond, a chunk is encoded anew.
-CACHE_SIZE, CACHE_CHARS = 400_000, 48
 
 
 def byte_alphabet() -> list[str]:
@@ -62,7 +60,7 @@ class ByteBPE:
             self.strings[i] = s.encode()
         self.numerals = [str(i) for i in range(size)]
         self.find_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        self.chunks = _Remembered(self._encode_chunk)
+        self.chunks = Remembered(self._encode_chunk)
         self._chunk, self._pre = re.compile(CHUNK), regex.compile(PRE_TOKEN)
 
     def _encode_chunk(self, chunk: str) -> tuple[int, ...]:
@@ -103,23 +101,16 @@ class ByteBPE:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-class _Remembered(dict):
-    """chunk -> f(chunk), remembering a bounded number of short chunks."""
-
-    def __init__(self, f):
-        super().__init__()
-        self.f = f
-
-    def __missing__(self, chunk: str):
-        out = self.f(chunk)
-        if len(self) < CACHE_SIZE and len(chunk) <= CACHE_CHARS:
-            self[chunk] = out
-        return out
+@lru_cache(maxsize=2)
+def _load(path: str) -> ByteBPE:
+    return ByteBPE(path)
 
 
-@lru_cache(maxsize=2)
 def load_bpe(path: str) -> ByteBPE:
-    return ByteBPE(path)
+    """The vocabulary, with nothing remembered yet: it stays in a worker, what a task remembers does not."""
+    bpe = _load(path)
+    bpe.chunks = Remembered(bpe._encode_chunk)
+    return bpe
 
 
 def encode_documents(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,6 +45,31 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+class Remembered(dict):
+    """key -> f(key), remembering results up to a number of bytes; beyond, f is called anew."""
+
+    def __init__(self, f: Callable, most_bytes: int = 32 << 20):
+        super().__init__()
+        self.f, self.room = f, most_bytes
+
+    def __missing__(self, key):
+        out = self.f(key)
+        size = 120 + sys.getsizeof(key) + sys.getsizeof(out)  # with its place in the table
+        if size <= min(self.room, 4096):
+            self[key] = out
+            self.room -= size
+        return out
+
+
+def give_back() -> None:
+    """Free what a task has held, so that a worker that waits for its next task doesn't keep it."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """``mapInArrow`` over column lists. ``make`` runs once in each task and returns a function
     from {column: list} to {column: list}; output columns follow ``schema``."""
@@ -57,6 +85,8 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], di
             out = f({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[x.name], x.type) for x in arrow], schema=arrow)
+        del f
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, text_or_empty
+from .common import Remembered, arrow_map, cut, text_or_empty
 from .near import bucket_edges, chunked, components, join_per_key, key_filter, may_hold, verify
 
 WORDS, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.995, 6
@@ -46,14 +46,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class WordHash(dict):
+class WordHash(Remembered):
     """word -> 64-bit hash, remembering a bounded number."""
 
-    def __missing__(self, word: str) -> int:
-        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
-        if len(self) < 1_000_000:
-            self[word] = h
-        return h
+    def __init__(self):
+        super().__init__(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")))
 
 
 def ngrams(text: str, hashes: WordHash, words: int = WORDS) -> np.ndarray:

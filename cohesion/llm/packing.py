@@ -17,12 +17,12 @@ from __future__ import annotations
 import zlib
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import _Remembered
-from .common import arrow_map, cut, text_or_empty
+from .common import Remembered, arrow_map, cut, text_or_empty
 
 WINDOW = 4096
 #: Pieces packed together in one task. More pieces leave less padding; a group's last windows stay open.
@@ -74,15 +74,20 @@ class BestFit:
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str):
-    """space-separated chunk -> its ids as little-endian bytes. The vocabulary's pre-tokenizer drops
-    white space and never joins across it, so a text's ids are those of its chunks in order."""
+def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    return _Remembered(lambda s: b"".join(i.to_bytes(4, "little") for i in tok.encode(s, add_special_tokens=False).ids) if s else b"")
+    return tok
+
+
+def word_ids(path: str) -> Remembered:
+    """space-separated chunk -> its ids as little-endian bytes. The vocabulary's pre-tokenizer drops
+    white space and never joins across it, so a text's ids are those of its chunks in order."""
+    tok = _tokenizer(path)
+    return Remembered(lambda s: np.array(tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes() if s else b"")
 
 
 def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) -> DataFrame:

@@ -25,6 +25,8 @@ from .common import cut, shared_path, text_or_empty
 from .near import HOT, join_per_key
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Memory of all state stores of an executor together; what is beyond is on its disk.
+STATE_MB = 128
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -33,7 +35,8 @@ def normalised(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("id"),
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
-        F.translate(text_or_empty(), UPPER, LOWER).alias("norm"),
+        # lower() of a text of ASCII alone is the same and much faster
+        F.when(F.octet_length(text_or_empty()) == F.length(text_or_empty()), F.lower(text_or_empty())).otherwise(F.translate(text_or_empty(), UPPER, LOWER)).alias("norm"),
     ).withColumn("digest", F.sha2(F.col("norm").cast("binary"), 256))
 
 
@@ -44,6 +47,7 @@ def stream_state(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": str(STATE_MB),
         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each of many small stores reserves MBs
     }
     before = {k: spark.conf.get(k, None) for k in settings}
