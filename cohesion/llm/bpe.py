@@ -110,6 +110,7 @@ def load_bpe(path: str) -> ByteBPE:
     """The vocabulary, with nothing remembered yet: it stays in a worker, what a task remembers does not."""
     bpe = _load(path)
     bpe.chunks = Remembered(bpe._encode_chunk)
+    bpe.chunks.update((s, (i,)) for s, i in bpe.special.items())  # as a piece of its own; no other chunk is such a string
     return bpe
 
 

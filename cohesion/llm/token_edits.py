@@ -5,7 +5,8 @@ and tokens below it. An edit descends by character offset to the leaves it
 touches, widens them on both sides until an unchanged non-space character lies
 between the edit and the border, encodes only that stretch again and updates
 the sums above it. Chunk borders are decided by the characters next to them,
-so beyond such a character the cut is the same as before.
+so beyond such a character the cut is the same as before. Special strings of the vocabulary are leaves of one token, as in encoding. As an
+edit can make or break one, the character must lie further from the edit than such a string is long.
 
 Offsets count code points of the text as it stands after the edits before it;
 offsets past the end are clipped, null replacements delete. Null texts count as
@@ -29,6 +30,7 @@ class CountTree:
 
     def __init__(self, bpe: ByteBPE, text: str):
         self.bpe, self.reencoded = bpe, 0
+        self.reach = max(map(len, bpe.special), default=1) - 1
         self.leaf = self.cut(text)
         n = max(1, len(self.leaf))
         self.size = 1 << (n - 1).bit_length()
@@ -37,7 +39,12 @@ class CountTree:
         self.tokens = self._levels(np.fromiter((len(count[c]) for c in self.leaf), np.int64, len(self.leaf)))
 
     def cut(self, text: str) -> list[str]:
-        return self.bpe._chunk.findall(text)
+        chunks, out, at = self.bpe._chunk.findall, [], 0
+        for m in self.bpe.find_special.finditer(text):
+            out += chunks(text[at:m.start()])
+            out.append(m[0])
+            at = m.end()
+        return out + chunks(text[at:] if at else text)
 
     def _levels(self, values: np.ndarray) -> list[int]:
         level = np.zeros(self.size, np.int64)
@@ -85,12 +92,12 @@ class CountTree:
         touched = "".join(self.leaf[a:b + 1])
         left = before = touched[:start - begin]
         tail = touched[len(touched) - (stop - end):] if stop > end else ""
-        while a and not left.strip():
+        while a and not left[:max(0, len(left) - self.reach)].strip():
             a -= 1
             begin -= self.chars[self.size + a]
             left = self.leaf[a] + left
         right = ""
-        while b + 1 < len(self.leaf) and not (tail + right).strip():
+        while b + 1 < len(self.leaf) and not (tail + right)[self.reach:].strip():
             b += 1
             right += self.leaf[b]
         stretch = left[:len(left) - len(before)] + touched + right

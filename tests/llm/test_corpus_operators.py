@@ -63,6 +63,23 @@ def test_edits_keep_the_count(rows):
             assert (tree.text(), tree.chars[1], tree.tokens[1]) == (text, len(text), len(tok.encode(text, add_special_tokens=False).ids))
 
 
+def test_edits_around_special_strings_count_as_encoding_does(rows):
+    tok = Tokenizer.from_file(BYTE)
+    rng, b = random.Random(8), bpe.load_bpe(BYTE)
+    special = "<|endoftext|>"
+    alphabet = [special, special, special[:5], special[5:], special[:-1], ">", "<", "|", " ", "  ", "\n", "a", "word", "é"]
+    for _ in range(400):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25)))
+        tree = token_edits.CountTree(b, text)
+        assert tree.tokens[1] == len(tok.encode(text, add_special_tokens=False).ids) == len(b.encode(text))
+        for _ in range(6):
+            at, n, new = rng.randint(0, len(text) + 2), rng.randint(0, 9), "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 3)))
+            tree.edit(at, n, new)
+            at = min(at, len(text))
+            text = text[:at] + new + text[at + n:]
+            assert (tree.text(), tree.tokens[1]) == (text, len(tok.encode(text, add_special_tokens=False).ids))
+
+
 def test_edit_counts_over_a_table(spark, make_docs, rows):
     edits = spark.createDataFrame([(0, 1, 5, 3, "new words"), (0, 2, 0, 0, "x "), (88, 1, 0, 99, None), (None, 1, 0, 1, "n")], "doc_id long, seq int, start long, length long, replacement string")
     got = {(r.doc_id, r.n_edits): r for r in token_edits.count_tokens(token_edits.with_edits(make_docs(rows), edits), BYTE).collect()}
