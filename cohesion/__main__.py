@@ -23,7 +23,7 @@ def main(argv=None) -> int:
     src.add_argument("--input-dir", help="directory of per-entity source files")
     ap.add_argument("--output", required=True)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
-    ap.add_argument("--share", default="none", choices=["none", "persist"])
+    ap.add_argument("--share", default="none", choices=["none", "persist", "one_scan"])
     ap.add_argument("--sep", help="delimiter of --input (default: by file name, or found in the header line)")
     ap.add_argument("--multi-line", action=argparse.BooleanOptionalAction, default=None,
                     help="quoted fields of --input hold line ends (default: found in the file)")

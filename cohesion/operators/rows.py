@@ -23,10 +23,9 @@ from ..functions.predicates import compile_condition, df_resolver
 
 ORD = "__ord"
 
-#: Rows of one id that a task joins. An id with more of them, and at least 1/HOT of all rows, is
-#: dealt into parts; so the list of such ids, which is broadcast, has at most HOT entries.
+#: Rows of one id that a task joins. The rows of an id with more are dealt into parts. The list of such ids, which is broadcast, has
+#: at most one entry for so many rows: a million at 10^12 rows.
 PART_ROWS = 1_000_000
-HOT = 10_000
 
 
 def _fams(df: DataFrame) -> dict[str, str]:
@@ -51,12 +50,14 @@ class Fill:
     mode: str = "first"
 
 
-def hot_ids(df: DataFrame, pid: str) -> DataFrame:
-    """(__hid, __parts) of the ids whose rows a join deals into parts; HOT rows at most."""
-    counts = df.groupBy(_c(pid).alias("__hid")).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return (counts.filter((F.col("__n") > PART_ROWS) & (F.col("__n") * HOT >= total))
-            .select("__hid", F.ceil(F.col("__n") / PART_ROWS).cast("int").alias("__parts")))
+def sized(per_id: DataFrame) -> DataFrame:
+    """per_id, which counts an id's rows in ``__n``, with ``__parts``: into how many parts a join deals them."""
+    return per_id.withColumn("__parts", F.when(F.col("__n") > PART_ROWS, F.ceil(F.col("__n") / PART_ROWS)).otherwise(1).cast("int")).drop("__n")
+
+
+def hot_ids(per_id: DataFrame) -> DataFrame:
+    """(__hid, __parts) of the ids of ``sized`` that have more than one part."""
+    return per_id.filter("__parts > 1").select(F.col("__pid").alias("__hid"), "__parts")
 
 
 def salted(df: DataFrame, pid: str, hot: DataFrame) -> DataFrame:
@@ -75,8 +76,7 @@ def with_participant(df: DataFrame, pid: str, eligible: Column | None = None, fi
     later fill of the same field only acts where the earlier ones found nothing,
     and there the rows are unchanged, so all of them read the source's own values.
     A null id matches a null id in eligibility and in ``row`` fills; other fills leave it alone.
-    ``wanted`` reads no filled field: only such rows are joined and returned, so that the count of hot
-    ids, too, reads no others.
+    ``wanted`` reads no filled field: only such rows are joined and returned.
     """
     if eligible is None and not fills:
         return df
@@ -100,15 +100,17 @@ def with_participant(df: DataFrame, pid: str, eligible: Column | None = None, fi
                 aggs.append(fn(F.when(ok, _c(c)), F.when(ok, F.col(ORD))).alias(f"__f{i}_{j}"))
                 value = F.col(f"__f{i}_{j}")
             found.setdefault(c, []).append(value)
-    per_id = df.filter(reduce(lambda x, y: x | y, conds)).groupBy(key.alias("__pid")).agg(*aggs)
+    # the rows that will be joined are counted by the same aggregation, which so reads no others
+    taken = df if wanted is None else df.filter(wanted)
+    read = df if wanted is None else df.filter(reduce(lambda x, y: x | y, [*conds, wanted]))
+    count = F.count(F.lit(1)) if wanted is None else F.count_if(wanted)
+    per_id = read.groupBy(key.alias("__pid")).agg(count.alias("__n"), *aggs)
     if eligible is not None:
         per_id = per_id.filter("__ok")
-    taken = df if wanted is None else df.filter(wanted)
-    hot = hot_ids(taken, pid)
-    copies = (per_id.join(F.broadcast(hot), F.col("__pid").eqNullSafe(F.col("__hid")), "left")
-              .withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))))
-    joined = salted(taken, pid, hot).join(copies, key.eqNullSafe(F.col("__pid")) & (F.col("__salt") == F.col("__part")),
-                                       "left" if eligible is None else "inner")
+    per_id = sized(per_id)
+    copies = per_id.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    joined = salted(taken, pid, hot_ids(per_id)).join(copies, key.eqNullSafe(F.col("__pid")) & (F.col("__salt") == F.col("__part")),
+                                                      "left" if eligible is None else "inner")
     out = []
     for c in df.columns:
         value = _c(c)

@@ -1353,6 +1353,30 @@ def _study_shared(spark, sf):
 ORACLE["study_shared_selection"] = ORACLE["study_all_entities"]
 
 
+_SCAN_CONDS = [("repeat_kind IS NULL", [IS_BASE], None, None), ("repeat_kind = 'order'", [IS_ORDER], None, None),
+               ("repeat_kind IS NULL", [IS_BASE], "consent = 1", {"field": "consent", "op": "equals", "value": 1}),
+               ("order_status = 'F'", [{"field": "order_status", "op": "equals", "value": "F"}], "consent = 1", {"field": "consent", "op": "equals", "value": 1}),
+               ("order_status = 'F'", [{"field": "order_status", "op": "equals", "value": "F"}], "segment = 'BUILDING'", {"field": "segment", "op": "equals", "value": "BUILDING"}),
+               ("total_price > 200000", [{"field": "total_price", "op": "greater_than", "value": 200000}], "f2 = 1", {"field": "f2", "op": "equals", "value": 1}),
+               ("nation < 5", [{"field": "nation", "op": "less_than", "value": 5}], "order_status = 'P'", {"field": "order_status", "op": "equals", "value": "P"}),
+               ("f1 = 1", [{"field": "f1", "op": "equals", "value": 1}], None, None)]
+_SCAN_SPECS = {f"e{i}": spec(["submitter_participant_id", "record_instance", "segment"], [OUT_PID, OUT_INST, _copy("segment")],
+                             {"rows": [{"name": "r", "filter": rows}]} | ({"participant": {"filter": [cond]}} if cond else {}))
+               for i, (_, rows, _, cond) in enumerate(_SCAN_CONDS)}
+
+
+@q("study_one_scan", " UNION ALL ".join(
+    f"SELECT 'e{i}' AS entity, participant_id AS submitter_participant_id, instance AS record_instance, segment FROM wide WHERE {where}"
+    + (f" AND participant_id IN (SELECT participant_id FROM wide WHERE {ok})" if ok else "") for i, (where, _, ok, _) in enumerate(_SCAN_CONDS)))
+def _study_one_scan(spark, sf):
+    res = map_study(wide(spark, sf), _SCAN_SPECS, order_by=ORDER_COL, share="one_scan")
+    parts = [r.df.select(F.lit(k).alias("entity"), "*") for k, r in res.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ------------------------------------------------------------------ events: flags per user, expanded
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]

@@ -17,12 +17,13 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import types as TY
 from ..functions.predicates import SpecError, compile_condition, df_resolver
 from ..operators import clean, expand, post, quality, rows
 from ..operators.mapping import Fold, Source, compile_mapping
-from ..session import telling_case
+from ..session import shared_folder, telling_case
 from ..spec import EntitySpec, load_spec
 
 ORD = rows.ORD
@@ -194,6 +195,55 @@ def preprocess(df: DataFrame, spec: EntitySpec, warnings: list[str]) -> DataFram
     return clean.apply_steps(df, spec.preprocessing, warnings, ORD)
 
 
+def _is_plain(spec: EntitySpec, df: DataFrame) -> bool:
+    """Whether a selection asks for nothing but eligible participants and whole rows."""
+    f = spec.filters
+    selectors = f.get("rows") or []
+    return (not f.get("enrich") and bool(selectors) and spec.pid in df.columns
+            and all(isinstance(s, dict) and s.get("filter") and s.get("select", "all") == "all" for s in selectors))
+
+
+def select_once(source: DataFrame, specs: list[EntitySpec], order_by=None) -> dict[str, DataFrame]:
+    """The selected rows of many entities from one scan of their source: {selection: rows}, for the selections that ask for nothing but
+    eligible participants and whole rows. All eligibility conditions are flags of one aggregation by participant and one join, whole
+    rows are deduplicated once, and each row is written once for every selection that it belongs to, in a table of the shared folder
+    with a folder for each. What an entity does then reads its own folder."""
+    df = _with_order(source, order_by, [], False)
+    first: dict[str, EntitySpec] = {}
+    for spec in specs:
+        if _is_plain(spec, df):
+            first.setdefault(_selection_key(spec), spec)
+    by_pid: dict[str, list] = {}
+    for key, spec in first.items():
+        by_pid.setdefault(spec.pid, []).append((key, spec))
+    out = {}
+    for pid, group in by_pid.items():
+        if len(group) < 2:
+            continue  # nothing to share
+        flags, fills, picks = {}, [], []
+        for i, (_, spec) in enumerate(group):
+            pick = reduce(lambda a, b: a | b, [rows.condition(df, s["filter"], []) for s in spec.filters["rows"]])
+            if cond := _participant_filter(spec.filters):
+                ok = rows.condition(df, cond, [])
+                flags[f"__ok{i}"] = F.when(ok, F.lit(True))
+                fills.append(rows.Fill(ok, [f"__ok{i}"], "row"))
+                picks.append((pick, F.coalesce(F.col(f"__ok{i}"), F.lit(False))))
+            else:
+                picks.append((pick, F.lit(True)))
+        wanted = reduce(lambda a, b: a | b, [p for p, _ in picks])
+        told = rows.with_participant(df.withColumns(flags) if flags else df, pid, None, fills, wanted)
+        if not fills:
+            told = told.filter(wanted)
+        tags = F.array_compact(F.array(*[F.when(p & ok, F.lit(i)) for i, (p, ok) in enumerate(picks)]))
+        tagged = rows.dedup_rows(told.withColumn("__tags", tags).filter(F.size("__tags") > 0).drop(*flags))
+        path = shared_folder(df.sparkSession, "selected")
+        tagged.withColumn("__tag", F.explode("__tags")).drop("__tags").write.partitionBy("__tag").parquet(path)
+        for i, (key, _) in enumerate(group):
+            schema = T.StructType([*df.schema.fields, T.StructField("__tag", T.IntegerType())])
+            out[key] = df.sparkSession.read.schema(schema).parquet(path).where(F.col("__tag") == i).drop("__tag")
+    return out
+
+
 def map_direct(df: DataFrame, spec: EntitySpec) -> DataFrame:
     fams = {x.name: TY.family(x.dataType) for x in df.schema.fields}
     fold = Fold(df, spec.fields)
@@ -276,6 +326,8 @@ def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
       lineage if an executor is lost), so eligibility, enrichment and the
       row-selection dedup shuffle run once per group instead of once per entity.
       Call ``release(results)`` after writing.
+    * ``"one_scan"``: the source is read once. The selected rows of all entities that select whole rows of eligible participants are
+      written to the shared folder in one job (``select_once``), and each entity goes on from there; others plan their own scan.
 
     A spec that fails to compile yields an empty result; the rest go on.
     """
@@ -285,6 +337,15 @@ def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
 
     results = {}
     groups: dict[str, DataFrame] = {}
+    if share == "one_scan" and source is not None:
+        known = []
+        for key, raw in specs.items():
+            try:
+                known.append(load_spec(raw, key))
+            except SpecError:
+                pass  # told below
+        with telling_case(source.sparkSession, source.columns):
+            groups = select_once(source, _sound(source, known), order_by)
     for key, raw in specs.items():
         spark = source.sparkSession if source is not None else SparkSession.active()
         try:
@@ -297,10 +358,20 @@ def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
                 df = load_entity_sources(spark, source_dir, key, spec.source_files, int_with_nulls)
                 results[key] = map_entity(df, spec, order_by=order_by, name=key)
                 continue
+            gkey = _selection_key(spec)
+            if share == "one_scan" and gkey in groups:
+                warnings = []
+                with telling_case(spark, source.columns):
+                    df = groups[gkey]
+                    if spec.filters.get("field_filters"):
+                        df = df.filter(rows.condition(df, spec.filters["field_filters"], warnings))
+                    df = clean.apply_steps(df, spec.preprocessing, warnings, ORD)
+                results[key] = map_entity(source, spec, order_by=order_by, name=key, selected=df)
+                results[key].warnings.extend(warnings)
+                continue
             if share != "persist":
                 results[key] = map_entity(source, spec, order_by=order_by, name=key)
                 continue
-            gkey = _selection_key(spec)
             if gkey not in groups:
                 warnings: list[str] = []
                 with telling_case(spark, source.columns):
@@ -313,6 +384,20 @@ def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
     return results
 
 
+def _sound(source: DataFrame, specs: list[EntitySpec]) -> list[EntitySpec]:
+    """The specs whose conditions can be compiled over the source; the others fail by themselves."""
+    out = []
+    for spec in specs:
+        try:
+            for cond in [_participant_filter(spec.filters), *[s.get("filter") for s in spec.filters.get("rows") or [] if isinstance(s, dict)]]:
+                if cond:
+                    rows.condition(source, cond, [])
+            out.append(spec)
+        except SpecError:
+            pass
+    return out
+
+
 def release(results: dict) -> None:
     """Unpersist the shared selections once the results are written."""
     done = set()

@@ -61,10 +61,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder's path under the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohesion-{kind}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, kind: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: a lost executor costs a re-read, two readers share one run."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohesion-{kind}-{uuid.uuid4().hex}"
+    path = shared_folder(spark, kind)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

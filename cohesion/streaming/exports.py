@@ -2,52 +2,44 @@
 
 The spec language is batch-shaped: eligibility, enrichment and first/last
 look at all rows of a participant. An export file is one complete snapshot of
-a study, so the stream reads one new file per micro-batch
+a study, so the stream takes one new file per micro-batch
 (``maxFilesPerTrigger=1``) and ``foreachBatch`` runs the normal batch study
-job on it, writing ``<out_dir>/batch=<id>/<entity>.<fmt>``. The file source's
-checkpoint records which files are done, so a restarted or failed run picks
-up where it stopped and no export is mapped twice into a committed batch.
+job on that file, writing ``<out_dir>/batch=<id>/<entity>.<fmt>``. The stream itself only tells which file
+is next; the job reads it as any other source, with its delimiter, encoding, quoted line ends and row order. The file
+source's checkpoint records which files are done, so a restarted or failed run picks
+up where it stopped, and an export that is mapped again takes the place of its own batch.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from ..functions import sqltext as Q
 from ..plans.engine import map_study
-from ..sources import readers as RD
-from ..sources.sinks import write_study
-
-
-def _text_schema(spark: SparkSession, source_dir: str, sep: str) -> T.StructType:
-    """Column names from the header of an export already present (all text)."""
-    sample = spark.read.option("header", True).option("sep", sep).csv(source_dir)
-    return T.StructType([T.StructField(c, T.StringType()) for c in sample.columns])
+from ..sources.readers import read_file
+from ..sources.sinks import write_metrics, write_study
 
 
 def map_exports_stream(spark: SparkSession, source_dir: str, specs: dict, out_dir: str,
-                       checkpoint_dir: str | None = None, fmt: str = "csv", sep: str = ",",
-                       int_with_nulls: str = "double", available_now: bool = True):
+                       checkpoint_dir: str, fmt: str = "csv", sep: str | None = None,
+                       int_with_nulls: str = "double", available_now: bool = True, bad_rows: str | None = None):
     """Start the stream; returns the ``StreamingQuery`` (already finished when
-    ``available_now`` is set, which processes what is there and stops)."""
-    from ..session import ensure_checkpoint_dir
-
-    ckpt = checkpoint_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohesion-exports-stream"
-    schema = _text_schema(spark, source_dir, sep)
-    stream = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
-              .option("maxFilesPerTrigger", 1).csv(source_dir))
+    ``available_now`` is set, which processes what is there and stops). ``checkpoint_dir`` belongs to this stream alone:
+    two streams with one folder would take over each other's progress."""
+    if not checkpoint_dir:
+        raise ValueError("map_exports_stream needs a checkpoint_dir of its own")
+    # lines are not read here: the file's name is all that a batch needs, and it's in the metadata
+    files = "path string, modificationTime timestamp, length long, content binary"
+    stream = spark.readStream.format("binaryFile").schema(files).option("maxFilesPerTrigger", 1).load(source_dir).select("path")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        cols = list(batch.columns)
-        tokens = ", ".join(Q.lit(t) for t in RD.NULL_TOKENS)
-        text = batch.selectExpr(*[f"CASE WHEN {Q.ident(c)} NOT IN ({tokens}) THEN {Q.ident(c)} END AS {Q.ident(c)}"
-                                  for c in cols])
-        typed = RD.infer_types(RD.with_order(text, 0), int_with_nulls)
-        results = map_study(typed, specs)
-        write_study(results, f"{out_dir.rstrip('/')}/batch={batch_id}", fmt)
-
-    w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", ckpt)
+        into = f"{out_dir.rstrip('/')}/batch={batch_id}"
+        for n, row in enumerate(batch.select("path").sort("path").collect()):  # one file
+            source = read_file(spark, row["path"], n, int_with_nulls, sep=sep, bad_rows=bad_rows)
+            results = map_study(source, specs)
+            write_metrics(results, write_study(results, into, fmt), into, fmt, row["path"])
+
+    w = stream.where(F.col("path").isNotNull()).writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
     if available_now:

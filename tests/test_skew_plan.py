@@ -68,7 +68,7 @@ def test_joins_and_shuffles_do_not_grow_with_the_steps(spark):
 def test_hot_id_is_dealt_into_parts(spark, monkeypatch):
     monkeypatch.setattr(rows, "PART_ROWS", 500)
     df = _data(spark).withColumn(rows.ORD, F.col("ord"))
-    hot = rows.hot_ids(df, "pid")
+    hot = rows.hot_ids(rows.sized(df.groupBy(F.col("pid").alias("__pid")).agg(F.count("*").alias("__n"))))
     n = df.where("pid = 0").count()
     assert n > 10000 - 200
     assert [tuple(r) for r in hot.collect()] == [(0, -(-n // 500))]

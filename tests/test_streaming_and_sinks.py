@@ -22,6 +22,25 @@ def test_export_stream_maps_each_file(spark, tmp_path):
     assert read_file(spark, str(out / "batch=0" / "condition.csv")).count() == 5
 
 
+def test_export_stream_reads_files_as_any_source_and_goes_on_after_a_restart(spark, tmp_path):
+    import pytest
+
+    src = tmp_path / "incoming"
+    src.mkdir()
+    spec = {"note": {"entity": {"name": "Note", "fields": {"base": ["id", "text"]}}, "mappings": [{"source_field": c, "target_field": c} for c in ("id", "text")]}}
+    run = lambda: map_exports_stream(spark, str(src), spec, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    (src / "a.csv").write_bytes('id,text\n1,"two\nlines"\n2,é\n'.encode("latin-1"))
+    run()
+    (src / "b.tsv").write_text("id\ttext\n3\ta,b\n")
+    run()
+    run()  # nothing new
+    rows = lambda i: sorted(tuple(r) for r in read_file(spark, str(tmp_path / "out" / f"batch={i}" / "note.csv")).select("id", "text").collect())
+    assert rows(0) == [(1, "two\nlines"), (2, "é")] and rows(1) == [(3, "a,b")]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["batch=0", "batch=1"]
+    with pytest.raises(ValueError, match="checkpoint_dir"):
+        map_exports_stream(spark, str(src), spec, str(tmp_path / "o2"), "")
+
+
 def test_auto_numeric_any_value_of_the_whole_column(spark):
     rows = [(i, "1,000.5" if i == 150 else "abc", "x" if i == 50 else "7", "n/a", None) for i in range(200)]
     df = spark.createDataFrame(rows, "o long, a string, b string, c string, d string")
