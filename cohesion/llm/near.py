@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import bound_batches, cut, give_back
 
 #: Keys with at least 1/HOT of the rows are joined by broadcast: there are at most HOT of them.
 HOT = 1000
 #: Set elements in one chunk of a component.
-CHUNK = 1_000_000
+CHUNK = 300_000
 #: Cells of a dense incidence matrix in verification.
-DENSE = 12_000_000
+DENSE = 4_000_000
 #: Where in a 64-bit hash the bit positions of the Bloom filter begin.
 SHIFTS = (0, 13, 26, 39)
 
@@ -64,6 +64,7 @@ def bucket_edges(rows: DataFrame) -> DataFrame:
             # pairs travel by a key of their own, so they don't meet again in the hot bucket
             yield batch(np.concatenate([bucket, pairs[:, 0]]), np.concatenate([first, pairs[:, 0]]),
                         np.concatenate([np.zeros(k, np.int64), pairs[:, 1]]), np.arange(k + m) >= k)
+        give_back()
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, lead = None, None
@@ -164,7 +165,10 @@ def verify(sets: DataFrame, threshold: float) -> DataFrame:
                 sets.append(values[offsets[k]:offsets[k + 1]].copy())
         if len(ids) > 1:
             yield close()
+        ids, side, sets = [], [], []
+        give_back()
 
+    bound_batches(sets.sparkSession)
     return (dealt.select("block", "i", "j", "id", "c", "items").repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "id")
             .mapInArrow(run, "id long, links long, root long"))
 
