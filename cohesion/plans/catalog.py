@@ -433,6 +433,20 @@ _enrich_query("enrich_first", "first", "arg_min")
 _enrich_query("enrich_last", "last", "arg_max")
 
 
+@q("enrich_all_rows", """WITH f AS (SELECT participant_id, arg_min(segment, row_ord) FILTER (WHERE segment IS NOT NULL) AS seg, arg_min(nation, row_ord) FILTER (WHERE nation IS NOT NULL) AS nat,
+    arg_max(event_date, row_ord) FILTER (WHERE event_date IS NOT NULL AND order_status = 'F') AS ev FROM wide WHERE participant_id IS NOT NULL GROUP BY 1)
+SELECT w.participant_id AS submitter_participant_id, w.instance AS record_instance, coalesce(w.segment, f.seg) AS segment, coalesce(w.nation, f.nat) AS nation, coalesce(w.event_date, f.ev) AS event_date
+FROM wide w LEFT JOIN f ON w.participant_id = f.participant_id""")
+def _enrich_all(spark, sf):
+    return run(spark, sf, spec(["submitter_participant_id", "record_instance", "segment", "nation", "event_date"], [OUT_PID, OUT_INST, _pick("segment"), _pick("nation"), _pick("event_date")],
+                               {"enrich": [{"name": "base", "source": [IS_BASE], "fields": ["segment", "nation"], "select": "first"},
+                                           {"name": "last_done", "source": [{"field": "order_status", "op": "equals", "value": "F"}], "fields": ["event_date"], "select": "last"}], **ALL_ROWS}))
+
+
+def _pick(field: str) -> dict:
+    return {"source_field": field, "target_field": field}
+
+
 @q("enrich_baseline_fields", f"""WITH b AS (SELECT participant_id, arg_min(dob, row_ord) AS dob, arg_min(segment, row_ord) AS segment
   FROM wide WHERE repeat_kind IS NULL GROUP BY 1),
 x AS (SELECT w.participant_id, w.instance, coalesce(w.dob, b.dob) AS dob, coalesce(w.segment, b.segment) AS segment,
