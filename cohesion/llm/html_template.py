@@ -2,11 +2,11 @@
 
 Every element subtree of a page is hashed (tag, class, id and text below it, white
 space aside). Counting the hashes per host in Spark shows which subtrees recur on
-many pages of that host: those are its template and are deleted, inside the article
-(``article`` or ``main``) and outside. What remains of the page is cut into blocks of
-text. On a host with too few pages to count, only the article is; without one, the body.
+many pages of that host: those are its template and are deleted. What remains of the article (``article`` or ``main``; without
+one, of the body) is cut into blocks of text. That is the rule for a host of any size: counts only delete.
 
-Paragraphs, lists and other text blocks of the article, or of a page without one, are
+Inside an article an unmarked element is template if it is on most pages of its host: a sentence that some articles share is text of
+theirs. Paragraphs, lists and other text blocks of the article, or of a page without one, are
 template only if they recur in the same place; elsewhere a shared passage is text of
 its pages. Headings go only with what follows them.
 
@@ -15,11 +15,13 @@ every page, also on a host with too few pages to count, and so do those with a m
 a word of their class, id or role that menus, footers, sidebars, notices, adverts and
 comments have. A mark never drops html, body, article, main or what holds an article
 or main. Inside the article, and on text blocks and wrappers of a page without one, it
-only makes an element a candidate that the counts decide on.
+only makes an element a candidate that the counts decide on. Reader comments differ from page to page, so no count shows them: an
+area after the article's text goes if its class or id says so, or if it has parts of one shape, each with an author or a date, under
+a heading that names comments.
 
 Null html counts as empty and gives the empty text; a null or malformed url
 counts as one host without a name. Pages of a host with equal html are one page,
-whatever their urls, and share one result. Unclosed and stray tags are closed as browsers do for the usual cases.
+whatever their urls, and share one result. An empty table gives no rows; extra columns are ignored. Unclosed and stray tags are closed as browsers do for the usual cases.
 """
 
 from __future__ import annotations
@@ -55,6 +57,11 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense s
                   "disqus respond reply replies contentinfo complementary masthead toolbar skip hidden".split())
 #: An id is a mark if all its words are marks or one of these; ids are also anchors of real text ("related-work").
 PLACES = frozenset("left right top bottom main site page primary secondary global wrap wrapper container box block area bar inner outer col column".split())
+#: Words of a class or id that mark reader comments; what holds them; parts that tell of who wrote one and when; how their heading begins.
+COMMENTS = frozenset("comment comments commentlist comlist disqus respond replies responses discussion".split())
+AREAS = frozenset("section div ol ul dl aside details".split())
+SIGNED = frozenset("author user username commenter byline avatar nickname date time timestamp datetime published posted".split())
+COMMENT_HEADING = re.compile(r"\s*(?:\d+\s+|no\s+|leave\s+a\s+)?(?:reader\s+|user\s+)?(?:comments?|responses?|replies|reply|discussion)\b", re.I)
 CONTENT = ("article", "main")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Never template by themselves: roots, parts of a list or table, and what has no text.
@@ -171,9 +178,58 @@ def settle(root: Node) -> Node:
             n.dropped = not (n.holds or most and not n.inside)  # some sites wrap the whole page in a form
         elif n.marked and not n.dropped:
             n.dropped = not (n.holds or n.inside or n.tag in TEXT_BLOCKS and n.tag not in ("ul", "ol") or most and not root.holds)
+    for n in comment_areas(root):
+        n.dropped = True
     return root
 
 
+def below(node: Node) -> list:
+    """The elements and strings below an element, in page order, without what is dropped."""
+    out, todo = [], list(reversed(node.children))
+    while todo:
+        n = todo.pop()
+        out.append(n)
+        if isinstance(n, Node) and not n.dropped:
+            todo += reversed(n.children)
+    return out
+
+
+def is_comments(node: Node) -> bool:
+    """Whether an element in an article is an area of reader comments, by its mark or its shape."""
+    if node.tag not in AREAS:
+        return False
+    if not COMMENTS.isdisjoint(node.words):
+        return True
+    parts = [c for c in node.children if isinstance(c, Node) and not c.dropped]
+    heading = next((c for c in parts if c.tag in HEADINGS), None)
+    if heading is None or not COMMENT_HEADING.match("".join(x for x in below(heading) if isinstance(x, str))):
+        return False
+    rest = [p for c in parts if c is not heading for p in ([x for x in c.children if isinstance(x, Node)] if c.tag in ("ol", "ul") else [c])]
+    signed = [(c.tag, c.words) for c in rest if any(isinstance(x, Node) and (x.tag == "time" or not SIGNED.isdisjoint(x.words)) for x in [c, *below(c)])]
+    return bool(signed) and len(set(signed)) == 1
+
+
+def comment_areas(root: Node) -> list[Node]:
+    """The areas of comments of the articles: after text, with no more text after them than before."""
+    out = []
+    if not root.holds:
+        return out
+    for top in content(root):
+        before, todo = 0, list(reversed(top.children))
+        while todo:
+            n = todo.pop()
+            if isinstance(n, str):
+                before += sum(map(len, n.split()))
+            elif n.dropped:
+                continue
+            elif before and top.size - before - n.size <= before and is_comments(n):
+                out.append(n)
+                before += n.size
+            else:
+                todo += reversed(n.children)
+    return out
+
+
 def content(root: Node) -> list[Node]:
     """The article or main elements, outermost only; else the whole tree. Comments hold articles of their own in
     some templates, so furniture is not searched."""
@@ -224,8 +280,8 @@ def candidates(root: Node, host: str) -> dict[int, int]:
 
 
 def recurring(root: Node, hashes: dict[int, int], counts: dict[int, int], need: int, inside: int) -> list[tuple[Node, int]]:
-    """The outermost elements on ``need`` pages or more, in the content on ``inside`` or more, with how many. A heading
-    goes only with the element that follows it."""
+    """The outermost elements on ``need`` pages or more, in an article or on a page without one on ``inside`` or more, with how
+    many. A heading goes only with the element that follows it."""
     out, todo = [], [root]
     while todo:
         n = todo.pop()
@@ -250,7 +306,8 @@ def deleted(root: Node, hashes: dict[int, int], counts: dict[int, int], pages: i
     """id() of the template elements of a page of a host with so many pages. If what recurs is most of the content,
     the page is a near copy of others; then only what recurs on ``need`` pages besides the copies is template. A page
     without an article may be mostly menus, so there it is a copy only if less than half of the host is like it."""
-    found = recurring(root, hashes, counts, need, need)
+    most = max(need, pages // 2 + 1) if root.holds else need
+    found = recurring(root, hashes, counts, need, most)
     parts = sorted((n, c.size) for c, n in found if (c.inside or not root.holds) and not hashes[id(c)] & 1)
     shared, marked = sum(size for _, size in parts), sum(c.size for c, _ in found if hashes[id(c)] & 1)
     if shared > MOST * (sum(n.size for n in content(root)) - marked):
@@ -260,12 +317,12 @@ def deleted(root: Node, hashes: dict[int, int], counts: dict[int, int], pages: i
             if 2 * before >= shared:
                 break
         if root.holds or 2 * copies < pages:
-            found = recurring(root, hashes, counts, need, copies + need)
+            found = recurring(root, hashes, counts, need, max(most, copies + need))
     return {id(c) for c, _ in found}
 
 
-def blocks(root: Node, gone: set[int] | frozenset = frozenset(), whole: bool = False) -> list[str]:
-    """The text blocks in page order, without furniture and the elements in ``gone``; of the content, or of the whole page."""
+def blocks(root: Node, gone: set[int] | frozenset = frozenset()) -> list[str]:
+    """The text blocks of the content in page order, without furniture and the elements in ``gone``."""
     out, words = [], []
 
     def flush():
@@ -274,7 +331,7 @@ def blocks(root: Node, gone: set[int] | frozenset = frozenset(), whole: bool = F
             out.append(s)
         words.clear()
 
-    for node in [root] if whole else content(root):
+    for node in content(root):
         todo: list = [node]
         while todo:
             n = todo.pop()
@@ -363,7 +420,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                 root, gone = parse(source), frozenset()
                 if template:
                     gone = deleted(root, candidates(root, host), {x["hash"]: x["n"] for x in template}, n, need)
-                text = "\n".join(blocks(root, gone, need is not None))
+                text = "\n".join(blocks(root, gone))
                 out["text"].append(text)
                 out["n_chars"].append(len(text))
             return out

@@ -343,11 +343,64 @@ def test_host_counts_decide_in_and_outside_the_article(spark):
     for i in range(8):
         own = [f"Own {i} {k}" for k in range(4 + i % 3)]
         own.insert(i % 4, "A proverb")
-        assert got[i] == [f"T{i}", *own, f"Outside {i}"]
+        assert got[i] == [f"T{i}", *own]  # the article: text beside it is none of its own, whatever the host's size
         assert got[20 + i] == ["Summary", f"Own {i}"]
     assert got[40][-1] == "Subscribe to our letter"  # one page of its host: the article as it stands
 
 
+def test_one_rule_for_hosts_of_any_size(spark):
+    """The same pages on hosts of 4 and of 60: equal texts. A sentence that a third of the articles share stays, comments go."""
+    def page(i):
+        shared = "<p>The common sentence</p>" if i % 3 == 0 else ""
+        own = "".join(f"<p>Own {i} {k} of the article</p>" for k in range(3 + i % 4))
+        inside = f'<section class="comments"><p>user{i}: I agree {i}</p></section>'
+        listed = f'<div id="x"><h3>2 comments</h3><ol><li><b class="author">By {i}</b><p>First {i}</p></li><li><b class="author">By {i + 1}</b><p>Second {i}</p></li></ol></div>'
+        return f"<body><nav>Menu</nav><article><h1>T{i}</h1>{own}{shared}{inside if i % 2 else listed}</article><div class=meta>By user {i}</div><div id=reader>Reader {i} wrote</div></body>"
+
+    rows = [(i, f"https://small.example/{i}", page(i)) for i in range(4)] + [(100 + i, f"https://large.example/{i}", page(i)) for i in range(60)]
+    got = {r.page_id: r.text.split("\n") for r in html_template.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(60):
+        want = [f"T{i}", *(f"Own {i} {k} of the article" for k in range(3 + i % 4))] + ["The common sentence"] * (i % 3 == 0)
+        assert got[100 + i] == want
+        if i < 4:
+            assert got[i] == want
+
+
+def test_comments_are_told_by_mark_or_shape():
+    get = lambda inner: "\n".join(html_template.blocks(html_template.parse(f"<body><article><p>The text of it all</p>{inner}</article></body>")))
+    for gone in ('<div class="comment-list"><div><time>1</time>Nice</div></div>', '<section id="respond"><p>Say something</p></section>', '<ul class="Comments"><li>One<li>Two</ul>',
+                 '<div><h2>3 Responses</h2><div class="c"><span class="user">A</span>x</div><div class="c"><span class="user">B</span>y</div></div>',
+                 '<section><h4>Reader comments</h4><div><time>now</time><p>Hm</p></div></section>'):
+        assert get(gone) == "The text of it all", gone
+    for kept in ('<section class="text"><h2>Comments on the law</h2><p>It is long</p></section>', '<p class="comment">A remark</p>', '<section id="related-work"><p>Earlier work</p></section>',
+                 '<div><h2>Authors</h2><div><span class="author">A</span>x</div></div>'):
+        assert get(kept) != "The text of it all", kept
+    first = '<body><article><div class="comments"><p>A comment before all text</p></div><p>Text</p></article></body>'
+    assert "Text" in html_template.blocks(html_template.parse(first))
+
+
+def test_host_counts_equal_plain_counts(spark):
+    """How many pages of a host have a subtree, against counting trees as strings."""
+    rng = random.Random(12)
+    part = lambda: rng.choice(["<div>Strip</div>", "<div class=x><b>Two</b> words</div>", "<section><div>In</div></section>", "<div>Rare</div>"])
+    rows = [(i, f"https://{rng.choice('ab')}.example/{i}", f"<body>{''.join(part() for _ in range(rng.randint(0, 4)))}<article><p>Own {i}</p></article></body>") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen = {(r.host, h) for r in html_template.page_subtrees(pages.selectExpr("cast(page_id as string) key", "parse_url(url, 'HOST') host", "html").selectExpr("cast(key as binary) key", "host", "html")).collect() for h in r.hash}
+    got = collections.Counter()
+    for _, url, source in rows:
+        host = html_template.host_of(url)
+        root = html_template.parse(source)
+        for h in set(html_template.candidates(root, host).values()):
+            assert (host, h) in seen
+            got[h] += 1
+    want = collections.Counter()
+    for _, url, source in rows:
+        body = source[6:source.index("<article>")]
+        for piece in {p for p in ("<div>Strip</div>", "<div class=x><b>Two</b> words</div>", "<section><div>In</div></section>", "<div>In</div>", "<div>Rare</div>") if p in body}:
+            want[html_template.host_of(url), piece] += 1
+    assert sorted(n for n in got.values() if n > 1) == sorted(n for n in want.values() if n > 1)
+
+
 def test_recurrence_spares_copies_and_inline_text(spark):
     """Inline elements never go, a page under many urls is one page, copies keep their text, and large hosts find rare menus."""
     rows = [(i, f"https://a.example/{i}", f"<body><p>It is <b>not</b> number {i}, see <a>here</a></p></body>") for i in range(6)]
