@@ -116,6 +116,11 @@ for _name in NOTICES:
 COVERAGE = 0.8
 #: Notices of so few words that have no identity must be whole: any word may be the name.
 SHORT = 12
+#: Foreign words that a copy may hold in one place: so many, but no more than GAP_SIZES times the notice's own. Beyond, its two sides
+#: are read as texts of their own, as in a long text the words of any notice stand somewhere in order. ``gap=None`` sets no limit.
+GAP, GAP_SIZES = 150, 2
+#: Words at an end of a copy are strays if the gap before them is so many times as long as they are many.
+STRAY = 10
 WORD = re.compile(r"\w+(?:\.\d+)*")
 VERSION = re.compile(r"v?(\d+(?:\.\d+)*?)(?:\.0)*")
 
@@ -189,12 +194,13 @@ FILLERS = frozenset(("version", "v"))
 
 
 class Template:
-    def __init__(self, name: str, notice: str, identity: tuple[str, ...] = ()):
+    def __init__(self, name: str, notice: str, identity: tuple[str, ...] = (), gap: int | None = GAP):
         self.name, self.words = name, [plain(w) for w in words_of(notice)]
         self.identity = [[w for w in map(plain, words_of(x)) if w not in FILLERS] for x in identity]
         self.must = frozenset(w for x in self.identity for w in x)
         self.counts, self.size = Counter(self.words), len(self.words)
         self.vocabulary = frozenset(self.counts)
+        self.gap = math.inf if gap is None else max(3, self.size // 2, min(gap, GAP_SIZES * self.size))
         self.need = math.ceil(COVERAGE * self.size - 1e-9) if identity or self.size > SHORT else max(1, self.size)
 
     def possible(self, words: Iterable[str]) -> bool:
@@ -203,12 +209,12 @@ class Template:
         return sum(min(n, here[w]) for w, n in self.counts.items()) >= self.need
 
     def stretches(self, found: list[tuple[int, str]]) -> list[list[tuple[int, str]]]:
-        """Runs of template words that could hold a copy: gaps of half the template end a run."""
+        """Runs of template words that could hold a copy: longer gaps end a run."""
         runs, run = [], []
         for p, w in found:
             if w not in self.vocabulary and w not in FILLERS:
                 continue
-            if run and p - run[-1][0] > max(3, self.size // 2):
+            if run and p - run[-1][0] > self.gap + 1:
                 runs.append(run)
                 run = []
             run.append((p, w))
@@ -226,7 +232,7 @@ class Template:
         pairs = align([w for _, w in run], self.words)
         a = top = first = 0
         for b in range(len(pairs)):
-            while run[pairs[b][0]][0] - run[pairs[a][0]][0] >= 2 * self.size:
+            while run[pairs[b][0]][0] - run[pairs[a][0]][0] >= 2 * self.size + self.gap:
                 a += 1
             if b + 1 - a > top:
                 first, top = a, b + 1 - a
@@ -242,8 +248,8 @@ class Template:
         return out
 
     def hits(self, run: list[tuple[int, str]]) -> list[tuple[float, int, int]]:
-        """The copies in a run, left to right: it is read in windows of three templates, as a copy spans two at most."""
-        out, at, wide = [], 0, 3 * self.size
+        """The copies in a run, left to right: it is read in windows, as a copy spans two templates and a gap at most."""
+        out, at, wide = [], 0, len(run) if self.gap == math.inf else int(3 * self.size + self.gap)
         while len(run) - at >= self.need:
             window = run[at:at + wide]
             hit = self.copy(window) if self.possible(w for _, w in window) else None
@@ -259,6 +265,19 @@ class Template:
                 at += self.size
         return sorted(out, key=lambda h: h[1])
 
+    def trimmed(self, run: list[tuple[int, str]], pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The pairs without few words at an end that stand far from the rest: STRAY times as far as they are many."""
+        far = [k for k in range(1, len(pairs)) if run[pairs[k][0]][0] - run[pairs[k - 1][0]][0] > max(3, self.size // 2)]
+        lost = lambda k, n: run[pairs[k][0]][0] - run[pairs[k - 1][0]][0] > STRAY * n
+        a, b = 0, len(pairs)
+        for k in far:
+            if lost(k, k - a) and b - k >= self.need:
+                a = k
+        for k in reversed(far):
+            if k > a and lost(k, b - k) and k - a >= self.need:
+                b = k
+        return pairs[a:b]
+
     def copy(self, run: list[tuple[int, str]]) -> tuple[float, int, int, int, int] | None:
         """(coverage, first word, last word, first and last index) of a copy in a run."""
         pairs = self.best(run)
@@ -266,11 +285,14 @@ class Template:
             return None
         # once more with what is near alone: words far off may have taken the place of the copy's own
         low, high = run[pairs[0][0]][0] - 2 * pairs[0][1], run[pairs[-1][0]][0] + 2 * (self.size - 1 - pairs[-1][1])
+        if len(pairs) < self.need:  # some of it may stand beyond a gap
+            low, high = low - self.gap, high + self.gap
         skip = sum(p < low for p, _ in run)
         again = [(i + skip, j) for i, j in self.best([x for x in run if low <= x[0] <= high])]
         pairs = max(pairs, again, key=len)
         if len(pairs) < self.need:
             return None
+        pairs = self.trimmed(run, pairs)
         first, last = pairs[0][0], pairs[-1][0]
         if not all(holds(run[first:last + 1], x) for x in self.identity):
             return None
@@ -323,12 +345,12 @@ def scan_text(text: str, templates: list[Template], vocabulary: frozenset) -> li
 OUT = "doc_id long, license string, coverage double, n_licenses int, hits array<struct<license:string,coverage:double,first_word:int,last_word:int>>"
 
 
-def scan_documents(docs: DataFrame, notices: dict[str, str] | None = None) -> DataFrame:
-    """Per document: the best license and its coverage (null, 0.0 if none), and every hit with its span of words."""
+def scan_documents(docs: DataFrame, notices: dict[str, str] | None = None, gap: int | None = GAP) -> DataFrame:
+    """Per document: the best license and its coverage (null, 0.0 if none), and every hit with its span of words. ``gap``: see GAP."""
     notices = NOTICES if notices is None else notices
 
     def make():
-        templates = [Template(n, t, IDENTITY.get(n, ()) if t == NOTICES.get(n) else ()) for n, t in sorted(notices.items())]
+        templates = [Template(n, t, IDENTITY.get(n, ()) if t == NOTICES.get(n) else (), gap) for n, t in sorted(notices.items())]
         vocabulary = frozenset(FILLERS).union(*(t.vocabulary for t in templates))
 
         def f(cols):

@@ -305,6 +305,28 @@ PAGE = """<html><head><title>t</title><style>p{{}}</style></head><body><nav><ul>
 line<p>Second<br>part<div class="newsletter">Join us</div><script>var a="</p>"</script><section class="comments"><p>Nice!</p></section></article><footer>&copy;</footer></body></html>"""
 
 
+def test_license_copies_with_foreign_blocks(spark, make_docs):
+    """All words in order with a block of others in the middle: the whole alignment counts."""
+    rng = random.Random(21)
+    rows, want = [], []
+    for name in ("MIT-text", "GPL-3.0-header", "Apache-2.0-header", "BSD-3-Clause", "ISC-text"):
+        w = licenses.NOTICES[name].split()
+        size = len(licenses.words_of(licenses.NOTICES[name]))
+        for n in (0, 30, 50, 90, 120):
+            if n <= min(licenses.GAP, licenses.GAP_SIZES * size):
+                # not inside the identity, whose words must stand together
+                at = next(k for k in range(len(w) // 2, len(w)) if not any(licenses.plain(x) in " ".join(licenses.IDENTITY.get(name, ())) for x in licenses.words_of(" ".join(w[k - 1:k + 1]))))
+                rows.append((len(rows), " ".join(words(rng, 40) + w[:at] + words(rng, n) + w[at:] + words(rng, 40))))
+                want.append(name)
+    got = {r.doc_id: r for r in licenses.scan_documents(make_docs(rows)).collect()}
+    for (i, _), name in zip(rows, want):
+        assert (got[i].license, got[i].coverage) == (name, 1.0), (i, name, got[i])
+    far = [(0, " ".join((w := licenses.NOTICES["MIT-text"].split())[:60] + words(rng, 1000) + w[60:]))]
+    assert licenses.scan_documents(make_docs(far)).first().license is None
+    assert licenses.scan_documents(make_docs(far), gap=None).first().coverage == 1.0
+    assert licenses.scan_documents(make_docs([])).collect() == []
+
+
 def test_html(spark):
     pages = [(i, f"https://a.example/{i}", PAGE.format(title=f"T{i}", extra=f"e{i}")) for i in range(12)]
     bare = [(100 + i, f"https://b.example/{i}", f"<body><div><p>Shared strip</p></div><p>Own text {i}</p></body>") for i in range(8)]
