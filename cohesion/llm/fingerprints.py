@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import arrow_map, text_or_empty
+from .common import arrow_map, bound_batches, text_or_empty
 
 WINDOW, RUN, WINS = 64, 64, 16
 BITS, HASHES, PER_FILTER = 2048, 5, 160
@@ -97,9 +97,16 @@ def rarity_ranks(counts: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def select(b: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+def joined_bins(b: np.ndarray, seam: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The bins of two stretches of bytes put together at ``seam``, from the bins of the texts that they begin: a window's bin is
+    that of its bytes, so only windows over the seam are new."""
+    a, c = max(0, seam - WINDOW + 1), max(0, len(b) - seam - WINDOW + 1)
+    over = entropy_bins(b[a:min(len(b), seam + WINDOW - 1)])
+    return np.concatenate([left[:a], over, right[:c]])
+
+
+def select(b: np.ndarray, ranks: np.ndarray, bins: np.ndarray) -> np.ndarray:
     """Where the selected windows begin."""
-    bins = entropy_bins(b)
     n = len(bins)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -114,8 +121,8 @@ def select(b: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return np.flatnonzero(won >= min(WINS, won.max()))
 
 
-def digest(text: str, ranks: np.ndarray) -> np.ndarray:
-    """The chain of filters, one row of bytes each, and the features in each."""
+def digest(text: str, ranks: np.ndarray, bins: np.ndarray | None = None) -> np.ndarray:
+    """The chain of filters, one row of bytes each. ``bins``: those of the text's windows, if they are known."""
     raw = text.encode()
     b = np.frombuffer(raw, np.uint8)
     if not raw:
@@ -123,7 +130,7 @@ def digest(text: str, ranks: np.ndarray) -> np.ndarray:
     if len(b) < WINDOW:
         h = np.array([int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")], np.uint64)
     else:
-        at = select(b, ranks)
+        at = select(b, ranks, entropy_bins(b) if bins is None else bins)
         h = np.zeros(len(at), np.uint64)
         for i in range(WINDOW):
             h += (b[at + i].astype(np.uint64) + np.uint64(1)) * _MULT[i]
@@ -203,7 +210,7 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     halo = (d.drop("part").join(F.broadcast(follows), ["rank", "hash"]).groupBy("part", "rank").agg(F.min("text").alias("text"), F.first("doc_id").alias("doc_id"))
             .select("part", F.lit(True).alias("halo"), "rank", "doc_id", "text"))
     own = d.select("part", F.lit(False).alias("halo"), "rank", "doc_id", "text")
-    return own.unionByName(halo).repartition(len(firsts), "part").sortWithinPartitions("part", "halo", F.desc("rank"), F.desc(F.xxhash64("text")), "text")
+    return own.unionByName(halo).repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("part", "halo", F.desc("rank"), F.desc(F.xxhash64("text")), "text")
 
 
 def compare_edits(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
@@ -214,10 +221,15 @@ def compare_edits(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
         arrow, out = to_arrow_schema(out_type), []
         held = None  # the row before, with its digest
 
-        def compared(doc, text, own, after, follower):
+        def compared(doc, text, own, bins, after, follower, next_bins):
             half = len(text) // 2
-            edited = text[:len(text) - half] + after[:half]
-            changed = own if edited == text else digest(edited, ranks)
+            stays, comes = text[:len(text) - half], after[:half]
+            edited = stays + comes
+            if edited == text:
+                changed = own
+            else:
+                raw = np.frombuffer(edited.encode(), np.uint8)
+                changed = digest(edited, ranks, joined_bins(raw, len(stays.encode()), bins, next_bins) if len(raw) >= WINDOW else None)
             return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), as_text(own), as_text(changed),
                     likeness(own, changed), likeness(own, follower))
 
@@ -225,15 +237,18 @@ def compare_edits(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
             for part, halo, doc, text in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if halo and (held is None or held[0] != part):
                     continue  # only the first row after the range counts
-                own = digest(text, ranks)
+                raw = np.frombuffer(text.encode(), np.uint8)
+                bins = entropy_bins(raw)
+                own = digest(text, ranks, bins)
                 if held is not None and held[0] == part:
-                    out.append(compared(*held[1:], text, own))
-                held = None if halo else (part, doc, text, own)
+                    out.append(compared(*held[1:], text, own, bins))
+                held = None if halo else (part, doc, text, own, bins)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*out), arrow)], schema=arrow)
                 out = []
 
     spark = docs.sparkSession
+    bound_batches(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return with_next(docs).select("part", "halo", "doc_id", "text").mapInArrow(run, OUT)

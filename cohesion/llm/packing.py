@@ -27,6 +27,8 @@ from .common import Remembered, arrow_map, cut, text_or_empty
 WINDOW = 4096
 #: Pieces packed together in one task. More pieces leave less padding; a group's last windows stay open.
 GROUP_PIECES = 40_000
+#: What a task remembers of encoded words.
+CACHE_BYTES = 64 << 20
 
 
 class BestFit:
@@ -87,7 +89,7 @@ def word_ids(path: str) -> Remembered:
     """space-separated chunk -> its ids as little-endian bytes. The vocabulary's pre-tokenizer drops
     white space and never joins across it, so a text's ids are those of its chunks in order."""
     tok = _tokenizer(path)
-    return Remembered(lambda s: np.array(tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes() if s else b"")
+    return Remembered(lambda s: np.array(tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes() if s else b"", CACHE_BYTES)
 
 
 def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) -> DataFrame:

@@ -305,6 +305,18 @@ PAGE = """<html><head><title>t</title><style>p{{}}</style></head><body><nav><ul>
 line<p>Second<br>part<div class="newsletter">Join us</div><script>var a="</p>"</script><section class="comments"><p>Nice!</p></section></article><footer>&copy;</footer></body></html>"""
 
 
+def test_bins_of_joined_texts_equal_their_own():
+    rng = random.Random(31)
+    for _ in range(200):
+        x, y = ("".join(rng.choice("abcdé日 \n") * rng.randint(1, 4) for _ in range(rng.randint(0, 90))) for _ in range(2))
+        cut = rng.randint(0, len(x))
+        raw = np.frombuffer((x[:cut] + y).encode(), np.uint8)
+        if len(raw) >= fingerprints.WINDOW:
+            bins = [fingerprints.entropy_bins(np.frombuffer(t.encode(), np.uint8)) for t in (x, y)]
+            got = fingerprints.joined_bins(raw, len(x[:cut].encode()), *bins)
+            assert np.array_equal(got, fingerprints.entropy_bins(raw))
+
+
 def test_license_copies_with_foreign_blocks(spark, make_docs):
     """All words in order with a block of others in the middle: the whole alignment counts."""
     rng = random.Random(21)
