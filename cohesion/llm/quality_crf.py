@@ -5,13 +5,13 @@ characters, word statistics and repetition, those of the line before and after
 it, and what the document's words repeat. Forward-backward gives each line's
 probability of being good; a document's score is their mean, weighted by line
 length. The field is trained by gradient ascent on a bounded sample of labelled
-documents (``SAMPLE_DOCS`` a class, ``SAMPLE_LINES`` lines each, spread over the
-whole text), every line carrying its document's label. Scoring reads whole texts.
+documents (``SAMPLE_DOCS`` a class; of each a stretch of at most ``SAMPLE_LINES`` neighbouring lines, from
+its middle), every line carrying its document's label. Scoring reads whole texts.
 
 Null texts count as empty: one empty line, scored as such. Without labels of
 both classes the field is not trained and every score is the share of good
 labels (0.5 if there are none). Labels that repeat a doc_id count as their
-maximum, null labels not at all. Repeated documents score alike.
+maximum, null labels not at all. Repeated documents score alike. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

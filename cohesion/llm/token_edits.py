@@ -10,7 +10,8 @@ edit can make or break one, the character must lie further from the edit than su
 
 Offsets count code points of the text as it stands after the edits before it;
 offsets past the end are clipped, null replacements delete. Null texts count as
-empty; no or null edits leave the count as it is.
+empty; no or null edits leave the count as it is. Every row is independent: repeated rows give repeated rows, an empty table gives
+none, and extra columns are ignored.
 """
 
 from __future__ import annotations
