@@ -100,16 +100,23 @@ def with_participant(df: DataFrame, pid: str, eligible: Column | None = None, fi
                 aggs.append(fn(F.when(ok, _c(c)), F.when(ok, F.col(ORD))).alias(f"__f{i}_{j}"))
                 value = F.col(f"__f{i}_{j}")
             found.setdefault(c, []).append(value)
-    # the rows that will be joined are counted by the same aggregation, which so reads no others
-    taken = df if wanted is None else df.filter(wanted)
-    read = df if wanted is None else df.filter(reduce(lambda x, y: x | y, [*conds, wanted]))
-    count = F.count(F.lit(1)) if wanted is None else F.count_if(wanted)
-    per_id = read.groupBy(key.alias("__pid")).agg(count.alias("__n"), *aggs)
+    any_cond = reduce(lambda x, y: x | y, conds)
+    if wanted is None:
+        # all rows are joined: they are counted apart, by id alone, so that the conditions reach the scan of the aggregation
+        taken, per_id = df, df.filter(any_cond).groupBy(key.alias("__pid")).agg(*aggs)
+        counts = sized(df.groupBy(key.alias("__pid")).agg(F.count(F.lit(1)).alias("__n")))
+    else:
+        # the rows that will be joined are counted by the same aggregation
+        taken = df.filter(wanted)
+        per_id = counts = sized(df.filter(any_cond | wanted).groupBy(key.alias("__pid")).agg(F.count_if(wanted).alias("__n"), *aggs))
+    hot = hot_ids(counts)
     if eligible is not None:
         per_id = per_id.filter("__ok")
-    per_id = sized(per_id)
+    if wanted is None:
+        per_id = (per_id.join(F.broadcast(hot), F.col("__pid").eqNullSafe(F.col("__hid")), "left").drop("__hid")
+                  .withColumn("__parts", F.coalesce("__parts", F.lit(1))))
     copies = per_id.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
-    joined = salted(taken, pid, hot_ids(per_id)).join(copies, key.eqNullSafe(F.col("__pid")) & (F.col("__salt") == F.col("__part")),
+    joined = salted(taken, pid, hot).join(copies, key.eqNullSafe(F.col("__pid")) & (F.col("__salt") == F.col("__part")),
                                                       "left" if eligible is None else "inner")
     out = []
     for c in df.columns:
