@@ -27,6 +27,8 @@ def main(argv=None) -> int:
     ap.add_argument("--sep", help="delimiter of --input (default: by file name, or found in the header line)")
     ap.add_argument("--multi-line", action=argparse.BooleanOptionalAction, default=None,
                     help="quoted fields of --input hold line ends (default: found in the file)")
+    ap.add_argument("--bad-rows", choices=["error", "skip", "keep"], default=None,
+                    help="rows with more fields than the header: an error (the default), skipped, or kept without the surplus")
     a = ap.parse_args(argv)
 
     from .plans.engine import map_study, release
@@ -37,8 +39,8 @@ def main(argv=None) -> int:
 
     spark = get_session()
     specs = load_study(a.study)
-    source = read_file(spark, a.input, sep=a.sep, multi_line=a.multi_line) if a.input else None
-    results = map_study(source, specs, source_dir=a.input_dir, share=a.share)
+    source = read_file(spark, a.input, sep=a.sep, multi_line=a.multi_line, bad_rows=a.bad_rows) if a.input else None
+    results = map_study(source, specs, source_dir=a.input_dir, share=a.share, bad_rows=a.bad_rows)
     paths = write_study(results, a.output, a.format)
     if results:
         write_reports(results, a.output, a.format, paths)

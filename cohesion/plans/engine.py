@@ -313,7 +313,7 @@ def empty_entity(spark: SparkSession, spec: EntitySpec, error: str) -> EntityRes
 
 
 def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
-              int_with_nulls: str = "double", share: str = "none") -> dict[str, EntityResult]:
+              int_with_nulls: str = "double", share: str = "none", bad_rows: str | None = None) -> dict[str, EntityResult]:
     """Map every entity.
 
     ``source`` is one DataFrame shared by all entities, or None with
@@ -329,7 +329,8 @@ def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
     * ``"one_scan"``: the source is read once. The selected rows of all entities that select whole rows of eligible participants are
       written to the shared folder in one job (``select_once``), and each entity goes on from there; others plan their own scan.
 
-    A spec that fails to compile yields an empty result; the rest go on.
+    ``bad_rows``: what becomes of file rows with more fields than the header (``read_file``). A spec that fails to compile, or a file that
+    can't be read, yields an empty result; the rest go on.
     """
     from pyspark import StorageLevel
 
@@ -355,7 +356,7 @@ def map_study(source, specs: dict, order_by=None, source_dir: str | None = None,
             continue
         try:
             if source is None:
-                df = load_entity_sources(spark, source_dir, key, spec.source_files, int_with_nulls)
+                df = load_entity_sources(spark, source_dir, key, spec.source_files, int_with_nulls, bad_rows)
                 results[key] = map_entity(df, spec, order_by=order_by, name=key)
                 continue
             gkey = _selection_key(spec)

@@ -168,19 +168,19 @@ def join_sources(left: DataFrame, right: DataFrame, on: list[str], how: str = "l
 
 
 def load_entity_sources(spark: SparkSession, directory: str, entity: str, source_files: dict | None,
-                        int_with_nulls: str = "double") -> DataFrame:
-    """A7/A8 + C12 + D1-D8: the joined source table of one entity."""
+                        int_with_nulls: str = "double", bad_rows: str | None = None) -> DataFrame:
+    """A7/A8 + C12 + D1-D8: the joined source table of one entity. ``bad_rows``: as in ``read_file``."""
     base = directory.rstrip("/")
     if not source_files:
-        return read_file(spark, find_entity_file(spark, directory, entity), 0, int_with_nulls)
+        return read_file(spark, find_entity_file(spark, directory, entity), 0, int_with_nulls, bad_rows=bad_rows)
     ml = source_files.get("multi_line")
-    df = read_file(spark, f"{base}/{source_files['primary']}", 0, int_with_nulls, multi_line=ml)
+    df = read_file(spark, f"{base}/{source_files['primary']}", 0, int_with_nulls, multi_line=ml, bad_rows=bad_rows)
     idx = 1
     for n, sec in enumerate(source_files.get("secondary") or [], start=1):
         files = sec["file"] if isinstance(sec["file"], list) else [sec["file"]]
         frames = []
         for f in files:
-            frames.append(read_file(spark, f"{base}/{f}", idx, int_with_nulls, multi_line=ml))
+            frames.append(read_file(spark, f"{base}/{f}", idx, int_with_nulls, multi_line=ml, bad_rows=bad_rows))
             idx += 1
         with telling_case(spark, [c for f in frames for c in f.columns]):
             right = frames[0] if len(frames) == 1 else union_by_name(frames)

@@ -149,7 +149,9 @@ def _text_table(spark: SparkSession, path: str, sep: str | None, encoding: str,
         order = file_order(file_index)
     tokens = ", ".join(Q.lit(t) for t in NULL_TOKENS)
     count = count_fields(F.col(_BAD), sep)
-    df = df.withColumn(EXTRA, F.when(F.col(_BAD).isNotNull() & (count > len(names)), count).cast("int"))
+    # Spark refuses a query that reads the malformed record and no other field, as a count of the sound rows would
+    also = F.length(F.coalesce(F.col("_0"), F.lit(""))) >= 0
+    df = df.withColumn(EXTRA, F.when(F.col(_BAD).isNotNull() & also & (count > len(names)), count).cast("int"))
     return df.selectExpr(*[f"CASE WHEN `_{i}` NOT IN ({tokens}) THEN `_{i}` END AS {Q.ident(c)}" for i, c in enumerate(names)], EXTRA, order)
 
 

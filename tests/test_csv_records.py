@@ -107,6 +107,7 @@ def test_rows_of_a_wrong_length(spark, tmp_path, text):
     with pytest.raises(RD.BadRows, match="2 rows"):
         RD.read_file(spark, path)
     assert [r[0] for r in _rows(RD.read_file(spark, path, bad_rows="skip"))] == [1, 3, 5]
+    assert RD.read_file(spark, path, bad_rows="skip").count() == 3 and RD.read_file(spark, path, bad_rows="skip", schema={"id": "bigint"}).count() == 3
     kept = _rows(RD.read_file(spark, path, bad_rows="keep"))
     assert kept[1] == (2, "x", "y") and kept[2] == (3, "x", None) and kept[3] == (4, "x,1", "y")
     bad = [(r.fields, r.expected, r.record) for r in RD.malformed_rows(spark, path).orderBy("p").collect()]

@@ -116,6 +116,20 @@ def test_texts_come_back_from_csv_as_they_were(spark, tmp_path):
     assert sorted(tuple(r) for r in read_file(spark, path).select("a", "b").collect()) == sorted(rows)
 
 
+def test_the_runner_reads_on_past_bad_rows_if_told(spark, tmp_path):
+    from cohesion.__main__ import main
+
+    (tmp_path / "specs").mkdir()
+    (tmp_path / "specs" / "person.yaml").write_text("entity: {name: Person, fields: {base: [pid, x]}}\nmappings:\n- {source_field: pid, target_field: pid}\n- {source_field: x, target_field: x}\n")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "person.csv").write_text("pid,x\n1,a\n2,b,c\n3,d\n")
+    run = lambda *more: main(["--study", str(tmp_path / "specs"), "--input-dir", str(tmp_path / "in"), "--output", str(tmp_path / "out"), *more])
+    assert run() == 1 and "2 rows" not in (tmp_path / "out" / "mapping_summary.txt").read_text()
+    assert "1 rows have more fields" in (tmp_path / "out" / "mapping_summary.txt").read_text()
+    assert run("--bad-rows", "skip") == 0 and spark.read.option("header", True).csv(str(tmp_path / "out" / "person.csv")).count() == 2
+    assert run("--bad-rows", "keep") == 0 and spark.read.option("header", True).csv(str(tmp_path / "out" / "person.csv")).count() == 3
+
+
 def test_no_results(spark, tmp_path):
     assert write_study({}, str(tmp_path)) == {} and write_reports({}, str(tmp_path)) is None
     failed = map_study(source(spark), {"x": {"entity": {"name": "X"}, "mappings": "?"}})
