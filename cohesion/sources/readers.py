@@ -126,8 +126,8 @@ class BadRows(ValueError):
     """Rows with more fields than the header."""
 
 
-def _text_table(spark: SparkSession, path: str, sep: str | None, encoding: str, multi_line: bool | None, file_index: int) -> DataFrame:
-    """read_text_table with EXTRA."""
+def _text_table(spark: SparkSession, path: str, sep: str | None, encoding: str, multi_line: bool | None, file_index: int, whole: bool = False) -> DataFrame:
+    """read_text_table with EXTRA. Unless every column is read, EXTRA can be told only if ``whole`` keeps the parser from leaving fields out."""
     sep = sep or delimiter_for(spark, path)
     enc = encoding
     if encoding == "auto" or multi_line is None:
@@ -145,7 +145,7 @@ def _text_table(spark: SparkSession, path: str, sep: str | None, encoding: str,
         df = rows.select("path", "block", "p", F.from_csv("record", F.lit(schema.simpleString()[7:-1].replace(":", " ")), options | {"multiLine": "true"}).alias("row")).select("path", "block", "p", "row.*")
         order = f"named_struct('f', {int(file_index)}, 'path', path, 'block', block, 'p', p) AS {ORD}"
     else:
-        df = spark.read.schema(schema).options(**options, header=True, encoding=enc).csv(path)
+        df = spark.read.schema(schema).options(**options, header=True, encoding=enc, columnPruning=not whole).csv(path)
         order = file_order(file_index)
     tokens = ", ".join(Q.lit(t) for t in NULL_TOKENS)
     count = count_fields(F.col(_BAD), sep)
@@ -242,7 +242,7 @@ def read_file(spark: SparkSession, path: str, file_index: int = 0, int_with_null
     (the default), skip, or keep without the surplus (the default with ``schema``, as telling takes a look at every field)."""
     if Path(path).suffix.lower() == ".parquet":
         return spark.read.parquet(path).selectExpr("*", file_order(file_index))
-    raw = _text_table(spark, path, sep, encoding, multi_line, file_index)
+    raw = _text_table(spark, path, sep, encoding, multi_line, file_index, whole=bad_rows == "skip" or bool(schema) and bad_rows == "error")
     with telling_case(spark, raw.columns):
         if not schema:
             return infer_types(raw, int_with_nulls, bad_rows or "error")
