@@ -27,7 +27,7 @@ from .common import Remembered, arrow_map, cut, text_or_empty
 WINDOW = 4096
 #: Pieces packed together in one task. More pieces leave less padding; a group's last windows stay open.
 GROUP_PIECES = 40_000
-#: What a task remembers of encoded words.
+#: What a worker remembers of encoded words, from one task to the next.
 CACHE_BYTES = 64 << 20
 
 
@@ -85,6 +85,7 @@ def _tokenizer(path: str):
     return tok
 
 
+@lru_cache(maxsize=2)
 def word_ids(path: str) -> Remembered:
     """space-separated chunk -> its ids as little-endian bytes. The vocabulary's pre-tokenizer drops
     white space and never joins across it, so a text's ids are those of its chunks in order."""
