@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, cut
+from .common import bound_batches, cut, give_back
 
 #: Fixed sizes of the model; nothing in it grows with the corpus.
 CLASSES, TAIL_CLASSES, MIXTURE, WIDTH, HIDDEN, STEP = 512, 16, 8, 8, 8, 8
@@ -226,6 +226,8 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
                     places, texts, docs, known, helds = start()
         if texts:
             yield from close()
+        del places, texts, docs, known, helds
+        give_back()
 
     return rows.mapInArrow(run, "place long, word binary, n long, trained long, packed binary")
 
@@ -234,6 +236,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]
     for b in batches:
         for place, packed in zip(b.column("place"), b.column("packed")):
             yield place.as_py() >> WORD, Chunk(packed.as_py())
+            give_back()
 
 
 def _sums(df: DataFrame, run, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -491,6 +494,8 @@ def train(stored: DataFrame) -> Model:
                 yield from _told(at, counts[:, at].T)
                 flat = np.resize(t.flat.astype(np.float64), size) * t.ids
                 yield from _told(CLASSES * CLASSES + np.arange(size // MIXTURE + 1), np.concatenate([flat.reshape(-1, MIXTURE), np.full((1, MIXTURE), float(t.ids))]))
+            del t
+            give_back()
 
         at, v = _sums(stored, learn, MIXTURE)
         got = np.zeros((CLASSES * CLASSES + size // MIXTURE + 1, MIXTURE))
@@ -529,7 +534,8 @@ def _scores(batches: Iterator[pa.RecordBatch], model: Model, end_count: int) ->
                 pa.array(np.rint(_per_text(known[chunk.words], chunk.ends)).astype(np.int64) + (end_count > 0)),
                 pa.array(_per_text(logs[chunk.words], chunk.ends) + np.log10(end_count + 1.0)), pa.array(model.score(chunk)),
                 pa.array(np.concatenate([[fresh], np.zeros(m - 1, np.int64)]).astype(np.int64))], names=[x.split()[0] for x in RESULT.split(", ")])
-            counts, fresh = [], 0
+            counts, fresh, chunk, c = [], 0, None, None
+            give_back()
 
 
 def score_documents(docs: DataFrame, path: str) -> DataFrame:
