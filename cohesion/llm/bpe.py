@@ -32,6 +32,10 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 CHUNK = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
+#: What a worker remembers of encoded chunks.
+CACHE_BYTES = 96 << 20
+
+
 def byte_alphabet() -> list[str]:
     """The printable stand-in of each byte: itself if printable, else the next of U+0100, U+0101, ..."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -60,7 +64,7 @@ class ByteBPE:
             self.strings[i] = s.encode()
         self.numerals = [str(i) for i in range(size)]
         self.find_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        self.chunks = Remembered(self._encode_chunk)
+        self.chunks = Remembered(self._encode_chunk, CACHE_BYTES)
         self._chunk, self._pre = re.compile(CHUNK), regex.compile(PRE_TOKEN)
 
     def _encode_chunk(self, chunk: str) -> tuple[int, ...]:
@@ -102,14 +106,9 @@ class ByteBPE:
 
 
 @lru_cache(maxsize=2)
-def _load(path: str) -> ByteBPE:
-    return ByteBPE(path)
-
-
 def load_bpe(path: str) -> ByteBPE:
-    """The vocabulary, with nothing remembered yet: it stays in a worker, what a task remembers does not."""
-    bpe = _load(path)
-    bpe.chunks = Remembered(bpe._encode_chunk)
+    """The vocabulary. It stays in a worker with the chunks that it remembers, from one task to the next."""
+    bpe = ByteBPE(path)
     bpe.chunks.update((s, (i,)) for s, i in bpe.special.items())  # as a piece of its own; no other chunk is such a string
     return bpe
 
