@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -62,8 +61,7 @@ class Remembered(dict):
 
 
 def give_back() -> None:
-    """Free what a task has held, so that a worker that waits for its next task doesn't keep it."""
-    gc.collect()
+    """Return freed memory to the system, so that a worker that waits for its next task doesn't keep what the last one held."""
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library
