@@ -14,7 +14,9 @@ to no rows.
 
 from __future__ import annotations
 
+import json
 import zlib
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -22,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import byte_alphabet
 from .common import Remembered, arrow_map, cut, text_or_empty
 
 WINDOW = 4096
@@ -85,12 +88,53 @@ def _tokenizer(path: str):
     return tok
 
 
+# The normalizer and pre-tokenizer of a vocabulary of lower-case words with ends, as its file says them.
+WORDS_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORDS_CUT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: Letters below this code point (Latin) stay as they are under NFC, and are lower-cased one by one.
+LATIN = 0x250
+
+
+def _of_letters(path: str) -> Callable[[str], list[int] | None]:
+    """chunk -> its ids if it is Latin letters with a mark at most behind them, else None. With the rules above such a chunk is
+    one piece and perhaps a second, so the merges alone decide, and the library's other steps are spared."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    if spec["normalizer"] != WORDS_NORMALIZER or spec["pre_tokenizer"] != WORDS_CUT:
+        return lambda chunk: None
+    tok, alphabet = _tokenizer(path), byte_alphabet()
+    merged = tok.model.tokenize
+    marks = {c: tok.encode(c, add_special_tokens=False).ids for c in ".,!?;:"}
+
+    def ids(chunk: str) -> list[int] | None:
+        mark = marks.get(chunk[-1])
+        letters = chunk[:-1] if mark else chunk
+        if not letters.isalpha():
+            return None
+        if letters.isascii():
+            low = letters.lower()
+        elif max(letters) < chr(LATIN) and (low := "".join(map(str.lower, letters))).isalpha():
+            low = "".join(map(alphabet.__getitem__, low.encode()))
+        else:
+            return None
+        return [t.id for t in merged(low)] + (mark or [])
+
+    return ids
+
+
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> Remembered:
     """space-separated chunk -> its ids as little-endian bytes. The vocabulary's pre-tokenizer drops
     white space and never joins across it, so a text's ids are those of its chunks in order."""
-    tok = _tokenizer(path)
-    return Remembered(lambda s: np.array(tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes() if s else b"", CACHE_BYTES)
+    tok, quick = _tokenizer(path), _of_letters(path)
+
+    def ids(chunk: str) -> bytes:
+        got = quick(chunk) if chunk else []
+        return np.array(tok.encode(chunk, add_special_tokens=False).ids if got is None else got, "<u4").tobytes()
+
+    return Remembered(ids, CACHE_BYTES)
 
 
 def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) -> DataFrame:

@@ -89,6 +89,25 @@ def test_edit_counts_over_a_table(spark, make_docs, rows):
     assert got[(88, 1)].edited_tokens == 0 and got[(85, 0)].n_tokens == 0
 
 
+def test_words_of_letters_encode_as_the_library_does(tmp_path):
+    import json
+
+    tok, quick, rng = Tokenizer.from_file(WORD), packing._of_letters(WORD), random.Random(4)
+    latin = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    other = ["Σ", "ς", "日", "ﬁ", "é", "Å", "'", "1", "_"]
+    known = 0
+    for _ in range(20_000):
+        w = "".join(rng.choice(latin if rng.random() < 0.95 else other) for _ in range(rng.randint(1, 9))) + rng.choice(["", "", ".", ",", "!?", "'s"])
+        got = quick(w)
+        known += got is not None
+        assert got is None or got == tok.encode(w, add_special_tokens=False).ids, w
+    assert known > 10_000 and quick(".") is None
+    spec = json.loads(open(WORD, encoding="utf-8").read())
+    spec["normalizer"]["normalizers"].pop()  # other rules: the library alone
+    (tmp_path / "other.json").write_text(json.dumps(spec), encoding="utf-8")
+    assert packing._of_letters(str(tmp_path / "other.json"))("word") is None
+
+
 def test_packing_holds_every_id_once(spark, make_docs, rows):
     tok = Tokenizer.from_file(WORD)
     ids = collections.Counter()
