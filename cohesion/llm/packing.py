@@ -31,7 +31,7 @@ WINDOW = 4096
 #: Pieces packed together in one task. More pieces leave less padding; a group's last windows stay open.
 GROUP_PIECES = 40_000
 #: What a worker remembers of encoded words, from one task to the next.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 32 << 20
 
 
 class BestFit:
