@@ -125,7 +125,7 @@ def _of_letters(path: str) -> Callable[[str], list[int] | None]:
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> Remembered:
+def word_ids(path: str, remember: int = CACHE_BYTES) -> Remembered:
     """space-separated chunk -> its ids as little-endian bytes. The vocabulary's pre-tokenizer drops
     white space and never joins across it, so a text's ids are those of its chunks in order."""
     tok, quick = _tokenizer(path), _of_letters(path)
@@ -134,13 +134,13 @@ def word_ids(path: str) -> Remembered:
         got = quick(chunk) if chunk else []
         return np.array(tok.encode(chunk, add_special_tokens=False).ids if got is None else got, "<u4").tobytes()
 
-    return Remembered(ids, CACHE_BYTES)
+    return Remembered(ids, remember)
 
 
-def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) -> DataFrame:
+def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, remember: int = CACHE_BYTES) -> DataFrame:
     """Every document's pieces: full windows and the remainder, with CRC-32 of the ids."""
     def make():
-        ids, end = word_ids(path), end_id.to_bytes(4, "little")
+        ids, end = word_ids(path, remember), end_id.to_bytes(4, "little")
 
         def f(cols):
             out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
@@ -159,11 +159,11 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) ->
                      "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", make)
 
 
-def pack(docs: DataFrame, path: str, window: int = WINDOW, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """pieces() with sequence_id and offset. Ids are unique over the table: even ones are full
+def pack(docs: DataFrame, path: str, window: int = WINDOW, group_pieces: int = GROUP_PIECES, remember: int = CACHE_BYTES) -> DataFrame:
+    """``remember``: bytes of encoded words that a worker keeps. pieces() with sequence_id and offset. Ids are unique over the table: even ones are full
     windows, odd ones hold the group and the window in it."""
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    made = cut(pieces(docs, path, window=window).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    made = cut(pieces(docs, path, window=window, remember=remember).withColumn("row", F.monotonically_increasing_id()), "pieces")
     full = made.where(F.col("length") == window).select(*cols, (F.col("row") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest = made.where(F.col("length") < window)
     groups = max(1, -(-rest.count() // group_pieces))

@@ -47,7 +47,8 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    # alone on its executors, unlike the pipeline's stage, it has room to remember more words
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), remember=192 << 20)
 
 
 def three_edits(docs: DataFrame) -> DataFrame:
