@@ -103,16 +103,22 @@ def column_names(fields: list[str]) -> list[str]:
 
 
 def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
-    """The header's fields, of the first file of ``path``."""
+    """The header's fields, of the first file of ``path`` that has any line but blank ones."""
     files = spark.read.text(path).inputFiles()
     if not files:
         return []
-    lines = text_lines(spark, min(files), encoding).where("trim('\r' from line) != ''").select("line", opens(F.col("line"), sep).alias("more")).limit(1).collect()
+    filled = "trim('\r' from line) != ''"
+    of = min(files)
+    head = lambda: text_lines(spark, of, encoding).where(filled).select("line", opens(F.col("line"), sep).alias("more")).limit(1).collect()
+    lines = head()
+    if not lines and len(files) > 1:  # Spark itself writes an empty first part where the first partition has no rows
+        of = text_lines(spark, path, encoding).where(filled).agg(F.min("path")).first()[0]
+        lines = head() if of else []
     if not lines:
         return []
     text = lines[0]["line"]
     if lines[0]["more"]:
-        text = read_records(spark, min(files), sep, encoding).where("header").first()["record"]
+        text = read_records(spark, of, sep, encoding).where("header").first()["record"]
     fields = next(csv.reader(io.StringIO(text.lstrip("\ufeff").rstrip("\r"), newline=""), delimiter=sep))
     return column_names(fields)
 

@@ -123,3 +123,19 @@ def test_empty_and_header_only(spark, tmp_path):
     assert RD.read_file(spark, _file(tmp_path, "")).collect() == []
     df = RD.read_file(spark, _file(tmp_path, "a,b\n", "h.csv"))
     assert df.collect() == [] and df.columns[:2] == ["a", "b"]
+
+
+@pytest.mark.parametrize("name", ["id,note", 'id,"no\nte"'])
+def test_the_header_is_of_the_first_file_with_lines(spark, tmp_path, name):
+    d = tmp_path / "parts.csv"
+    d.mkdir()
+    for i, text in enumerate(["", "\n\r\n", f"{name}\n1,a\n2,b,c\n", "", f"{name}\n3,d\n"]):
+        _file(d, text, f"part-{i}.csv")
+    kept = RD.read_file(spark, str(d), bad_rows="keep")
+    assert kept.columns[:2] == ["id", name[3:].strip('"')] and _rows(kept) == [(1, "a"), (2, "b"), (3, "d")]
+    assert _rows(RD.read_file(spark, str(d), bad_rows="skip")) == [(1, "a"), (3, "d")]
+    assert [(r.fields, r.expected, r.record) for r in RD.malformed_rows(spark, str(d)).collect()] == [(3, 2, "2,b,c")]
+    blank = tmp_path / "blank.csv"
+    blank.mkdir()
+    _file(blank, "", "part-0.csv"), _file(blank, "\n", "part-1.csv")
+    assert RD.read_file(spark, str(blank)).collect() == []
