@@ -37,3 +37,18 @@ def test_empty_sides(spark):
     left, right = sides(spark)
     assert MF.join_sources(left.limit(0), right, ["k"], "right", split=10).count() == 300
     assert tuple(MF.expected_rows(left.limit(0), right.limit(0), ["k"]).first()) == (0, 0, 0, 0)
+
+
+def test_copies_of_a_split_key_grow_as_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(MF, "PARTS", 64)
+    copies = []
+    for n in (400, 1600):
+        left = spark.range(n).selectExpr("IF(id % 2 = 0, null, id) AS k", "id AS a")
+        right = spark.range(n // 4).selectExpr("IF(id % 2 = 0, null, id) AS k", "id AS b")
+        hot = MF._hot_keys(left, right, ["k"], True, 4)
+        h = hot.first()
+        assert h["__a"] * h["__b"] <= 1.3 * MF.PARTS
+        copies.append(MF._dealt(left, ["k"], hot, "__i", "__j", "__a", "__b").count())
+        key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+        assert key(MF.join_sources(left, right, ["k"], "full_outer", split=4)) == key(MF.join_sources(left, right, ["k"], "full_outer"))
+    assert copies[1] <= 1.3 * 4 * copies[0]
