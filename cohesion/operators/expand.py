@@ -191,7 +191,9 @@ def _expand_by_table(df: DataFrame, spec: EntitySpec, fams: dict, live: list, xf
         table[f"__g{j}"] = (TY.INT, [number.get(i, -1) for i, _ in live])
         groups.append([members[0][2] for members in found.values()])
 
-    df = df.select("*", F.expr(f"posexplode(array({values})) AS (__q, __xval)")).where(F.expr(Q.keep_value("`__xval`", xfam, skip)))
+    # the array is a column of its own, so that the step that numbers its elements takes in few columns: with many, Spark makes no code for it
+    df = df.select("*", F.expr(f"array({values})").alias("__all")).select("*", F.expr("posexplode(__all) AS (__q, __xval)")).drop("__all")
+    df = df.where(F.expr(Q.keep_value("`__xval`", xfam, skip)))
     df = df.join(spec_table(df.sparkSession, table), F.col("__q") == F.col("__p")).drop("__q", "__p")
     fold = Fold(df, spec.fields)
     src = Source(fams=fams, default_col=(F.col("__xval"), xfam), default_name=F.col("__xname"))

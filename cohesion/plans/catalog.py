@@ -833,6 +833,8 @@ UNION ALL SELECT participant_id, 'CODE:03', 'flag 3' FROM wide WHERE f3 IS NOT N
 
 # thousands of configs over as many columns: seldom set, with codes, literals and enrichments of their own
 _MANY = 3000
+#: Rows of such a table that one task makes.
+_WIDE_ROWS = 10_000
 _MANY_SPEC = xspec(["item_code", "item_term", "level", "score", "parity", "submitter_item_id"], [ITEM_ID], [
     {"type": "range", "start": 0, "end": _MANY - 1, "template": {
         "source_field": "q{n}", "code": "CODE:{n:04d}", "term": "Item {n}", "enrichments": [
@@ -846,8 +848,12 @@ _MANY_SPEC = xspec(["item_code", "item_term", "level", "score", "parity", "submi
     CAST(NULL AS VARCHAR) AS parity, pid || '_item_q' || i AS submitter_item_id FROM v WHERE x <> 0
   UNION ALL SELECT pid, 'AGAIN', NULL, NULL, NULL, CASE x WHEN 1 THEN 'odd' ELSE 'even' END, pid || '_item_q1' FROM v WHERE i = 1 AND x <> 0""")
 def _expand_many(spark, sf):
-    c = spark.read.parquet(f"{sf}/customer.parquet").selectExpr("c_custkey AS participant_id", "CAST(NULL AS STRING) AS repeat_kind", f"c_custkey AS {ORDER_COL}", *(
-        f"CASE WHEN (c_custkey * 31 + {i * 17}) % 1009 = 0 THEN 1 + (c_custkey + {i}) % 2 ELSE 0 END AS q{i}" for i in range(_MANY)))
+    c = spark.read.parquet(f"{sf}/customer.parquet").selectExpr("c_custkey", "pmod(c_custkey * 31, 1009) AS m")
+    # one narrow row becomes thousands of values: the rows are dealt to tasks before that
+    c = c.repartition(1 + c.count() // _WIDE_ROWS)
+    # 1009 divides c_custkey * 31 + i * 17 where the two remainders make up 1009 or 0
+    c = c.selectExpr("c_custkey AS participant_id", "CAST(NULL AS STRING) AS repeat_kind", f"c_custkey AS {ORDER_COL}", *(
+        f"IF(m = {-17 * i % 1009}, 1 + (c_custkey + {i}) % 2, 0) AS q{i}" for i in range(_MANY)))
     c = stored(c, "wide")  # a file of thousands of columns, as such sources come
     return map_entity(c, _MANY_SPEC | {"filters": {"participant_id_field": PID}}, order_by=ORDER_COL).df
 

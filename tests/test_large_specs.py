@@ -69,3 +69,21 @@ def test_many_configs_keep_rows_narrow_and_code_generated(spark):
     assert "q1#" not in below  # the wide columns end at the explode
     assert "*(" in plan[:plan.index("BroadcastHashJoin") + 20]  # the join and what follows is generated code
     df.unpersist()
+
+
+def test_the_numbering_of_many_values_is_generated_code(spark):
+    df = spark.range(2).selectExpr("id AS pid", *(f"IF(id = 1 AND {i} = 7, 5, 0) AS q{i}" for i in range(300))).repartition(1).cache()
+    out = map_entity(df, {"entity": {"name": "Item", "fields": {"base": ["item_code"]}, "pattern": "expansion", "params": {"skip_values": [0]}}, "filters": {"participant_id_field": "pid"},
+                          "mappings": [], "configs": [{"source_field": f"q{i}", "code": f"C{i}"} for i in range(300)]}).df
+    assert [tuple(r) for r in out.collect()] == [("C7",)]
+    step = next(x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate posexplode" in x)
+    assert "*(" in step
+    df.unpersist()
+
+
+def test_the_wide_table_is_made_by_several_tasks(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(catalog, "_WIDE_ROWS", 40)
+    monkeypatch.setattr(catalog, "stored", lambda df, kind: made.append(df.rdd.getNumPartitions()) or df)
+    catalog.QUERIES["expand_many_configs"](spark, SF)
+    assert made == [4]
