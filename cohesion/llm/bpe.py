@@ -15,6 +15,7 @@ import hashlib
 import heapq
 import json
 import re
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -32,8 +33,13 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 CHUNK = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
+#: Bits of a heap entry that hold a position; the merge's rank is above them.
+PLACE = 40
+AT = (1 << PLACE) - 1
 #: What a worker remembers of encoded chunks.
 CACHE_BYTES = 96 << 20
+#: What it remembers of counts alone, where no ids are held.
+COUNT_BYTES = 192 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -43,17 +49,35 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+class Chunks(Remembered):
+    """What is known of a chunk, joined from what is known of its pre-tokens. A chunk of several is remembered
+    when its pre-tokens were already: a rare word is remembered once, whatever stands next to it."""
+
+    def __init__(self, pieces: Callable, of_piece: Callable, join: Callable, most_bytes: int):
+        super().__init__(of_piece, most_bytes)
+        self.pieces, self.join = pieces, join
+
+    def __missing__(self, chunk: str):
+        pieces = self.pieces(chunk)
+        if len(pieces) == 1:
+            return super().__missing__(chunk)
+        known = all(map(self.__contains__, pieces))
+        out = self.join(map(self.__getitem__, pieces))
+        return self.remember(chunk, out) if known else out
+
+
 class ByteBPE:
-    """A vocabulary file of byte-level BPE; ``chunks`` maps a chunk of text to its ids."""
+    """A vocabulary file of byte-level BPE; ``chunks`` maps a chunk of text to its ids, ``counts`` to how many they are."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, alphabet = spec["model"]["vocab"], byte_alphabet()
         self.of_byte = [vocab[c] for c in alphabet]
-        self.merge = {}
+        self.merge, self.made = {}, []
         for rank, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]):
-            self.merge.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.merge.setdefault((vocab[a], vocab[b]), rank << PLACE)
+            self.made.append((vocab[a], vocab[b], vocab[a + b]))
         byte = {c: b for b, c in enumerate(alphabet)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = 1 + max([*vocab.values(), *self.special.values()])
@@ -64,32 +88,36 @@ class ByteBPE:
             self.strings[i] = s.encode()
         self.numerals = [str(i) for i in range(size)]
         self.find_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        self.chunks = Remembered(self._encode_chunk, CACHE_BYTES)
-        self._chunk, self._pre = re.compile(CHUNK), regex.compile(PRE_TOKEN)
-
-    def _encode_chunk(self, chunk: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self.merged(p.encode("utf-8", "replace")) for p in self._pre.findall(chunk)))
+        self._chunk, pieces = re.compile(CHUNK), regex.compile(PRE_TOKEN).findall
+        self.chunks = Chunks(pieces, lambda p: tuple(self.merged(p.encode("utf-8", "replace"))), lambda ids: tuple(chain.from_iterable(ids)), CACHE_BYTES)
+        self.counts = Chunks(pieces, lambda p: len(self.merged(p.encode("utf-8", "replace"))), sum, COUNT_BYTES)
 
     def merged(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        sym = [self.of_byte[b] for b in piece]
-        n, merge = len(sym), self.merge
+        sym = list(map(self.of_byte.__getitem__, piece))
+        n, rank_of, made = len(sym), self.merge.get, self.made
+        # an entry is the pair's rank, which tells the pair, then its position, in one number
+        heap = [r + i for i, r in enumerate(map(rank_of, zip(sym, sym[1:]))) if r is not None]
+        if not heap:
+            return sym
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(merge[p][0], i, p, merge[p][1]) for i, p in enumerate(zip(sym, sym[1:])) if p in merge]
         heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, (a, b), made = heapq.heappop(heap)
+            e = pop(heap)
+            i = e & AT
+            a, b, whole = made[e >> PLACE]
             j = after[i]
             if sym[i] != a or j >= n or sym[j] != b:
                 continue  # stale: one of the two has been merged since
-            sym[i], sym[j] = made, -1
+            sym[i], sym[j] = whole, -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if x := merge.get((made, sym[k])):
-                    heapq.heappush(heap, (x[0], i, (made, sym[k]), x[1]))
-            if (h := before[i]) >= 0 and (x := merge.get((sym[h], made))):
-                heapq.heappush(heap, (x[0], h, (sym[h], made), x[1]))
+                if (r := rank_of((whole, sym[k]))) is not None:
+                    push(heap, r + i)
+            if (h := before[i]) >= 0 and (r := rank_of((sym[h], whole))) is not None:
+                push(heap, r + h)
         return [s for s in sym if s >= 0]
 
     def encode(self, text: str) -> list[int]:
@@ -110,6 +138,7 @@ def load_bpe(path: str) -> ByteBPE:
     """The vocabulary. It stays in a worker with the chunks that it remembers, from one task to the next."""
     bpe = ByteBPE(path)
     bpe.chunks.update((s, (i,)) for s, i in bpe.special.items())  # as a piece of its own; no other chunk is such a string
+    bpe.counts.update((s, 1) for s in bpe.special)
     return bpe
 
 

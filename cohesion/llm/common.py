@@ -52,7 +52,9 @@ class Remembered(dict):
         self.f, self.room = f, most_bytes
 
     def __missing__(self, key):
-        out = self.f(key)
+        return self.remember(key, self.f(key))
+
+    def remember(self, key, out):
         size = 120 + sys.getsizeof(key) + sys.getsizeof(out)  # with its place in the table
         if size <= min(self.room, 4096):
             self[key] = out

@@ -33,11 +33,11 @@ class CountTree:
         self.bpe, self.reencoded = bpe, 0
         self.reach = max(map(len, bpe.special), default=1) - 1
         self.leaf = self.cut(text)
-        n = max(1, len(self.leaf))
-        self.size = 1 << (n - 1).bit_length()
-        self.chars = self._levels(np.fromiter(map(len, self.leaf), np.int64, len(self.leaf)))
-        count = bpe.chunks
-        self.tokens = self._levels(np.fromiter((len(count[c]) for c in self.leaf), np.int64, len(self.leaf)))
+        self.size = 1 << (max(1, len(self.leaf)) - 1).bit_length()
+        leaves = np.zeros((2, self.size), np.int64)
+        leaves[0, :len(self.leaf)] = list(map(len, self.leaf))
+        leaves[1, :len(self.leaf)] = list(map(bpe.counts.__getitem__, self.leaf))
+        self.chars, self.tokens = self._levels(leaves)
 
     def cut(self, text: str) -> list[str]:
         chunks, out, at = self.bpe._chunk.findall, [], 0
@@ -47,14 +47,14 @@ class CountTree:
             at = m.end()
         return out + chunks(text[at:] if at else text)
 
-    def _levels(self, values: np.ndarray) -> list[int]:
-        level = np.zeros(self.size, np.int64)
-        level[:len(values)] = values
-        levels = [level]
-        while len(level) > 1:
-            level = level.reshape(-1, 2).sum(1)
-            levels.append(level)
-        return [0, *np.concatenate(levels[::-1]).tolist()]
+    def _levels(self, leaves: np.ndarray) -> list[list[int]]:
+        out = np.zeros((2, 2 * self.size), np.int64)
+        out[:, self.size:] = leaves
+        at = self.size
+        while at > 1:
+            np.add(out[:, at:2 * at:2], out[:, at + 1:2 * at:2], out=out[:, at // 2:at])
+            at //= 2
+        return out.tolist()
 
     def leaf_at(self, offset: int) -> tuple[int, int]:
         """The leaf that holds the character at ``offset``, and where that leaf begins."""
@@ -67,12 +67,14 @@ class CountTree:
         return i - self.size, begin
 
     def set(self, k: int, text: str) -> None:
-        self.leaf[k] = text
         parts = self.cut(text)
         self.reencoded += len(parts)
-        dc = len(text) - self.chars[self.size + k]
-        dt = sum(len(self.bpe.chunks[c]) for c in parts) - self.tokens[self.size + k]
+        self._put(k, text, sum(map(self.bpe.counts.__getitem__, parts)))
+
+    def _put(self, k: int, text: str, tokens: int) -> None:
+        self.leaf[k] = text
         i = self.size + k
+        dc, dt = len(text) - self.chars[i], tokens - self.tokens[i]
         while i:
             self.chars[i] += dc
             self.tokens[i] += dt
@@ -106,7 +108,7 @@ class CountTree:
         self.set(a, stretch[:at] + replacement + stretch[at + end - start:])
         for k in range(a + 1, b + 1):
             if self.leaf[k]:
-                self.set(k, "")
+                self._put(k, "", 0)
 
     def text(self) -> str:
         return "".join(self.leaf)

@@ -47,6 +47,18 @@ def test_bpe_equals_the_library(spark, make_docs, rows):
     assert bpe.encode_documents(make_docs([]), BYTE).collect() == []
 
 
+def test_a_rare_word_is_merged_once_whatever_stands_beside_it():
+    tok, b, merged = Tokenizer.from_file(BYTE), bpe.ByteBPE(BYTE), []
+    plain = b.merged
+    b.merged = lambda piece: merged.append(piece) or plain(piece)
+    text = "say qwyzxk, qwyzxk. (qwyzxk) qwyzxk! it's qwyzxk's qwyzxk?"
+    assert token_edits.CountTree(b, text).tokens[1] == len(tok.encode(text, add_special_tokens=False).ids)
+    assert merged.count(b" qwyzxk") == 1 and len(merged) == len(set(merged))
+    merged.clear()
+    assert b.encode(text) == tok.encode(text, add_special_tokens=False).ids
+    assert merged.count(b" qwyzxk") == 1 and len(merged) == len(set(merged))
+
+
 def test_edits_keep_the_count(rows):
     tok = Tokenizer.from_file(BYTE)
     tok.encode_special_tokens = True
