@@ -41,42 +41,72 @@ BITS, HASHES, PER_FILTER = 2048, 5, 160
 #: Entropy bins: c*log2(c) summed over a window's byte counts lies in 0..384; eighths are told apart.
 SCALE = 8
 N_BINS = WINDOW * 6 * SCALE + 1
+#: Windows whose bins are found at once, bytes of texts taken together for that, selected windows hashed at once.
+BLOCK, TOGETHER, HASHED = 32_768, 262_144, 4_096
 #: Characters in one range of the order; sets how many ranges there are.
 RANGE_CHARS = 32_000_000
 
 _F = np.array([round(SCALE * 16 * c * math.log2(c)) if c else 0 for c in range(WINDOW + 2)], np.int32)
+# what one more of a byte adds, by how many there are
+_MORE = np.diff(_F)
 # odd multipliers of the window hash, from a fixed seed
 _MULT = np.random.default_rng(20240229).integers(1, 2**63, WINDOW, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_AHEAD = np.arange(WINDOW)
 
 
 def entropy_bins(b: np.ndarray) -> np.ndarray:
-    """The bin of every window of 64 bytes; a low bin is high entropy. Each step removes one byte and adds one,
-    so only their counts in the window matter: equal bytes at each distance, summed forward and backward."""
+    """The bin of every window of 64 bytes; a low bin is high entropy."""
+    n = max(0, len(b) - WINDOW + 1)
+    out = np.empty(n, np.int16)
+    for a in range(0, n, BLOCK):
+        out[a:a + BLOCK] = _block_bins(b[a:a + BLOCK + WINDOW - 1])
+    return out
+
+
+def _block_bins(b: np.ndarray) -> np.ndarray:
+    """Each step removes one byte and adds one, so only their counts in the window matter: equal bytes at each
+    distance, summed forward and backward."""
     n = len(b)
-    if n < WINDOW:
-        return np.zeros(0, np.int32)
-    ahead, back = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
+    ahead, back, same = np.zeros(n, np.uint8), np.zeros(n, np.uint8), np.empty(n, bool)
+    told = same.view(np.uint8)
     for d in range(1, WINDOW):
-        same = (b[:-d] == b[d:]).view(np.uint8)
-        ahead[:-d] += same
-        back[d:] += same
-    first = int(_F[np.bincount(b[:WINDOW], minlength=256)].sum())
-    out_n, in_n = ahead[:n - WINDOW].astype(np.int32) + 1, back[WINDOW:].astype(np.int32)
-    step = _F[out_n - 1] - _F[out_n] + _F[in_n + 1] - _F[in_n]
+        m = n - d
+        np.equal(b[:m], b[d:], out=same[:m])
+        one = told[:m]
+        x, y = ahead[:m], back[d:]
+        np.add(x, one, out=x)
+        np.add(y, one, out=y)
     s = np.empty(n - WINDOW + 1, np.int32)
-    s[0] = first
-    np.cumsum(step, out=s[1:])
-    s[1:] += first
+    s[0] = _F[np.bincount(b[:WINDOW], minlength=256)].sum()
+    s[1:] = _MORE[back[WINDOW:]]
+    s[1:] -= _MORE[ahead[:n - WINDOW]]
+    np.cumsum(s, out=s)
     return s >> 4
 
 
+def bins_of_all(raws: list[bytes]) -> list[np.ndarray]:
+    """``entropy_bins`` of each text, found over the texts put end to end: short arrays cost more to begin than to fill."""
+    bins, at, out = entropy_bins(np.frombuffer(b"".join(raws), np.uint8)), 0, []
+    for r in raws:
+        out.append(bins[at:at + max(0, len(r) - WINDOW + 1)])
+        at += len(r)
+    return out
+
+
+def groups(sizes: list[int]) -> list[slice]:
+    """Runs of texts with about TOGETHER bytes, or one longer text."""
+    place = np.cumsum(sizes) // TOGETHER if sizes else np.zeros(0, int)
+    cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(sizes)]
+    return [slice(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
 def entropy_counts(docs: DataFrame) -> np.ndarray:
     """How many windows of all texts fall in each entropy bin."""
     def make():
         def f(cols):
-            total = np.zeros(N_BINS, np.int64)
-            for text in cols["text"]:
-                total += np.bincount(entropy_bins(np.frombuffer(text.encode(), np.uint8)), minlength=N_BINS)[:N_BINS]
+            total, raws = np.zeros(N_BINS, np.int64), [text.encode() for text in cols["text"]]
+            for g in groups([*map(len, raws)]):
+                total += np.bincount(np.concatenate(bins_of_all(raws[g])), minlength=N_BINS)[:N_BINS]
             bins = np.flatnonzero(total)
             return {"bin": bins.tolist(), "n": total[bins].tolist()}
 
@@ -97,12 +127,16 @@ def rarity_ranks(counts: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def joined_bins(b: np.ndarray, seam: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def around(b: bytes | np.ndarray, seam: int) -> bytes | np.ndarray:
+    """The bytes of the windows over a seam."""
+    return b[max(0, seam - WINDOW + 1):seam + WINDOW - 1]
+
+
+def joined_bins(b: bytes | np.ndarray, seam: int, left: np.ndarray, right: np.ndarray, over: np.ndarray | None = None) -> np.ndarray:
     """The bins of two stretches of bytes put together at ``seam``, from the bins of the texts that they begin: a window's bin is
-    that of its bytes, so only windows over the seam are new."""
+    that of its bytes, so only windows over the seam are new. ``over``: the bins of ``around(b, seam)``, if they are known."""
     a, c = max(0, seam - WINDOW + 1), max(0, len(b) - seam - WINDOW + 1)
-    over = entropy_bins(b[a:min(len(b), seam + WINDOW - 1)])
-    return np.concatenate([left[:a], over, right[:c]])
+    return np.concatenate([left[:a], entropy_bins(around(b, seam)) if over is None else over, right[:c]])
 
 
 def select(b: np.ndarray, ranks: np.ndarray, bins: np.ndarray) -> np.ndarray:
@@ -121,9 +155,9 @@ def select(b: np.ndarray, ranks: np.ndarray, bins: np.ndarray) -> np.ndarray:
     return np.flatnonzero(won >= min(WINS, won.max()))
 
 
-def digest(text: str, ranks: np.ndarray, bins: np.ndarray | None = None) -> np.ndarray:
+def digest(text: str | bytes, ranks: np.ndarray, bins: np.ndarray | None = None) -> np.ndarray:
     """The chain of filters, one row of bytes each. ``bins``: those of the text's windows, if they are known."""
-    raw = text.encode()
+    raw = text.encode() if isinstance(text, str) else text
     b = np.frombuffer(raw, np.uint8)
     if not raw:
         return np.zeros((0, BITS // 8), np.uint8)
@@ -131,9 +165,9 @@ def digest(text: str, ranks: np.ndarray, bins: np.ndarray | None = None) -> np.n
         h = np.array([int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")], np.uint64)
     else:
         at = select(b, ranks, entropy_bins(b) if bins is None else bins)
-        h = np.zeros(len(at), np.uint64)
-        for i in range(WINDOW):
-            h += (b[at + i].astype(np.uint64) + np.uint64(1)) * _MULT[i]
+        h = np.empty(len(at), np.uint64)
+        for i in range(0, len(at), HASHED):
+            h[i:i + HASHED] = (b[at[i:i + HASHED, None] + _AHEAD].astype(np.uint64) + np.uint64(1)) @ _MULT
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
@@ -218,34 +252,34 @@ def compare_edits(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
     out_type = T.StructType.fromDDL(OUT)
 
     def run(batches):
-        arrow, out = to_arrow_schema(out_type), []
-        held = None  # the row before, with its digest
-
-        def compared(doc, text, own, bins, after, follower, next_bins):
-            half = len(text) // 2
-            stays, comes = text[:len(text) - half], after[:half]
-            edited = stays + comes
-            if edited == text:
-                changed = own
-            else:
-                raw = np.frombuffer(edited.encode(), np.uint8)
-                changed = digest(edited, ranks, joined_bins(raw, len(stays.encode()), bins, next_bins) if len(raw) >= WINDOW else None)
-            return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), as_text(own), as_text(changed),
-                    likeness(own, changed), likeness(own, follower))
-
-        for b in batches:
-            for part, halo, doc, text in zip(*(b.column(i).to_pylist() for i in range(4))):
+        arrow = to_arrow_schema(out_type)
+        held = None  # the row before: its part, id, text, digest and bins
+
+        def compared(group):
+            """The rows of a group that have the next one by now, the row held first."""
+            nonlocal held
+            raws = [text.encode() for *_, text in group]
+            pairs = []
+            for (part, halo, doc, text), raw, bins in zip(group, raws, bins_of_all(raws)):
                 if halo and (held is None or held[0] != part):
                     continue  # only the first row after the range counts
-                raw = np.frombuffer(text.encode(), np.uint8)
-                bins = entropy_bins(raw)
-                own = digest(text, ranks, bins)
+                now = (part, doc, text, digest(raw, ranks, bins), bins)
                 if held is not None and held[0] == part:
-                    out.append(compared(*held[1:], text, own, bins))
-                held = None if halo else (part, doc, text, own, bins)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*out), arrow)], schema=arrow)
-                out = []
+                    pairs.append((held, now))
+                held = None if halo else now
+            halves = [(one[2], len(one[2]) // 2, after[2]) for one, after in pairs]
+            stays = [text[:len(text) - half].encode() for text, half, _ in halves]
+            edited = [a + after[:half].encode() for a, (_, half, after) in zip(stays, halves)]
+            over = bins_of_all([around(raw, len(a)) for raw, a in zip(edited, stays)])
+            for ((_, doc, text, own, bins), after), raw, a, mid in zip(pairs, edited, stays, over):
+                changed = own if raw == text.encode() else digest(raw, ranks, joined_bins(raw, len(a), bins, after[4], mid))
+                yield (doc, len(text), hashlib.sha256(raw).hexdigest(), as_text(own), as_text(changed), likeness(own, changed), likeness(own, after[3]))
+
+        for b in batches:
+            rows = [*zip(*(b.column(i).to_pylist() for i in range(4)))]
+            for g in groups([len(text) for *_, text in rows]):
+                if out := [*compared(rows[g])]:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*out), arrow)], schema=arrow)
 
     spark = docs.sparkSession
     bound_batches(spark)

@@ -281,6 +281,20 @@ def test_window_entropy():
         assert got == want
 
 
+def test_bins_of_many_texts_are_found_at_once(monkeypatch):
+    rng, calls, plain = random.Random(6), [], fingerprints.entropy_bins
+    raws = [bytes(rng.choice(b"abcd \xc3") for _ in range(n)) for n in [0, 1, 63, 64, 65, 0, 300, *(rng.randint(0, 400) for _ in range(200)), 70_000]]
+    monkeypatch.setattr(fingerprints, "entropy_bins", lambda b: calls.append(len(b)) or plain(b))
+    got = fingerprints.bins_of_all(raws)
+    assert calls == [sum(map(len, raws))]
+    for r, bins in zip(raws, got):
+        assert np.array_equal(bins, plain(np.frombuffer(r, np.uint8))) and len(bins) == max(0, len(r) - 63)
+    sizes = [*map(len, raws)]
+    assert [r for g in fingerprints.groups(sizes) for r in raws[g]] == raws and fingerprints.groups([]) == []
+    monkeypatch.setattr(fingerprints, "BLOCK", 7)
+    assert all(np.array_equal(bins, plain(np.frombuffer(r, np.uint8))) for r, bins in zip(raws[:50], got))
+
+
 def test_quality(spark, make_docs):
     rng = random.Random(9)
     good = [(i, "\n".join(" ".join(words(rng, 25)).capitalize() + "." for _ in range(4))) for i in range(120)]
