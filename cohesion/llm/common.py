@@ -84,7 +84,7 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], di
         for b in batches:
             out = f({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[x.name], x.type) for x in arrow], schema=arrow)
+                [v.cast(x.type) if isinstance(v := out[x.name], pa.Array) else pa.array(v, x.type) for x in arrow], schema=arrow)
         del f
         give_back()
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,21 +40,29 @@ def line_key(line: str) -> tuple[int, int]:
     return a - (1 << 64) if a >> 63 else a, b - (1 << 64) if b >> 63 else b
 
 
+def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``line_key`` of each line, as two columns."""
+    both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(s.encode("utf-8", "replace")) for s in lines]), ">i8").astype(np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash, line) of every shingle; lines are not empty."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    h = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    h += np.uint64(1)
     size = np.fromiter(map(len, lines), np.int64, len(lines))
-    begin = np.concatenate([[0], np.cumsum(size)[:-1]])
-    h = codes
+    end = np.cumsum(size)
     for step in (1, 2, 4):  # hashes of 2, 4, 8 characters
-        pad = np.concatenate([h[step:], np.zeros(min(step, len(h)), np.uint64)])
-        h = h * np.uint64(pow(0x9E3779B97F4A7C15, step, 1 << 64)) + pad
+        after = h * np.uint64(pow(0x9E3779B97F4A7C15, step, 1 << 64))
+        after[:-step] += h[step:]
+        h = after
     count = np.maximum(size - SHINGLE + 1, 0)
-    owner = np.repeat(np.arange(len(lines)), count)
-    at = np.arange(count.sum()) - np.repeat(np.concatenate([[0], np.cumsum(count)[:-1]]) - begin, count)
     short = np.flatnonzero(count == 0)
     whole = np.fromiter((xxhash.xxh3_64_intdigest(lines[i].encode("utf-8", "replace")) for i in short), np.uint64, len(short))
-    return mix(np.concatenate([h[at], whole])), np.concatenate([owner, short])
+    begins = np.ones(len(h), bool)  # where a whole shingle of one line begins
+    for back in range(1, SHINGLE):
+        begins[np.maximum(end - back, end - size)] = False
+    return mix(np.concatenate([h[begins], whole])), np.concatenate([np.repeat(np.arange(len(lines)), count), short])
 
 
 def signatures(lines: list[str], bins: int = BANDS * ROWS) -> np.ndarray:
@@ -74,8 +83,13 @@ def _donors(bins: int) -> np.ndarray:
 def _sign(lines: list[str], bins: int) -> np.ndarray:
     out = np.full((len(lines), bins), EMPTY)
     h, owner = shingle_hashes(lines)
-    at = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(out.ravel(), owner * bins + at, h & np.uint64(0xFFFFFFFF))
+    at = h >> np.uint64(32)
+    at *= np.uint64(bins)
+    at >>= np.uint64(32)
+    owner *= bins
+    owner += at.view(np.int64)
+    h &= np.uint64(0xFFFFFFFF)
+    np.minimum.at(out.ravel(), owner, h)
     row, col = np.nonzero(out == EMPTY)
     order = _donors(bins)[col]
     first = (out[row[:, None], order] != EMPTY).argmax(1)
@@ -92,18 +106,25 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, d1, line) of every occurrence to drop, d1 being the text's key."""
     d = docs.select("doc_id", "k1", "text")
 
+    def found(cols):
+        """The lines that aren't blank, in columns."""
+        rows = [(doc, d1, i, s) for doc, d1, text in zip(cols["doc_id"], cols["k1"], cols["text"]) for i, s in prepared(text)]
+        out = dict(zip(("doc_id", "d1", "line", "text"), zip(*rows))) if rows else dict.fromkeys(("doc_id", "d1", "line", "text"), ())
+        out["k1"], out["k2"] = line_keys(out["text"])
+        return out
+
     def keys():
         def f(cols):
-            found = [(doc, d1, i, len(s), *line_key(s)) for doc, d1, text in zip(cols["doc_id"], cols["k1"], cols["text"]) for i, s in prepared(text)]
-            return dict(zip(("doc_id", "d1", "line", "size", "k1", "k2"), map(list, zip(*found)) if found else [[]] * 6))
+            out = found(cols)
+            return out | {"size": [*map(len, out["text"])]}
 
         return f
 
     def sign():
         def f(cols):
             todo = list({s: 0 for text in cols["text"] for _, s in prepared(text)})  # the equal lines of a batch once
-            bands = band_hashes(signatures(todo), BANDS, ROWS) if todo else []
-            return {"id": [line_key(s)[0] for s in todo], "bands": list(bands)}
+            bands = band_hashes(signatures(todo), BANDS, ROWS) if todo else np.zeros((0, BANDS), np.int64)
+            return {"id": line_keys(todo)[0], "bands": pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), bands.ravel())}
 
         return f
 
@@ -119,10 +140,9 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def fetch():
         def f(cols):
-            found = [(doc, d1, i, *line_key(s), s) for doc, d1, text in zip(cols["doc_id"], cols["k1"], cols["text"]) for i, s in prepared(text)]
-            held = may_hold(words, [x[3] for x in found])
-            found = [x for x, h in zip(found, held) if h]
-            return dict(zip(("doc_id", "d1", "line", "k1", "k2", "text"), map(list, zip(*found)) if found else [[]] * 6))
+            out = found(cols)
+            held = np.flatnonzero(may_hold(words, out["k1"]))
+            return {c: v[held] if isinstance(v, np.ndarray) else [v[i] for i in held] for c, v in out.items()}
 
         return f
 
@@ -132,7 +152,7 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def items():
         def f(cols):
             h, owner = shingle_hashes(cols["text"])
-            order = np.lexsort((h, owner))
+            order = np.argsort(owner, kind="stable")
             h, owner = h[order].view(np.int64), owner[order]
             parts = np.split(h, np.searchsorted(owner, np.arange(1, len(cols["text"]))))
             return {"id": cols["id"], "block": cols["block"], "chunks": cols["chunks"], "items": [np.unique(p) for p in parts]}

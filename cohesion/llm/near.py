@@ -23,6 +23,8 @@ from .common import bound_batches, cut, give_back
 HOT = 1000
 #: Set elements in one chunk of a component.
 CHUNK = 300_000
+#: Sets of a block that are compared pair by pair, with how many elements at most, and rows that leave verification together.
+FEW, FEW_ITEMS, TOLD = 5, 5_000, 5_000
 #: Cells of a dense incidence matrix in verification.
 DENSE = 4_000_000
 #: Where in a 64-bit hash the bit positions of the Bloom filter begin.
@@ -146,9 +148,15 @@ def verify(sets: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, ids, side, sets = None, [], [], []
 
+        told, rows = [], 0  # most blocks are small: they leave together
+
         def close():
             links, root = similar(np.array(ids), np.array(side), sets, threshold, at[1] != at[2])
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(links, pa.int64()), pa.array(root, pa.int64())], names=["id", "links", "root"])
+            told.append((ids, links, root))
+            return len(ids)
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*told)], names=["id", "links", "root"])
 
         for b in batches:
             items = b.column(5)
@@ -156,7 +164,10 @@ def verify(sets: DataFrame, threshold: float) -> DataFrame:
             for k, (block, i, j, one, c) in enumerate(zip(*(b.column(x).to_pylist() for x in range(5)))):
                 if (block, i, j) != at:
                     if len(ids) > 1:
-                        yield close()
+                        rows += close()
+                        if rows >= TOLD:
+                            yield out()
+                            told, rows = [], 0
                     at, ids, side, sets = (block, i, j), [], [], []
                 if ids and ids[-1] == one:
                     continue  # a repeated row
@@ -164,8 +175,10 @@ def verify(sets: DataFrame, threshold: float) -> DataFrame:
                 side.append(c)
                 sets.append(values[offsets[k]:offsets[k + 1]].copy())
         if len(ids) > 1:
-            yield close()
-        ids, side, sets = [], [], []
+            close()
+        if told:
+            yield out()
+        told, ids, side, sets = [], [], [], []
         give_back()
 
     bound_batches(sets.sparkSession)
@@ -177,6 +190,8 @@ def similar(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold
     """How many others each set is similar to, and the smallest id of those connected to it. With ``across`` only
     pairs of different sides count."""
     m = len(sets)
+    if m <= FEW and sum(map(len, sets)) <= FEW_ITEMS:
+        return _few(ids, side, sets, threshold, across)
     size = np.array([len(s) for s in sets], np.int64)
     token, owner = np.concatenate(sets), np.repeat(np.arange(m), size)
     order = np.argsort(token, kind="stable")
@@ -233,6 +248,32 @@ def similar(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold
     return links, least[label]
 
 
+def _few(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold: float, across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``similar`` of a few sets, pair by pair: a value that comes twice in two sets put together is in both."""
+    m = len(sets)
+    links, label = [0] * m, list(range(m))
+    for i in range(m):
+        for k in range(i + 1, m):
+            if across and side[i] == side[k]:
+                continue
+            n = len(sets[i]) + len(sets[k])
+            most = min(len(sets[i]), len(sets[k]))
+            if most < threshold * (n - most) - 1e-6:
+                continue  # too unlike in size
+            both = np.concatenate([sets[i], sets[k]])
+            both.sort()
+            both = int((both[1:] == both[:-1]).sum())
+            if both and both >= threshold * (n - both) - 1e-6:
+                links[i] += 1
+                links[k] += 1
+                old, new = max(label[i], label[k]), min(label[i], label[k])
+                label = [new if x == old else x for x in label]
+    least = {}
+    for x, one in zip(label, ids.tolist()):
+        least[x] = min(one, least.get(x, one))
+    return np.array(links, np.int64), np.array([least[x] for x in label], np.int64)
+
+
 def key_filter(keys: DataFrame, column: str, n: int, most_bits: int = 1 << 24) -> np.ndarray:
     """A Bloom filter of a column of hashes, 16 bits a key and ``most_bits`` at most, so it is small whatever the
     corpus. It thins what is shuffled to a join; the join decides, so a full filter costs time and no rows."""
@@ -246,7 +287,7 @@ def key_filter(keys: DataFrame, column: str, n: int, most_bits: int = 1 << 24) -
     return out.view(np.uint64)
 
 
-def may_hold(words: np.ndarray, keys: list[int]) -> np.ndarray:
+def may_hold(words: np.ndarray, keys: list[int] | np.ndarray) -> np.ndarray:
     """Whether each key may be one of the filter's."""
     key = np.array(keys, np.int64).view(np.uint64)
     held = np.ones(len(key), bool)

@@ -274,6 +274,27 @@ def test_fingerprints(spark, make_docs):
     assert fingerprints.compare_edits(make_docs([]), ranks).collect() == []
 
 
+def test_a_few_sets_are_compared_as_many_are(monkeypatch):
+    rng = random.Random(5)
+    cases = []
+    for _ in range(300):
+        base = [rng.randrange(10**9) for _ in range(rng.randint(3, 14))]
+        sets = [np.unique([x if rng.random() < 0.93 else rng.randrange(10**9) for x in base]) for _ in range(rng.randint(2, near.FEW))]
+        cases.append((np.array(rng.sample(range(1000), len(sets))), np.array([rng.randint(0, 1) for _ in sets]), sets, 0.8, rng.random() < 0.5))
+    few = [near.similar(*c) for c in cases]
+    assert any(links.any() for links, _ in few)
+    monkeypatch.setattr(near, "FEW", 0)
+    for c, got in zip(cases, few):
+        for x, y in zip(got, near.similar(*c)):
+            assert np.array_equal(x, y)
+
+
+def test_line_keys_are_each_lines_key():
+    lines = ["a", "日本 😀", "x" * 300, "one line, and more"]
+    assert [*zip(*(k.tolist() for k in fuzzy_lines.line_keys(lines)))] == [fuzzy_lines.line_key(x) for x in lines]
+    assert [len(k) for k in fuzzy_lines.line_keys([])] == [0, 0]
+
+
 def test_window_entropy():
     b = np.frombuffer(bytes(random.Random(8).choices(b"abcdef ", k=300)), np.uint8)
     for i, got in enumerate(fingerprints.entropy_bins(b)):
