@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -165,6 +166,16 @@ class Chunk:
         return out, begin
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z in lower case, and how many each text has."""
+    low = pc.ascii_lower(texts.view(pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string()))  # a slice comes out whole
+    lists = pc.ascii_split_whitespace(low.cast(pa.large_string()))
+    words, offsets = lists.flatten().view(pa.large_binary()), lists.offsets.to_numpy()
+    some = pc.not_equal(pc.binary_length(words), 0)  # there is nothing before white space that begins a text
+    upto = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    return words.filter(some), np.diff(upto[offsets - offsets[0]])
+
+
 def windows(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All windows with something to score, 2 * STEP classes and the next one; and where they begin."""
     if len(stream) < 2 * STEP:
@@ -184,49 +195,45 @@ def chunks(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, task, made = tokenizer(path), TaskContext.get().partitionId(), 0
 
-        class Places(dict):
-            def __missing__(self, word):
-                self[word] = out = len(self)
-                return out
-
-        def start():
-            return Places(), [], [], [], []
-
         def close():
             place = ((task << MADE) + made) << WORD
-            every = list(places)
-            lens, ids = all_word_ids(encoding, every)
-            words = np.concatenate(texts) if texts else np.zeros(0, np.int32)
-            sizes = np.array([len(t) for t in texts], np.int64)
-            trains = np.repeat(~np.array(helds, bool), sizes)
-            n = np.bincount(words[trains], minlength=len(places))
-            packed = pack({"docs": docs, "known": known, "held": helds, "sizes": sizes, "words": words, "n": n, "lens": lens, "ids": ids})
-            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((place + LAST, None, None, len(docs) - sum(helds), packed), schema)], schema=schema)
+            lens, ids = all_word_ids(encoding, every.to_numpy(zero_copy_only=False).tolist())
+            words, sizes, docs, known, held = (np.concatenate(x) for x in zip(*texts))
+            n = np.bincount(words[np.repeat(~held, sizes)], minlength=len(every))
+            packed = pack({"docs": docs, "known": known, "held": held, "sizes": sizes, "words": words, "n": n, "lens": lens, "ids": ids})
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((place + LAST, None, None, int((~held).sum()), packed), schema)], schema=schema)
             at = 0
             while at < len(every):
-                part = every[at:at + 20_000]
+                part = every.slice(at, 20_000).cast(pa.binary())
                 k = np.arange(at, at + len(part))
                 none = pa.nulls(len(part))
-                yield pa.RecordBatch.from_arrays([pa.array(place + k), pa.array(part, pa.binary()), pa.array(n[k].astype(np.int64)), none.cast(pa.int64()), none.cast(pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(place + k), part, pa.array(n[k].astype(np.int64)), none.cast(pa.int64()), none.cast(pa.binary())], schema=schema)
                 at += len(part)
 
-        places, texts, docs, known, helds = start()
-        size = 0
+        none = pa.array([], pa.large_binary())
+        every, texts, size = none, [], 0
         for b in batches:
-            for doc, out, text in zip(*(c.to_pylist() for c in b.columns)):
-                words = text.translate(LOWER).split()
-                texts.append(np.fromiter(map(places.__getitem__, words), np.int32, len(words)))
-                docs.append(doc or 0)
-                known.append(doc is not None)
-                helds.append(out)
-                size += len(words) + 1
-                if size >= CHUNK_WORDS or len(places) >= CHUNK_DISTINCT:
+            words, sizes = split_words(b.column("text"))
+            docs, known = b.column("doc_id").fill_null(0).to_numpy(), b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            held, ends, at = b.column("held").to_numpy(zero_copy_only=False), np.cumsum(sizes), 0
+            while at < len(sizes):
+                begin = ends[at] - sizes[at]
+                # words are numbered as they first occur: those of the chunk so far come first
+                coded = pa.concat_arrays([every, words.slice(begin)]).dictionary_encode()
+                place, own = coded.indices.to_numpy()[len(every):], ends[at:] - begin
+                distinct = np.maximum.accumulate(np.concatenate([[len(every)], place + 1]))[own]
+                sized = size + own + np.arange(1, len(own) + 1)
+                full = np.flatnonzero((sized >= CHUNK_WORDS) | (distinct >= CHUNK_DISTINCT))
+                n = int(full[0]) + 1 if len(full) else len(own)
+                some = slice(at, at + n)
+                texts.append((place[:own[n - 1]].copy(), sizes[some], docs[some], known[some], held[some]))
+                every, size, at = coded.dictionary.slice(0, distinct[n - 1]), sized[n - 1], at + n
+                if len(full):
                     yield from close()
-                    made, size = made + 1, 0
-                    places, texts, docs, known, helds = start()
+                    every, texts, size, made = none, [], 0, made + 1
         if texts:
             yield from close()
-        del places, texts, docs, known, helds
+        every, texts, words, coded, place = none, [], None, None, None
         give_back()
 
     return rows.mapInArrow(run, "place long, word binary, n long, trained long, packed binary")
@@ -259,7 +266,7 @@ def _told(at: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
 _REL = np.arange(STEP, 2 * STEP)[:, None] - np.arange(2 * STEP)[None, :]
 _SEEN = _REL >= 0  # the causal mask of a window's second half over all of it
 _DISTANCE = np.where(_SEEN, _REL, 0)
-_ALL = np.ones((MIXTURE, 1), np.float32)
+_ALL = np.ones((MIXTURE, MIXTURE), np.float32)  # by which a row's sum comes in every column
 SHAPES = {"query": (CLASSES + 1, WIDTH), "key": (CLASSES + 1, WIDTH), "value": (CLASSES + 1, WIDTH), "distance": (2 * STEP,), "context": (WIDTH, HIDDEN),
           "last0": (CLASSES + 1, HIDDEN), "last1": (CLASSES + 1, HIDDEN), "last2": (CLASSES + 1, HIDDEN), "out": (HIDDEN, MIXTURE), "own": (CLASSES + 1, MIXTURE)}
 
@@ -288,12 +295,14 @@ class Pass:
     """A batch of windows through the model, forward and back."""
 
     def __init__(self, w: dict[str, np.ndarray], tables: np.ndarray, win: np.ndarray):
-        win = win.astype(np.int32)
+        win = win.astype(np.intp)
         self.w, self.win = w, win
-        self.keys, self.last = win[:, :2 * STEP], [np.ascontiguousarray(win[:, STEP - i:2 * STEP - i]).ravel() for i in range(3)]
+        self.keys, self.last = np.ascontiguousarray(win[:, :2 * STEP]), [np.ascontiguousarray(win[:, STEP - i:2 * STEP - i]).ravel() for i in range(3)]
         y = np.ascontiguousarray(win[:, STEP + 1:]).ravel()
         self.on = (self.last[0] != PAD) & (y != PAD)
-        self.pair = np.where(self.on, self.last[0] * CLASSES + y, 0)
+        self.pair = self.last[0] * CLASSES
+        self.pair += y
+        self.pair *= self.on
         n = len(win)
         with_one = np.concatenate([w["value"], np.ones((CLASSES + 1, 1), np.float32)], 1)
         with_one[PAD] = 0  # pads weigh nothing
@@ -319,39 +328,43 @@ class Pass:
         self.gate = z
         self.share = tables.take(self.pair, axis=0)
         self.share *= z
-        self.p = (self.share @ _ALL)[:, 0]
+        self.p = self.share @ _ALL[:, 0]
 
     def gradients(self) -> dict[str, np.ndarray]:
-        """Of the mean of -log p. ``share`` becomes each table's part in its target."""
-        w, n, on = self.w, len(self.win), self.on
-        self.share /= self.p[:, None]
-        dz = self.gate - self.share
-        dz *= (on / max(1, on.sum())).astype(np.float32)[:, None]
+        """Of the mean of -log p. ``share`` becomes each table's part in its target, or nothing where there is none."""
+        w, n = self.w, len(self.win)
+        on = self.on.astype(np.float32)[:, None]
+        self.share *= on / self.p[:, None]
+        dz = self.gate * on
+        dz -= self.share
+        dz *= np.float32(1 / max(1, self.on.sum()))
         dh = dz @ w["out"].T
         dh *= self.hidden > 0
-        dctx = (dh @ w["context"].T) / self.total
-        dsum = np.concatenate([dctx, -np.einsum("nd,nd->n", dctx, self.ctx)[:, None]], 1).reshape(n, STEP, WIDTH + 1)
+        dctx = dh @ w["context"].T
+        dctx /= self.total
+        dsum = np.concatenate([dctx, (dctx * self.ctx) @ np.full((WIDTH, 1), -1, np.float32)], 1).reshape(n, STEP, WIDTH + 1)
         ds = np.matmul(dsum, self.v.transpose(0, 2, 1))
         ds *= self.e
-        per_key = np.concatenate([np.matmul(ds.transpose(0, 2, 1), self.q) * WIDTH**-0.5, np.matmul(self.e.transpose(0, 2, 1), dsum)[..., :WIDTH]], 2).reshape(-1, 2 * WIDTH)
-        dq = (np.matmul(ds, self.k) * WIDTH**-0.5).reshape(-1, WIDTH)
-        by_key = _by_class(self.keys.ravel(), per_key)
-        by_last = _by_class(self.last[0], np.concatenate([dq, dh, dz], 1))
-        by_key[PAD] = by_last[PAD] = 0
-        return {"query": by_last[:, :WIDTH], "key": by_key[:, :WIDTH], "value": by_key[:, WIDTH:],
-                "distance": np.bincount(_DISTANCE[_SEEN], ds.sum(0)[_SEEN], 2 * STEP).astype(np.float32),
-                "context": self.ctx.T @ dh, "last0": by_last[:, WIDTH:WIDTH + HIDDEN], "last1": _by_class(self.last[1], dh), "last2": _by_class(self.last[2], dh),
-                "out": self.hidden.T @ dz, "own": by_last[:, WIDTH + HIDDEN:]}
+        distance = np.bincount(_DISTANCE[_SEEN], ds.reshape(n, -1).sum(0).reshape(STEP, -1)[_SEEN], 2 * STEP).astype(np.float32)
+        ds *= np.float32(WIDTH**-0.5)
+        out = {"query": _by_class(self.last[0], np.matmul(ds, self.k).reshape(-1, WIDTH)),
+               "key": _by_class(self.keys.ravel(), np.matmul(ds.transpose(0, 2, 1), self.q).reshape(-1, WIDTH)),
+               "value": _by_class(self.keys.ravel(), np.matmul(self.e.transpose(0, 2, 1), dctx.reshape(n, STEP, WIDTH)).reshape(-1, WIDTH)),
+               "distance": distance, "context": self.ctx.T @ dh,
+               "last0": _by_class(self.last[0], dh), "last1": _by_class(self.last[1], dh), "last2": _by_class(self.last[2], dh),
+               "out": self.hidden.T @ dz, "own": _by_class(self.last[0], dz)}
+        for name in ("query", "key", "value", "last0", "own"):
+            out[name][PAD] = 0
+        return out
 
 
 def _by_class(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The rows summed by class."""
-    out = np.zeros((CLASSES + 1, rows.shape[1]), np.float32)
-    order = np.argsort(index.astype(np.int16), kind="stable")
-    index = index.take(order)
-    begin = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    out[index[begin]] = np.add.reduceat(rows.take(order, axis=0), begin, axis=0)
-    return out
+    """The rows summed by class; two columns are added at once, as one complex number."""
+    two = np.complex64 if rows.dtype == np.float32 else np.complex128
+    out, rows = np.zeros((rows.shape[1] // 2, CLASSES + 1), two), rows.view(two)
+    for column, values in zip(out, rows.T):
+        np.add.at(column, index, values)
+    return np.ascontiguousarray(out.T).view(np.float32 if two == np.complex64 else np.float64)
 
 
 class Trainer:
@@ -361,7 +374,8 @@ class Trainer:
         self.flat = flatten(weights).copy()
         self.w = unflatten(self.flat)  # views
         self.mean, self.square = np.zeros_like(self.flat), np.zeros_like(self.flat)
-        self.first = self.tables = tables
+        self.tables = tables
+        self.first = FIRST * np.ascontiguousarray(tables.T).reshape(MIXTURE, CLASSES, CLASSES)
         self.counts = np.zeros((MIXTURE, CLASSES * CLASSES), np.float32)
         self.held, self.steps, self.ids = [], 0, 0
 
@@ -374,8 +388,8 @@ class Trainer:
         g *= g
         self.square += 0.01 * (g - self.square)
         self.flat -= (rate / (1 - 0.9**self.steps)) * self.mean / (np.sqrt(self.square / (1 - 0.99**self.steps)) + 1e-8)
-        self.held.append((p.pair[p.on], np.ascontiguousarray(p.share[p.on].T)))
-        self.ids += len(self.held[-1][0])
+        self.held.append((p.pair, np.ascontiguousarray(p.share.T)))
+        self.ids += int(p.on.sum())
         if self.steps % REFRESH == 0 or self.steps in (4, 8, 16, 32):
             self.refresh()
 
@@ -387,7 +401,9 @@ class Trainer:
         self.held = []
         for m in range(MIXTURE):
             self.counts[m] += np.bincount(pair, share[m], CLASSES * CLASSES)
-        self.tables = mixed_tables(self.counts.T, self.first, FIRST)
+        rows = self.first + self.counts.reshape(self.first.shape)  # as mixed_tables, table by table
+        rows /= rows.sum(2, keepdims=True)
+        self.tables = np.ascontiguousarray(rows.reshape(MIXTURE, -1).T)
 
 
 def mixed_tables(counts: np.ndarray, prior: np.ndarray, weight: float) -> np.ndarray:

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from cohesion.llm import attention_lm as lm
@@ -181,6 +182,33 @@ def test_many_words_encode_as_one_by_one():
         assert [ids[e - n:e].tolist() for n, e in zip(lens, np.cumsum(lens))] == [lm.word_ids(encoding, w) for w in some]
 
 
+def test_words_of_many_texts_are_split_at_once():
+    texts = [b"", b" ", b"  A b\x1cC\x0b\x0cd\r\n e ", b"\xff\xfe Z\x85 q\xa0r", "İ É ÀB ab".encode(), b"\t", b"x" * 999, b"a\x00b \x1f c"]
+    for some in (slice(0, 8), slice(2, 5), slice(0, 2), slice(0, 0)):
+        words, sizes = lm.split_words(pa.array(texts, pa.binary())[some])
+        want = [t.translate(lm.LOWER).split() for t in texts[some]]
+        assert (words.to_pylist(), sizes.tolist()) == ([x for t in want for x in t], [len(t) for t in want])
+
+
+def test_rows_are_summed_by_class():
+    rng = np.random.default_rng(5)
+    index = rng.integers(0, 9, 300) * 57
+    for kind in (np.float32, np.float64):
+        rows = rng.normal(0, 1, (300, 8)).astype(kind)
+        got = lm._by_class(index, rows)
+        assert got.dtype == kind and got.shape == (lm.CLASSES + 1, 8)
+        assert got == pytest.approx(np.stack([rows[index == c].sum(0) for c in range(lm.CLASSES + 1)]), abs=1e-4)
+
+
+def test_targets_that_are_none_count_nothing():
+    m = small_model()
+    win = np.full((4, 2 * lm.STEP + 1), lm.PAD, np.int16)
+    win[:2] = 3
+    p = lm.Pass(m.weights, m.tables, win)
+    p.gradients()
+    assert p.share.sum() == pytest.approx(p.on.sum()) and not p.share[~p.on].any()
+
+
 def test_empty_table_and_no_training_texts(spark, make_docs):
     assert lm.score_documents(make_docs([]), PATH).collect() == []
     out = next(i for i in range(100) if held(i))
