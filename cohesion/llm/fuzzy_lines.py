@@ -133,7 +133,7 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines = cut(signed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "d1", "line")).alias("first"), F.count("*").alias("copies"), F.min("size").alias("n"))
                 .withColumn("id", F.monotonically_increasing_id()), "distinct")
     # the candidate graph goes by k1 alone: two lines that share it by chance are merely candidates
-    candidates = components(bucket_edges(arrow_map(d.select("text"), "id long, bands array<long>", sign)))
+    candidates = components(bucket_edges(arrow_map(d.select("text"), "id long, bands array<long>", sign), total * BANDS))
     block = cut(candidates.select(F.col("id").alias("k1"), F.col("root").alias("block")), "blocks")
     near = cut(chunked(lines.join(block, "k1")), "members")
     words = key_filter(near, "k1", near.count())

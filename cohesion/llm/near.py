@@ -25,6 +25,8 @@ HOT = 1000
 CHUNK = 300_000
 #: Sets of a block that are compared pair by pair, with how many elements at most, and rows that leave verification together.
 FEW, FEW_ITEMS, TOLD = 5, 5_000, 5_000
+#: Buckets that meet in one task.
+PART = 400_000
 #: Cells of a dense incidence matrix in verification.
 DENSE = 4_000_000
 #: Where in a 64-bit hash the bit positions of the Bloom filter begin.
@@ -40,57 +42,64 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], n: str, t
             .unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)))
 
 
-def bucket_edges(rows: DataFrame) -> DataFrame:
-    """(a, b) with a > b from (id, bands): each id with the smallest of every bucket it shares."""
+def bucket_edges(rows: DataFrame, n: int) -> DataFrame:
+    """(a, b) with a > b from (id, bands): each id with the smallest of every bucket it shares. Buckets are hashes, ``n`` at
+    most; a range of them meets in one task, to which each batch sends its own as one row."""
+    parts = max(1, -(-n // PART))
+
     def combine(bucket: np.ndarray, ids: np.ndarray):
-        """Distinct buckets with their smallest id; the other ids with it."""
-        order = np.lexsort((ids, bucket))
+        """Distinct buckets, in order, with their smallest id; the other ids with it."""
+        order = np.argsort(bucket)
         bucket, ids = bucket[order], ids[order]
         new = np.ones(len(bucket), bool)
         new[1:] = bucket[1:] != bucket[:-1]
-        lead = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
-        other = ids != lead
-        pairs = np.unique(np.stack([ids[other], lead[other]], 1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-        return bucket[new], ids[new], pairs
-
-    def batch(p, i, lead, known):
-        return pa.RecordBatch.from_arrays([pa.array(p), pa.array(i), pa.array(lead, mask=~known)], names=["p", "id", "lead"])
+        begin = np.flatnonzero(new)
+        first = np.minimum.reduceat(ids, begin) if len(begin) else ids
+        size = np.diff(np.append(begin, len(ids)))
+        some = np.repeat(size > 1, size)
+        lead, ids = np.repeat(first, size)[some], ids[some]
+        return bucket[begin], first, np.stack([ids[ids != lead], lead[ids != lead]], 1)
+
+    def sent(known: bool, cuts: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        some = np.flatnonzero(np.diff(cuts))
+        own = [slice(*cuts[k:k + 2]) for k in some]
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([known] * len(some), pa.bool_()), pa.array([x[k].tobytes() for k in own], pa.binary()),
+                                           pa.array([y[k].tobytes() for k in own], pa.binary())], names=["part", "known", "x", "y"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _sized(batches, 60_000):
             ids, bands = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
             per = np.diff(bands.offsets.to_numpy())
-            values = bands.flatten().to_numpy(zero_copy_only=False)
-            bucket, first, pairs = combine(values, np.repeat(ids, per))
-            k, m = len(bucket), len(pairs)
-            # pairs travel by a key of their own, so they don't meet again in the hot bucket
-            yield batch(np.concatenate([bucket, pairs[:, 0]]), np.concatenate([first, pairs[:, 0]]),
-                        np.concatenate([np.zeros(k, np.int64), pairs[:, 1]]), np.arange(k + m) >= k)
+            bucket, first, pairs = combine(bands.flatten().to_numpy(zero_copy_only=False), np.repeat(ids, per))
+            part = ((bucket.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            yield sent(False, np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64)), bucket, first)
+            pairs = np.unique(pairs, axis=0)
+            # pairs that are known go evenly to all parts, so they don't meet again in the hot bucket
+            yield sent(True, np.linspace(0, len(pairs), parts + 1).astype(int), pairs[:, 0], pairs[:, 1])
         give_back()
 
+    def told(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(a), 100_000):
+            x, y = a[k:k + 100_000], b[k:k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, lead = None, None
+        held = []
         for b in batches:
-            p, i = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
-            known = b.column(2).is_valid().to_numpy(zero_copy_only=False)
-            out_a, out_b = [i[known]], [b.column(2).drop_null().to_numpy(zero_copy_only=False)]
-            p, i = p[~known], i[~known]
-            if len(p):
-                new = np.ones(len(p), bool)
-                new[1:] = p[1:] != p[:-1]
-                if at is not None and p[0] == at:
-                    new[0] = False
-                begin = np.flatnonzero(new)
-                leads = np.concatenate([[0 if lead is None else lead], i[begin]])
-                own = leads[np.cumsum(new)]
-                at, lead = p[-1], own[-1]
-                out_a.append(i[i != own])
-                out_b.append(own[i != own])
-            a, c = np.concatenate(out_a).astype(np.int64), np.concatenate(out_b).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, c)), pa.array(np.minimum(a, c))], names=["a", "b"])
-
-    dealt = rows.select("id", "bands").mapInArrow(deal, "p long, id long, lead long")
-    return dealt.repartition("p").sortWithinPartitions("p", "id").mapInArrow(link, "a long, b long")
+            for known, x, y in zip(*(b.column(c).to_pylist() for c in (1, 2, 3))):
+                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+                if known:
+                    yield from told(x, y)
+                else:
+                    held.append((x, y))
+        if held:
+            pairs = combine(*(np.concatenate(c) for c in zip(*held)))[2]
+            held = []
+            yield from told(pairs[:, 0], pairs[:, 1])
+        give_back()
+
+    dealt = rows.select("id", "bands").mapInArrow(deal, "part int, known boolean, x binary, y binary")
+    return dealt.repartitionById(parts, F.col("part")).mapInArrow(link, "a long, b long")
 
 
 def _sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:

@@ -129,7 +129,7 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, r
     texts = cut(signed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row")).alias("lead"), F.count("*").alias("copies"), F.first("n").alias("n"))
                 .select("k1", "k2", F.col("lead.doc_id").alias("first"), F.col("lead.row").alias("row"), "copies", "n", F.monotonically_increasing_id().alias("id")), "texts")
     # the candidate graph goes by k1 alone: two texts that share it by chance are merely candidates
-    candidates = components(bucket_edges(signed.select(F.col("k1").alias("id"), "bands")))
+    candidates = components(bucket_edges(signed.select(F.col("k1").alias("id"), "bands"), total * bands))
     block = cut(candidates.select(F.col("id").alias("k1"), F.col("root").alias("block")), "blocks")
     near_texts = cut(chunked(texts.join(block, "k1").select("id", "k1", "k2", "first", "n", "block")), "members")
     words_of_filter = key_filter(near_texts, "k1", near_texts.count())

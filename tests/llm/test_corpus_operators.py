@@ -237,6 +237,28 @@ def test_components(spark):
     assert got == {x: r for x, r in label.items() if any(x in e and e[0] != e[1] for e in edges)}
 
 
+@pytest.mark.parametrize("part", (7, 400_000))
+def test_bucket_edges_leave_a_batch_as_one_row_a_part(spark, monkeypatch, part):
+    monkeypatch.setattr(near, "PART", part)
+    rng = random.Random(8)
+    hashes = [-2**63, 2**63 - 1, 0, -1, *(rng.randrange(-2**63, 2**63) for _ in range(60))]
+    given = [(rng.randrange(-50, 50) * 10**16, [rng.choice(hashes) for _ in range(rng.randint(0, 3))]) for _ in range(80)] + [(-1, []), (5 * 10**17, [0, 0])]
+    got = near.bucket_edges(spark.createDataFrame(given, "id long, bands array<long>").repartition(3), 250)
+    want, least = collections.defaultdict(set), {}
+    for i, bands in given:
+        for x in bands:
+            least[x] = min(i, least.get(x, i))
+    for i, bands in given:
+        for x in bands:
+            want[i].add(least[x])
+    pairs = [(r.a, r.b) for r in got.collect()]
+    assert all(a > b for a, b in pairs)
+    root = {r.id: r.root for r in near.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    plain = [(i, x) for i, xs in want.items() for x in xs if i != x]
+    assert root == {r.id: r.root for r in near.components(spark.createDataFrame(plain, "a long, b long")).collect()}
+    assert near.bucket_edges(spark.createDataFrame([(1, [])], "id long, bands array<long>"), 0).collect() == []
+
+
 def test_fuzzy_lines(spark, make_docs, rows):
     rows = [r for r in rows if r[0] not in (None, 89)]
     occurrences = collections.defaultdict(set)
