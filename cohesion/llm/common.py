@@ -44,6 +44,13 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def bound_rows(spark: SparkSession) -> None:
+    """``bound_batches``, and BATCH_ROWS rows."""
+    bound_batches(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 class Remembered(dict):
     """key -> f(key), remembering results up to a number of bytes; beyond, f is called anew."""
 
@@ -73,10 +80,7 @@ def give_back() -> None:
 def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """``mapInArrow`` over column lists. ``make`` runs once in each task and returns a function
     from {column: list} to {column: list}; output columns follow ``schema``."""
-    spark = df.sparkSession
-    bound_batches(spark)
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    bound_rows(df.sparkSession)
     out_type = T.StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

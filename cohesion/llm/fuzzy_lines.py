@@ -15,16 +15,20 @@ document and each get its result. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import arrow_map, cut
-from .near import bucket_edges, chunked, components, join_per_key, key_filter, may_hold, verify
+from .common import arrow_map, bound_rows, cut, give_back
+from .near import SENT, SHIFTS, bucket_edges, chunked, components, join_per_key, key_filter, may_hold, part_of, sized, verify
 from .ngram_join import NULL_ID, band_hashes, keyed, mix
 
 SHINGLE, THRESHOLD = 8, 0.8
@@ -32,6 +36,13 @@ SHINGLE, THRESHOLD = 8, 0.8
 BANDS, ROWS = 12, 5
 EMPTY = np.uint64(2**64 - 1)
 BLOCK_CHARS = 16_384
+#: One occurrence of a line: its key, where it stands, its length. The block of a key.
+LINE = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("doc_id", "<i8"), ("d1", "<i8"), ("line", "<i4"), ("size", "<i4")])
+BLOCK = np.dtype([("k1", "<i8"), ("block", "<i8")])
+#: Occurrences in one row of ``read_lines``, and those that meet in one task.
+TOGETHER, MEET = 20_000, 200_000
+#: What is sent to meet: a line's first occurrence in a batch, its later ones, the blocks of keys.
+FIRST, LATER, BLOCKS = range(3)
 
 
 def line_key(line: str) -> tuple[int, int]:
@@ -97,57 +108,181 @@ def _sign(lines: list[str], bins: int) -> np.ndarray:
     return out
 
 
+def stripped(line: str) -> str:
+    return line.strip().lower()
+
+
 def prepared(text: str) -> list[tuple[int, str]]:
     """(line number, line stripped and lower-cased) of the lines that aren't blank."""
-    return [(i, s) for i, line in enumerate(text.split("\n")) if (s := line.strip().lower())]
+    return [(i, s) for i, line in enumerate(text.split("\n")) if (s := stripped(line))]
+
+
+def read_lines(docs: DataFrame) -> DataFrame:
+    """The lines that aren't blank, many in a row: ``n`` occurrences, which ``lines`` holds as LINE, and of the different lines
+    among them ``id``, the first key, with ``bands``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen, found = {}, []  # the equal lines of a batch are signed once
+            for k, text in enumerate(b.column(2).to_pylist()):
+                found += [(k, i, seen.setdefault(s, len(seen))) for i, s in prepared(text)]
+            owner, line, at = np.array(found, np.int64).reshape(-1, 3).T
+            todo = list(seen)
+            k1, k2 = line_keys(todo)
+            lines = np.empty(len(found), LINE)
+            lines["k1"], lines["k2"], lines["line"] = k1[at], k2[at], line
+            lines["doc_id"], lines["d1"] = (b.column(c).to_numpy(zero_copy_only=False)[owner] for c in (0, 1))
+            lines["size"] = np.fromiter(map(len, todo), np.int32, len(todo))[at]
+            for k in range(0, len(lines), TOGETHER):
+                some = slice(k, k + TOGETHER)
+                bands = band_hashes(signatures(todo[some]), BANDS, ROWS)
+                yield pa.RecordBatch.from_pydict({"n": pa.array([len(lines[some])], pa.int32())} | {
+                    c: pa.array([v.tobytes()], pa.binary()) for c, v in (("lines", lines[some]), ("id", k1[some]), ("bands", bands))})
+        give_back()
+
+    bound_rows(docs.sparkSession)
+    return docs.select("doc_id", "k1", "text").mapInArrow(run, "n int, lines binary, id binary, bands binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], *kinds: np.dtype) -> Iterator[list[np.ndarray]]:
+    """The values in binary columns, those of many rows at once."""
+    held, size = [], 0
+    for b in batches:
+        for row in zip(*(b.column(c).to_pylist() for c in range(len(kinds)))):
+            held.append([np.frombuffer(x, kind) for x, kind in zip(row, kinds)])
+            size += len(held[-1][0])
+            if size >= SENT:
+                yield [np.concatenate(c) for c in zip(*held)]
+                held, size = [], 0
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def read_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for ids, bands in unpacked(batches, np.int64, np.int64):
+        yield np.repeat(ids, BANDS), bands
+
+
+def combine(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first occurrence of each line, and the occurrences that aren't their line's first."""
+    lines = lines[np.argsort(lines["k1"], kind="stable")]
+    same = lines["k1"][1:] == lines["k1"][:-1]
+    alone = ~(np.append(same, False) | np.append(False, same))[:len(lines)]
+    rest = lines[~alone]
+    rest = rest[np.lexsort([rest[c] for c in ("line", "d1", "doc_id", "k2", "k1")])]
+    new = np.ones(len(rest), bool)
+    new[1:] = (rest["k1"][1:] != rest["k1"][:-1]) | (rest["k2"][1:] != rest["k2"][:-1])
+    first = rest[new]
+    lead = first[np.cumsum(new) - 1]
+    later = (rest["doc_id"] != lead["doc_id"]) | (rest["d1"] != lead["d1"]) | (rest["line"] != lead["line"])
+    return np.concatenate([lines[alone], first]), rest[later]
+
+
+def first_lines(packed: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
+    """From ``read_lines`` and (id, root) of the candidates: each occurrence that isn't its line's first (doc_id, d1, line; such
+    go whatever the line is near to), and the first of each line that has a block. ``n`` lines at most; a range of their keys
+    meets in one task. A line's copies are combined before they are sent, so a common one is a few rows there."""
+    parts = max(1, -(-n // MEET))
+
+    def sent(kind: int, cuts: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        some = np.flatnonzero(np.diff(cuts))
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([kind] * len(some), pa.int32()),
+                                           pa.array([rows[slice(*cuts[k:k + 2])].tobytes() for k in some], pa.binary())], names=["part", "kind", "rows"])
+
+    def by_key(kind: int, rows: np.ndarray) -> pa.RecordBatch:
+        part = part_of(rows["k1"].copy(), parts)
+        order = np.argsort(part, kind="stable")
+        return sent(kind, np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64)), rows[order])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lines, in unpacked(batches, LINE):
+            first, later = combine(lines)
+            yield by_key(FIRST, first)
+            yield sent(LATER, np.linspace(0, len(later), parts + 1).astype(int), later)
+        give_back()
+
+    def deal_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sized(batches, SENT):
+            rows = np.empty(b.num_rows, BLOCK)
+            rows["k1"], rows["block"] = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            yield by_key(BLOCKS, rows)
+
+    def told(lines: np.ndarray, block: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(lines), 100_000):
+            some = lines[k:k + 100_000]
+            more = {"k1": some["k1"], "k2": some["k2"], "n": some["size"], "block": block[k:k + 100_000]} if block is not None else {}
+            cols = {"doc_id": some["doc_id"], "d1": some["d1"], "line": some["line"]} | more
+            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name].copy()) if f.name in cols else pa.nulls(len(some), f.type) for f in schema], schema=schema)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines, blocks = [np.empty(0, LINE)], [np.empty(0, BLOCK)]
+        for b in batches:
+            for kind, rows in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if kind == LATER:
+                    yield from told(np.frombuffer(rows, LINE))
+                elif kind == FIRST:
+                    lines.append(np.frombuffer(rows, LINE))
+                else:
+                    blocks.append(np.frombuffer(rows, BLOCK))
+        first, later = combine(np.concatenate(lines))
+        lines = []
+        yield from told(later)
+        blocks = np.concatenate(blocks)
+        blocks = blocks[np.argsort(blocks["k1"])]
+        if len(blocks):
+            at = np.minimum(np.searchsorted(blocks["k1"], first["k1"]), len(blocks) - 1)
+            known = blocks["k1"][at] == first["k1"]
+            yield from told(first[known], blocks["block"][at[known]])
+        give_back()
+
+    names = "doc_id long, d1 long, line int, k1 long, k2 long, n int, block long"
+    schema = to_arrow_schema(T.StructType.fromDDL(names))
+    dealt = "part int, kind int, rows binary"
+    return (packed.select("lines").mapInArrow(deal, dealt).unionByName(blocks.select("id", "root").mapInArrow(deal_blocks, dealt))
+            .repartitionById(parts, F.col("part")).mapInArrow(meet, names))
 
 
 def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, d1, line) of every occurrence to drop, d1 being the text's key."""
+    """(doc_id, d1, line) of every occurrence to drop, d1 being the text's key; rows that repeat a document may repeat its."""
     d = docs.select("doc_id", "k1", "text")
-
-    def found(cols):
-        """The lines that aren't blank, in columns."""
-        rows = [(doc, d1, i, s) for doc, d1, text in zip(cols["doc_id"], cols["k1"], cols["text"]) for i, s in prepared(text)]
-        out = dict(zip(("doc_id", "d1", "line", "text"), zip(*rows))) if rows else dict.fromkeys(("doc_id", "d1", "line", "text"), ())
-        out["k1"], out["k2"] = line_keys(out["text"])
-        return out
-
-    def keys():
-        def f(cols):
-            out = found(cols)
-            return out | {"size": [*map(len, out["text"])]}
-
-        return f
-
-    def sign():
-        def f(cols):
-            todo = list({s: 0 for text in cols["text"] for _, s in prepared(text)})  # the equal lines of a batch once
-            bands = band_hashes(signatures(todo), BANDS, ROWS) if todo else np.zeros((0, BANDS), np.int64)
-            return {"id": line_keys(todo)[0], "bands": pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), bands.ravel())}
-
-        return f
-
-    signed = cut(arrow_map(d, "doc_id long, d1 long, line int, size int, k1 long, k2 long", keys), "lines")
-    total = signed.count()
-    lines = cut(signed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "d1", "line")).alias("first"), F.count("*").alias("copies"), F.min("size").alias("n"))
-                .withColumn("id", F.monotonically_increasing_id()), "distinct")
+    packed = cut(read_lines(d), "lines")
+    total = packed.agg(F.sum("n")).first()[0] or 0
     # the candidate graph goes by k1 alone: two lines that share it by chance are merely candidates
-    candidates = components(bucket_edges(arrow_map(d.select("text"), "id long, bands array<long>", sign), total * BANDS))
-    block = cut(candidates.select(F.col("id").alias("k1"), F.col("root").alias("block")), "blocks")
-    near = cut(chunked(lines.join(block, "k1")), "members")
-    words = key_filter(near, "k1", near.count())
+    candidates = components(bucket_edges(packed, total * BANDS, read_bands))
+    # a line's later copies go, near to others or not; of near lines, all firsts but the least
+    lines = cut(first_lines(packed, candidates, total).withColumn("id", F.monotonically_increasing_id()), "firsts")
+    near = cut(chunked(lines.where("block is not null")), "members")
+    several = near.count()
+    place = F.col("d1")
+    for s in SHIFTS:
+        place = place.bitwiseXOR(F.shiftleft(F.col("line").cast("long"), s))
+    words = key_filter(near.select(place.alias("place")), "place", several)
 
     def fetch():
         def f(cols):
-            out = found(cols)
-            held = np.flatnonzero(may_hold(words, out["k1"]))
-            return {c: v[held] if isinstance(v, np.ndarray) else [v[i] for i in held] for c, v in out.items()}
+            """The lines whose places the filter holds, in columns; no other is split from its text."""
+            count = np.fromiter((t.count("\n") + 1 for t in cols["text"]), np.int64, len(cols["text"]))
+            owner = np.repeat(np.arange(len(count)), count)
+            line = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            place = np.array(cols["k1"], np.int64)[owner]
+            for s in SHIFTS:
+                place ^= line << s
+            held = np.flatnonzero(may_hold(words, place))
+            rows, of = [], -1
+            for k, i in zip(owner[held].tolist(), line[held].tolist()):
+                if k != of:
+                    of, split = k, cols["text"][k].split("\n")
+                if s := stripped(split[i]):
+                    rows.append((cols["doc_id"][k], cols["k1"][k], i, s))
+            names = ("doc_id", "d1", "line", "text")
+            out = dict(zip(names, zip(*rows))) if rows else dict.fromkeys(names, ())
+            out["k1"], out["k2"] = line_keys(out["text"])
+            return out
 
         return f
 
     texts = arrow_map(d, "doc_id long, d1 long, line int, k1 long, k2 long, text string", fetch)
-    texts = texts.join(near.select("id", "block", "chunks", "first.*", "k1", "k2"), ["doc_id", "d1", "line", "k1", "k2"])
+    texts = texts.join(near.select("id", "block", "chunks", "doc_id", "d1", "line", "k1", "k2"), ["doc_id", "d1", "line", "k1", "k2"])
 
     def items():
         def f(cols):
@@ -161,30 +296,22 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     sets = arrow_map(texts.select("id", "block", "chunks", "text"), "id long, block long, chunks int, items array<long>", items)
     verified = cut(verify(sets, threshold).where("links > 0"), "verified")
-    joined = cut(components(verified.select(F.col("id").alias("a"), F.col("root").alias("b"))), "joined")
-    member = lines.join(joined, "id", "left").select("k1", "k2", "first", "copies", F.coalesce("root", "id").alias("root"))
-    per_class = cut(member.groupBy("root").agg(F.min("first").alias("keep"), F.sum("copies").alias("all"), F.count("*").alias("texts")).where("all > 1").drop("all"), "classes")
-    member = cut(join_per_key(member.drop("first"), per_class, ["root"], "texts", total).select("k1", "k2", "keep", "copies"), "member")
-    hit = join_per_key(signed.select("doc_id", "d1", "line", "k1", "k2"), member, ["k1", "k2"], "copies", total)
-    return hit.where(F.struct("doc_id", "d1", "line") != F.col("keep")).select("doc_id", "d1", "line").distinct()
+    joined = components(verified.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    first = F.struct("doc_id", "d1", "line")
+    member = cut(near.join(joined, "id").select("root", "doc_id", "d1", "line"), "joined")
+    per_class = cut(member.groupBy("root").agg(F.min(first).alias("keep"), F.count("*").alias("texts")), "classes")
+    hit = join_per_key(member, per_class, ["root"], "texts", several).where(first != F.col("keep"))
+    return lines.where("block is null").select("doc_id", "d1", "line").unionByName(hit.select("doc_id", "d1", "line"))
 
 
 def drop_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, n_lines, n_kept, text without the dropped lines."""
     d = keyed(docs)
-    gone = cut(line_classes(d, threshold).groupBy("doc_id", F.col("d1").alias("k1")).agg(F.collect_list("line").alias("gone")), "gone")
+    gone = cut(line_classes(d, threshold).groupBy("doc_id", F.col("d1").alias("k1")).agg(F.collect_set("line").alias("gone")), "gone")
     # texts that lose nothing, which a small filter tells for most, are not moved to meet their dropped lines
     words = key_filter(gone, "k1", gone.count())
-
-    def part(moved: bool):
-        def make():
-            def f(cols):
-                keep = np.flatnonzero(may_hold(words, cols["k1"]) == moved)
-                return {c: [cols[c][i] for i in keep] for c in ("doc_id", "k1", "text")}
-
-            return f
-
-        return arrow_map(d.select("doc_id", "k1", "text"), "doc_id long, k1 long, text string", make)
+    maybe = F.pandas_udf(lambda k: pd.Series(may_hold(words, k.to_numpy())), "boolean")
+    at = d.select("doc_id", "k1", "text").withColumn("moved", maybe("k1"))
 
     def rebuild():
         def f(cols):
@@ -202,6 +329,7 @@ def drop_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
         return f
 
-    joined = (part(True).join(gone, ["doc_id", "k1"], "left").select("doc_id", "text", "gone")
-              .unionByName(part(False).select("doc_id", "text", F.lit(None).cast("array<int>").alias("gone"))))
-    return arrow_map(joined, "doc_id long, n_lines long, n_kept long, text string", rebuild)
+    n = (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    whole = at.where("not moved").select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), n.alias("n_lines"), n.alias("n_kept"), "text")
+    joined = at.where("moved").drop("moved").join(gone, ["doc_id", "k1"], "left").select("doc_id", "text", "gone")
+    return arrow_map(joined, "doc_id long, n_lines long, n_kept long, text string", rebuild).unionByName(whole)

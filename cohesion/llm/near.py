@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,8 @@ HOT = 1000
 CHUNK = 300_000
 #: Sets of a block that are compared pair by pair, with how many elements at most, and rows that leave verification together.
 FEW, FEW_ITEMS, TOLD = 5, 5_000, 5_000
-#: Buckets that meet in one task.
-PART = 400_000
+#: Buckets that meet in one task, and rows combined before they are sent.
+PART, SENT = 400_000, 60_000
 #: Cells of a dense incidence matrix in verification.
 DENSE = 4_000_000
 #: Where in a 64-bit hash the bit positions of the Bloom filter begin.
@@ -42,9 +42,22 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], n: str, t
             .unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)))
 
 
-def bucket_edges(rows: DataFrame, n: int) -> DataFrame:
+def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(id, bucket) of rows with an id and a list of buckets, many rows at once."""
+    for b in sized(batches, SENT):
+        ids, bands = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
+        yield np.repeat(ids, np.diff(bands.offsets.to_numpy())), bands.flatten().to_numpy(zero_copy_only=False)
+
+
+def part_of(h: np.ndarray, parts: int) -> np.ndarray:
+    """In which of ``parts`` equal ranges each 64-bit hash lies."""
+    return ((h.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+
+
+def bucket_edges(rows: DataFrame, n: int, read: Callable = banded) -> DataFrame:
     """(a, b) with a > b from (id, bands): each id with the smallest of every bucket it shares. Buckets are hashes, ``n`` at
-    most; a range of them meets in one task, to which each batch sends its own as one row."""
+    most; a range of them meets in one task, to which each batch sends its own as one row. ``read`` tells ids and buckets
+    of the rows."""
     parts = max(1, -(-n // PART))
 
     def combine(bucket: np.ndarray, ids: np.ndarray):
@@ -67,12 +80,9 @@ def bucket_edges(rows: DataFrame, n: int) -> DataFrame:
                                            pa.array([y[k].tobytes() for k in own], pa.binary())], names=["part", "known", "x", "y"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _sized(batches, 60_000):
-            ids, bands = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
-            per = np.diff(bands.offsets.to_numpy())
-            bucket, first, pairs = combine(bands.flatten().to_numpy(zero_copy_only=False), np.repeat(ids, per))
-            part = ((bucket.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-            yield sent(False, np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64)), bucket, first)
+        for ids, bucket in read(batches):
+            bucket, first, pairs = combine(bucket, ids)
+            yield sent(False, np.searchsorted(part_of(bucket, parts), np.arange(parts + 1, dtype=np.uint64)), bucket, first)
             pairs = np.unique(pairs, axis=0)
             # pairs that are known go evenly to all parts, so they don't meet again in the hot bucket
             yield sent(True, np.linspace(0, len(pairs), parts + 1).astype(int), pairs[:, 0], pairs[:, 1])
@@ -102,7 +112,7 @@ def bucket_edges(rows: DataFrame, n: int) -> DataFrame:
     return dealt.repartitionById(parts, F.col("part")).mapInArrow(link, "a long, b long")
 
 
-def _sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+def sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """Batches of at least that many rows, but for the last."""
     held, size = [], 0
     for b in batches:

@@ -280,6 +280,36 @@ def test_fuzzy_lines(spark, make_docs, rows):
     assert collections.Counter((r.doc_id, r.text) for r in fuzzy_lines.drop_lines(make_docs(rows)).collect()) == want
 
 
+def test_lines_of_their_own_are_no_rows(spark, make_docs, monkeypatch):
+    rng, tables, plain = random.Random(12), [], fuzzy_lines.cut
+    own = [["".join(rng.choice("abcdefghijkl ") for _ in range(40)) + "x" for _ in range(30)] for _ in range(20)]
+    docs = [(100 - i, "\n".join([*x[:15], " The common line of all texts ", "", *x[15:], "the common line of all texts"])) for i, x in enumerate(own)]
+    docs += [docs[0], docs[19], (None, docs[3][1]), (None, None)]
+    monkeypatch.setattr(fuzzy_lines, "cut", lambda df, kind: tables.append(out := plain(df, kind)) or out)
+    monkeypatch.setattr(fuzzy_lines, "MEET", 50, raising=False)  # many parts
+    got = collections.Counter((r.doc_id, r.n_lines, r.n_kept, r.text) for r in fuzzy_lines.drop_lines(make_docs(docs).repartition(3)).collect())
+    bare = lambda x: "\n".join([*x[:15], "", *x[15:]])
+    want = collections.Counter({(100 - i, 33, 31, bare(x)): 1 for i, x in enumerate(own)} | {(100, 33, 31, bare(own[0])): 2, (81, 33, 31, bare(own[19])): 2, (None, 1, 1, ""): 1})
+    # the null id is the least: its lines stay, but for the second common one; the row with that text loses all
+    want[(None, 33, 32, "\n".join(docs[3][1].split("\n")[:-1]))] += 1
+    del want[(97, 33, 31, bare(own[3]))]
+    want[(97, 33, 1, "")] += 1
+    assert got == want
+    assert max(t.count() for t in tables) < 120  # 660 lines, of which 72 are copies
+
+
+def test_first_occurrences_of_lines():
+    rng = random.Random(2)
+    rows = [(rng.randrange(-9, 9), rng.randrange(2), *(rng.randrange(3) for _ in range(3)), 5) for _ in range(300)]
+    first, later = fuzzy_lines.combine(np.array(rows, fuzzy_lines.LINE))
+    least = {}
+    for r in rows:
+        least[r[:2]] = min(r, least.get(r[:2], r))
+    assert sorted(first.tolist()) == sorted(least.values())
+    assert sorted(later.tolist()) == sorted(r for r in rows if r != least[r[:2]])
+    assert [len(x) for x in fuzzy_lines.combine(np.empty(0, fuzzy_lines.LINE))] == [0, 0]
+
+
 def test_fingerprints(spark, make_docs):
     rng = random.Random(6)
     docs = [(i, " ".join(words(rng, n))) for i, n in ((1, 300), (5, 250), (2, 400), (9, 3), (4, 900))] + [(7, None), (8, "")]
