@@ -52,3 +52,47 @@ def test_copies_of_a_split_key_grow_as_its_rows(spark, monkeypatch):
         key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
         assert key(MF.join_sources(left, right, ["k"], "full_outer", split=4)) == key(MF.join_sources(left, right, ["k"], "full_outer"))
     assert copies[1] <= 1.3 * 4 * copies[0]
+
+
+def nulls(spark, nl, nr):
+    return spark.range(nl).selectExpr("CAST(null AS long) AS k", "id AS a"), spark.range(nr).selectExpr("CAST(null AS long) AS k", "id AS b")
+
+
+def test_rows_of_a_split_key_come_out_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(MF, "PACK", 8)
+    monkeypatch.setattr(MF, "GATHER", 64)
+    left, right = nulls(spark, 320, 160)
+    out = [tuple(r) for r in MF.join_sources(left, right, ["k"], "full_outer", split=10_000).select("a", "b").collect()]
+    assert sorted(out) == [(a, b) for a in range(320) for b in range(160)]
+    seen, gaps = {}, []
+    for at, (_, b) in enumerate(out):
+        gaps.append(at - seen.get(b, at))
+        seen[b] = at
+    assert sorted(gaps)[len(gaps) // 2] <= 8
+
+
+def test_rows_travel_in_packs_each_once_a_part(spark, monkeypatch):
+    monkeypatch.setattr(MF, "PACK", 8)
+    left, right = nulls(spark, 320, 160)
+    hot = MF._hot_keys(left, right, ["k"], True, 10_000)
+    h = hot.first()
+    packs = MF._dealt(left, ["k"], hot, "__i", "__j", "__a", "__b").collect()
+    assert max(len(p["__rows"]) for p in packs) == 8 and len(packs) <= h["__b"] * (320 // 8 + h["__a"])
+    assert sorted((r["a"], p["__j"]) for p in packs for r in p["__rows"]) == [(a, j) for a in range(320) for j in range(h["__b"])]
+    assert len({(r["a"], p["__i"]) for p in packs for r in p["__rows"]}) == 320
+
+
+def test_tasks_of_split_keys_are_told_by_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(MF, "PART_PAIRS", 2000)
+    left, right = nulls(spark, 320, 160)
+    split = MF.join_sources(left, right, ["k"], "full_outer", split=1000)
+    assert split.rdd.getNumPartitions() >= 320 * 160 // 2000
+    assert split.count() == 320 * 160
+
+
+def test_split_keys_that_differ_in_bytes_only(spark):
+    left = spark.createDataFrame([(k, s, i) for i in range(40) for k in (0.0, -0.0, float("nan"), None) for s in ("x", None)], "k double, s string, a long")
+    right = left.withColumnRenamed("a", "b")
+    key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    split = MF.join_sources(left, right, ["k", "s"], "full_outer", split=50)
+    assert list(map(repr, key(split))) == list(map(repr, key(MF.join_sources(left, right, ["k", "s"], "full_outer"))))
