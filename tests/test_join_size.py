@@ -1,4 +1,6 @@
 """Joins whose keys are counted first: the expected rows, and keys split on both sides."""
+import re
+
 import pytest
 
 from cohesion.sources import multifile as MF
@@ -96,3 +98,12 @@ def test_split_keys_that_differ_in_bytes_only(spark):
     key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
     split = MF.join_sources(left, right, ["k", "s"], "full_outer", split=50)
     assert list(map(repr, key(split))) == list(map(repr, key(MF.join_sources(left, right, ["k", "s"], "full_outer"))))
+
+
+def test_a_left_pack_does_not_keep_all_its_rows(spark):
+    left, right = nulls(spark, 320, 160)
+    split = MF.join_sources(left, right, ["k"], "full_outer", split=1000)
+    split.collect()
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Generate inline\(transform", plan) and not re.search(r"\*\(\d+\) Generate inline\(transform", plan)
+    assert re.search(r"\*\(\d+\) Generate inline\(__r_rows", plan)
